@@ -109,6 +109,7 @@ class Series:
     end: datetime | None = None
     slice_us: int = 10 * MINUTE
     seq_slice: int | None = None
+    us_column: str | None = None  # a column that already holds the time in microseconds
 
     # -- construction ----------------------------------------------------
     def using(self, df: DataFrame, **changes: object) -> "Series":
@@ -121,7 +122,7 @@ class Series:
     # -- order -----------------------------------------------------------
     @property
     def us(self) -> Column:
-        return micros(self.ts)
+        return col(self.us_column) if self.us_column else micros(self.ts)
 
     @property
     def order(self) -> list[Column]:

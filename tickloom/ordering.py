@@ -191,30 +191,42 @@ def value_slice(value: Column, per_octave: int = 4096) -> Column:
     return F.floor(F.signum(v) * F.log2(F.abs(v) + 1) * per_octave)
 
 
-def distribution(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """Per (group, distinct value): its count ``n``, the rows ``before`` it and the group's ``total``.
+def distribution(
+    df: DataFrame, groups: Sequence[str], values: Sequence[str], descending: Sequence[bool] | None = None
+) -> DataFrame:
+    """Per (group, distinct values): the count ``n``, the rows ``before`` it and the group's ``total``.
 
-    Rows are first reduced to distinct values with counts, then positioned in value
-    slices; no task ever holds a whole group.
+    Order is lexicographic over ``values``.  Rows are first reduced to distinct values with
+    counts, then positioned inside slices of the first value; no task ever holds a whole
+    group.  The per-slice totals that are folded over a group are few: 4096 per power of two.
     """
+    desc = list(descending or [False] * len(values))
     s = f"{TMP}vslice"
+
+    def ordered(c: str, d: bool) -> Column:
+        return col(c).desc() if d else col(c).asc()
+
     counts = (
-        df.where(col(value).isNotNull())
-        .groupBy(*groups, value)
+        df.where(col(values[0]).isNotNull())
+        .groupBy(*groups, *values)
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn(s, value_slice(col(value)))
+        .withColumn(s, value_slice(col(values[0])))
     )
     per_slice = counts.groupBy(*groups, s).agg(F.sum("n").alias(f"{TMP}n"))
-    in_order = Window.partitionBy(*groups).orderBy(s)
+    in_order = Window.partitionBy(*groups).orderBy(ordered(s, desc[0])).rowsBetween(Window.unboundedPreceding, -1)
     carries = per_slice.select(
         *groups,
         s,
-        F.coalesce(F.sum(f"{TMP}n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"{TMP}carry"),
+        F.coalesce(F.sum(f"{TMP}n").over(in_order), F.lit(0)).alias(f"{TMP}carry"),
         F.sum(f"{TMP}n").over(Window.partitionBy(*groups)).alias("total"),
     )
-    inside = Window.partitionBy(*groups, s).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    inside = (
+        Window.partitionBy(*groups, s)
+        .orderBy(*[ordered(v, d) for v, d in zip(values, desc)])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     return (
         counts.withColumn(f"{TMP}here", F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .join(carries, [*groups, s])
-        .select(*groups, value, "n", (F.col(f"{TMP}here") + F.col(f"{TMP}carry")).alias("before"), "total")
+        .select(*groups, *values, "n", (F.col(f"{TMP}here") + F.col(f"{TMP}carry")).alias("before"), "total")
     )
