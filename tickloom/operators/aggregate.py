@@ -296,9 +296,13 @@ def agg(
     all_fields: str | None = None,
     fill_empty: bool = True,
     groups_to_display: str = "all",
+    time_series_type: str = "event_ts",
 ) -> Series:
     """One row per (key, bucket, group), stamped by the bucket.
 
+    ``time_series_type='state_ts'`` counts the last tick before a bucket as in force at its
+    start.
+
     Empty buckets are produced for every key (and for every group from the bucket it first
     shows up in), unless ``fill_empty`` is off.  ``groups_to_display='event_in_last_bucket'``
     keeps only groups with a tick in the bucket.  ``all_fields`` copies the other fields from
@@ -309,6 +313,10 @@ def agg(
     if groups_to_display not in ("all", "event_in_last_bucket"):
         raise ValueError("groups_to_display is 'all' or 'event_in_last_bucket'")
     assigned = bk.assign(series, b, groups)
+    if time_series_type == "state_ts":
+        assigned = bk.carry_in(assigned, b, groups)
+    elif time_series_type != "event_ts":
+        raise ValueError("time_series_type is 'event_ts' or 'state_ts'")
     ids = [*series.keys, *[g for g in groups if g not in series.keys], BUCKET]
     exprs = [a.grouped(assigned).alias(n) for n, a in aggs.items()]
     carried: list[str] = []

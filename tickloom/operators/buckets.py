@@ -148,3 +148,38 @@ def spine(series: Series, b: Buckets, owners: DataFrame) -> DataFrame:
 def stamp(series: Series, b: Buckets, bucket: Column) -> Column:
     begin, end = bounds_us(series, b, bucket)
     return from_micros(begin if b.stamp == "start" else end)
+
+
+def carry_in(assigned: Series, b: Buckets, groups: Sequence[str] = ()) -> Series:
+    """State semantics: each bucket also holds the last earlier tick, put at the bucket's start.
+
+    Not added where a tick sits exactly at the start.  One extra row per bucket at most.
+    """
+    ids = [*assigned.keys, *[g for g in groups if g not in assigned.keys]]
+    row = F.struct(*[col(c).alias(c) for c in assigned.df.columns if c != BUCKET])
+    position = assigned.order_struct
+    ends = assigned.df.groupBy(*ids, BUCKET).agg(
+        F.max(F.struct(position.alias("o"), row.alias("r"))).alias(f"{TMP}end"), F.min(assigned.us).alias(f"{TMP}first")
+    )
+    if b.by_time:
+        if ids:
+            owners = ends.select(*ids).distinct()
+        else:
+            owners = ends.agg(F.count(F.lit(1)).alias(f"{TMP}n")).drop(f"{TMP}n")
+        ends = spine(assigned, b, owners).join(ends, [*ids, BUCKET], "left")
+        begin = bounds_us(assigned, b, F.col(BUCKET))[0]
+    else:
+        begin = F.lit(None).cast("long")
+    # Buckets are ordered by number; the number stands in for the time.
+    numbered = assigned.using(ends, us_column=BUCKET, ts=BUCKET, seq=(), keys=tuple(ids), slice_us=100_000)
+    before = running(numbered, {f"{TMP}prev": Fold("last", F.col(f"{TMP}end"))}, exclusive=True)
+    needed = F.col(f"{TMP}prev").isNotNull() & (
+        F.col(f"{TMP}first").isNull() | begin.isNull() | (F.col(f"{TMP}first") > begin)
+    )
+    carried = before.where(needed).select(
+        BUCKET, begin.alias(f"{TMP}begin"), F.col(f"{TMP}prev.r.*")
+    )
+    if b.by_time:
+        dtype = assigned.df.schema[assigned.ts].dataType
+        carried = carried.withColumn(assigned.ts, from_micros(f"{TMP}begin").cast(dtype))
+    return assigned.using(assigned.df.unionByName(carried.drop(f"{TMP}begin")))

@@ -195,11 +195,21 @@ def exp_tw_average(
 
 
 def exp_w_average(
-    series: Series, c: str, decay: float, buckets: Buckets | None = None, decay_value_type: str = "half_life_index"
+    series: Series,
+    c: str,
+    decay: float,
+    buckets: Buckets | None = None,
+    decay_value_type: str = "half_life_index",
+    time_series_type: str = "state_ts",
 ) -> DataFrame:
-    """Average with weights ``exp(-rate * N)``, N ticks before the newest tick of the bucket."""
+    """Average with weights ``exp(-rate * N)``, N ticks before the newest tick of the bucket.
+
+    ``state_ts`` lets the last tick before the bucket take part as its oldest.
+    """
     rate = _rate(decay, decay_value_type)
     assigned, ids = _bucketed(series, buckets, ())
+    if time_series_type == "state_ts":
+        assigned = bk.carry_in(assigned, buckets or Buckets())
     aged = running(assigned, {f"{TMP}age": Fold("sum", F.lit(1).cast("long"))}, by=[BUCKET], reverse=True)
     weight = F.exp((F.col(f"{TMP}age") - 1) * -rate)
     return aged.groupBy(*ids).agg(
@@ -271,12 +281,12 @@ def portfolio_price(
     """Per bucket, the weighted sum over symbols of their latest prices, and NUM_SYMBOLS."""
     b = buckets or Buckets()
     latest = _latest_prices(series, [price, *([weight] if weight else [])], b)
-    w = latest_field(weight) if weight else F.lit(1)
-    value, n = _weighted(latest_field(price), w, side, weight_type)
+    w = _latest(weight) if weight else F.lit(1)
+    value, n = _weighted(_latest(price), w, side, weight_type)
     return latest.groupBy(BUCKET).agg(value.cast("double").alias("VALUE"), n.alias("NUM_SYMBOLS"))
 
 
-def latest_field(name: str) -> Column:
+def _latest(name: str) -> Column:
     return F.col(f"{TMP}now.{name}")
 
 
@@ -299,7 +309,7 @@ def multi_portfolio_price(
 ) -> DataFrame:
     """:func:`portfolio_price` for many portfolios given as (key columns, portfolio, weight) rows."""
     b = buckets or Buckets()
-    latest = _latest_prices(series, [price], b).select(*series.keys, BUCKET, latest_field(price).alias(f"{TMP}price"))
+    latest = _latest_prices(series, [price], b).select(*series.keys, BUCKET, _latest(price).alias(f"{TMP}price"))
     held = latest.join(portfolios, [*series.keys])
     worth = F.col(f"{TMP}price") * (col(multiplier) if multiplier else F.lit(1))
     value, n = _weighted(worth, col(weight), side, weight_type)
