@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.core import Series, col, from_micros, interval, literal_micros, typed_default
+from tickloom.core import TMP, Series, col, from_micros, interval, literal_micros, typed_default
 from tickloom.functions.dates import java_pattern
+from tickloom.ordering import row_number
 
 # Names of field types in declared schemas and titled CSV headers.
 TYPE_NAMES = {
@@ -169,10 +170,10 @@ def empty(spark: SparkSession, schema: Mapping[str, str | T.DataType]) -> Series
 
 def _header(title: str) -> tuple[str, T.DataType | None]:
     """``TYPE NAME`` in a title names the type of a field."""
-    words = title.split()
+    words = title.lstrip("#").split()
     if len(words) == 2 and re.sub(r"\[\d+\]$", "", words[0].lower()) in TYPE_NAMES:
         return words[1], _type(words[0])
-    return title.strip(), None
+    return title.lstrip("#").strip(), None
 
 
 def csv(
@@ -203,7 +204,7 @@ def csv(
     if names is not None:
         parsed = [(n, t) for n, (_, t) in zip(names, parsed)]
     elif not first_line_is_title:
-        parsed = [(f"COLUMN_{i}", None) for i in range(len(titled.columns))]
+        parsed = [(f"COLUMN_{i}", None) for i in range(1, len(titled.columns) + 1)]
     df = titled.toDF(*[n for n, _ in parsed])
     types = {n: t for n, t in parsed if t is not None} | {n: _type(t) for n, t in (dtype or {}).items()}
     exprs = {}
@@ -227,7 +228,11 @@ def csv(
     # Position in the file: files in name order, rows in file order within a split.
     df = df.withColumn("seq", F.monotonically_increasing_id())
     if auto_increase_us:
-        df = df.withColumn("ts", F.timestamp_add("MICROSECOND", F.col("seq") * auto_increase_us, F.col("ts")))
+        # Row ids leave gaps between splits; the position is counted over slices of the ids.
+        positions = Series(df, us_column="seq", ts="ts", seq=(), slice_us=1_000_000)
+        df = row_number(positions, f"{TMP}rn")
+        step = (F.col(f"{TMP}rn") - 1) * auto_increase_us
+        df = df.withColumn("ts", F.timestamp_add("MICROSECOND", step, F.col("ts"))).drop(f"{TMP}rn")
     return Series(df, **options)
 
 
