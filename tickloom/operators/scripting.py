@@ -66,12 +66,13 @@ def generic(series: Series, fn: Callable[[Series], Series], buckets: Buckets, gr
 
     The result is stamped with the bucket's start or end.
     """
+    own = "_tl_own_bucket"  # the pipeline may use buckets of its own
     assigned = bk.assign(series, buckets, group_by)
-    keys = (*series.keys, *[g for g in group_by if g not in series.keys], BUCKET)
-    out = fn(assigned.using(assigned.df, keys=keys)).df
+    keys = (*series.keys, *[g for g in group_by if g not in series.keys], own)
+    out = fn(assigned.using(assigned.df.withColumnRenamed(BUCKET, own), keys=keys)).df
     if buckets.by_time:
-        out = out.withColumn(series.ts, bk.stamp(series, buckets, F.col(BUCKET)))
-    return out.drop(BUCKET)
+        out = out.withColumn(series.ts, bk.stamp(series, buckets, F.col(own)))
+    return out.drop(own)
 
 
 # ---------------------------------------------------------------------------

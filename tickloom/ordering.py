@@ -54,10 +54,6 @@ class Fold:
         return F.coalesce(earlier, here)
 
 
-def _drop_tmp(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(f"{TMP}slice") or c.startswith(f"{TMP}carry")])
-
-
 def running(
     series: Series,
     folds: Mapping[str, Fold],
@@ -134,7 +130,7 @@ def shift(
     slices = series.slices()
     names = [f"{TMP}slice", f"{TMP}slice_seq"][: len(slices)]
     df = series.df.withColumns(dict(zip(names, slices)))
-    df = df.withColumns({f"{TMP}in{i}": v for i, (v, _) in enumerate(columns.values())})
+    df = df.withColumns({f"{TMP}sh_in{i}": v for i, (v, _) in enumerate(columns.values())})
     far = max(n for _, n in columns.values())
 
     def directed(c: Column, forward: bool) -> Column:
@@ -144,15 +140,15 @@ def shift(
     away = Window.partitionBy(*keys, *names).orderBy(*[directed(o, lead) for o in series.order])
     # The rows nearest to the border that the next slice looks across, nearest first.
     edge = (
-        df.withColumn(f"{TMP}rank", F.row_number().over(away))
-        .where(F.col(f"{TMP}rank") <= far)
+        df.withColumn(f"{TMP}sh_rank", F.row_number().over(away))
+        .where(F.col(f"{TMP}sh_rank") <= far)
         .groupBy(*keys, *names)
         .agg(
             F.sort_array(
                 F.collect_list(
-                    F.struct(f"{TMP}rank", *[F.col(f"{TMP}in{i}") for i in range(len(columns))])
+                    F.struct(f"{TMP}sh_rank", *[F.col(f"{TMP}sh_in{i}") for i in range(len(columns))])
                 )
-            ).alias(f"{TMP}edge")
+            ).alias(f"{TMP}sh_edge")
         )
     )
     nearest = (
@@ -162,17 +158,17 @@ def shift(
     )
     # Slices arrive oldest first in the list; reversing puts the nearest slice in front.
     carries = edge.select(
-        *keys, *names, F.flatten(F.reverse(F.collect_list(f"{TMP}edge").over(nearest))).alias(f"{TMP}carry")
+        *keys, *names, F.flatten(F.reverse(F.collect_list(f"{TMP}sh_edge").over(nearest))).alias(f"{TMP}sh_carry")
     )
-    local = df.withColumn(f"{TMP}rn", F.row_number().over(toward)).withColumns(
-        {f"{TMP}here{i}": F.lag(f"{TMP}in{i}", n).over(toward) for i, (_, n) in enumerate(columns.values())}
+    local = df.withColumn(f"{TMP}sh_rn", F.row_number().over(toward)).withColumns(
+        {f"{TMP}sh_here{i}": F.lag(f"{TMP}sh_in{i}", n).over(toward) for i, (_, n) in enumerate(columns.values())}
     )
     joined = local.join(carries, [*keys, *names], "left")
     out = {}
     for i, (name, (_, n)) in enumerate(columns.items()):
-        reach = F.lit(n) - F.col(f"{TMP}rn") + 1
-        across = F.try_element_at(F.col(f"{TMP}carry"), reach)[f"{TMP}in{i}"]
-        out[name] = F.when(F.col(f"{TMP}rn") > n, F.col(f"{TMP}here{i}")).when(reach >= 1, across)
+        reach = F.lit(n) - F.col(f"{TMP}sh_rn") + 1
+        across = F.try_element_at(F.col(f"{TMP}sh_carry"), reach)[f"{TMP}sh_in{i}"]
+        out[name] = F.when(F.col(f"{TMP}sh_rn") > n, F.col(f"{TMP}sh_here{i}")).when(reach >= 1, across)
     kept = [c for c in series.df.columns if c not in columns]
     return joined.select(*[col(c) for c in kept], *[c.alias(n) for n, c in out.items()])
 

@@ -171,9 +171,10 @@ def _ordered_state(
             state.setTimeoutTimestamp(max(waiting[0][0] // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame([(*key, *r) for r in out], columns=names)
 
-    return rows.groupBy(*keys).applyInPandasWithState(
+    released = rows.groupBy(*keys).applyInPandasWithState(
         update, out_schema, f"{_PENDING}{extra}", "append", GroupStateTimeout.EventTimeTimeout
     )
+    return released.withColumn("us", F.timestamp_micros("us").cast("timestamp_ntz")).withColumnRenamed("us", ts)
 
 
 def asof_join(
