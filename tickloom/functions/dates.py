@@ -144,12 +144,12 @@ _CALENDAR = {"Year": 12, "Quarter": 3, "Month": 1}
 
 def add(c: str | Column, unit: str, n: int | Column) -> Column:
     """``ts + Unit(n)``; years, quarters and months keep the day of month where they can."""
-    n = F.lit(n) if isinstance(n, int) else n
+    n = (F.lit(n) if isinstance(n, int) else n).cast("long")
     if unit in _CALENDAR:
         return F.timestamp_add("MONTH", n * _CALENDAR[unit], col(c))
     if unit == "Nano":
         return F.timestamp_add("MICROSECOND", F.floor(n / 1000).cast("long"), col(c))
-    return F.timestamp_add("MICROSECOND", (n * _UNIT_US[unit]).cast("long"), col(c))
+    return F.timestamp_add("MICROSECOND", n * F.lit(_UNIT_US[unit]).cast("long"), col(c))
 
 
 def difference(unit: str, a: str | Column, b: str | Column) -> Column:

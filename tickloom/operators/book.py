@@ -88,7 +88,8 @@ def ob_snapshot(
         both = Window.partitionBy(*series.keys, BUCKET)
         bid = F.max(F.when(F.col(SIDE) == 0, F.col("PRICE"))).over(both)
         ask = F.min(F.when(F.col(SIDE) == 1, F.col("PRICE"))).over(both)
-        levels = levels.where(F.abs((bid + ask) / 2 - F.col("PRICE")) <= max_spread / 2)
+        levels = levels.withColumn(f"{TMP}mid", (bid + ask) / 2)
+        levels = levels.where(F.abs(F.col(f"{TMP}mid") - F.col("PRICE")) <= max_spread / 2).drop(f"{TMP}mid")
     out = levels.withColumn("LEVEL", F.row_number().over(one_side.orderBy(better)))
     if max_levels is not None:
         out = out.where(F.col("LEVEL") <= max_levels)

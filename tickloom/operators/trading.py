@@ -42,14 +42,14 @@ def pnl_realized(
         F.struct(F.col(us).alias("us"), *[col(s).alias(f"s{i}") for i, s in enumerate(series.seq)]).alias("at"),
         col(price).cast("double").alias("price"),
     )
-    ends = cumulated.select(
+    ends = cumulated.where(col(size) > 0).select(
         *series.keys, q, F.when(F.col(buy), trade).alias(f"{TMP}b"), F.when(~F.col(buy), trade).alias(f"{TMP}s")
     )
     axis = series.using(ends, us_column=q, ts=q, seq=(), slice_us=quantity_slice)
     # Reading backwards, the latest buy (sell) end seen is the one that covers the segment.
     covered = running(
         axis, {f"{TMP}cb": Fold("last", F.col(f"{TMP}b")), f"{TMP}cs": Fold("last", F.col(f"{TMP}s"))},
-        reverse=True, peers=False,
+        reverse=True, peers=True,
     )
     lengths = shift(axis.using(covered), {f"{TMP}prev": (F.col(q), 1)})
     units = F.col(q) - F.coalesce(F.col(f"{TMP}prev"), F.lit(0.0))

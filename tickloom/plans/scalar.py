@@ -33,7 +33,7 @@ def _(spark, sf):
 
 
 @query("math_integers", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_orderkey % 7 AS m, (l_orderkey - 3000) // 7 + CASE WHEN l_orderkey < 3000 AND (l_orderkey - 3000) % 7 <> 0 THEN 1 ELSE 0 END AS d,
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_orderkey % 7 AS m, (l_orderkey - 3000) // 7 AS d,
        gcd(l_orderkey, l_partkey)::BIGINT AS g, floor(l_extendedprice)::BIGINT AS f, ceil(l_extendedprice)::BIGINT AS c FROM lineitem""")
 def _(spark, sf):
     df = table(spark, sf, "lineitem")

@@ -169,7 +169,8 @@ def _ordered_state(
         state.update((*columns, *carried))
         if waiting:
             state.setTimeoutTimestamp(max(waiting[0][0] // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame([(*key, *r) for r in out], columns=names)
+        if out:
+            yield pd.DataFrame([(*key, *r) for r in out], columns=names)
 
     released = rows.groupBy(*keys).applyInPandasWithState(
         update, out_schema, f"{_PENDING}{extra}", "append", GroupStateTimeout.EventTimeTimeout
@@ -177,13 +178,19 @@ def _ordered_state(
     return released.withColumn("us", F.timestamp_micros("us").cast("timestamp_ntz")).withColumnRenamed("us", ts)
 
 
-def asof_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str
-) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str) -> DataFrame:
     """Each left tick with the latest right value at or before it, exactly as in batch."""
-    marked = left.select(*keys, ts, seq).withColumns({f"{TMP}x": F.lit(None).cast("double"), f"{TMP}s": F.lit(1)})
-    source = right.select(*keys, ts, seq, col(value).cast("double").alias(f"{TMP}x")).withColumn(f"{TMP}s", F.lit(0))
-    both = marked.unionByName(source)
+    a = left.select(*keys, ts, seq).withColumns({value: F.lit(None).cast("double"), f"{TMP}left": F.lit(True)})
+    b = right.select(*keys, ts, seq, col(value).cast("double")).withColumn(f"{TMP}left", F.lit(False))
+    is_left = F.col(f"{TMP}left")
+    return asof_join_marked(a.unionByName(b), keys, ts, seq, value, is_left, ~is_left)
+
+
+def asof_join_marked(
+    df: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str, is_left: Column, is_right: Column
+) -> DataFrame:
+    """:func:`asof_join` of two kinds of ticks of one stream."""
+    both = df.where(is_left | is_right)
 
     def step(ready: list, carried: tuple) -> tuple[list, tuple]:
         (last,) = carried
@@ -196,8 +203,8 @@ def asof_join(
         return out, (last,)
 
     return _ordered_state(
-        both, keys, ts, seq, F.col(f"{TMP}s"), F.col(f"{TMP}x"), ", last double", step, (None,),
-        f"us bigint, {seq} bigint, {value} double",
+        both, keys, ts, seq, F.when(is_left, 1).otherwise(0), F.when(is_right, col(value)).otherwise(0.0), ", last double",
+        step, (None,), f"us bigint, {seq} bigint, {value} double",
     )
 
 
