@@ -87,6 +87,29 @@ def truthy(df: DataFrame, name: str) -> Column:
     return F.coalesce(col(name) != typed_default(dtype) if not isinstance(dtype, T.FractionalType) else col(name) != 0, F.lit(False))
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Key values that hold many rows."""
+
+    columns: tuple[str, ...]
+    values: tuple[tuple, ...]
+
+    def test(self) -> Column:
+        """Whether a row belongs to one of them."""
+        if len(self.columns) == 1:
+            return col(self.columns[0]).isin([v[0] for v in self.values])
+        any_of = F.lit(False)
+        for value in self.values:
+            any_of = any_of | all_of([col(c) == F.lit(v) for c, v in zip(self.columns, value)])
+        return any_of
+
+    def merge(self, other: "HotKeys | None", columns: tuple[str, ...]) -> "HotKeys | None":
+        """The large keys of two series whose keys correspond."""
+        if other is None or len(other.columns) != len(self.columns):
+            return None
+        return HotKeys(columns, tuple(dict.fromkeys([*self.values, *other.values])))
+
+
 @dataclass(frozen=True)
 class Series:
     """A DataFrame read as ticks in time order.
@@ -95,7 +118,8 @@ class Series:
     ``seq``     arrival-number columns that order equal timestamps; (ts, *seq) is total within a key
     ``keys``    symbol columns, never NULL; one independent series per key value
     ``start``, ``end``  the query interval, end exclusive; anchors buckets
-    ``slice_us``  width of the time slices over which order-dependent work on one key is spread
+    ``slice_us``  width of the time slices over which order-dependent work on one key is spread;
+                  see :meth:`balanced`
     ``seq_slice`` for coarse timestamps (days, say): additionally cut each timestamp's rows every
                   so many arrival numbers, so that a single crowded timestamp is spread as well;
                   needs one integer ``seq`` column
@@ -110,11 +134,47 @@ class Series:
     slice_us: int = 10 * MINUTE
     seq_slice: int | None = None
     us_column: str | None = None  # a column that already holds the time in microseconds
+    hot: HotKeys | None = None  # which keys are cut into slices; None: all of them
 
     # -- construction ----------------------------------------------------
     def using(self, df: DataFrame, **changes: object) -> "Series":
+        """The same view of another DataFrame.
+
+        What is known about hot keys stays valid for fewer rows and for finer keys, but not on
+        another time axis.
+        """
+        if self.hot is not None and "hot" not in changes:
+            keys = changes.get("keys", self.keys)
+            if "us_column" in changes or not set(self.hot.columns) <= set(keys):
+                changes["hot"] = None
         return replace(self, df=df, **changes)
 
+    def balanced(self, rows_per_task: int = 1_000_000) -> "Series":
+        """Slice only the keys that hold more than ``rows_per_task`` rows.
+
+        Counts rows per key in one pass over the key and time columns.  What comes back to the
+        driver is bounded by design: fewer than total / rows_per_task keys can be that large.
+        Without large keys, ordered operators are plain windows over the key.  A series
+        without keys stays sliced throughout.
+        """
+        if not self.keys:
+            return self
+        names = [f"k{i}" for i in range(len(self.keys))]
+        large = (
+            self.df.groupBy(*[col(k).alias(n) for k, n in zip(self.keys, names)])
+            .agg(F.count(F.lit(1)).alias("n"), F.min(self.us).alias("a"), F.max(self.us).alias("b"))
+            .where(F.col("n") > rows_per_task)
+            .collect()
+        )
+        # Four slices for every rows_per_task rows leave room for uneven times.
+        widths = [max((row["b"] - row["a"]) * rows_per_task // (4 * row["n"]), 1) for row in large]
+        found = HotKeys(self.keys, tuple(tuple(row[n] for n in names) for row in large))
+        return replace(self, hot=found, slice_us=min(widths, default=self.slice_us))
+
+    @property
+    def sliced(self) -> bool:
+        return self.hot is None or bool(self.hot.values)
+
     def pipe(self, fn: Callable[..., "Series"], *args: object, **kwargs: object) -> "Series":
         """Apply a reusable sub-pipeline (a function from Series to Series)."""
         return fn(self, *args, **kwargs)
@@ -146,14 +206,17 @@ class Series:
 
     def slices(self) -> list[Column]:
         """Columns that cut each key into consecutive runs of its order."""
-        if self.seq_slice is None:
-            return [F.floor(self.us / F.lit(self.slice_us)).alias(f"{TMP}slice")]
-        if len(self.seq) != 1:
-            raise ValueError("seq_slice needs exactly one integer arrival column")
-        return [
-            self.us.alias(f"{TMP}slice"),
-            F.floor(col(self.seq[0]) / F.lit(self.seq_slice)).alias(f"{TMP}slice_seq"),
-        ]
+        if not self.sliced:
+            return [F.lit(0).cast("long").alias(f"{TMP}slice")]
+        cuts = [F.floor(self.us / F.lit(self.slice_us))]
+        if self.seq_slice is not None:
+            if len(self.seq) != 1:
+                raise ValueError("seq_slice needs exactly one integer arrival column")
+            cuts = [self.us, F.floor(col(self.seq[0]) / F.lit(self.seq_slice))]
+        if self.hot is not None:
+            here = self.hot.test()
+            cuts = [F.when(here, c).otherwise(F.lit(0).cast("long")) for c in cuts]
+        return [c.alias(n) for c, n in zip(cuts, (f"{TMP}slice", f"{TMP}slice_seq"))]
 
     @property
     def payload(self) -> list[str]:

@@ -443,11 +443,11 @@ def _sliding_by_exits(
     # At equal times exits come first: (t - W, t] no longer holds the tick at t - W, while
     # for exit rows the window is [t, t + W): they are read before leaving and before arrivals.
     both = arrivals.unionByName(exits).withColumn(series.ts, from_micros(us))
-    tagged = series.using(both)
+    tagged = series.using(both, us_column=us, hot=series.hot)
     if emit == "exit":
         # Everything that arrived or left strictly before t + W.
         at = running(
-            tagged.using(both.groupBy(*keys, series.ts).agg(*[F.sum(p).alias(p) for p in folds]), seq=()),
+            series.using(both.groupBy(*keys, series.ts).agg(*[F.sum(p).alias(p) for p in folds]), seq=()),
             {f"{p}_all": Fold("sum", F.col(p)) for p in folds},
             by=groups,
         )

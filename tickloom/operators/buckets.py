@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.core import DAY, SECOND, TMP, Series, col, from_micros, literal_micros, micros
+from tickloom.core import DAY, SECOND, TMP, HotKeys, Series, col, from_micros, literal_micros, micros
 from tickloom.ordering import Fold, row_number, running
 
 BUCKET = f"{TMP}bucket"
@@ -150,6 +150,11 @@ def stamp(series: Series, b: Buckets, bucket: Column) -> Column:
     return from_micros(begin if b.stamp == "start" else end)
 
 
+def _none_hot(series: Series) -> HotKeys | None:
+    """A table with one row per bucket has no large keys: the interval bounds each key alike."""
+    return None if not series.keys else HotKeys(series.keys, ())
+
+
 def carry_in(assigned: Series, b: Buckets, groups: Sequence[str] = ()) -> Series:
     """State semantics: each bucket also holds the last earlier tick, put at the bucket's start.
 
@@ -171,7 +176,7 @@ def carry_in(assigned: Series, b: Buckets, groups: Sequence[str] = ()) -> Series
     else:
         begin = F.lit(None).cast("long")
     # Buckets are ordered by number; the number stands in for the time.
-    numbered = assigned.using(ends, us_column=BUCKET, ts=BUCKET, seq=(), keys=tuple(ids), slice_us=100_000)
+    numbered = assigned.using(ends, us_column=BUCKET, ts=BUCKET, seq=(), keys=tuple(ids), slice_us=100_000, hot=_none_hot(assigned))
     before = running(numbered, {f"{TMP}prev": Fold("last", F.col(f"{TMP}end"))}, exclusive=True)
     needed = F.col(f"{TMP}prev").isNotNull() & (
         F.col(f"{TMP}first").isNull() | begin.isNull() | (F.col(f"{TMP}first") > begin)

@@ -72,11 +72,19 @@ def _order_columns(s: Series, depth: int) -> dict[str, Column]:
     return {**{f"{TMP}q{i}": F.lit(0).cast("long") for i in range(depth)}, **named}
 
 
-def _merged(parts: Sequence[DataFrame], like: Series, depth: int) -> tuple[Series, list[Column]]:
+def _merged(parts: Sequence[DataFrame], sources: Sequence[Series], keys: Sequence[str], depth: int) -> tuple[Series, list[Column]]:
+    """The parts as one series, which is cut where any of the sources is."""
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p, allowMissingColumns=True)
-    s = like.using(df, us_column=US, ts=US, seq=tuple(f"{TMP}q{i}" for i in range(depth)))
+    first = sources[0]
+    hot = first.hot
+    for other in sources[1:]:
+        hot = hot.merge(other.hot, hot.columns) if hot is not None else None
+    s = first.using(
+        df, us_column=US, ts=US, seq=tuple(f"{TMP}q{i}" for i in range(depth)), keys=tuple(keys), hot=hot,
+        slice_us=min(x.slice_us for x in sources), seq_slice=None,
+    )
     return s, [F.col(US), F.col(RANK), *[F.col(f"{TMP}q{i}") for i in range(depth)]]
 
 
@@ -116,7 +124,7 @@ def _against_right(
     if leave is not None:
         gone = base.withColumns({US: F.col(f"{TMP}leave"), **{n: -F.col(n) for n in folds}})
         parts = [rows, base.drop(f"{TMP}leave"), gone.drop(f"{TMP}leave")]
-    merged, order = _merged(parts, left, depth)
+    merged, order = _merged(parts, [left, right], keys, depth)
     read = running(merged, {f"{n}_": Fold(f.kind, F.col(n)) for n, f in folds.items()}, order=order, reverse=reverse)
     kept = read.where(F.col(ROW).isNotNull())
     return kept.select(f"{ROW}.*", *[F.col(f"{n}_").alias(n) for n in folds])
@@ -193,7 +201,7 @@ def join_by_time(
                 *[pick(c, position).alias(c) for c in (f"{TMP}s{i}", *[f"{TMP}q{d}" for d in range(depth)])]
             )
         parts.append(part)
-    merged, order = _merged(parts, lead.using(lead.df, keys=tuple(keys)), depth)
+    merged, order = _merged(parts, [lead, *[s for s in sources if s is not lead]], keys, depth)
     folds = {f"{TMP}l{i}": Fold("last", F.col(f"{TMP}s{i}")) for i in range(len(sources))}
     read = running(merged, folds, order=order, peers=at_once)
     out = read.where(F.col(SRC).isin(leaders))

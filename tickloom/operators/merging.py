@@ -61,7 +61,10 @@ def merge(
         out = df if out is None else out.unionByName(df, allowMissingColumns=align_schema)
     if typed_defaults:
         out = fill_typed(out)
-    return first.using(out, seq=(index, *first.seq))
+    hot = first.hot
+    for s in sources[1:]:
+        hot = hot.merge(s.hot, hot.columns) if hot is not None else None
+    return first.using(out, seq=(index, *first.seq), hot=hot, slice_us=min(s.slice_us for s in sources))
 
 
 def coalesce(sources: Sequence[Series], max_delay_us: int, names: Sequence[str] | None = None) -> Series:
@@ -128,7 +131,9 @@ def diff(
 
     q = [f"{TMP}q{i}" for i in range(max(len(left.seq), len(right.seq)))]
     both = tagged(left, 0).unionByName(tagged(right, 1), allowMissingColumns=True)
-    series = left.using(both, us_column=us, ts=us, seq=tuple(q))
+    hot = left.hot.merge(right.hot, left.hot.columns) if left.hot is not None else None
+    axis = {"us_column": us, "ts": us, "seq": tuple(q), "hot": hot, "slice_us": min(left.slice_us, right.slice_us)}
+    series = left.using(both, **axis)
     same = [us, *[f"{TMP}c_{c}" for c in compared]]
     numbered = row_number(series, f"{TMP}occ", by=[side, *same])
     matched = numbered.groupBy(*keys, *same, f"{TMP}occ").agg(
@@ -140,7 +145,7 @@ def diff(
         f"{TMP}match": is_match,
         side: F.when(is_match, F.lit(2)).when(F.col(f"{TMP}l").isNotNull(), F.lit(0)).otherwise(F.lit(1)),
     })
-    paired = row_number(left.using(matched, us_column=us, ts=us, seq=tuple(q)), f"{TMP}n", by=[us, side])
+    paired = row_number(left.using(matched, **axis), f"{TMP}n", by=[us, side])
     paired = paired.groupBy(*keys, us, f"{TMP}match", f"{TMP}n").agg(
         F.max(f"{TMP}l").alias(f"{TMP}l"), F.max(f"{TMP}r").alias(f"{TMP}r")
     )

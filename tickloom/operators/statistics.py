@@ -235,8 +235,7 @@ def _price_per_bucket(series: Series, fields: Sequence[str], b: Buckets) -> Seri
     every = bk.spine(series, b, owners).join(ends, ids, "left")
     begin, end = bk.bounds_us(series, b, F.col(BUCKET))
     every = every.withColumns({f"{TMP}begin": begin, series.ts: from_micros(begin)})
-    out = series.using(every, seq=())
-    return out
+    return series.using(every, seq=())
 
 
 def return_ep(series: Series, price: str = "PRICE", buckets: Buckets | None = None) -> Series:

@@ -4,9 +4,13 @@ A window partitioned by symbol alone puts all rows of a symbol into one task, wh
 fails as soon as one symbol holds a large part of the data.  Here each key is cut into
 slices of its order (see :meth:`Series.slices`).  A window runs inside each
 (key, slice); what earlier slices contribute is one small row per (key, slice), folded
-over the slices and joined back on (key, slice).  The window already leaves its output
-hash-partitioned and sorted on those columns, so the join adds no shuffle and no sort
-of the rows.
+over the slices and joined back.
+
+Two branches therefore need the input: the window and the per-slice totals.  Where the input
+is only a scan, each branch reads its own columns from the files, and the totals are reduced
+before their shuffle.  Where the input already holds a shuffle, both branches read one shuffle
+by (key, slice), so that a chain of operators does not recompute what lies before it.  Either
+way the join needs neither a shuffle nor a sort of the rows.
 """
 
 from __future__ import annotations
@@ -54,6 +58,53 @@ class Fold:
         return F.coalesce(earlier, here)
 
 
+AT = f"{TMP}at"
+
+
+# Names of plan nodes that a plain scan with filters and projections has none of.
+_COSTLY = ("Join", "Aggregate", "Window", "Repartition", "Distinct", "Sort", "MapIn", "FlatMap", "Deduplicate", "Expand")
+
+
+def _is_scan(df: DataFrame) -> bool:
+    """Whether the input is cheap to read twice: files, filters, projections and unions of them."""
+    try:
+        plan = df._jdf.queryExecution().analyzed().toString()
+    except Exception:  # noqa: BLE001  no local plan (Spark Connect): assume the costly case
+        return False
+    nodes = (line.lstrip(" +-:!").split(" ", 1)[0] for line in plan.splitlines())
+    return not any(n.startswith(_COSTLY) or "Join" in n for n in nodes)
+
+
+def _by_slice(series: Series, by: Sequence[str]) -> tuple[DataFrame, list[str], list[str], bool]:
+    """Rows with their (key, slice) as one struct column: never NULL, even for a NULL key."""
+    keys = [*series.keys, *[k for k in by if k not in series.keys]]
+    slices = series.slices()
+    names = [f"{TMP}slice", f"{TMP}slice_seq"][: len(slices)]
+    at = F.struct(*[col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[c.alias(n) for n, c in zip(names, slices)])
+    df, shared = series.df.withColumn(AT, at), series.sliced and not _is_scan(series.df)
+    return df.repartition(AT) if shared else df, [f"k{i}" for i in range(len(keys))], names, shared
+
+
+def _every_column(df: DataFrame) -> Column:
+    return F.xxhash64(*[col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
+def _rejoin(df: DataFrame, local: DataFrame, carries: DataFrame, shared: bool) -> DataFrame:
+    """Give each row the carry of its slice.
+
+    Spark reuses an exchange only between identical subplans.  When the branches share one,
+    both must need the same columns of it: each row's hash is compared with its slice's
+    largest one, which always holds and depends on every column.
+    """
+    other, high = f"{TMP}at_", f"{TMP}high"
+    carries = carries.withColumnRenamed(AT, other)
+    if not shared:
+        return local.join(carries, F.col(AT) == F.col(other), "left")
+    return local.withColumn(f"{TMP}hash", _every_column(df)).join(
+        carries, (F.col(AT) == F.col(other)) & (F.col(f"{TMP}hash") <= F.col(high))
+    )
+
+
 def running(
     series: Series,
     folds: Mapping[str, Fold],
@@ -70,16 +121,14 @@ def running(
     timestamp, ``reverse`` runs from the last row backwards.  ``order`` replaces the
     series' own order; its first column must be the time in microseconds.
     """
-    keys = [*series.keys, *[k for k in by if k not in series.keys]]
-    slices = series.slices()
-    names = [f"{TMP}slice", f"{TMP}slice_seq"][: len(slices)]
+    df, keys, names, shared = _by_slice(series, by)
+    high = [F.max(_every_column(df)).alias(f"{TMP}high")] if shared else []
     order = list(series.order if order is None else order)
     order_struct = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
-    df = series.df.withColumns(dict(zip(names, slices)))
 
     # Folding backwards swaps the ends: the earliest row of the fold is the last of the order.
     ordered = [o.desc() if reverse else o.asc() for o in order]
-    w = Window.partitionBy(*keys, *names)
+    w = Window.partitionBy(AT)
     if peers:
         if exclusive:
             raise ValueError("peers and exclusive exclude each other")
@@ -87,26 +136,30 @@ def running(
     else:
         w = w.orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
 
+    kept = [c for c in series.df.columns if c not in folds]
+    if not series.sliced:
+        return df.withColumns({n: f.over(w) for n, f in folds.items()}).select(*[col(c) for c in [*kept, *folds]])
+
     swap = {"first": "last", "last": "first"}
-    totals = df.groupBy(*keys, *names).agg(
+    totals = df.groupBy(AT).agg(
+        *high,
         *[
             Fold(swap.get(f.kind, f.kind) if reverse else f.kind, f.value).partial(order_struct).alias(f"{TMP}total{i}")
             for i, f in enumerate(folds.values())
-        ]
+        ],
     )
     before = (
-        Window.partitionBy(*keys)
-        .orderBy(*[F.col(n).desc() if reverse else F.col(n).asc() for n in names])
+        Window.partitionBy(*[F.col(AT)[k] for k in keys])
+        .orderBy(*[F.col(AT)[n].desc() if reverse else F.col(AT)[n].asc() for n in names])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carries = totals.select(
-        *keys,
-        *names,
+        AT,
+        *([f"{TMP}high"] if shared else []),
         *[Fold(f.kind, F.col(f"{TMP}total{i}")).over(before).alias(f"{TMP}carry{i}") for i, f in enumerate(folds.values())],
     )
     local = df.withColumns({f"{TMP}here{i}": f.over(w) for i, f in enumerate(folds.values())})
-    joined = local.join(carries, [*keys, *names], "left")
-    kept = [c for c in series.df.columns if c not in folds]
+    joined = _rejoin(df, local, carries, shared)
     return joined.select(
         *[col(c) for c in kept],
         *[f.combine(F.col(f"{TMP}carry{i}"), F.col(f"{TMP}here{i}")).alias(n) for i, (n, f) in enumerate(folds.items())],
@@ -126,50 +179,53 @@ def shift(
     Each slice hands on at most its ``n`` outermost values, so the carried table holds
     ``n`` values per non-empty slice.
     """
-    keys = [*series.keys, *[k for k in by if k not in series.keys]]
-    slices = series.slices()
-    names = [f"{TMP}slice", f"{TMP}slice_seq"][: len(slices)]
-    df = series.df.withColumns(dict(zip(names, slices)))
-    df = df.withColumns({f"{TMP}sh_in{i}": v for i, (v, _) in enumerate(columns.values())})
+    df, keys, names, shared = _by_slice(series, by)
+    high = [F.max(_every_column(df)).alias(f"{TMP}high")] if shared else []
+    inputs = {f"{TMP}sh_in{i}": v for i, (v, _) in enumerate(columns.values())}
     far = max(n for _, n in columns.values())
 
     def directed(c: Column, forward: bool) -> Column:
         return c.asc() if forward else c.desc()
 
-    toward = Window.partitionBy(*keys, *names).orderBy(*[directed(o, not lead) for o in series.order])
-    away = Window.partitionBy(*keys, *names).orderBy(*[directed(o, lead) for o in series.order])
+    toward = Window.partitionBy(AT).orderBy(*[directed(o, not lead) for o in series.order])
+    kept = [c for c in series.df.columns if c not in columns]
+    if not series.sliced:
+        moved = {name: F.lag(v, n).over(toward) for name, (v, n) in columns.items()}
+        return df.withColumns(moved).select(*[col(c) for c in [*kept, *columns]])
+
+    away = Window.partitionBy(AT).orderBy(*[directed(o, lead) for o in series.order])
     # The rows nearest to the border that the next slice looks across, nearest first.
+    rank = f"{TMP}sh_rank"
+    ranked = df.withColumns({rank: F.row_number().over(away), **inputs})
+    if shared:
+        ranked = ranked.withColumn(f"{TMP}high", F.max(_every_column(df)).over(Window.partitionBy(AT)))
     edge = (
-        df.withColumn(f"{TMP}sh_rank", F.row_number().over(away))
-        .where(F.col(f"{TMP}sh_rank") <= far)
-        .groupBy(*keys, *names)
+        ranked.where(F.col(rank) <= far)
+        .groupBy(AT)
         .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(f"{TMP}sh_rank", *[F.col(f"{TMP}sh_in{i}") for i in range(len(columns))])
-                )
-            ).alias(f"{TMP}sh_edge")
+            *([F.max(f"{TMP}high").alias(f"{TMP}high")] if shared else []),
+            F.sort_array(F.collect_list(F.struct(rank, *inputs))).alias(f"{TMP}sh_edge"),
         )
     )
     nearest = (
-        Window.partitionBy(*keys)
-        .orderBy(*[directed(F.col(n), not lead) for n in names])
+        Window.partitionBy(*[F.col(AT)[k] for k in keys])
+        .orderBy(*[directed(F.col(AT)[n], not lead) for n in names])
         .rowsBetween(-far, -1)
     )
     # Slices arrive oldest first in the list; reversing puts the nearest slice in front.
     carries = edge.select(
-        *keys, *names, F.flatten(F.reverse(F.collect_list(f"{TMP}sh_edge").over(nearest))).alias(f"{TMP}sh_carry")
+        AT, *([f"{TMP}high"] if shared else []), F.flatten(F.reverse(F.collect_list(f"{TMP}sh_edge").over(nearest))).alias(f"{TMP}sh_carry")
     )
-    local = df.withColumn(f"{TMP}sh_rn", F.row_number().over(toward)).withColumns(
-        {f"{TMP}sh_here{i}": F.lag(f"{TMP}sh_in{i}", n).over(toward) for i, (_, n) in enumerate(columns.values())}
+    local = df.withColumns(
+        {f"{TMP}sh_rn": F.row_number().over(toward)}
+        | {f"{TMP}sh_here{i}": F.lag(v, n).over(toward) for i, (v, n) in enumerate(columns.values())}
     )
-    joined = local.join(carries, [*keys, *names], "left")
+    joined = _rejoin(df, local, carries, shared)
     out = {}
     for i, (name, (_, n)) in enumerate(columns.items()):
         reach = F.lit(n) - F.col(f"{TMP}sh_rn") + 1
         across = F.try_element_at(F.col(f"{TMP}sh_carry"), reach)[f"{TMP}sh_in{i}"]
         out[name] = F.when(F.col(f"{TMP}sh_rn") > n, F.col(f"{TMP}sh_here{i}")).when(reach >= 1, across)
-    kept = [c for c in series.df.columns if c not in columns]
     return joined.select(*[col(c) for c in kept], *[c.alias(n) for n, c in out.items()])
 
 
@@ -187,14 +243,26 @@ def value_slice(value: Column, per_octave: int = 4096) -> Column:
     return F.floor(F.signum(v) * F.log2(F.abs(v) + 1) * per_octave)
 
 
+def _has_large_group(df: DataFrame, groups: Sequence[str], rows: int) -> bool:
+    """Whether some group holds more rows than one task should sort (one pass over the group columns)."""
+    if not groups:
+        return True
+    return not df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows).isEmpty()
+
+
 def distribution(
-    df: DataFrame, groups: Sequence[str], values: Sequence[str], descending: Sequence[bool] | None = None
+    df: DataFrame,
+    groups: Sequence[str],
+    values: Sequence[str],
+    descending: Sequence[bool] | None = None,
+    rows_per_task: int = 1_000_000,
 ) -> DataFrame:
     """Per (group, distinct values): the count ``n``, the rows ``before`` it and the group's ``total``.
 
     Order is lexicographic over ``values``.  Rows are first reduced to distinct values with
-    counts, then positioned inside slices of the first value; no task ever holds a whole
-    group.  The per-slice totals that are folded over a group are few: 4096 per power of two.
+    counts.  If some group is large, they are positioned inside slices of the first value, so
+    that no task holds a whole group; the per-slice totals that are folded over a group are
+    few, 4096 per power of two.
     """
     desc = list(descending or [False] * len(values))
     s = f"{TMP}vslice"
@@ -202,12 +270,19 @@ def distribution(
     def ordered(c: str, d: bool) -> Column:
         return col(c).desc() if d else col(c).asc()
 
-    counts = (
-        df.where(col(values[0]).isNotNull())
-        .groupBy(*groups, *values)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn(s, value_slice(col(values[0])))
-    )
+    known = df.where(col(values[0]).isNotNull())
+    counts = known.groupBy(*groups, *values).agg(F.count(F.lit(1)).alias("n"))
+    by_value = [ordered(v, d) for v, d in zip(values, desc)]
+    if not _has_large_group(df, groups, rows_per_task):
+        earlier = Window.partitionBy(*groups).orderBy(*by_value).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select(
+            *groups,
+            *values,
+            "n",
+            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+            F.sum("n").over(Window.partitionBy(*groups)).alias("total"),
+        )
+    counts = counts.withColumn(s, value_slice(col(values[0])))
     per_slice = counts.groupBy(*groups, s).agg(F.sum("n").alias(f"{TMP}n"))
     in_order = Window.partitionBy(*groups).orderBy(ordered(s, desc[0])).rowsBetween(Window.unboundedPreceding, -1)
     carries = per_slice.select(
@@ -216,11 +291,7 @@ def distribution(
         F.coalesce(F.sum(f"{TMP}n").over(in_order), F.lit(0)).alias(f"{TMP}carry"),
         F.sum(f"{TMP}n").over(Window.partitionBy(*groups)).alias("total"),
     )
-    inside = (
-        Window.partitionBy(*groups, s)
-        .orderBy(*[ordered(v, d) for v, d in zip(values, desc)])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    inside = Window.partitionBy(*groups, s).orderBy(*by_value).rowsBetween(Window.unboundedPreceding, -1)
     return (
         counts.withColumn(f"{TMP}here", F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .join(carries, [*groups, s])

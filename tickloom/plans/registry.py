@@ -51,7 +51,7 @@ def events(spark: SparkSession, sf: str, kind: str | None = None) -> Series:
     df = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
     if kind is not None:
         df = df.where(F.col("event_type") == kind)
-    return Series(df, ts="ts", seq=("event_id",), keys=("user_id",), start=START, end=END, slice_us=DAY)
+    return Series(df, ts="ts", seq=("event_id",), keys=("user_id",), start=START, end=END, slice_us=DAY).balanced()
 
 
 def trades(spark: SparkSession, sf: str) -> Series:
@@ -89,7 +89,7 @@ QUOTES_SQL = (
 def orders(spark: SparkSession, sf: str) -> Series:
     """Orders as a day-granular series of each customer, with ties."""
     df = table(spark, sf, "orders")
-    return Series(df, ts="o_orderdate", seq=("o_orderkey",), keys=("o_custkey",), slice_us=180 * DAY)
+    return Series(df, ts="o_orderdate", seq=("o_orderkey",), keys=("o_custkey",), slice_us=180 * DAY).balanced()
 
 
 def lineitems(spark: SparkSession, sf: str) -> Series:
@@ -98,7 +98,7 @@ def lineitems(spark: SparkSession, sf: str) -> Series:
     return Series(
         df, ts="l_shipdate", seq=("l_orderkey", "l_linenumber"), keys=("l_suppkey",),
         start=datetime(1995, 1, 1), end=datetime(2002, 1, 1), slice_us=30 * DAY,
-    )
+    ).balanced()
 
 
 L0 = 788_918_400_000_000  # 1995-01-01 in microseconds
