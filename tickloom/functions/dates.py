@@ -29,7 +29,7 @@ def java_pattern(fmt: str, parsing: bool = False) -> str:
         if directive not in _DIRECTIVES:
             raise ValueError(f"unknown directive %{directive}")
         pattern = _DIRECTIVES[directive]
-        alone = i + 1 == len(pieces) or not pieces[i + 1][0]
+        alone = (i + 1 == len(pieces) or not pieces[i + 1][0]) and (i == 0 or not pieces[i - 1][0])
         out.append(pattern[0] if parsing and alone and directive in "mdHIMS" else pattern)
     return "".join(out)
 

@@ -182,7 +182,12 @@ def _(spark, sf):
 # Recipes
 # ---------------------------------------------------------------------------
 
-BUY = F.col("event_id") % 2 == 0
+
+
+def _buy():
+    return F.col("event_id") % 2 == 0
+
+
 TQ = f"{TRADES_SQL}, {QUOTES_SQL}, j AS (SELECT t.*, q.BID_PRICE AS bid, q.ASK_PRICE AS ask, (q.BID_PRICE + q.ASK_PRICE) / 2 AS mid, CASE WHEN t.event_id % 2 = 0 THEN 1.0 ELSE -1.0 END AS sg FROM trades t ASOF JOIN quotes q ON t.user_id = q.user_id AND t.ts >= q.ts)"
 
 
@@ -195,13 +200,13 @@ def _(spark, sf):
 @query("recipe_effective_spread", f"""
 WITH {TQ} SELECT user_id, event_id, {R('2 * sg * (PRICE - mid)')} AS es, {R('2 * sg * (PRICE - mid) * SIZE')} AS ns, {R('2 * sg * (PRICE - mid) / (ask - bid)')} AS etq, {R('sg * (PRICE - mid) / (ask - bid)')} AS n FROM j""")
 def _(spark, sf):
-    df = rc.effective_spread(trades(spark, sf), quotes(spark, sf), BUY).df.where("MID IS NOT NULL")
+    df = rc.effective_spread(trades(spark, sf), quotes(spark, sf), _buy()).df.where("MID IS NOT NULL")
     return df.select("user_id", "event_id", r("EFFECTIVE_SPREAD").alias("es"), r("NOTIONAL_SPREAD").alias("ns"), r("ETQ").alias("etq"), r("NUM_SPREADS").alias("n"))
 
 
 @query("recipe_touch", f"WITH {TQ} SELECT user_id, event_id, {R('CASE WHEN sg > 0 THEN bid ELSE ask END')} AS near, {R('CASE WHEN sg > 0 THEN ask ELSE bid END')} AS far FROM j")
 def _(spark, sf):
-    df = rc.touch(trades(spark, sf), quotes(spark, sf), BUY).df.where("MID IS NOT NULL")
+    df = rc.touch(trades(spark, sf), quotes(spark, sf), _buy()).df.where("MID IS NOT NULL")
     return df.select("user_id", "event_id", r("NEAR_TOUCH").alias("near"), r("FAR_TOUCH").alias("far"))
 
 
@@ -218,7 +223,7 @@ def _(spark, sf):
 WITH {TQ}, g AS (SELECT *, sg * (CASE WHEN sg > 0 THEN ask ELSE bid END - PRICE) AS gain FROM j)
 SELECT user_id, event_id, {R('greatest(gain, 0) * SIZE')} AS better, {R('greatest(-gain, 0) * SIZE')} AS offside FROM g""")
 def _(spark, sf):
-    df = rc.price_improvement(trades(spark, sf), quotes(spark, sf), BUY).df.where("MID IS NOT NULL")
+    df = rc.price_improvement(trades(spark, sf), quotes(spark, sf), _buy()).df.where("MID IS NOT NULL")
     return df.select("user_id", "event_id", r("IMPROVEMENT").alias("better"), r("OFFSIDE_VALUE").alias("offside"))
 
 
@@ -240,7 +245,7 @@ WITH {TRADES_SQL}, {QUOTES_SQL}, o AS (SELECT * FROM (VALUES (0), (3600000), (21
   j AS (SELECT p.*, sg * ((q.BID_PRICE + q.ASK_PRICE) / 2 - PRICE) AS mv FROM p ASOF JOIN quotes q ON p.user_id = q.user_id AND p.at >= q.ts)
 SELECT user_id, event_id, off::BIGINT AS "OFFSET", {R('mv')} AS m, CASE WHEN mv > 0 THEN 1 ELSE 0 END::BIGINT AS rw FROM j""")
 def _(spark, sf):
-    df = rc.markouts(trades(spark, sf), quotes(spark, sf), BUY, [0, 3_600_000, 21_600_000]).df
+    df = rc.markouts(trades(spark, sf), quotes(spark, sf), _buy(), [0, 3_600_000, 21_600_000]).df
     return df.select("user_id", "event_id", "OFFSET", r("MARKOUT").alias("m"), F.col("RIGHT_WAY").alias("rw"))
 
 
@@ -266,7 +271,7 @@ def _(spark, sf):
 WITH {PWP}, f AS (SELECT user_id, sum(PRICE * SIZE) / sum(SIZE) AS v FROM trades GROUP BY 1)
 SELECT user_id, event_id, {R('CASE WHEN event_id % 2 = 0 THEN 1.0 ELSE -1.0 END * (pwp - v) / pwp')} AS rpm FROM pw JOIN f USING (user_id)""")
 def _(spark, sf):
-    df = rc.relative_performance(_pwp(spark, sf), ["user_id"], trades(spark, sf).df, BUY)
+    df = rc.relative_performance(_pwp(spark, sf), ["user_id"], trades(spark, sf).df, _buy())
     return df.select("user_id", "event_id", r("RPM").alias("rpm"))
 
 
@@ -285,5 +290,5 @@ def _(spark, sf):
 WITH {TQ}, a AS (SELECT j.*, q.BID_PRICE b2, q.ASK_PRICE a2 FROM j ASOF LEFT JOIN quotes q ON j.user_id = q.user_id AND j.ts + INTERVAL 1 DAY >= q.ts)
 SELECT user_id, event_id, CASE WHEN CASE WHEN sg > 0 THEN a2 > ask ELSE b2 < bid END THEN 1 ELSE 0 END::BIGINT AS ok FROM a""")
 def _(spark, sf):
-    df = rc.takeout_success(trades(spark, sf), quotes(spark, sf), BUY, DAY).df.where("MID IS NOT NULL")
+    df = rc.takeout_success(trades(spark, sf), quotes(spark, sf), _buy(), DAY).df.where("MID IS NOT NULL")
     return df.select("user_id", "event_id", F.col("SUCCESS").alias("ok"))
