@@ -192,6 +192,14 @@ class Series:
     def order_struct(self) -> Column:
         return F.struct(self.us.alias("us"), *[col(s).alias(f"s{i}") for i, s in enumerate(self.seq)])
 
+    @property
+    def position(self) -> Column:
+        """One orderable column for the place in the order: the bare time where there is no arrival number.
+
+        A bare time lets Spark pick first and last values by hash aggregation.
+        """
+        return self.order_struct if self.seq else self.us
+
     @property
     def start_us(self) -> int:
         if self.start is None:

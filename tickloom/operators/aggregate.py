@@ -41,11 +41,13 @@ class Agg:
 
 def _valid(c: str | Column) -> Callable[[Series], Column]:
     """The column with NaN read as missing; other types pass unchanged."""
-    c = col(c)
+    e = col(c)
 
     def typed(s: Series) -> Column:
-        dtype = s.df.select(c.alias("c")).schema["c"].dataType
-        return F.when(~F.isnan(c), c) if isinstance(dtype, (T.DoubleType, T.FloatType)) else c
+        schema = s.df.schema
+        named = isinstance(c, str) and c in schema.names
+        dtype = schema[c].dataType if named else s.df.select(e.alias("c")).schema["c"].dataType
+        return F.when(~F.isnan(e), e) if isinstance(dtype, (T.DoubleType, T.FloatType)) else e
 
     return typed
 
@@ -93,27 +95,25 @@ def max_(c: str | Column) -> Agg:
 
 def first(c: str | Column, skip_if: Column | None = None) -> Agg:
     """Value of the earliest tick by (time, arrival); ticks where ``skip_if`` holds do not count."""
-    v = _boxed(c, skip_if)
-    return Agg(
-        lambda s: F.min(F.when(v.isNotNull(), F.struct(s.order_struct.alias("o"), v.alias("v"))))["v"]["x"],
-        lambda s: {"f": Fold("first", v)},
-        lambda p: p["f"]["x"],
-    )
+    return _at_end("first", c, skip_if)
 
 
 def last(c: str | Column, skip_if: Column | None = None) -> Agg:
-    v = _boxed(c, skip_if)
-    return Agg(
-        lambda s: F.max(F.when(v.isNotNull(), F.struct(s.order_struct.alias("o"), v.alias("v"))))["v"]["x"],
-        lambda s: {"l": Fold("last", v)},
-        lambda p: p["l"]["x"],
-    )
+    """Value of the latest tick by (time, arrival)."""
+    return _at_end("last", c, skip_if)
 
 
-def _boxed(c: str | Column, skip_if: Column | None) -> Column:
-    # Boxed, so that a NULL value is a value and only skipped ticks are absent.
-    box = F.struct(col(c).alias("x"))
-    return box if skip_if is None else F.when(~F.coalesce(skip_if, F.lit(False)), box)
+def _at_end(kind: str, c: str | Column, skip_if: Column | None) -> Agg:
+    v = col(c)
+    counts = F.lit(True) if skip_if is None else ~F.coalesce(skip_if, F.lit(False))
+    pick = F.min_by if kind == "first" else F.max_by
+    # Running folds pass over NULL; boxed, a NULL value is a value and only skipped ticks are absent.
+    box = F.when(counts, F.struct(v.alias("x")))
+    return Agg(
+        lambda s: pick(v, s.position if skip_if is None else F.when(counts, s.position)),
+        lambda s: {"e": Fold(kind, box)},
+        lambda p: p["e"]["x"],
+    )
 
 
 def first_time() -> Agg:
@@ -344,9 +344,9 @@ def _policy_row(s: Series, policy: str, fields: Sequence[str]) -> Column:
     row = F.struct(*[col(f).alias(f) for f in fields])
     kind, _, by = policy.partition(":")
     if kind == "first":
-        return F.min(F.struct(s.order_struct.alias("o"), row.alias("r")))["r"]
+        return F.min_by(row, s.position)
     if kind == "last":
-        return F.max(F.struct(s.order_struct.alias("o"), row.alias("r")))["r"]
+        return F.max_by(row, s.position)
     if kind == "high":
         return F.max_by(row, F.struct(col(by), (-s.us).alias("t")))
     if kind == "low":
@@ -438,11 +438,13 @@ def _sliding_by_exits(
     folds, finished = _numbered_folds(series, aggs)
     us, kind = f"{TMP}us", f"{TMP}kind"
     base = series.df.select("*", series.us.alias(us), *[f.value.alias(p) for p, f in folds.items()])
-    arrivals = base.withColumn(kind, F.lit(1))
-    exits = base.withColumns({us: F.col(us) + w, kind: F.lit(0), **{p: -F.col(p) for p in folds}})
-    # At equal times exits come first: (t - W, t] no longer holds the tick at t - W, while
-    # for exit rows the window is [t, t + W): they are read before leaving and before arrivals.
-    both = arrivals.unionByName(exits).withColumn(series.ts, from_micros(us))
+    # Each tick arrives at t and, negated, leaves at t + W; (t - W, t] no longer holds the tick at t - W.
+    twice = base.withColumn(kind, F.explode(F.array(F.lit(1), F.lit(0))))
+    arriving = F.col(kind) == 1
+    both = twice.withColumns(
+        {us: F.when(arriving, F.col(us)).otherwise(F.col(us) + w)}
+        | {p: F.when(arriving, F.col(p)).otherwise(-F.col(p)) for p in folds}
+    ).withColumn(series.ts, from_micros(us))
     tagged = series.using(both, us_column=us, hot=series.hot)
     if emit == "exit":
         # Everything that arrived or left strictly before t + W.
@@ -452,7 +454,7 @@ def _sliding_by_exits(
             by=groups,
         )
         before = at.select(*keys, series.ts, *[(F.col(f"{p}_all") - F.coalesce(F.col(p), F.lit(0))).alias(f"{p}_b") for p in folds])
-        leaving = exits.withColumn(series.ts, from_micros(us)).where(F.col(us) < series.end_us)
+        leaving = both.where((F.col(kind) == 0) & (F.col(us) < series.end_us))
         out = leaving.drop(*folds).join(before, [*keys, series.ts], "left")
         out = out.select("*", *[F.col(f"{p}_b").alias(p) for p in folds])
         fields = [c for c in series.df.columns if c not in aggs]
@@ -479,10 +481,12 @@ def _sliding_by_frames(series: Series, aggs: Mapping[str, Agg], w: int, keys: Se
     us, kind, sl = f"{TMP}us", f"{TMP}kind", f"{TMP}slice"
     width = max(series.slice_us, w)
     base = series.df.select("*", series.us.alias(us))
-    rows = base.withColumn(kind, F.lit(1))
     if emit in ("both", "exit"):
-        exits = base.withColumns({us: F.col(us) + w, kind: F.lit(0)})
-        rows = rows.unionByName(exits.where(F.col(us) < series.end_us))
+        rows = base.withColumn(kind, F.explode(F.array(F.lit(1), F.lit(0))))
+        rows = rows.withColumn(us, F.when(F.col(kind) == 1, F.col(us)).otherwise(F.col(us) + w))
+        rows = rows.where((F.col(kind) == 1) | (F.col(us) < series.end_us))
+    else:
+        rows = base.withColumn(kind, F.lit(1))
     home = F.floor(F.col(us) / F.lit(width))
     reach = F.floor((F.col(us) + F.lit(w)) / F.lit(width))
     copies = F.when((F.col(kind) == 1) & (reach > home), F.array(home, reach)).otherwise(F.array(home))

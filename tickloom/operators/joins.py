@@ -122,8 +122,13 @@ def _against_right(
     )
     parts = [rows, base]
     if leave is not None:
-        gone = base.withColumns({US: F.col(f"{TMP}leave"), **{n: -F.col(n) for n in folds}})
-        parts = [rows, base.drop(f"{TMP}leave"), gone.drop(f"{TMP}leave")]
+        # Entering and leaving rows come from one pass over the right side.
+        enters = F.col(f"{TMP}enters")
+        both = base.withColumn(f"{TMP}enters", F.explode(F.array(F.lit(True), F.lit(False)))).withColumns(
+            {US: F.when(enters, F.col(US)).otherwise(F.col(f"{TMP}leave"))}
+            | {n: F.when(enters, F.col(n)).otherwise(-F.col(n)) for n in folds}
+        )
+        parts = [rows, both.drop(f"{TMP}leave", f"{TMP}enters")]
     merged, order = _merged(parts, [left, right], keys, depth)
     read = running(merged, {f"{n}_": Fold(f.kind, F.col(n)) for n, f in folds.items()}, order=order, reverse=reverse)
     kept = read.where(F.col(ROW).isNotNull())

@@ -40,10 +40,9 @@ class Fold:
 
     def partial(self, order: Column) -> Column:
         """The value of one slice as a group aggregate."""
-        if self.kind == "last":
-            return F.max(F.when(self.value.isNotNull(), F.struct(order.alias("o"), self.value.alias("v"))))["v"]
-        if self.kind == "first":
-            return F.min(F.when(self.value.isNotNull(), F.struct(order.alias("o"), self.value.alias("v"))))["v"]
+        if self.kind in ("first", "last"):
+            pick = F.min_by if self.kind == "first" else F.max_by
+            return pick(self.value, F.when(self.value.isNotNull(), order))  # a NULL position does not count
         return getattr(F, self.kind)(self.value)
 
     def combine(self, earlier: Column, here: Column) -> Column:
@@ -124,7 +123,7 @@ def running(
     df, keys, names, shared = _by_slice(series, by)
     high = [F.max(_every_column(df)).alias(f"{TMP}high")] if shared else []
     order = list(series.order if order is None else order)
-    order_struct = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    position = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]) if len(order) > 1 else order[0]
 
     # Folding backwards swaps the ends: the earliest row of the fold is the last of the order.
     ordered = [o.desc() if reverse else o.asc() for o in order]
@@ -144,7 +143,7 @@ def running(
     totals = df.groupBy(AT).agg(
         *high,
         *[
-            Fold(swap.get(f.kind, f.kind) if reverse else f.kind, f.value).partial(order_struct).alias(f"{TMP}total{i}")
+            Fold(swap.get(f.kind, f.kind) if reverse else f.kind, f.value).partial(position).alias(f"{TMP}total{i}")
             for i, f in enumerate(folds.values())
         ],
     )

@@ -371,7 +371,7 @@ def _(spark, sf):
     return out.df.select("user_id", "event_id", r("PRICE").alias("PRICE"))
 
 
-@query("nested_pipeline", f"""
+@query("nested_subquery", f"""
 SELECT user_id, count(*) AS n, {R('sum(value)')} AS s FROM events WHERE event_type = 'view' AND value > 5 GROUP BY user_id""")
 def _(spark, sf):
     def large(s, limit):

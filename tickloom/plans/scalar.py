@@ -93,11 +93,12 @@ def _(spark, sf):
 
 
 @query("text_basics", """
-SELECT doc_id, length(text)::BIGINT AS n, upper(lang) AS u, lower(source) AS l, trim(substr(text, 1, 20)) AS t, ltrim(substr(text, 3, 9)) AS lt, rtrim(substr(text, 3, 9)) AS rt FROM documents""")
+SELECT doc_id, length(text)::BIGINT AS n, upper(lang) AS u, lower(source) AS l, md5(trim('  ' || text || ' ')) AS t, md5(ltrim('  ' || text || ' ')) AS lt, md5(rtrim('  ' || text || ' ')) AS rt FROM documents""")
 def _(spark, sf):
     df = table(spark, sf, "documents")
-    return df.select("doc_id", tx.length("text").alias("n"), tx.upper("lang").alias("u"), tx.lower("source").alias("l"), tx.trim(F.substring("text", 1, 20)).alias("t"),
-                     tx.ltrim(F.substring("text", 3, 9)).alias("lt"), tx.rtrim(F.substring("text", 3, 9)).alias("rt"))
+    padded = F.concat(F.lit("  "), "text", F.lit(" "))
+    return df.select("doc_id", tx.length("text").alias("n"), tx.upper("lang").alias("u"), tx.lower("source").alias("l"), F.md5(tx.trim(padded)).alias("t"),
+                     F.md5(tx.ltrim(padded)).alias("lt"), F.md5(tx.rtrim(padded)).alias("rt"))
 
 
 @query("text_tokens", r"""

@@ -38,8 +38,10 @@ def write(
     df = _in_range(series, out_of_range) if series.start and series.end else series.df
     df = df.withColumn("date", F.to_date(col(series.ts)))
     parts = ["date", *([symbol or series.keys[0]] if partition_by_symbol else [])]
-    # Rows of a day go to several tasks by symbol and time, so a large day is not one task.
-    spread = df.repartition(*parts, *series.slices()).sortWithinPartitions(*series.keys, *series.order)
+    # Ranges of (day, symbol, time) are of equal size: a large day is several tasks, and a task
+    # writes few days.
+    place = [*dict.fromkeys([*parts, *series.keys])]
+    spread = df.repartitionByRange(*place, *series.order).sortWithinPartitions(*place, *series.order)
     writer = spread.write.partitionBy(*parts)
     if append:
         writer.mode("append").parquet(path)
