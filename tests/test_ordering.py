@@ -108,3 +108,11 @@ def test_filters_reach_the_scan(spark):
     df = QUERIES["scan_interval_symbols"](spark, SF)
     plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(ts" in plan and "In(event_type" in plan and "props" not in plan
+
+
+def test_large_keys_are_found_on_demand_and_only_those(spark, skewed):
+    s = Series(skewed.where("k IS NOT NULL"), ts="us", us_column="us", keys=("k",)).balanced(300)
+    assert "_found" not in s.hot.__dict__
+    assert s.hot.values == ((0,),) and s.sliced
+    assert s.using(s.df.where("v > 1")).hot is s.hot
+    assert s.using(s.df, keys=()).hot is None

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date, datetime
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,12 +87,27 @@ def truthy(df: DataFrame, name: str) -> Column:
     return F.coalesce(col(name) != typed_default(dtype) if not isinstance(dtype, T.FractionalType) else col(name) != 0, F.lit(False))
 
 
-@dataclass(frozen=True)
 class HotKeys:
-    """Key values that hold many rows."""
+    """Key values that hold many rows, and how narrow their slices should be.
+
+    Found when first asked for, so that pipelines without ordered operators count nothing.
+    """
+
+    def __init__(self, columns: tuple[str, ...], find: Callable[[], tuple[tuple[tuple, ...], int | None]]) -> None:
+        self.columns = columns
+        self._find = find
+
+    @cached_property
+    def _found(self) -> tuple[tuple[tuple, ...], int | None]:
+        return self._find()
+
+    @property
+    def values(self) -> tuple[tuple, ...]:
+        return self._found[0]
 
-    columns: tuple[str, ...]
-    values: tuple[tuple, ...]
+    @property
+    def width(self) -> int | None:
+        return self._found[1]
 
     def test(self) -> Column:
         """Whether a row belongs to one of them."""
@@ -107,7 +122,14 @@ class HotKeys:
         """The large keys of two series whose keys correspond."""
         if other is None or len(other.columns) != len(self.columns):
             return None
-        return HotKeys(columns, tuple(dict.fromkeys([*self.values, *other.values])))
+        if other is self:
+            return self
+
+        def both() -> tuple[tuple[tuple, ...], int | None]:
+            widths = [h.width for h in (self, other) if h.width is not None]
+            return tuple(dict.fromkeys([*self.values, *other.values])), min(widths, default=None)
+
+        return HotKeys(columns, both)
 
 
 @dataclass(frozen=True)
@@ -152,7 +174,8 @@ class Series:
     def balanced(self, rows_per_task: int = 1_000_000) -> "Series":
         """Slice only the keys that hold more than ``rows_per_task`` rows.
 
-        Counts rows per key in one pass over the key and time columns.  What comes back to the
+        Counts rows per key in one pass over the key and time columns, once an ordered operator
+        asks for it.  What comes back to the
         driver is bounded by design: fewer than total / rows_per_task keys can be that large.
         Without large keys, ordered operators are plain windows over the key.  A series
         without keys stays sliced throughout.
@@ -160,24 +183,30 @@ class Series:
         if not self.keys:
             return self
         names = [f"k{i}" for i in range(len(self.keys))]
-        large = (
-            self.df.groupBy(*[col(k).alias(n) for k, n in zip(self.keys, names)])
-            .agg(F.count(F.lit(1)).alias("n"), F.min(self.us).alias("a"), F.max(self.us).alias("b"))
-            .where(F.col("n") > rows_per_task)
-            .collect()
-        )
-        # Four slices for every rows_per_task rows leave room for uneven times.
-        widths = [max((row["b"] - row["a"]) * rows_per_task // (4 * row["n"]), 1) for row in large]
-        found = HotKeys(self.keys, tuple(tuple(row[n] for n in names) for row in large))
-        return replace(self, hot=found, slice_us=min(widths, default=self.slice_us))
+
+        def find() -> tuple[tuple[tuple, ...], int | None]:
+            large = (
+                self.df.groupBy(*[col(k).alias(n) for k, n in zip(self.keys, names)])
+                .agg(F.count(F.lit(1)).alias("n"), F.min(self.us).alias("a"), F.max(self.us).alias("b"))
+                .where(F.col("n") > rows_per_task)
+                .collect()
+            )
+            # Four slices for every rows_per_task rows leave room for uneven times.
+            widths = [max((row["b"] - row["a"]) * rows_per_task // (4 * row["n"]), 1) for row in large]
+            return tuple(tuple(row[n] for n in names) for row in large), min(widths, default=None)
+
+        return replace(self, hot=HotKeys(self.keys, find))
 
     @property
     def sliced(self) -> bool:
         return self.hot is None or bool(self.hot.values)
 
-    def pipe(self, fn: Callable[..., "Series"], *args: object, **kwargs: object) -> "Series":
-        """Apply a reusable sub-pipeline (a function from Series to Series)."""
-        return fn(self, *args, **kwargs)
+    @property
+    def slice_width(self) -> int:
+        """Width of a slice; wider than any interval when nothing is sliced."""
+        if self.hot is None:
+            return self.slice_us
+        return (self.hot.width or self.slice_us) if self.hot.values else 10**18
 
     # -- order -----------------------------------------------------------
     @property
@@ -216,7 +245,7 @@ class Series:
         """Columns that cut each key into consecutive runs of its order."""
         if not self.sliced:
             return [F.lit(0).cast("long").alias(f"{TMP}slice")]
-        cuts = [F.floor(self.us / F.lit(self.slice_us))]
+        cuts = [F.floor(self.us / F.lit(self.slice_width))]
         if self.seq_slice is not None:
             if len(self.seq) != 1:
                 raise ValueError("seq_slice needs exactly one integer arrival column")

@@ -479,7 +479,7 @@ def _sliding_by_frames(series: Series, aggs: Mapping[str, Agg], w: int, keys: Se
     copied into it as context, so every frame is complete inside its slice.
     """
     us, kind, sl = f"{TMP}us", f"{TMP}kind", f"{TMP}slice"
-    width = max(series.slice_us, w)
+    width = max(series.slice_width, w)
     base = series.df.select("*", series.us.alias(us))
     if emit in ("both", "exit"):
         rows = base.withColumn(kind, F.explode(F.array(F.lit(1), F.lit(0))))

@@ -152,7 +152,7 @@ def stamp(series: Series, b: Buckets, bucket: Column) -> Column:
 
 def _none_hot(series: Series) -> HotKeys | None:
     """A table with one row per bucket has no large keys: the interval bounds each key alike."""
-    return None if not series.keys else HotKeys(series.keys, ())
+    return None if not series.keys else HotKeys(series.keys, lambda: ((), None))
 
 
 def carry_in(assigned: Series, b: Buckets, groups: Sequence[str] = ()) -> Series:

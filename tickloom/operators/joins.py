@@ -317,7 +317,7 @@ def window_join(
 def _framed(left: Series, right: Series, folds: Mapping[str, Fold], low: int, high: int) -> DataFrame:
     """Right rows with ``t + low <= r <= t + high``, read by a range frame around each left row."""
     sl, keys = f"{TMP}slice", list(left.keys)
-    width = max(left.slice_us, high - low + 1)
+    width = max(min(left.slice_width, right.slice_width), high - low + 1)
     depth = max(len(right.seq), 1)
     rows = left.df.select(
         *keys,
