@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.core import DAY, SECOND, TMP, HotKeys, Series, col, from_micros, literal_micros, micros
+from tickloom.core import DAY, SECOND, TMP, HotKeys, Series, col, from_micros, micros
 from tickloom.ordering import Fold, row_number, running
 
 BUCKET = f"{TMP}bucket"

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.core import TMP, Series, all_of, col, fill_typed, literal_micros
-from tickloom.operators import aggregate as ag
 from tickloom.operators import buckets as bk
 from tickloom.operators.joins import asof, _against_right
 from tickloom.ordering import Fold, row_number, running, shift

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tickloom.core import DAY, HOUR, MINUTE, Series, from_micros, micros
+from tickloom.core import DAY, HOUR, MINUTE, Series, from_micros
 from tickloom.operators import aggregate as ag
 from tickloom.operators import joins as jn
 from tickloom.operators import merging as mg

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.core import DAY, HOUR
+from tickloom.core import DAY
 from tickloom.plans.registry import R, query, r
 from tickloom.streaming import stream as ss
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.core import DAY, HOUR
-from tickloom.operators import aggregate as ag
 from tickloom.operators import book as ob
 from tickloom.operators import trading as tr
 from tickloom.operators.buckets import Buckets

@@ -6,11 +6,11 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tickloom.core import DAY, HOUR, from_micros
+from tickloom.core import DAY, HOUR
 from tickloom.operators import filters as fi
 from tickloom.operators import project as pj
 from tickloom.operators import timing as tm
-from tickloom.plans.registry import L0, R, S0, S1, SIZE_SQL, TRADES_SQL, events, lineitems, orders, query, r, table, trades
+from tickloom.plans.registry import R, S0, SIZE_SQL, TRADES_SQL, events, orders, query, r, table, trades
 from tickloom.sources import readers as rd
 from tickloom.sources import writers as wr
 
