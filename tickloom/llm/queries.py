@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm import cascade, chat, idcoder, packing
+from tickloom.llm import cascade, chat, idcoder, overlap, packing
 from tickloom.llm.common import new_path, table
 
 
@@ -53,6 +53,11 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idcoder.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 90 % of their 3-word shingles."""
+    return overlap.near_groups(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut and packed into sequences of 2,048 ids."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
@@ -83,6 +88,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 """
 
 QUERIES = {
-    "op1_chat_formatting": op1_chat_formatting, "op2_token_ids": op2_token_ids, "op7_packing": op7_packing, "op10_url_filters": op10_url_filters,
+    "op1_chat_formatting": op1_chat_formatting, "op2_token_ids": op2_token_ids, "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op7_packing": op7_packing, "op10_url_filters": op10_url_filters,
 }
 ORACLE = {"op1_chat_formatting": OP1_SQL, "op10_url_filters": OP10_SQL}
