@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm import cascade, chat, idcoder, overlap, packing
+from tickloom.llm import cascade, chat, idcoder, overlap, packing, repeats
 from tickloom.llm.common import new_path, table
 
 
@@ -64,6 +64,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of 50-word sequences that a document with a smaller id has too."""
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return out.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 URL_RULES = [
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"),
 ]
@@ -89,6 +96,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting, "op2_token_ids": op2_token_ids, "op4_ngram_jaccard": op4_ngram_jaccard,
-    "op7_packing": op7_packing, "op10_url_filters": op10_url_filters,
+    "op7_packing": op7_packing, "op9_substring_dedup": op9_substring_dedup,
+    "op10_url_filters": op10_url_filters,
 }
 ORACLE = {"op1_chat_formatting": OP1_SQL, "op10_url_filters": OP10_SQL}
