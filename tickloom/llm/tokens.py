@@ -4,25 +4,27 @@ from __future__ import annotations
 
 import os
 import re
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 
-#: A space or line end after a letter, digit or visible ASCII character always starts a new piece for the tokenizers used here
-#: (their patterns let white space join only what follows it), so pieces cut there are encoded as they would be in place.
+#: Where the patterns of the tokenizers used here always start a new piece: at a space or line end after a letter, digit or
+#: visible ASCII character (white space joins only what follows it), and at a full stop or comma after a letter or digit.
+#: So pieces cut there are encoded as they would be in place.
 _CUT = re.compile(r"(?<=[!-~\w])(?=[ \n])")
-_ODD = re.compile(r"(?:^|[^!-~\w])[ \n]")
+_ODD = re.compile(r"(?:^|[^!-~\w])[ \n]|(?:^|[\W_])[.,]|\0")
 
 
 class _Numbers(dict):
     """Numbers for pieces; a new piece joins the list of those still to be encoded."""
 
-    def __init__(self, waiting: list[str], lead: str, owner: ChunkEncoder):
+    def __init__(self, waiting: list[str]):
         super().__init__()
-        self.waiting, self.lead, self.owner = waiting, lead, owner
+        self.waiting = waiting
 
     def __missing__(self, piece: str) -> int:
-        self[piece] = n = self.owner.known + len(self.waiting)
-        self.waiting.append(piece if piece[:1] == "\n" else self.lead + piece)
+        self[piece] = n = len(self)
+        self.waiting.append(piece)
         return n
 
 
@@ -32,19 +34,20 @@ class ChunkEncoder:
     Remembers the ids of up to ``limit`` pieces.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
+        same = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in (ascii_uppercase, ascii_lowercase)]
+        self.fold = same[0] == same[1]  # the tokenizer lower-cases, so both cases of a piece can share one entry
         self._forget()
 
     def _forget(self) -> None:
         self.waiting: list[str] = []
-        self.known = 0
-        self.raw, self.spaced = _Numbers(self.waiting, "", self), _Numbers(self.waiting, " ", self)
+        self.numbers = _Numbers(self.waiting)
         self.ids, self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self) -> None:
@@ -54,23 +57,23 @@ class ChunkEncoder:
             flat = np.fromiter((i for x in new for i in x), np.uint32, int(size.sum()))
             self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
             self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, flat])
-            self.known += len(new)
             self.waiting.clear()
 
     def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has; ``end`` is appended to each text."""
-        if self.known > self.limit:
+        if len(self.numbers) > self.limit:
             self._forget()
         numbers: list[int] = []
         pieces = np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             had = len(numbers)
-            if text and not _ODD.search(text):
-                head, *rest = text.replace("\n", " \n").split(" ")
-                numbers.append(self.raw[head])
-                numbers.extend(map(self.spaced.__getitem__, rest))
-            elif text:
-                numbers.extend(map(self.raw.__getitem__, _CUT.split(text)))
+            if self.fold and text.isascii():
+                text = text.lower()
+            if _ODD.search(text):
+                cut = _CUT.split(text)
+            else:
+                cut = text.replace(" ", "\0 ").replace("\n", "\0\n").replace(",", "\0,").replace(".", "\0.").split("\0")
+            numbers.extend(map(self.numbers.__getitem__, cut))
             pieces[k] = len(numbers) - had
         self._learn()
         which = np.fromiter(numbers, np.int64, len(numbers))
