@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm import cascade, chat, idcoder, overlap, packing, repeats
+from tickloom.llm import cascade, chat, idcoder, linetree, overlap, packing, repeats
 from tickloom.llm.common import new_path, table
 
 
@@ -64,6 +64,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of templates that ten texts or more have, but for the first document that has one."""
+    out = linetree.drop_templates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of 50-word sequences that a document with a smaller id has too."""
     out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
@@ -94,9 +100,8 @@ m AS (SELECT n.*, rhost || rpath AS rule, verdict, row_number() OVER (PARTITION
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1
 """
 
-QUERIES = {
-    "op1_chat_formatting": op1_chat_formatting, "op2_token_ids": op2_token_ids, "op4_ngram_jaccard": op4_ngram_jaccard,
-    "op7_packing": op7_packing, "op9_substring_dedup": op9_substring_dedup,
-    "op10_url_filters": op10_url_filters,
-}
+_ALL = (
+    op1_chat_formatting, op2_token_ids, op4_ngram_jaccard, op7_packing, op8_line_dedup, op9_substring_dedup, op10_url_filters,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLE = {"op1_chat_formatting": OP1_SQL, "op10_url_filters": OP10_SQL}
