@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm import cascade, chat, idcoder, linetree, overlap, packing, repeats
+from tickloom.llm import cascade, chat, decontaminate, idcoder, linetree, overlap, packing, quality, repeats
 from tickloom.llm.common import new_path, table
 
 
@@ -53,11 +53,25 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idcoder.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that are kept, with what the classifier and the sites say; the host is the source, the path its language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path"))
+    labels = table(spark, sf_dir, "labels")
+    model = quality.fit(docs.join(labels, "doc_id"))
+    judged = quality.judge(docs, model, carry_text=False)
+    return judged.where("verdict.keep").select("doc_id", "host", "path", "verdict.p_quality", "verdict.p_toxic", "verdict.quality", "verdict.toxic", "verdict.site_n")
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 90 % of their 3-word shingles."""
     return overlap.near_groups(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that they hold."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut and packed into sequences of 2,048 ids."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
@@ -101,7 +115,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 """
 
 _ALL = (
-    op1_chat_formatting, op2_token_ids, op4_ngram_jaccard, op7_packing, op8_line_dedup, op9_substring_dedup, op10_url_filters,
+    op1_chat_formatting, op2_token_ids, op3_quality_classifier, op4_ngram_jaccard, op6_decontamination, op7_packing, op8_line_dedup, op9_substring_dedup, op10_url_filters,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLE = {"op1_chat_formatting": OP1_SQL, "op10_url_filters": OP10_SQL}
