@@ -59,23 +59,19 @@ def best_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
             break
         pointers.append(state.select(F.col("tree").alias("t"), F.col("node").alias("from"), F.col("jump").alias("to")).where("to is not null"))
         far = state.select(F.col("tree").alias("t"), F.col("node").alias("p"), F.col("jump").alias("j"), F.col("depth").alias("d"), F.col("gain").alias("g"))
-        state = stored(
-            state.join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("p")), "left").select(
-                "tree", "node", F.col("j").alias("jump"), (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
-                (F.col("gain") + F.coalesce("g", F.lit(0.0))).alias("gain"),
-            ), "reach",
-        )
+        further = state.where("jump is not null").join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("p"))).select(
+            "tree", "node", F.col("j").alias("jump"), (F.col("depth") + F.col("d")).alias("depth"), (F.col("gain") + F.col("g")).alias("gain")
+        )
+        state = stored(state.where("jump is null").unionByName(further), "reach")
     parents = nodes.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
     leaves = state.where("jump is null").join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("p")), "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("gain"), "node"))
     chosen = leaves.withColumn("_rank", rank).where(F.col("_rank") <= top)
     paths = chosen.select("tree", F.col("node").alias("leaf"), "node", F.col("depth").alias("position"))
     for k in reversed(range(len(pointers))):
-        step = F.array(F.struct("node", "position"), F.struct(F.col("to").alias("node"), (F.col("position") - 2**k).alias("position")))
-        paths = (
-            paths.join(pointers[k], F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("from")), "left")
-            .select("tree", "leaf", F.explode(step).alias("s")).where("s.node is not null").select("tree", "leaf", "s.node", "s.position")
-        )
+        hop = paths.where(F.col("position") >= 2**k).join(pointers[k], F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("from")))
+        hop = hop.select("tree", "leaf", F.col("to").alias("node"), (F.col("position") - 2**k).alias("position"))
+        paths = stored(paths.unionByName(hop), "paths")
     return paths
 
 
