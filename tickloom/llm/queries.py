@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm import cascade, chat, decontaminate, idcoder, linetree, overlap, packing, quality, repeats
+from tickloom.llm import cascade, chat, decontaminate, forest, idcoder, linetree, overlap, packing, quality, repeats
 from tickloom.llm.common import new_path, table
 
 
@@ -67,6 +67,11 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.near_groups(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector among all."""
+    return forest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items that they hold."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -115,7 +120,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 """
 
 _ALL = (
-    op1_chat_formatting, op2_token_ids, op3_quality_classifier, op4_ngram_jaccard, op6_decontamination, op7_packing, op8_line_dedup, op9_substring_dedup, op10_url_filters,
+    op1_chat_formatting, op2_token_ids, op3_quality_classifier, op4_ngram_jaccard, op5_nearest_neighbours, op6_decontamination, op7_packing, op8_line_dedup, op9_substring_dedup, op10_url_filters,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLE = {"op1_chat_formatting": OP1_SQL, "op10_url_filters": OP10_SQL}
