@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.llm.common import WordHashes, stored
 
@@ -44,8 +45,9 @@ def tokens(line: bytes) -> np.ndarray:
 
 def drop_templates(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", depth: int = 3, min_docs: int = 10, similarity: float = 0.8,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, n_lines, dropped (line numbers from 0, in order) and kept (the other lines) of every document.
+    """doc_id, n_lines, dropped (line numbers from 0, in order), kept (the other lines) and the columns ``carry`` of every document.
 
     A template recurs when documents of at least ``min_docs`` different texts hold it and at least ``similarity`` of its tokens are
     fixed.  Its lines are dropped from all documents but the one with the smallest doc_id that has it, so no content is lost
@@ -54,7 +56,8 @@ def drop_templates(
     counted; rows that repeat a doc_id are treated by their own texts.  Other columns are ignored; an empty table gives no rows.
     """
     content = F.col(text).cast("binary")
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(content).alias("t1"), content.alias("text"))
+    extra = [F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry)]
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(content).alias("t1"), content.alias("text"), *extra)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,7 +72,7 @@ def drop_templates(
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(leaf, pa.int64()), pa.array(line, pa.int64())], names=["doc", "t1", "leaf", "line"]
             )
 
-    lines = stored(docs.where("doc is not null").mapInArrow(parse, "doc long, t1 long, leaf long, line long"), "lines")
+    lines = stored(docs.where("doc is not null").select("doc", "t1", "text").mapInArrow(parse, "doc long, t1 long, leaf long, line long"), "lines")
     # one document for each text; a line of a text counts once
     origin = docs.where("doc is not null").groupBy("t1").agg(F.min("doc").alias("doc"))
     distinct = lines.join(origin, ["t1", "doc"], "left_semi").dropDuplicates(["t1", "leaf", "line"]).groupBy("leaf", "line").agg(
@@ -121,10 +124,14 @@ def drop_templates(
                 out.append((doc, len(rows), dropped, b"\n".join(x for k, x in enumerate(rows) if k not in leave) if body is not None else None))
             cols = list(zip(*out, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.binary())],
-                names=["doc_id", "n_lines", "dropped", "kept"],
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.binary()), *batch.columns[3:]],
+                names=["doc_id", "n_lines", "dropped", "kept", *batch.schema.names[3:]],
             )
 
-    marked = docs.join(gone, ["doc", "t1"], "left").select("doc", "text", "gone")
-    out = marked.mapInArrow(cut, "doc_id long, n_lines long, dropped array<long>, kept binary")
-    return out.withColumn("kept", F.col("kept").cast("string"))
+    names = [f"carried_{k}" for k in range(len(carry))]
+    marked = docs.join(gone, ["doc", "t1"], "left").select("doc", "text", "gone", *names)
+    schema = T.StructType.fromDDL("doc_id long, n_lines long, dropped array<long>, kept binary")
+    for f in marked.schema.fields[3:]:
+        schema = schema.add(f)
+    out = marked.mapInArrow(cut, schema)
+    return out.select("doc_id", "n_lines", "dropped", F.col("kept").cast("string").alias("kept"), *(F.col(n).alias(c) for n, c in zip(names, carry, strict=True)))
