@@ -106,7 +106,8 @@ def _svd(rows: DataFrame, n_terms: int, rank: int, power: int = 2, seed: int = 7
                     y = w @ q[t]
                     for k, x in zip(t.tolist(), w.tolist(), strict=True):
                         total[k] = total.get(k, 0) + x * y
-            yield pd.DataFrame({"term": list(total), "row": [x.tolist() for x in total.values()]})
+            if total:
+                yield pd.DataFrame({"term": list(total), "row": [x.tolist() for x in total.values()]})
 
         part = rows.mapInPandas(product, "term int, row array<double>").select("term", F.posexplode("row").alias("at", "x"))
         z = np.zeros((n_terms, rank))
