@@ -1,9 +1,9 @@
 """Operator 4: documents linked by the Jaccard overlap of their word n-grams, found by T-occurrence search.
 
 A document x can only link to documents that hold at least T = ceil(t |x|) of its shingles.  In one total order of all
-shingles, the rarest first, two linked documents share one of their first |x| - T + 1 shingles: the short inverted lists.
-Spark groups those lists; all documents of a list meet in the group of the list's smallest document, and there
-DivideSkip runs in full: the short lists are merged, the longest lists are set aside and probed by binary search, and
+shingles, the rarest first, two linked documents have c common shingles among their first |x| - T + c: the short inverted lists.
+Spark builds them for c = |x| / 10 and drops documents that share fewer than c lists with anybody, again and again.
+Of the others, all documents of a list for c = 1 meet in the group of the list's smallest document, and there DivideSkip runs in full: the short lists are merged, the longest lists are set aside and probed by binary search, and
 documents that reach the overlap are kept.  A group only looks for links that connect what is not connected yet, so
 a group of g near copies gives g - 1 links, never g * g.
 
@@ -149,14 +149,17 @@ def _rarity(profile: DataFrame, buckets: int) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, size: int, percent: int, rarity: np.ndarray) -> DataFrame:
-    """(shingle, n, d1, d2, doc_id): the short lists of each document.  A task writes those of a set once."""
+    """(shingle, n, d1, d2, doc_id, short): the first |x| - T + |x| / 10 lists of each document; short: of the first |x| - T + 1.
+
+    A task writes those of a set once.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(rarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = sent.value
         seen: dict[tuple[int, int, int], int] = {}
         for batch in batches:
-            keys, rows = [], []
+            keys, flags, rows = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = shingles(text, size)
                 if not len(s) or doc is None:
@@ -168,14 +171,25 @@ def _postings(docs: DataFrame, size: int, percent: int, rarity: np.ndarray) -> D
                     seen[who] = doc
                 short = len(s) - -(-percent * len(s) // 100) + 1
                 order = (rank[(s % np.uint64(len(rank))).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
-                keys.append(s[np.argpartition(order, short - 1)[:short]] if short < len(s) else s)
+                first = np.argsort(order)[: short - 1 + max(1, len(s) // 10)]
+                keys.append(s[first])
+                flags.append(np.arange(len(first)) < short)
                 rows.append((*who, doc))
             for a in range(0, len(rows), 500):
                 k, table = keys[a : a + 500], np.array(rows[a : a + 500], np.int64)
                 table = np.repeat(table, [len(x) for x in k], axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(k).view(np.int64)), *(pa.array(table[:, c]) for c in range(4))], names=["shingle", "n", "d1", "d2", "doc_id"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(k).view(np.int64)), *(pa.array(table[:, c]) for c in range(4)), pa.array(np.concatenate(flags[a : a + 500]))],
+                    names=["shingle", "n", "d1", "d2", "doc_id", "short"],
+                )
+
+    return docs.mapInArrow(run, "shingle long, n long, d1 long, d2 long, doc_id long, short boolean")
 
-    return docs.mapInArrow(run, "shingle long, n long, d1 long, d2 long, doc_id long")
+
+def _with_company(lists: DataFrame) -> DataFrame:
+    """Lists of at least two nodes."""
+    shared = lists.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    return lists.join(shared.select("shingle"), "shingle", "left_semi")
 
 
 def _links(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataFrame:
@@ -209,12 +223,20 @@ def near_groups(
     facts = profile.where("part is null")
     same_set = facts.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
     lists = _postings(docs, size, percent, _rarity(profile, buckets)).repartition("shingle")
-    lists = lists.groupBy("shingle", "n", "d1", "d2").agg(F.min("doc_id").alias("node"))
-    shared = lists.groupBy("shingle").agg(F.min("node").alias("center"), F.max("node").alias("largest")).where("center < largest")
-    shared = stored(lists.join(shared.select("shingle", "center"), "shingle").select("shingle", "node", "center"), "lists")
-
-    # round 1: each document in the group of the smallest document that it shares a list with
-    home = shared.groupBy("node").agg(F.min("center").alias("center")).where("center < node")
+    lists = lists.groupBy("shingle", "n", "d1", "d2").agg(F.min("doc_id").alias("node"), F.first("short").alias("short"))
+    lists = stored(_with_company(lists.drop("d1", "d2")), "lists")
+    # a partner has at least T words, so at least max(1, T // 10) lists are common
+    least = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100 - 1e-9) / 10).cast("long")
+    for _ in range(2):
+        enough = lists.groupBy("node", "n").count().where(F.col("count") >= least).select("node", "n")
+        lists = stored(_with_company(lists.join(enough, ["node", "n"], "left_semi")), "lists")
+    short = lists.where("short")
+    center = short.groupBy("shingle").agg(F.min("node").alias("center"), F.max("node").alias("largest")).where("center < largest")
+    shared = stored(short.join(center.select("shingle", "center"), "shingle").select("shingle", "node", "center"), "short-lists")
+
+    # round 1: each document in the group of the document that it shares most of its lists with as their smallest
+    often = shared.where("center < node").groupBy("node", "center").count()
+    home = often.groupBy("node").agg(F.max(F.struct("count", -F.col("center"))).alias("m")).select("node", (-F.col("m.col2")).alias("center"))
     homes = stored(home, "homes")
     many = homes.groupBy("center").agg(F.ceil(F.count("*") / block).alias("blocks"))
     placed = homes.join(many, "center").select("center", F.pmod(F.xxhash64("node"), "blocks").alias("block"), "node")
@@ -235,5 +257,5 @@ def near_groups(
 
     of_set = same_set.join(label, "node", "left").select("n", "d1", "d2", F.coalesce("component_id", "node").alias("component_id"))
     return facts.join(of_set, ["n", "d1", "d2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.least("component_id", "doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.least("component_id", "doc_id")).alias("component_id")
     )
