@@ -49,44 +49,50 @@ def _classes() -> tuple[np.ndarray, np.ndarray]:
 FIRST, BITS = _classes()
 CLASS_OF = np.repeat(np.arange(len(FIRST)), 1 << BITS).astype(np.int64)
 N_CLASSES = len(FIRST)
+LAST = (1 << BITS) - 1
+SLOTS = 1 << 12
+#: The confidence after a miss, then after a hit, by that before.
+TRUST = np.array([0, 0, 1, 2, 1, 2, 3, 3])
 
 
 class _Model:
-    """The predictions of many blocks (lanes).  ``lanes`` of them are still running; the longest blocks come first."""
+    """The predictions of many blocks (lanes).  The longest blocks come first, so the lanes still running are the first n."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, decodes: bool = False):
+        self.decodes = decodes
         self.lane = np.arange(lanes)
         self.prev1, self.prev2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        # for each context the predicted id and, in the last two bits, the confidence in it
         self.guess = [np.zeros(lanes << b, np.int32) for b in (O1, O2)]
-        self.trust = [np.zeros(lanes << b, np.uint8) for b in (O1, O2)]
         self.right = [np.tile(np.array([ONE // 32, ONE // 8, ONE // 4, ONE // 2], np.int64), lanes) for _ in range(2)]
-        self.counts = np.ones((lanes, N_CLASSES), np.int32)
+        self.counts = np.ones(lanes * N_CLASSES, np.int32)
         self.learn()
 
     def learn(self) -> None:
-        """Take the counts so far into the order-0 distribution."""
-        self.cum = np.zeros((len(self.counts), N_CLASSES + 1), np.int64)
-        np.cumsum(self.counts, axis=1, out=self.cum[:, 1:])
-        self.all = self.cum[:, -1].copy()
-        self.flat = (self.cum + (np.arange(len(self.cum)) << 32)[:, None]).ravel()
+        """Take the counts so far into the order-0 distribution: SLOTS shares, at least one for each class."""
+        counts = self.counts.reshape(-1, N_CLASSES)
+        cum = np.zeros((len(counts), N_CLASSES + 1), np.int64)
+        np.cumsum(counts, axis=1, out=cum[:, 1:])
+        cum = cum * (SLOTS - N_CLASSES) // cum[:, -1:] + np.arange(N_CLASSES + 1)
+        self.cum = cum.ravel()
+        if self.decodes:
+            self.owner = np.repeat(np.tile(np.arange(N_CLASSES, dtype=np.int16), len(cum)), np.diff(cum, axis=1).ravel())
 
     def predict(self, n: int) -> None:
         """Guesses of order 1 and 2 for the first n lanes and the shares m2, m1, m0 of the three orders."""
         lane, p1, p2 = self.lane[:n], self.prev1[:n], self.prev2[:n]
-        h1 = (p1 * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - O1)
-        h2 = ((p1 * 0x9E3779B1 + p2 * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - O2)
+        h = p1 * 0x9E3779B1
+        h1 = (h & 0xFFFFFFFF) >> (32 - O1)
+        h2 = ((h + p2 * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - O2)
         self.slot = [(lane << O1) + h1, (lane << O2) + h2]
-        self.id = [g[s] for g, s in zip(self.guess, self.slot, strict=True)]
-        self.conf = [t[s] for t, s in zip(self.trust, self.slot, strict=True)]
+        found = [g[s] for g, s in zip(self.guess, self.slot, strict=True)]
+        self.id, self.conf = [f >> 2 for f in found], [f & 3 for f in found]
         self.weight = [(lane << 2) + c for c in self.conf]
-        w1, w2 = self.right[0][self.weight[0]], self.right[1][self.weight[1]]
-        none = ((ONE - w1) * (ONE - w2)) >> 4
-        self.m2 = w2 << (TOTAL - 16)
-        self.m1 = (1 << TOTAL) - self.m2 - none
+        self.share = [r[w] for r, w in zip(self.right, self.weight, strict=True)]
+        self.m0 = ((ONE - self.share[0]) * (ONE - self.share[1])) >> 4
         same = self.id[0] == self.id[1]  # both orders agree: one prediction with both shares
-        self.m2 = np.where(same, self.m2 + self.m1, self.m2)
-        self.m1 = np.where(same, 0, self.m1)
-        self.m0 = none
+        self.m12 = (1 << TOTAL) - self.m0
+        self.m2 = np.where(same, self.m12, self.share[1] << (TOTAL - 16))
 
     def span(self, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of each id on the probability scale."""
@@ -96,37 +102,33 @@ class _Model:
         start0 += (ids - FIRST[c]) * size0
         hit2, hit1 = ids == self.id[1], ids == self.id[0]
         start = np.where(hit2, 0, np.where(hit1, self.m2, start0))
-        return start, np.where(hit2, self.m2, np.where(hit1, self.m1, size0))
+        return start, np.where(hit2, self.m2, np.where(hit1, self.m12 - self.m2, size0))
 
     def _class_span(self, c: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         at = self.lane[:n] * (N_CLASSES + 1) + c
-        cum = self.cum.ravel()
-        a, b = cum[at] * self.m0 // self.all[:n], cum[at + 1] * self.m0 // self.all[:n]
-        return self.m2 + self.m1 + a, b - a
+        a, b = self.cum[at] * self.m0 >> 12, self.cum[at + 1] * self.m0 >> 12
+        return self.m12 + a, b - a
 
     def find(self, v: np.ndarray, n: int) -> np.ndarray:
         """The id whose span holds v."""
-        u = np.maximum(v - self.m2 - self.m1, 0)
-        target = ((u + 1) * self.all[:n] - 1) // self.m0 + (self.lane[:n] << 32)
-        c = np.searchsorted(self.flat, target, side="right") - 1 - self.lane[:n] * (N_CLASSES + 1)
-        c = np.minimum(c, N_CLASSES - 1)
+        u = np.maximum(v - self.m12, 0)
+        c = self.owner[(self.lane[:n] << 12) + (((u + 1) << 12) - 1) // self.m0].astype(np.int64)
         start, size = self._class_span(c, n)
-        size = np.maximum(size >> BITS[c], 1)
-        ids = FIRST[c] + np.clip((v - start) // size, 0, (1 << BITS[c]) - 1)
-        return np.where(v < self.m2, self.id[1], np.where(v < self.m2 + self.m1, self.id[0], ids))
+        size >>= BITS[c]
+        ids = FIRST[c] + np.minimum(np.maximum(v - start, 0) // size, LAST[c])
+        return np.where(v < self.m2, self.id[1], np.where(v < self.m12, self.id[0], ids))
 
     def update(self, ids: np.ndarray, n: int, t: int) -> None:
         for k in (0, 1):
-            hit = ids == self.id[k]
-            w = self.right[k][self.weight[k]]
-            self.right[k][self.weight[k]] = np.clip(w + ((hit * ONE - w) >> 5), 64, ONE - ONE // 8)
-            conf = self.conf[k].astype(np.int64)
-            self.guess[k][self.slot[k]] = np.where(hit | (conf > 0), self.id[k], ids)
-            self.trust[k][self.slot[k]] = np.where(hit, np.minimum(conf + 1, 3), np.maximum(conf - 1, 0))
-        self.counts[self.lane[:n], CLASS_OF[ids]] += 1
+            hit, conf = ids == self.id[k], self.conf[k]
+            w = self.share[k]
+            self.right[k][self.weight[k]] = w + ((np.where(hit, ONE - ONE // 8, 64) - w) >> 5)
+            kept = np.where(hit | (conf > 0), self.id[k], ids)
+            self.guess[k][self.slot[k]] = (kept << 2) + TRUST[conf + (hit << 2)]
+        self.counts[self.lane[:n] * N_CLASSES + CLASS_OF[ids]] += 1
         self.prev2[:n] = self.prev1[:n]
         self.prev1[:n] = ids
-        if t + 1 in (16, 32, 64, 128) or (t + 1) % 256 == 0:
+        if t + 1 in (32, 128) or (t + 1) % 512 == 0:
             self.learn()
 
 
@@ -183,7 +185,7 @@ def decode_blocks(coded: list[np.ndarray], lengths: list[int]) -> list[np.ndarra
     words = np.zeros((lanes, max(map(len, coded)) + 2), np.uint64)
     for lane, k in enumerate(order):
         words[lane, : len(coded[k])] = coded[k]
-    model, low, size = _Model(lanes), np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    model, low, size = _Model(lanes, True), np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     code, at = (words[:, 0] << np.uint64(32)) | words[:, 1], np.full(lanes, 2, np.int64)
     ids = np.zeros((steps, lanes), np.uint32)
     running = lanes - np.searchsorted(size_of[::-1], np.arange(steps), side="right")
