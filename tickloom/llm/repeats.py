@@ -101,21 +101,24 @@ def _strips(texts: DataFrame, window: int) -> DataFrame:
                 words = text.split()
                 with np.errstate(over="ignore"):
                     hashes = _HASHES.of(words)
-                    sums = [np.append(np.uint64(0), np.cumsum(mixed(hashes, k) * _powers(len(words), k))) for k in (1, 2)]
-                for r in runs:
-                    a, b = r["first"], r["last"] + window
-                    if r["crowded"]:
-                        whole = [_window_hashes(s, a, r["last"], window, k) for k, s in zip((1, 2), sums, strict=True)]
-                        out.extend((doc, t1, p, p, None, x, y, None) for p, x, y in zip(range(a, r["last"] + 1), whole[0].tolist(), whole[1].tolist(), strict=True))
-                        continue
-                    h = tuple(int(_window_hashes(s, a, a, b - a, k)[0]) for k, s in zip((1, 2), sums, strict=True))
-                    body = None
-                    if h not in sent:
-                        if len(sent) > 500_000:
-                            sent.clear()
-                        sent[h] = None
-                        body = b" ".join(words[a:b])
-                    out.append((doc, t1, a, r["last"], r["prefix"], *h, body))
+                    sums = [np.append(np.uint64(0), np.cumsum(mixed(hashes, k) * _powers(len(words), _BASE[k]))) for k in (1, 2)]
+                thin = [(r["first"], r["last"], r["prefix"]) for r in runs if not r["crowded"]]
+                if thin:
+                    first, last, _ = (np.array(c) for c in zip(*thin, strict=True))
+                    both = [_hashes(s, first, last - first + window, k).tolist() for k, s in zip((1, 2), sums, strict=True)]
+                    for (a, z, prefix), *h in zip(thin, *both, strict=True):
+                        body, h = None, tuple(h)
+                        if h not in sent:
+                            if len(sent) > 500_000:
+                                sent.clear()
+                            sent[h] = None
+                            body = b" ".join(words[a : z + window])
+                        out.append((doc, t1, a, z, prefix, *h, body))
+                every = [np.arange(r["first"], r["last"] + 1) for r in runs if r["crowded"]]
+                if every:
+                    at = np.concatenate(every)
+                    both = [_hashes(s, at, window, k).tolist() for k, s in zip((1, 2), sums, strict=True)]
+                    out.extend((doc, t1, p, p, None, x, y, None) for p, x, y in zip(at.tolist(), *both, strict=True))
             for k in range(0, len(out), 5000):
                 cols = list(zip(*out[k : k + 5000], strict=True))
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:7]), pa.array(cols[7], pa.binary())], names=_STRIP)
@@ -128,24 +131,22 @@ _BASE = {1: 0x9E3779B97F4A7C15, 2: 0xC2B2AE3D27D4EB4F}  # odd numbers; fixed val
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(n: int, k: int) -> np.ndarray:
+def _powers(n: int, base: int) -> np.ndarray:
     """base ** (0 .. n - 1) modulo 2 ** 64."""
-    if len(_POWERS.get(k, ())) < n:
+    if len(_POWERS.get(base, ())) < n:
         size = max(4096, 1 << (n - 1).bit_length())
-        _POWERS[k] = np.cumprod(np.append(np.uint64(1), np.full(size - 1, _BASE[k], np.uint64)), dtype=np.uint64)
-    return _POWERS[k][:n]
+        _POWERS[base] = np.cumprod(np.append(np.uint64(1), np.full(size - 1, base, np.uint64)), dtype=np.uint64)
+    return _POWERS[base][:n]
 
 
-def _window_hashes(sums: np.ndarray, first: int, last: int, window: int, k: int) -> np.ndarray:
-    """Hashes of the windows that start at first .. last, the same wherever they stand."""
+_INVERSE = {k: pow(b, -1, 1 << 64) for k, b in _BASE.items()}
+
+
+def _hashes(sums: np.ndarray, first: np.ndarray, length: np.ndarray | int, k: int) -> np.ndarray:
+    """Hashes of the word runs that start at ``first``, the same wherever they stand: each sum is divided by base ** start."""
     with np.errstate(over="ignore"):
-        at = np.arange(first, last + 1)
-        part = sums[at + window] - sums[at]
-        # divide by base ** start: multiply by the inverse's power
-        inverse = np.uint64(pow(_BASE[k], -1, 1 << 64))
-        start = np.uint64(pow(int(inverse), first, 1 << 64))
-        steps = np.cumprod(np.append(start, np.full(len(at) - 1, inverse, np.uint64)), dtype=np.uint64)
-        return mixed(part * steps + np.uint64(window), k).view(np.int64)
+        part = sums[first + length] - sums[first]
+        return mixed(part * _powers(len(sums), _INVERSE[k])[first] + np.asarray(length).astype(np.uint64), k).view(np.int64)
 
 
 def _trees(strips: DataFrame, window: int, batch_words: int = 1_500_000) -> DataFrame:
@@ -201,13 +202,14 @@ def remove_repeats(
     smallest = profile.where("doc is not null").groupBy("t1", "t2").agg(F.min("doc").alias("origin"))
     own = profile.where("size(prefix) > 0").join(smallest, ["t1", "t2"]).where("doc = origin")
     runs = stored(own.select("doc", "t1", F.inline(F.arrays_zip("prefix", "first", "last"))), "runs")
+    # tables of their own, so that Spark can split a crowded key in the joins with them
     suspect = runs.groupBy("prefix").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n")).where("low < high")
-    suspect = runs.join(suspect.select("prefix", (F.col("n") > crowd).alias("crowded")), "prefix")
+    suspect = runs.join(stored(suspect.select("prefix", (F.col("n") > crowd).alias("crowded")), "suspects"), "prefix")
     per_doc = suspect.groupBy("doc", "t1").agg(F.collect_list(F.struct("first", "last", "prefix", "crowded")).alias("runs"))
     once = docs.join(per_doc, ["doc", "t1"]).select("doc", "t1", "text", "runs")
     strips = stored(_strips(once, window), "strips")
 
-    seen = strips.groupBy("h1", "h2").agg(F.min("doc").alias("origin"))
+    seen = stored(strips.groupBy("h1", "h2").agg(F.min("doc").alias("origin")), "origins")
     seen = stored(strips.drop("body").join(seen, ["h1", "h2"]), "seen")
     whole = seen.where("doc > origin").select("doc", "t1", "first", "last")
     bodies = strips.where("body is not null").groupBy("prefix", "h1", "h2").agg(F.first("body").alias("body"))
