@@ -194,8 +194,8 @@ def find_leaks(
         at = np.flatnonzero(ids >= 0)
         if not len(at):
             return
-        for a in range(0, len(at), 50_000):  # rows of one half may fall into two parts, so they are added, not set
-            b = at[a : a + 50_000]
+        for a in range(0, len(at), 20_000):  # rows of one half may fall into two parts, so they are added, not set
+            b = at[a : a + 20_000]
             cut = np.flatnonzero(np.append(True, half[b][1:] != half[b][:-1]))
             sums[half[b][cut]] += np.add.reduceat(s.basis[ids[b]], cut, axis=0)
         last = np.zeros(first[-1], bool)
@@ -206,10 +206,17 @@ def find_leaks(
         best: dict[tuple[int, int], tuple[float, float, bool]] = {}
         for a in range(0, len(window), 2048):
             near_to = window[a : a + 2048] @ s.points.T
-            for k, p in np.argwhere(near_to >= cosine).tolist():
-                doc = int(np.searchsorted(first, a + k, side="right")) - 1
-                begin = (a + k - int(first[doc])) * HALF
-                shown, passage = docs_words[doc][begin : begin + 2 * HALF], s.texts[p]
+            at_window, at_passage = np.nonzero(near_to >= cosine)
+            at_doc = np.searchsorted(first, a + at_window, side="right") - 1
+            last_k = -1
+            for k, p, doc in zip(at_window.tolist(), at_passage.tolist(), at_doc.tolist(), strict=True):
+                if k != last_k:
+                    begin = (a + k - int(first[doc])) * HALF
+                    shown, last_k = docs_words[doc][begin : begin + 2 * HALF], k
+                    present = set(shown).__contains__
+                passage = s.texts[p]
+                if sum(map(present, passage)) < loose * len(passage):  # no common subsequence can be longer
+                    continue
                 if len(passage) < least_words:
                     share, answer = float(holds(shown, passage)), False
                     leak = share == 1
