@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -101,25 +101,32 @@ def gcd(a: str | Column, b: str | Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(93)), start, step, lambda s: s["a"])
 
 
+def _whole(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a DOUBLE; values without a fraction, infinities and NaN stay as they are."""
+    fractional = F.abs(c) < F.lit(2.0**52)  # false for NaN, which Spark orders above all numbers
+    return F.when(fractional, f(F.when(fractional, c)).cast("double")).otherwise(c)
+
+
 def floor(c: str | Column) -> Column:
-    return F.floor(col(c))
+    return _whole(col(c).cast("double"), F.floor)
 
 
 def ceil(c: str | Column) -> Column:
-    return F.ceil(col(c))
+    return _whole(col(c).cast("double"), F.ceil)
 
 
 def round_(c: str | Column, precision: int = 0, method: str = "upward") -> Column:
     """Round; a half goes ``upward`` (default), ``downward``, ``towards_zero`` or ``away_from_zero``."""
-    scaled = col(c) * F.lit(10.0**precision)
-    low, high = F.floor(scaled + 0.5), F.ceil(scaled - 0.5)
+    c = col(c).cast("double")
+    scaled = c * F.lit(10.0**precision)
+    low, high = _whole(scaled, lambda x: F.floor(x + 0.5)), _whole(scaled, lambda x: F.ceil(x - 0.5))
     chosen = {
         "upward": low,
         "downward": high,
         "towards_zero": F.when(scaled > 0, high).otherwise(low),
         "away_from_zero": F.when(scaled > 0, low).otherwise(high),
     }[method]
-    return chosen / F.lit(10.0**precision)
+    return F.when(F.abs(scaled) < F.lit(2.0**52), chosen / F.lit(10.0**precision)).otherwise(c)
 
 
 def divide(a: str | Column, b: str | Column) -> Column:

@@ -117,10 +117,11 @@ def regex_replace(
     flag = "(?i)" if caseless else ""
     if every:
         return F.regexp_replace(col(c), f"{flag}{pattern}", _java_groups(replacement))
-    shifted = re.sub(r"\\(\d)", lambda m: f"\\{int(m[1]) + 1}", replacement)
+    # the text before the match is group 1, so the pattern's own groups move up by one
+    later = lambda s: re.sub(r"(\\\\)|\\([1-9])", lambda m: m[1] or f"\\{int(m[2]) + 1}", s)
     groups = re.compile(pattern).groups
     return F.regexp_replace(
-        col(c), f"(?s){flag}^(.*?){pattern}(.*)$", "$1" + _java_groups(shifted) + f"${groups + 2}"
+        col(c), f"{flag}^([\\s\\S]*?)(?:{later(pattern)})([\\s\\S]*)$", "$1" + _java_groups(later(replacement)) + f"${groups + 2}"
     )
 
 

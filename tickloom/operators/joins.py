@@ -24,6 +24,15 @@ US, RANK, ROW, SRC = f"{TMP}us", f"{TMP}rank", f"{TMP}row", f"{TMP}src"
 # ---------------------------------------------------------------------------
 
 
+def _pairs_all(joined: DataFrame) -> bool:
+    """Whether Spark plans the join at the top as a comparison of all pairs."""
+    try:
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+    except AttributeError:  # no local plan (Spark Connect)
+        return False
+    return plan.lstrip("*( 0123456789)").startswith(("BroadcastNestedLoopJoin", "CartesianProduct"))
+
+
 def join(
     left: DataFrame,
     right: DataFrame,
@@ -43,6 +52,8 @@ def join(
     clash = [c for c in right.columns if c in left.columns and c not in keys]
     renamed = right.withColumnsRenamed({c: f"{rprefix}_{c}" for c in clash})
     out = left.join(renamed, on, how)
+    if isinstance(on, Column) and _pairs_all(out):
+        raise ValueError("the condition needs at least one equality between the two sides")
     if typed_defaults and how == "left_outer":
         out = fill_typed(out, [c for c in renamed.columns if c not in keys])
     return out

@@ -233,15 +233,17 @@ def corp_actions(
 ) -> Series:
     """Adjust prices (times) or sizes (divided) by the product of factors dated after the tick.
 
-    Factors in ``(t, adjustment]`` apply; ``kinds`` restricts them to some action types.
+    Factors in ``(t, adjustment]`` apply; ``kinds`` restricts them to some action types.  A factor
+    that is missing or not positive is an error.
     """
     if adjust_rule not in ("PRICE", "SIZE"):
         raise ValueError("adjust_rule is 'PRICE' or 'SIZE'")
     until = source.end_us if adjustment is None else literal_micros(adjustment)
-    due = factors.df.where((factors.us <= until) & (col(factor) > 0))
+    due = factors.df.where(factors.us <= until)
     if kinds is not None:
         due = due.where(col(kind).isin(list(kinds)))
-    later = {f"{TMP}ln": Fold("sum", F.ln(col(factor)))}
+    wrong = F.raise_error(F.lit(f"corp_actions: {factor} must be positive")).cast("double")
+    later = {f"{TMP}ln": Fold("sum", F.ln(F.when(col(factor) > 0, col(factor)).otherwise(wrong)))}
     got = _against_right(source, factors.using(due), later, factors.us, inclusive=False, reverse=True)
     product = F.exp(F.coalesce(F.col(f"{TMP}ln"), F.lit(0.0)))
     scale = (lambda c: col(c) * product) if adjust_rule == "PRICE" else (lambda c: col(c) / product)

@@ -371,9 +371,12 @@ def qcut(df: DataFrame, c: str, q: int, labels: Sequence[str] | None = None) ->
 
     def edge(k: int) -> Column:
         position = F.ceil(F.col("total") * k / q) - 1
-        return d.where((F.col("before") <= position) & (position < F.col("before") + F.col("n"))).select(c).scalar()
-
-    out = F.when(col(c) <= edge(1), F.lit(names[0]))
-    for k in range(2, q):
-        out = out.when(col(c) <= edge(k), F.lit(names[k - 1]))
+        here = (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
+        return F.max(F.when(here, col(c))).alias(f"e{k}")
+
+    # all edges from one pass over the distribution
+    edges = d.agg(F.struct(*[edge(k) for k in range(1, q)]).alias("edges")).scalar() if q > 1 else None
+    out = F.when(F.lit(False), F.lit(names[0]))
+    for k in range(1, q):
+        out = out.when(col(c) <= edges[f"e{k}"], F.lit(names[k - 1]))
     return out.when(col(c).isNotNull(), F.lit(names[q - 1]))

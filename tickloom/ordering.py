@@ -20,8 +20,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickloom.core import TMP, Series, col
+from tickloom.core import TMP, Series, col, micros
 
 KINDS = ("sum", "min", "max", "first", "last")
 
@@ -91,17 +92,16 @@ def _every_column(df: DataFrame) -> Column:
 def _rejoin(df: DataFrame, local: DataFrame, carries: DataFrame, shared: bool) -> DataFrame:
     """Give each row the carry of its slice.
 
-    Spark reuses an exchange only between identical subplans.  When the branches share one,
-    both must need the same columns of it: each row's hash is compared with its slice's
-    largest one, which always holds and depends on every column.
+    Every row is kept, whatever the other branch saw.  Spark reuses an exchange only between
+    identical subplans, so both branches must need the same columns of it: two further
+    conditions, which hold for all rows, mention each row's hash and its slice's largest one.
     """
     other, high = f"{TMP}at_", f"{TMP}high"
     carries = carries.withColumnRenamed(AT, other)
     if not shared:
         return local.join(carries, F.col(AT) == F.col(other), "left")
-    return local.withColumn(f"{TMP}hash", _every_column(df)).join(
-        carries, (F.col(AT) == F.col(other)) & (F.col(f"{TMP}hash") <= F.col(high))
-    )
+    needed = (F.col(f"{TMP}hash") >= F.lit(-(2**63))) & F.col(high).isNotNull()
+    return local.withColumn(f"{TMP}hash", _every_column(df)).join(carries, (F.col(AT) == F.col(other)) & needed, "left")
 
 
 def running(
@@ -233,20 +233,21 @@ def shift(
 # ---------------------------------------------------------------------------
 
 
-def value_slice(value: Column, per_octave: int = 4096) -> Column:
+def value_slice(value: Column, kind: T.DataType, per_octave: int = 4096) -> Column:
     """A slice number that never decreases with the value and needs no statistics.
 
-    Logarithmic cells, so that values of every magnitude spread over many slices.
+    Logarithmic cells, so that numbers of every magnitude spread over many slices; NaN is above all numbers.
+    Texts go by their first two characters.
     """
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
+        v = value
+        return F.ascii(v).cast("long") * F.lit(1 << 21) + F.ascii(F.substring(v, 2, 1))
+    if isinstance(kind, (T.DateType, T.TimestampNTZType, T.TimestampType)):
+        value = micros(value.cast("timestamp_ntz"))
     v = value.cast("double")
-    return F.floor(F.signum(v) * F.log2(F.abs(v) + 1) * per_octave)
-
-
-def _has_large_group(df: DataFrame, groups: Sequence[str], rows: int) -> bool:
-    """Whether some group holds more rows than one task should sort (one pass over the group columns)."""
-    if not groups:
-        return True
-    return not df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows).isEmpty()
+    cell = F.floor(F.signum(v) * F.log2(F.abs(v) + 1) * per_octave)
+    top = F.lit(2**62)
+    return F.when(F.isnan(v) | (v == float("inf")), top).when(v == float("-inf"), -top).otherwise(cell)
 
 
 def distribution(
@@ -254,14 +255,12 @@ def distribution(
     groups: Sequence[str],
     values: Sequence[str],
     descending: Sequence[bool] | None = None,
-    rows_per_task: int = 1_000_000,
 ) -> DataFrame:
     """Per (group, distinct values): the count ``n``, the rows ``before`` it and the group's ``total``.
 
     Order is lexicographic over ``values``.  Rows are first reduced to distinct values with
-    counts.  If some group is large, they are positioned inside slices of the first value, so
-    that no task holds a whole group; the per-slice totals that are folded over a group are
-    few, 4096 per power of two.
+    counts.  These are positioned inside slices of the first value, so that no task holds a
+    whole group; the per-slice totals that are folded over a group are few, 4096 per power of two.
     """
     desc = list(descending or [False] * len(values))
     s = f"{TMP}vslice"
@@ -272,27 +271,21 @@ def distribution(
     known = df.where(col(values[0]).isNotNull())
     counts = known.groupBy(*groups, *values).agg(F.count(F.lit(1)).alias("n"))
     by_value = [ordered(v, d) for v, d in zip(values, desc)]
-    if not _has_large_group(df, groups, rows_per_task):
-        earlier = Window.partitionBy(*groups).orderBy(*by_value).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.select(
-            *groups,
-            *values,
-            "n",
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
-            F.sum("n").over(Window.partitionBy(*groups)).alias("total"),
-        )
-    counts = counts.withColumn(s, value_slice(col(values[0])))
+    counts = counts.withColumn(s, value_slice(col(values[0]), counts.schema[values[0]].dataType))
     per_slice = counts.groupBy(*groups, s).agg(F.sum("n").alias(f"{TMP}n"))
     in_order = Window.partitionBy(*groups).orderBy(ordered(s, desc[0])).rowsBetween(Window.unboundedPreceding, -1)
     carries = per_slice.select(
-        *groups,
-        s,
+        *[col(g).alias(f"{TMP}g{i}") for i, g in enumerate(groups)],
+        F.col(s).alias(f"{TMP}slice_of"),
         F.coalesce(F.sum(f"{TMP}n").over(in_order), F.lit(0)).alias(f"{TMP}carry"),
         F.sum(f"{TMP}n").over(Window.partitionBy(*groups)).alias("total"),
     )
+    same = F.col(s) == F.col(f"{TMP}slice_of")
+    for i, g in enumerate(groups):  # a group may be NULL
+        same = same & col(g).eqNullSafe(F.col(f"{TMP}g{i}"))
     inside = Window.partitionBy(*groups, s).orderBy(*by_value).rowsBetween(Window.unboundedPreceding, -1)
     return (
         counts.withColumn(f"{TMP}here", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(carries, [*groups, s])
+        .join(carries, same)
         .select(*groups, *values, "n", (F.col(f"{TMP}here") + F.col(f"{TMP}carry")).alias("before"), "total")
     )

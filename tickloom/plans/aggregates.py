@@ -90,14 +90,13 @@ def _(spark, sf):
 
 
 @query("agg_groups_display_all", f"""
-WITH x AS (SELECT *, (epoch_us(ts) - {S0}) // {H6} AS b FROM events WHERE value > 20),
+WITH x AS (SELECT *, (epoch_us(ts) - {S0}) // {H6} AS b FROM events),
      g AS (SELECT event_type, user_id, min(b) since FROM x GROUP BY 1, 2), d AS (SELECT unnest(range(0, 120)) AS b),
      a AS (SELECT user_id, event_type, b, count(*) n FROM x GROUP BY 1, 2, 3)
 SELECT g.user_id, g.event_type, make_timestamp({S0} + (d.b + 1) * {H6}) AS ts, coalesce(a.n, 0)::BIGINT AS n
 FROM g JOIN d ON d.b >= g.since LEFT JOIN a ON a.user_id = g.user_id AND a.event_type = g.event_type AND a.b = d.b""")
 def _(spark, sf):
     s = events(spark, sf)
-    s = s.using(s.df.where(F.col("value") > 20))
     return ag.agg(s, {"n": ag.count()}, Buckets(6 * 3600), group_by=["event_type"]).df.select("user_id", "event_type", "ts", "n")
 
 
@@ -402,13 +401,13 @@ def _(spark, sf):
 
 @query("multi_portfolio_price", f"""
 WITH {TRADES_SQL}, {LAST_CARRIED}, m AS (SELECT c_custkey AS user_id, c_mktsegment AS p, c_nationkey - 12.0 AS wt FROM customer)
-SELECT b AS bucket, p AS PORTFOLIO_NAME, {R('sum(l * wt) / sum(abs(wt))')} AS VALUE, count(l) AS NUM_SYMBOLS FROM j JOIN m USING (user_id) WHERE l IS NOT NULL AND wt > 0 GROUP BY 1, 2""")
+SELECT b AS bucket, p AS PORTFOLIO_NAME, {R('coalesce(sum(l * wt) FILTER (wt > 0) / sum(abs(wt)) FILTER (wt > 0), -1)')} AS VALUE, count(l) FILTER (wt > 0) AS NUM_SYMBOLS FROM j JOIN m USING (user_id) WHERE l IS NOT NULL GROUP BY 1, 2""")
 def _(spark, sf):
     members = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("PORTFOLIO_NAME"), (F.col("c_nationkey") - 12.0).alias("WEIGHT"))
-    members = members.where(F.col("WEIGHT") > 0)
     out = st.multi_portfolio_price(trades(spark, sf), members, side="long", weight_type="relative", buckets=Buckets(86400))
-    return out.select(F.col(BUCKET).alias("bucket"), "PORTFOLIO_NAME", r("VALUE").alias("VALUE"), "NUM_SYMBOLS")
+    value = F.coalesce("VALUE", F.lit(-1.0))  # a portfolio may hold nothing long
+    return out.select(F.col(BUCKET).alias("bucket"), "PORTFOLIO_NAME", r(value).alias("VALUE"), "NUM_SYMBOLS")
 
 
 @query("partition_evenly")

@@ -52,10 +52,10 @@ def _(spark, sf):
 
 @query("join_left_outer_defaults", """
 SELECT c_custkey, coalesce(o.n, 0)::BIGINT AS n, coalesce(o.last, '') AS last
-FROM customer LEFT JOIN (SELECT o_custkey, count(*) n, max(o_orderpriority) last FROM orders WHERE o_totalprice > 400000 GROUP BY 1) o ON o_custkey = c_custkey""")
+FROM customer LEFT JOIN (SELECT o_custkey, count(*) n, max(o_orderpriority) last FROM orders GROUP BY 1) o ON o_custkey = c_custkey""")
 def _(spark, sf):
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"))
-    o = table(spark, sf, "orders").where("o_totalprice > 400000").groupBy(F.col("o_custkey").alias("custkey")).agg(
+    o = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("custkey")).agg(
         F.count("*").alias("n"), F.max("o_orderpriority").alias("last"))
     return jn.join(c, o, ["custkey"], "left_outer", typed_defaults=True).withColumnRenamed("custkey", "c_custkey")
 
@@ -267,11 +267,11 @@ def _(spark, sf):
 
 
 @query("join_with_collection", """
-WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE value > 20 GROUP BY 1, 2)
+WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2)
 SELECT e.user_id, e.event_id, coalesce(c.n, 0)::BIGINT AS n FROM events e LEFT JOIN c ON e.user_id = c.user_id AND e.event_type = c.event_type""")
 def _(spark, sf):
     s = events(spark, sf)
-    c = s.df.where("value > 20").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+    c = s.df.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
     return jn.join_with_collection(s, c, ["user_id", "event_type"]).select("user_id", "event_id", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -183,30 +183,35 @@ def _(spark, sf):
 
 
 
+def _known(c):
+    """A rounded value; -1 where the trade has no quote or the order no fill."""
+    return r(F.coalesce(F.col(c), F.lit(-1.0)))
+
+
 def _buy():
     return F.col("event_id") % 2 == 0
 
 
-TQ = f"{TRADES_SQL}, {QUOTES_SQL}, j AS (SELECT t.*, q.BID_PRICE AS bid, q.ASK_PRICE AS ask, (q.BID_PRICE + q.ASK_PRICE) / 2 AS mid, CASE WHEN t.event_id % 2 = 0 THEN 1.0 ELSE -1.0 END AS sg FROM trades t ASOF JOIN quotes q ON t.user_id = q.user_id AND t.ts >= q.ts)"
+TQ = f"{TRADES_SQL}, {QUOTES_SQL}, j AS (SELECT t.*, q.BID_PRICE AS bid, q.ASK_PRICE AS ask, (q.BID_PRICE + q.ASK_PRICE) / 2 AS mid, CASE WHEN t.event_id % 2 = 0 THEN 1.0 ELSE -1.0 END AS sg FROM trades t ASOF LEFT JOIN quotes q ON t.user_id = q.user_id AND t.ts >= q.ts)"
 
 
-@query("recipe_arrival_prices", f"WITH {TQ} SELECT user_id, event_id, {R('bid')} AS bid, {R('ask')} AS ask, {R('mid')} AS mid FROM j")
+@query("recipe_arrival_prices", f"WITH {TQ} SELECT user_id, event_id, {R('coalesce(bid, -1)')} AS bid, {R('coalesce(ask, -1)')} AS ask, {R('coalesce(mid, -1)')} AS mid FROM j")
 def _(spark, sf):
-    df = rc.arrival_prices(trades(spark, sf), quotes(spark, sf)).df.where("ARRIVAL_BID IS NOT NULL")
-    return df.select("user_id", "event_id", r("ARRIVAL_BID").alias("bid"), r("ARRIVAL_ASK").alias("ask"), r("ARRIVAL_MID").alias("mid"))
+    df = rc.arrival_prices(trades(spark, sf), quotes(spark, sf)).df
+    return df.select("user_id", "event_id", _known("ARRIVAL_BID").alias("bid"), _known("ARRIVAL_ASK").alias("ask"), _known("ARRIVAL_MID").alias("mid"))
 
 
 @query("recipe_effective_spread", f"""
-WITH {TQ} SELECT user_id, event_id, {R('2 * sg * (PRICE - mid)')} AS es, {R('2 * sg * (PRICE - mid) * SIZE')} AS ns, {R('2 * sg * (PRICE - mid) / (ask - bid)')} AS etq, {R('sg * (PRICE - mid) / (ask - bid)')} AS n FROM j""")
+WITH {TQ} SELECT user_id, event_id, {R('coalesce(2 * sg * (PRICE - mid), -1)')} AS es, {R('coalesce(2 * sg * (PRICE - mid) * SIZE, -1)')} AS ns, {R('coalesce(2 * sg * (PRICE - mid) / (ask - bid), -1)')} AS etq, {R('coalesce(sg * (PRICE - mid) / (ask - bid), -1)')} AS n FROM j""")
 def _(spark, sf):
-    df = rc.effective_spread(trades(spark, sf), quotes(spark, sf), _buy()).df.where("MID IS NOT NULL")
-    return df.select("user_id", "event_id", r("EFFECTIVE_SPREAD").alias("es"), r("NOTIONAL_SPREAD").alias("ns"), r("ETQ").alias("etq"), r("NUM_SPREADS").alias("n"))
+    df = rc.effective_spread(trades(spark, sf), quotes(spark, sf), _buy()).df
+    return df.select("user_id", "event_id", _known("EFFECTIVE_SPREAD").alias("es"), _known("NOTIONAL_SPREAD").alias("ns"), _known("ETQ").alias("etq"), _known("NUM_SPREADS").alias("n"))
 
 
-@query("recipe_touch", f"WITH {TQ} SELECT user_id, event_id, {R('CASE WHEN sg > 0 THEN bid ELSE ask END')} AS near, {R('CASE WHEN sg > 0 THEN ask ELSE bid END')} AS far FROM j")
+@query("recipe_touch", f"WITH {TQ} SELECT user_id, event_id, {R('coalesce(CASE WHEN sg > 0 THEN bid ELSE ask END, -1)')} AS near, {R('coalesce(CASE WHEN sg > 0 THEN ask ELSE bid END, -1)')} AS far FROM j")
 def _(spark, sf):
-    df = rc.touch(trades(spark, sf), quotes(spark, sf), _buy()).df.where("MID IS NOT NULL")
-    return df.select("user_id", "event_id", r("NEAR_TOUCH").alias("near"), r("FAR_TOUCH").alias("far"))
+    df = rc.touch(trades(spark, sf), quotes(spark, sf), _buy()).df
+    return df.select("user_id", "event_id", _known("NEAR_TOUCH").alias("near"), _known("FAR_TOUCH").alias("far"))
 
 
 @query("recipe_window_quote", f"""
@@ -220,10 +225,10 @@ def _(spark, sf):
 
 @query("recipe_price_improvement", f"""
 WITH {TQ}, g AS (SELECT *, sg * (CASE WHEN sg > 0 THEN ask ELSE bid END - PRICE) AS gain FROM j)
-SELECT user_id, event_id, {R('greatest(gain, 0) * SIZE')} AS better, {R('greatest(-gain, 0) * SIZE')} AS offside FROM g""")
+SELECT user_id, event_id, {R('coalesce(CASE WHEN gain IS NULL THEN -1 ELSE greatest(gain, 0) * SIZE END, -1)')} AS better, {R('coalesce(CASE WHEN gain IS NULL THEN -1 ELSE greatest(-gain, 0) * SIZE END, -1)')} AS offside FROM g""")
 def _(spark, sf):
-    df = rc.price_improvement(trades(spark, sf), quotes(spark, sf), _buy()).df.where("MID IS NOT NULL")
-    return df.select("user_id", "event_id", r("IMPROVEMENT").alias("better"), r("OFFSIDE_VALUE").alias("offside"))
+    df = rc.price_improvement(trades(spark, sf), quotes(spark, sf), _buy()).df
+    return df.select("user_id", "event_id", _known("IMPROVEMENT").alias("better"), _known("OFFSIDE_VALUE").alias("offside"))
 
 
 @query("recipe_shortfall", f"""
@@ -251,27 +256,27 @@ def _(spark, sf):
 PWP = f"""{TRADES_SQL}, m AS (SELECT *, sum(SIZE) OVER w AS cv, sum(PRICE * SIZE) OVER w AS cn FROM trades WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
   o AS (SELECT user_id, event_id, ts, 5 AS qty FROM events WHERE event_type = 'signup'),
   b AS (SELECT o.*, coalesce(m.cv, 0) AS v0, coalesce(m.cn, 0) AS n0, coalesce(m.cv, 0) + 10.0 AS v1 FROM o ASOF LEFT JOIN m ON o.user_id = m.user_id AND o.ts > m.ts),
-  d AS (SELECT b.*, m.cv, m.cn, m.PRICE FROM b ASOF JOIN m ON b.user_id = m.user_id AND b.v1 <= m.cv),
+  d AS (SELECT b.*, m.cv, m.cn, m.PRICE FROM b ASOF LEFT JOIN m ON b.user_id = m.user_id AND b.v1 <= m.cv),
   pw AS (SELECT user_id, event_id, (cn - (cv - v1) * PRICE - n0) / (v1 - v0) AS pwp FROM d)"""
 
 
 def _pwp(spark, sf):
     s = events(spark, sf, "signup")
     o = s.using(s.df.select("user_id", "ts", "event_id", F.lit(5).cast("long").alias("QTY")))
-    return rc.participation_price(o, trades(spark, sf), 0.5).where("PWP IS NOT NULL")
+    return rc.participation_price(o, trades(spark, sf), 0.5)
 
 
-@query("recipe_participation_price", f"WITH {PWP} SELECT user_id, event_id, {R('pwp')} AS pwp FROM pw")
+@query("recipe_participation_price", f"WITH {PWP} SELECT user_id, event_id, {R('coalesce(pwp, -1)')} AS pwp FROM pw")
 def _(spark, sf):
-    return _pwp(spark, sf).select("user_id", "event_id", r("PWP").alias("pwp"))
+    return _pwp(spark, sf).select("user_id", "event_id", _known("PWP").alias("pwp"))
 
 
 @query("recipe_relative_performance", f"""
 WITH {PWP}, f AS (SELECT user_id, sum(PRICE * SIZE) / sum(SIZE) AS v FROM trades GROUP BY 1)
-SELECT user_id, event_id, {R('CASE WHEN event_id % 2 = 0 THEN 1.0 ELSE -1.0 END * (pwp - v) / pwp')} AS rpm FROM pw JOIN f USING (user_id)""")
+SELECT user_id, event_id, {R('coalesce(CASE WHEN event_id % 2 = 0 THEN 1.0 ELSE -1.0 END * (pwp - v) / pwp, -1)')} AS rpm FROM pw LEFT JOIN f USING (user_id)""")
 def _(spark, sf):
     df = rc.relative_performance(_pwp(spark, sf), ["user_id"], trades(spark, sf).df, _buy())
-    return df.select("user_id", "event_id", r("RPM").alias("rpm"))
+    return df.select("user_id", "event_id", _known("RPM").alias("rpm"))
 
 
 @query("recipe_volatility", f"""
@@ -289,5 +294,5 @@ def _(spark, sf):
 WITH {TQ}, a AS (SELECT j.*, q.BID_PRICE b2, q.ASK_PRICE a2 FROM j ASOF LEFT JOIN quotes q ON j.user_id = q.user_id AND j.ts + INTERVAL 1 DAY >= q.ts)
 SELECT user_id, event_id, CASE WHEN CASE WHEN sg > 0 THEN a2 > ask ELSE b2 < bid END THEN 1 ELSE 0 END::BIGINT AS ok FROM a""")
 def _(spark, sf):
-    df = rc.takeout_success(trades(spark, sf), quotes(spark, sf), _buy(), DAY).df.where("MID IS NOT NULL")
+    df = rc.takeout_success(trades(spark, sf), quotes(spark, sf), _buy(), DAY).df
     return df.select("user_id", "event_id", F.col("SUCCESS").alias("ok"))

@@ -119,8 +119,8 @@ def price_improvement(trades: Series, quotes: Series, buy: Column) -> Series:
     return q.using(
         q.df.withColumns(
             {
-                "IMPROVEMENT": F.greatest(gain, F.lit(0.0)) * col("SIZE"),
-                "OFFSIDE_VALUE": F.greatest(-gain, F.lit(0.0)) * col("SIZE"),
+                "IMPROVEMENT": F.when(gain > 0, gain).when(gain <= 0, F.lit(0.0)) * col("SIZE"),
+                "OFFSIDE_VALUE": F.when(gain < 0, -gain).when(gain >= 0, F.lit(0.0)) * col("SIZE"),
             }
         )
     )

@@ -58,9 +58,14 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], aggs: Mappin
     return out.select(*keys, F.col(f"{TMP}w.start").alias("session_start"), F.col(f"{TMP}w.end").alias(ts), *aggs)
 
 
-def deduplicate(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Keep the first copy of each tick that arrives within the watermark delay."""
-    return df.dropDuplicatesWithinWatermark(list(columns))
+def deduplicate(df: DataFrame, columns: Sequence[str], within_watermark: bool = False) -> DataFrame:
+    """Keep the first copy of each tick, however late the others come, as in batch.
+
+    The state then holds every distinct value of ``columns``; naming the watermarked time among them lets
+    Spark forget values behind the watermark.  ``within_watermark`` bounds the state by the delay
+    instead, and copies further apart than the delay all pass.
+    """
+    return df.dropDuplicatesWithinWatermark(list(columns)) if within_watermark else df.dropDuplicates(list(columns))
 
 
 def discover_symbols(df: DataFrame, key: str) -> DataFrame:
