@@ -393,11 +393,12 @@ def _(spark, sf):
     return sc.eval_symbols(s, s.df.where("value > 100")).df.select("event_id", "user_id")
 
 
-@query("symbol_params", f"SELECT e.event_id, c.c_mktsegment, {R('e.value * c.c_acctbal', 2)} AS weighted FROM events e JOIN customer c ON c.c_custkey = e.user_id")
+@query("symbol_params", f"SELECT e.event_id, coalesce(c.c_mktsegment, 'none') AS c_mktsegment, {R('e.value * coalesce(c.c_acctbal, 0)', 2)} AS weighted FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id")
 def _(spark, sf):
     params = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment", "c_acctbal")
-    out = sc.with_symbol_params(events(spark, sf), params).df.where("c_mktsegment IS NOT NULL")
-    return out.select("event_id", "c_mktsegment", r(F.col("value") * F.col("c_acctbal"), 2).alias("weighted"))
+    out = sc.with_symbol_params(events(spark, sf), params).df
+    balance = F.coalesce("c_acctbal", F.lit(0.0))
+    return out.select("event_id", F.coalesce("c_mktsegment", F.lit("none")).alias("c_mktsegment"), r(F.col("value") * balance, 2).alias("weighted"))
 
 
 @query("sql_text", "SELECT user_id, event_type, count(*) AS n, max(value) AS hi FROM events GROUP BY user_id, event_type")

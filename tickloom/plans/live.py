@@ -12,6 +12,7 @@ from tickloom.core import DAY
 from tickloom.plans.registry import R, query, r
 from tickloom.streaming import stream as ss
 
+HEARTBEAT = "2200-01-01 00:00:00"
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
@@ -24,8 +25,16 @@ def shared_dir(spark: SparkSession) -> str:
 def source(spark: SparkSession, sf: str, kind: str | None = None) -> DataFrame:
     from pyspark.sql import types as T
 
-    reader = spark.readStream.schema(T._parse_datatype_string(SCHEMA)).option("pathGlobFilter", "events.parquet")
-    df = reader.parquet(sf).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "0 seconds")
+    schema = T._parse_datatype_string(SCHEMA)
+    df = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # one tick after all others closes what is still open: buckets, sessions, ticks held back for order
+    end = f"{shared_dir(spark)}/heartbeat"
+    spark.sql(f"SELECT timestamp_ntz'{HEARTBEAT}' AS ts").select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).write.parquet(end)
+    df = df.unionByName(spark.readStream.schema(schema).parquet(end))
+    df = df.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "0 seconds")
+    # conditions on the watermarked time stay above the watermark, and so does what is asked of the event type later
+    live = F.col("ts") < F.lit(HEARTBEAT).cast("timestamp")
+    df = df.where(live).withColumn("event_type", F.when(live, F.col("event_type")))
     return df if kind is None else df.where(F.col("event_type") == kind)
 
 
@@ -48,35 +57,30 @@ def ntz(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
-CLOSED = "(SELECT max(ts) FROM events)"
-RELEASED = "(SELECT epoch_us(max(ts)) // 1000 * 1000 FROM events)"
-
-
 @query("stream_pass_through", "SELECT event_id, value FROM events WHERE value > 10")
 def _(spark, sf):
     return drain(spark, source(spark, sf).where("value > 10").select("event_id", "value"))
 
 
 @query("stream_tumbling", f"""
-SELECT user_id, date_trunc('day', ts) + INTERVAL 1 DAY AS ts, count(*) AS n, {R('sum(value)')} AS s FROM events GROUP BY 1, 2
-HAVING date_trunc('day', max(ts)) + INTERVAL 1 DAY <= {CLOSED}""")
+SELECT user_id, date_trunc('day', ts) + INTERVAL 1 DAY AS ts, count(*) AS n, {R('sum(value)')} AS s FROM events GROUP BY 1, 2""")
 def _(spark, sf):
     out = ss.tumbling(source(spark, sf), "ts", "1 day", ["user_id"], {"n": F.count("*"), "s": F.sum("value")})
     return ntz(drain(spark, out), "ts").select("user_id", "ts", "n", r("s").alias("s"))
 
 
-@query("stream_hopping", f"""
+@query("stream_hopping", """
 WITH w AS (SELECT user_id, value, date_trunc('day', ts) + INTERVAL 1 DAY * k AS e FROM events, (VALUES (1), (2)) AS t(k))
-SELECT user_id, e AS ts, count(*) AS n, max(value) AS hi FROM w WHERE e <= {CLOSED} GROUP BY 1, 2""")
+SELECT user_id, e AS ts, count(*) AS n, max(value) AS hi FROM w GROUP BY 1, 2""")
 def _(spark, sf):
     out = ss.hopping(source(spark, sf), "ts", "2 days", "1 day", ["user_id"], {"n": F.count("*"), "hi": F.max("value")})
     return ntz(drain(spark, out), "ts").select("user_id", "ts", "n", "hi")
 
 
-@query("stream_sessions", f"""
+@query("stream_sessions", """
 WITH x AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) p FROM events),
      y AS (SELECT *, sum(CASE WHEN ts >= p + INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) b FROM x)
-SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS ts, count(*) AS n FROM y GROUP BY user_id, b HAVING max(ts) + INTERVAL 6 HOUR <= {CLOSED}""")
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS ts, count(*) AS n FROM y GROUP BY user_id, b""")
 def _(spark, sf):
     out = ss.sessions(source(spark, sf), "ts", "6 hours", ["user_id"], {"n": F.count("*")})
     return ntz(drain(spark, out), "ts", "session_start").select("user_id", "session_start", "ts", "n")
@@ -103,10 +107,10 @@ def _(spark, sf):
     return drain(spark, out)
 
 
-@query("stream_enrich", "SELECT e.event_id, c.c_mktsegment FROM events e JOIN customer c ON c.c_custkey = e.user_id")
+@query("stream_enrich", "SELECT e.event_id, coalesce(c.c_mktsegment, 'none') AS c_mktsegment FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id")
 def _(spark, sf):
     c = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
-    return drain(spark, ss.enrich(source(spark, sf), c, ["user_id"]).where("c_mktsegment IS NOT NULL").select("event_id", "c_mktsegment"))
+    return drain(spark, ss.enrich(source(spark, sf), c, ["user_id"]).select("event_id", F.coalesce("c_mktsegment", F.lit("none")).alias("c_mktsegment")))
 
 
 @query("stream_snapshot", """
@@ -118,9 +122,9 @@ def _(spark, sf):
     return ss.read_snapshot(spark, f"{base}/snapshot").select("user_id", "event_id", "value")
 
 
-@query("stream_asof", f"""
+@query("stream_asof", """
 WITH b AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'purchase'), v AS (SELECT user_id, ts, value FROM events WHERE event_type = 'view')
-SELECT b.user_id, b.event_id, b.ts, coalesce(v.value, -1.0) AS value FROM b ASOF LEFT JOIN v ON b.user_id = v.user_id AND b.ts >= v.ts WHERE epoch_us(b.ts) <= {RELEASED}""")
+SELECT b.user_id, b.event_id, b.ts, coalesce(v.value, -1.0) AS value FROM b ASOF LEFT JOIN v ON b.user_id = v.user_id AND b.ts >= v.ts""")
 def _(spark, sf):
     df = source(spark, sf)
     out = ss.asof_join_marked(df, ["user_id"], "ts", "event_id", "value", F.col("event_type") == "purchase", F.col("event_type") == "view")
@@ -130,14 +134,14 @@ def _(spark, sf):
 @query("stream_sliding_sum", f"""
 WITH x AS (SELECT *, epoch_us(ts) AS us FROM events)
 SELECT user_id, event_id, {R(f'sum(value) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN {DAY - 1} PRECEDING AND CURRENT ROW)')} AS s,
-       count(*) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN {DAY - 1} PRECEDING AND CURRENT ROW) AS n FROM x QUALIFY us <= {RELEASED}""")
+       count(*) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN {DAY - 1} PRECEDING AND CURRENT ROW) AS n FROM x""")
 def _(spark, sf):
     out = ss.sliding_sum(source(spark, sf), ["user_id"], "ts", "event_id", "value", DAY)
     return drain(spark, out).select("user_id", "event_id", r("total").alias("s"), "n")
 
 
-@query("stream_state", f"""
-SELECT user_id, event_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS state FROM events QUALIFY epoch_us(ts) <= {RELEASED}""")
+@query("stream_state", """
+SELECT user_id, event_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS state FROM events""")
 def _(spark, sf):
     out = ss.running_state(source(spark, sf), ["user_id"], "ts", "event_id", "value", max, 0.0)
     return drain(spark, out).select("user_id", "event_id", "state")
