@@ -88,8 +88,9 @@ def components(edges: DataFrame, name: str = "component") -> DataFrame:
             both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("other")), "b")
             .join(labels.select(F.col("node").alias("a"), "label"), "a")
         )
-        # what a label should point to: the smallest label beside any of its nodes
-        hooks = near.groupBy("label").agg(F.min("other").alias("lower")).where("lower < label")
+        # what a label should point to: the smallest label beside any of its nodes; a table, so that Spark can split
+        # the join below where one label has very many nodes
+        hooks = stored(near.groupBy("label").agg(F.min("other").alias("lower")).where("lower < label"), "hooks")
         moved = labels.join(hooks, "label", "left").select(
             "node", "label", F.coalesce("lower", "label").alias("next")
         )

@@ -189,7 +189,8 @@ def _postings(docs: DataFrame, size: int, percent: int, rarity: np.ndarray) -> D
 def _with_company(lists: DataFrame) -> DataFrame:
     """Lists of at least two nodes."""
     shared = lists.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    return lists.join(shared.select("shingle"), "shingle", "left_semi")
+    # a table of its own, so that Spark can split a crowded list in the join
+    return lists.join(stored(shared.select("shingle"), "shared"), "shingle", "left_semi")
 
 
 def _links(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataFrame:

@@ -34,7 +34,7 @@ class ChunkEncoder:
     Remembers the ids of up to ``limit`` pieces.
     """
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 1_100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
