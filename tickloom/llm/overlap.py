@@ -17,7 +17,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,6 +80,11 @@ class Index:
 
 def connect(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that join each connected component of these documents: one fewer than it has documents."""
+    if len(sets) < 3:  # a pair needs no index
+        if len(sets) < 2 or not (len(sets[0]) and len(sets[1])):
+            return []
+        both = len(np.intersect1d(*sets, assume_unique=True))
+        return [(0, 1)] if 100 * both >= percent * (len(sets[0]) + len(sets[1]) - both) else []
     index, open_ = Index(sets), np.ones(len(sets), bool)
     links = []
     for start in range(len(sets)):
@@ -103,13 +107,13 @@ def _profile(docs: DataFrame, size: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(buckets, np.int64)
         for batch in batches:
-            rows = []
+            rows, cells = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = shingles(text, size)
-                counts += np.bincount((s % np.uint64(buckets)).astype(np.int64), minlength=buckets) if len(s) > buckets else 0
-                if 0 < len(s) <= buckets:
-                    np.add.at(counts, (s % np.uint64(buckets)).astype(np.int64), 1)
+                cells.append((s & np.uint64(buckets - 1)).astype(np.int32))
                 rows.append((doc, len(s), *_digest(s)))
+            if cells:
+                counts += np.bincount(np.concatenate(cells), minlength=buckets)
             d, n, d1, d2 = zip(*rows, strict=True) if rows else ([], [], [], [])
             none = pa.nulls(len(rows))
             yield pa.RecordBatch.from_arrays(
@@ -170,7 +174,7 @@ def _postings(docs: DataFrame, size: int, percent: int, rarity: np.ndarray) -> D
                 if len(seen) < 1_000_000:
                     seen[who] = doc
                 short = len(s) - -(-percent * len(s) // 100) + 1
-                order = (rank[(s % np.uint64(len(rank))).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
+                order = (rank[(s & np.uint64(len(rank) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
                 first = np.argsort(order)[: short - 1 + max(1, len(s) // 10)]
                 keys.append(s[first])
                 flags.append(np.arange(len(first)) < short)
@@ -196,14 +200,24 @@ def _with_company(lists: DataFrame) -> DataFrame:
 def _links(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) inside each group (center, block, node)."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node", kind="stable")
-        ids = rows["node"].to_numpy()
-        links = connect([shingles(t, size) for t in rows["text"]], percent)
-        return pd.DataFrame([(ids[x], ids[y]) for x, y in links], columns=["a", "b"], dtype="int64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # groups follow each other; only one is held, as sets
+        key, ids, sets = None, [], []
+        out: list[tuple[int, int]] = []
+        for batch in batches:
+            for *here, node, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if here != key:
+                    out.extend((ids[x], ids[y]) for x, y in connect(sets, percent))
+                    key, ids, sets = here, [], []
+                ids.append(node)
+                sets.append(shingles(text, size))
+        out.extend((ids[x], ids[y]) for x, y in connect(sets, percent))
+        a, b = zip(*out, strict=True) if out else ([], [])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    texts = groups.join(docs.select(F.col("doc_id").alias("node"), "text"), "node")
-    return texts.groupBy("center", "block").applyInPandas(run, "a long, b long")
+    texts = groups.join(docs.select(F.col("doc_id").alias("node"), "text"), "node").select("center", "block", "node", "text")
+    whole = texts.repartition("center", "block").sortWithinPartitions("center", "block", "node")
+    return whole.mapInArrow(run, "a long, b long")
 
 
 def near_groups(
@@ -225,7 +239,7 @@ def near_groups(
     same_set = facts.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
     lists = _postings(docs, size, percent, _rarity(profile, buckets)).repartition("shingle")
     lists = lists.groupBy("shingle", "n", "d1", "d2").agg(F.min("doc_id").alias("node"), F.first("short").alias("short"))
-    lists = stored(_with_company(lists.drop("d1", "d2")), "lists")
+    lists = stored(_with_company(stored(lists.drop("d1", "d2"), "all-lists")), "lists")
     # a partner has at least T words, so at least max(1, T // 10) lists are common
     least = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100 - 1e-9) / 10).cast("long")
     for _ in range(2):
