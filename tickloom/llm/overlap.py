@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import WordHashes, components, grams, mixed, stored
@@ -239,7 +239,10 @@ def near_groups(
     same_set = facts.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
     lists = _postings(docs, size, percent, _rarity(profile, buckets)).repartition("shingle")
     lists = lists.groupBy("shingle", "n", "d1", "d2").agg(F.min("doc_id").alias("node"), F.first("short").alias("short"))
-    lists = stored(_with_company(stored(lists.drop("d1", "d2"), "all-lists")), "lists")
+    # in the partitions that the lists are in already: one shuffle of all lists, and those of one document end here
+    whole = Window.partitionBy("shingle")
+    lists = lists.withColumns({"low": F.min("node").over(whole), "high": F.max("node").over(whole)}).where("low < high")
+    lists = stored(lists.drop("d1", "d2", "low", "high"), "lists")
     # a partner has at least T words, so at least max(1, T // 10) lists are common
     least = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100 - 1e-9) / 10).cast("long")
     for _ in range(2):
