@@ -12,7 +12,7 @@ from tickloom.llm.queries import vocabulary
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
-    model = quality.fit(docs.select("doc_id", "text").join(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id"))
+    model = quality.fit(quality.with_labels(docs, table(spark, sf_dir, "labels")))
     return quality.judge(docs, model, host="source", path="lang").where("verdict.keep").select(docs.columns)
 
 

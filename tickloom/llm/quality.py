@@ -112,6 +112,13 @@ def _telling(sets: list[set[str]], y: np.ndarray, count: dict[str, int], least:
     return sorted(best, key=lambda w: (-best[w], w))
 
 
+def with_labels(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sample: int = 8000) -> DataFrame:
+    """(text, quality, toxic) of at most ``sample`` rows of labels, those whose ids have the smallest hashes; so few that every task can get them."""
+    known = labels.where(F.col(doc_id).isNotNull() & (F.col("quality").isNotNull() | F.col("toxic").isNotNull()))
+    picked = known.select(doc_id, "quality", "toxic").orderBy(F.xxhash64(doc_id), doc_id, "quality", "toxic").limit(sample)
+    return docs.select(doc_id, text).join(F.broadcast(picked), doc_id).select(F.col(text).alias("text"), "quality", "toxic")
+
+
 def fit(labelled: DataFrame, *, sample: int = 8000, max_words: int = 20_000, min_docs: int = 4, rounds: int = 250) -> Classifier:
     """A classifier from rows (text, quality, toxic), of which at most ``sample``, those with the smallest hashes, are used.
 

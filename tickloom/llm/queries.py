@@ -57,7 +57,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that are kept, with what the classifier and the sites say; the host is the source, the path its language."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path"))
     labels = table(spark, sf_dir, "labels")
-    model = quality.fit(docs.join(labels, "doc_id"))
+    model = quality.fit(quality.with_labels(docs, labels))
     judged = quality.judge(docs, model, carry_text=False)
     return judged.where("verdict.keep").select("doc_id", "host", "path", "verdict.p_quality", "verdict.p_toxic", "verdict.quality", "verdict.toxic", "verdict.site_n")
 
