@@ -106,7 +106,7 @@ def usable(vectors: DataFrame, vec_id: str, vec: str) -> DataFrame:
 
 def nearest(
     vectors: DataFrame, *, vec_id: str = "vec_id", vec: str = "embedding", every: int = 20, k: int = 20, n_trees: int = 12, leaf_rows: int = 400,
-    open_leaves: int = 96, sample: int = 50_000, seed: int = 11, block: int = 4000,
+    open_leaves: int = 160, sample: int = 50_000, seed: int = 11, block: int = 4000,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the ``k`` nearest found for each row whose id is divisible by ``every``, against all rows.
 
