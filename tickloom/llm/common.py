@@ -38,21 +38,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-class WordHashes(dict):
+class WordHashes:
     """64-bit hashes of words (bytes), remembered up to ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
+    def __init__(self, limit: int = 800_000):
+        self.known: dict[bytes, int] = {}
         self.limit = limit
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.limit:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        if len(self.known) > self.limit:
+            self.known.clear()
+        new = set(words).difference(self.known)
+        self.known.update(zip(new, map(xxhash.xxh64_intdigest, new), strict=True))
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+
+
+#: ASCII white space (fixed values), and a random number for every other byte.
+_GAP = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BYTE = np.where(_GAP, 0, np.random.default_rng(20_240_229).integers(1, 2**64, 256, np.uint64)).astype(np.uint64)
+_BASE = 0xD6E8FEB86659FD93  # an odd number; fixed value
+_POWERS = [np.ones(1, np.uint64)]
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """The 64-bit hash of each word of a text (runs of bytes other than ASCII white space), in order, without a loop over words."""
+    raw = np.frombuffer(text, np.uint8)
+    gap = _GAP[raw]
+    start = np.flatnonzero(~gap & np.append(True, gap[:-1])[: len(gap)])
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    place = np.arange(start[0], len(raw)) - np.repeat(start, np.diff(np.append(start, len(raw))))
+    longest = int(place.max()) + 1
+    if len(_POWERS[0]) < longest:
+        size = max(4096, 1 << longest.bit_length())
+        _POWERS[0] = np.cumprod(np.append(np.uint64(1), np.full(size - 1, _BASE, np.uint64)), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        return mixed(np.add.reduceat(_BYTE[raw[start[0] :]] * _POWERS[0][place], start - start[0]))
 
 
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:

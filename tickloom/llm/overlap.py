@@ -21,17 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WordHashes, components, grams, mixed, stored
-
-_HASHES = WordHashes()
+from tickloom.llm.common import components, grams, mixed, stored, word_hashes
 
 
 def shingles(text: bytes | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of a text's runs of ``size`` words, A-Z lower-cased; of fewer words, the whole text is the only run."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    return np.unique(grams(_HASHES.of(words), min(size, len(words))))
+    words = word_hashes((text or b"").lower())
+    if not len(words):
+        return words
+    runs = np.sort(grams(words, min(size, len(words))))
+    return runs[np.append(True, runs[1:] != runs[:-1])]
 
 
 class Index:
@@ -130,8 +129,8 @@ def _profile(docs: DataFrame, size: int, buckets: int) -> DataFrame:
 
 
 def _digest(s: np.ndarray) -> tuple[int, int]:
-    with np.errstate(over="ignore"):
-        return tuple(int(mixed(s, k).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2))
+    m = mixed(s, 1)
+    return int(m.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(m, initial=np.uint64(0)).view(np.int64))
 
 
 def _rarity(profile: DataFrame, buckets: int) -> np.ndarray:

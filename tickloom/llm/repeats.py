@@ -18,9 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WordHashes, grams, mixed, stored
+from tickloom.llm.common import grams, mixed, stored, word_hashes
 
-_HASHES = WordHashes()
 _PLACE = np.uint64((1 << 28) - 1)
 
 
@@ -83,7 +82,7 @@ def _runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _prefixes(docs: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [anchors(_HASHES.of((t or b"").split()), window, gram) for t in batch.column(3).to_pylist()]
+            found = [anchors(word_hashes(t or b""), window, gram) for t in batch.column(3).to_pylist()]
             lists = [pa.array([x[k].view(np.int64) if k == 0 else x[k] for x in found], pa.list_(pa.int64())) for k in range(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=["doc", "t1", "t2", "prefix", "first", "last"])
 
@@ -100,7 +99,7 @@ def _strips(texts: DataFrame, window: int) -> DataFrame:
             for doc, t1, text, runs in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 words = text.split()
                 with np.errstate(over="ignore"):
-                    hashes = _HASHES.of(words)
+                    hashes = word_hashes(text)
                     sums = [np.append(np.uint64(0), np.cumsum(mixed(hashes, k) * _powers(len(words), _BASE[k]))) for k in (1, 2)]
                 thin = [(r["first"], r["last"], r["prefix"]) for r in runs if not r["crowded"]]
                 if thin:
