@@ -44,6 +44,8 @@ class Index:
         self.keys, self.first = np.unique(flat[order], return_index=True)
         self.last = np.append(self.first[1:], len(flat))
         self.sizes = sizes
+        # every entry as one number, list first, so that many lists can be probed in one go
+        self.entries = np.repeat(np.arange(len(self.keys)), self.last - self.first) * len(sets) + self.docs
 
     def search(self, x: np.ndarray, percent: int, open_: np.ndarray) -> np.ndarray:
         """Numbers of the documents marked in open_ whose overlap with x is at least ``percent`` % of the union (DivideSkip)."""
@@ -64,15 +66,15 @@ class Index:
         found, count = np.unique(np.sort(merged, kind="stable"), return_counts=True)
         keep = count >= need - n_long
         found, count = found[keep], count[keep]
-        for left, k in zip(range(len(long_), 0, -1), long_.tolist(), strict=True):
-            alive = count + left >= need
+        for a in range(0, len(long_), 64):
+            alive = count + len(long_) - a >= need
             if not alive.all():
                 found, count = found[alive], count[alive]
             if not len(found):
                 break
-            entries = self.docs[first[k] : last[k]]
-            place = np.minimum(np.searchsorted(entries, found), len(entries) - 1)
-            count = count + (entries[place] == found)
+            probe = (at[long_[a : a + 64], None] * len(self.sizes) + found).ravel()
+            place = np.minimum(np.searchsorted(self.entries, probe), len(self.entries) - 1)
+            count = count + (self.entries[place] == probe).reshape(-1, len(found)).sum(axis=0)
         union = len(x) + self.sizes[found] - count
         return found[100 * count >= percent * union]
 
