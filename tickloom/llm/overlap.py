@@ -216,7 +216,8 @@ def _links(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataF
         a, b = zip(*out, strict=True) if out else ([], [])
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    texts = groups.join(docs.select(F.col("doc_id").alias("node"), "text"), "node").select("center", "block", "node", "text")
+    # always the plan of large inputs, however few groups there are
+    texts = groups.join(docs.select(F.col("doc_id").alias("node"), "text").hint("merge"), "node").select("center", "block", "node", "text")
     whole = texts.repartition("center", "block").sortWithinPartitions("center", "block", "node")
     return whole.mapInArrow(run, "a long, b long")
 
