@@ -19,7 +19,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the lines of recurring templates."""
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    out = linetree.drop_templates(docs, carry=rest).withColumnRenamed("kept", "text").withColumn("n_chars", F.length("text").cast("long"))
+    out = linetree.drop_templates(docs, carry=rest, ranked=True).withColumnRenamed("kept", "text").withColumn("n_chars", F.length("text").cast("long"))
     return out.select(docs.columns)
 
 

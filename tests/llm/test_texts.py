@@ -126,3 +126,14 @@ def test_templates(frame, min_docs):
     assert next(r["kept"] for r in out if r["doc_id"] is None) == "page 1 of the common footer line here"
     assert sum(len(r["dropped"]) for r in out) > 20
     assert linetree.drop_templates(frame([])).count() == 0
+
+
+@pytest.mark.parametrize("n", [100, 2000])
+def test_fields_of_many_values_stay_fields(frame, n):
+    """Each value of both fields is in 20 of 2,000 texts, which is more than min_docs; another template shares the leaf."""
+    value = lambda k: "v" + "abcdefghij"[k % 10] + "abcdefghij"[k // 10]
+    line = lambda i: f"this page was last edited by {value(i % 100)} on behalf of {value(i * 7 // 100 % 100)} under the terms of the site"
+    docs = [(i, f"{line(i)}\nown {'x' * i}") for i in range(n)]
+    docs += [(n + i, f"this page was {' '.join('other' for _ in range(15))}\nmore {'x' * i}") for i in range(12)]
+    out = {r["doc_id"]: r["dropped"] for r in linetree.drop_templates(frame(docs), ranked=True).collect()}
+    assert [d for d in sorted(out) if out[d] != [0]] == [0, n]

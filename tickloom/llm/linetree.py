@@ -1,7 +1,7 @@
 """Operator 8: lines made from recurring templates, found with a log-template tree of fixed depth.
 
-The tree leads from a line's number of tokens over its first tokens (those with a digit count as variable) to a leaf.  In a leaf, a
-token that ``min_docs`` documents have at one place is part of a template; any other token there is a variable field.
+The tree leads from a line's number of tokens over its first tokens (those with a digit count as variable) to a leaf.  In a leaf, the
+tokens of a line that the most documents have at their places are its template; the others are variable fields (see ``ranked``).
 So each line has one template, whatever the order in which lines are seen, and everything is counted with
 grouped sums: no leaf is ever gathered in one task.
 """
@@ -45,12 +45,14 @@ def tokens(line: bytes) -> np.ndarray:
 
 def drop_templates(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", depth: int = 3, min_docs: int = 10, similarity: float = 0.8,
-    carry: tuple[str, ...] = (),
+    carry: tuple[str, ...] = (), ranked: bool = False,
 ) -> DataFrame:
     """doc_id, n_lines, dropped (line numbers from 0, in order), kept (the other lines) and the columns ``carry`` of every document.
 
     A template recurs when documents of at least ``min_docs`` different texts hold it and at least ``similarity`` of its tokens are
-    fixed.  Its lines are dropped from all documents but the one with the smallest doc_id that has it, so no content is lost
+    fixed.  ``ranked``: of the tokens that ``min_docs`` texts have at their place in the leaf, a line's fixed ones are the most frequent,
+    as many as ``similarity`` asks for and those as frequent as the last of them, so a field of many values stays a field however
+    many texts have each value.  Otherwise all of them are fixed, and such a field splits its template.  Its lines are dropped from all documents but the one with the smallest doc_id that has it, so no content is lost
     altogether.  Exact copies of a text count once.  Lines end at \\n; tokens are runs without ASCII white space; blank
     lines are kept and belong to no template.  Null texts count as empty (kept is null).  Rows with a null doc_id are kept whole and not
     counted; rows that repeat a doc_id are treated by their own texts.  Other columns are ignored; an empty table gives no rows.
@@ -104,11 +106,16 @@ def drop_templates(
     spelt = stored(spelt.dropDuplicates(["leaf", "line"]), "spelt")
     token = spelt.select("leaf", "line", "n", "first", F.posexplode("tokens").alias("at", "token"))
     fixed = token.where("token <> 0").groupBy("leaf", "at", "token").agg(F.sum("n").alias("docs")).where(F.col("docs") >= min_docs)
-    shape = token.join(fixed.select("leaf", "at", "token", F.lit(True).alias("fixed")), ["leaf", "at", "token"], "left").groupBy("leaf", "line", "n", "first").agg(
-        F.xxhash64(F.array_sort(F.collect_list(F.when(F.col("fixed"), F.struct("at", "token"))))).alias("template"),
-        F.avg(F.col("fixed").isNotNull().cast("int")).alias("share"),
+    shape = token.join(fixed, ["leaf", "at", "token"], "left").groupBy("leaf", "line", "n", "first").agg(
+        F.collect_list(F.when(F.col("docs").isNotNull(), F.struct("docs", "at", "token"))).alias("fixed"), F.count("*").alias("size"),
     )
-    shape = stored(shape.where(F.col("share") >= similarity), "templates")
+    asked_for = F.greatest(F.lit(1), F.ceil(F.col("size") * similarity - 1e-9)).cast("int")
+    shape = shape.where(F.size("fixed") >= asked_for)
+    if ranked:
+        shape = shape.withColumn("rarest", F.element_at(F.sort_array("fixed", asc=False), asked_for)["docs"])
+        shape = shape.withColumn("fixed", F.filter("fixed", lambda x: x["docs"] >= F.col("rarest")))
+    template = F.xxhash64(F.array_sort(F.transform("fixed", lambda x: F.struct(x["at"], x["token"])))).alias("template")
+    shape = stored(shape.select("leaf", "line", "n", "first", template), "templates")
     recurring = shape.groupBy("leaf", "template").agg(F.sum("n").alias("docs"), F.min("first").alias("keeper")).where(F.col("docs") >= min_docs)
     drop = shape.join(recurring, ["leaf", "template"]).select("line", "keeper")
     gone = lines.join(drop, "line").where("doc <> keeper").groupBy("doc", "t1").agg(F.collect_list("line").alias("gone"))
