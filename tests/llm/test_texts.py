@@ -137,3 +137,10 @@ def test_fields_of_many_values_stay_fields(frame, n):
     docs += [(n + i, f"this page was {' '.join('other' for _ in range(15))}\nmore {'x' * i}") for i in range(12)]
     out = {r["doc_id"]: r["dropped"] for r in linetree.drop_templates(frame(docs), ranked=True).collect()}
     assert [d for d in sorted(out) if out[d] != [0]] == [0, n]
+
+
+def test_lines_of_many_numbers_are_templates(frame):
+    docs = [(i, f"Version 2.0, January 2004\nPage {i} of 30\n2004 11\n{i} {i + 1}\nown {'x' * i}") for i in range(30)]
+    out = linetree.drop_templates(frame(docs), ranked=True).collect()
+    # numbers alone are dropped where they are the same
+    assert {r["doc_id"]: r["dropped"] for r in out} == {i: [0, 1, 2] if i else [] for i in range(30)}
