@@ -1,7 +1,10 @@
 """Chat formatting, quality, decontamination and lines."""
 
+import itertools
 import random
+import zlib
 
+import numpy as np
 import plain
 import pytest
 from plain import frame  # noqa: F401
@@ -144,3 +147,22 @@ def test_lines_of_many_numbers_are_templates(frame):
     out = linetree.drop_templates(frame(docs), ranked=True).collect()
     # numbers alone are dropped where they are the same
     assert {r["doc_id"]: r["dropped"] for r in out} == {i: [0, 1, 2] if i else [] for i in range(30)}
+
+
+def test_labelled_rows_that_share_a_word_are_all_used(spark):
+    common = min(("".join(x) for x in itertools.product("abcdefgh", repeat=4)), key=lambda w: zlib.crc32(w.encode()))
+    df = spark.createDataFrame([(d, f"{t} {common}", q, x, h, p) for d, t, q, x, h, p in labelled()], "doc_id long, text string, quality int, toxic int, host string, path string")
+    out = quality.judge(df, quality.fit(df.where("doc_id % 2 = 0"))).where("doc_id % 2 = 1").select("quality", "toxic", "verdict.keep").collect()
+    assert sum(bool(r["quality"] and not r["toxic"]) == r["keep"] for r in out) >= 0.97 * len(out)
+
+
+def test_near_copies_share_the_weight_of_one_row(spark):
+    r = random.Random(3)
+    sets = [np.array(r.sample(range(1, 2000), 100), np.uint64) for _ in range(40)]
+    near = [np.append(sets[0][:95], np.uint64(5000 + k)) for k in range(20)]
+    group = quality.near_copies([*sets, *near, sets[1], np.zeros(0, np.uint64), np.zeros(0, np.uint64)])
+    assert len(set(group[:40])) == 40 and set(group[40:60]) == {group[0]} and group[60] == group[1] and group[61] == group[62]
+    rows = [(" ".join(r.choice("pqrstuvw") * r.randint(2, 9) for _ in range(50)), 1, 0) for _ in range(60)]
+    copies = [(f"{rows[0][0]} mark copy{k}", 0, 1) for k in range(200)]
+    fit = lambda rows: quality.fit(spark.createDataFrame(rows, "text string, quality int, toxic int"))
+    assert abs(fit(rows + copies).mean - fit(rows + copies[:1]).mean).max() < 0.1

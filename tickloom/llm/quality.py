@@ -10,16 +10,16 @@ by how much the odds of its path exceed those of all documents.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import stored
+from tickloom.llm.common import mixed, stored
 
 _UPPER, _LOWER, _DIGIT, _SPACE = bytes(range(65, 91)), bytes(range(97, 123)), bytes(range(48, 58)), b" \t\n\v\f\r"
 _ASCII_LEFT = bytes(set(range(33, 127)) - {*_UPPER, *_LOWER, *_DIGIT})
@@ -86,30 +86,60 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def _telling(sets: list[set[str]], y: np.ndarray, count: dict[str, int], least: float = 25.0) -> list[str]:
-    """Words whose presence goes with a label beyond chance (likelihood ratio G2 of at least ``least`` for some head), strongest first."""
-    best: dict[str, float] = {}
+def near_copies(sets: list[np.ndarray], least: float = 0.8, bands: int = 16, rows: int = 4, seed: int = 5) -> np.ndarray:
+    """A group number for each set of hashes: sets that agree in all min-hashes of a band and have a Jaccard of at least ``least`` share one."""
+    factor = np.random.default_rng(seed).integers(0, 2**63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
+    group = list(range(len(sets)))
+
+    def root(k: int) -> int:
+        while group[k] != k:
+            group[k] = k = group[group[k]]
+        return k
+
+    buckets: dict[tuple[int, bytes], list[int]] = {}
+    members = [frozenset(x.tolist()) for x in sets]
+    for k, x in enumerate(sets):
+        low = mixed(factor[:, None] * x).min(axis=1) if len(x) else np.zeros(bands * rows, np.uint64)
+        for b in range(bands):
+            first = buckets.setdefault((b, low[b * rows : (b + 1) * rows].tobytes()), [])
+            for other in first:  # texts of this band that are no near copies of each other
+                same = root(other) == root(k)
+                if not same:
+                    both = len(members[other] & members[k])
+                    same = both >= least * (len(members[other]) + len(members[k]) - both)
+                    if same:
+                        group[root(k)] = root(other)
+                if same:
+                    break
+            else:
+                first.append(k)
+    return np.array([root(k) for k in range(len(sets))], np.int64)
+
+
+def _telling(words: list[str], at: list[np.ndarray], y: np.ndarray, share: np.ndarray, least_docs: float, least: float = 25.0) -> list[int]:
+    """Words (numbers) whose presence goes with a label beyond chance (likelihood ratio G2 of at least ``least`` for some head), strongest first.
+
+    A row counts as its ``share``; only words of at least ``least_docs`` rows count.
+    """
+    best: dict[int, float] = {}
+    row, col = np.repeat(np.arange(len(at)), [len(a) for a in at]), np.concatenate(at)
+    often = np.bincount(col, share[row], len(words)) >= least_docs - 1e-9
     for h in range(y.shape[1]):
-        with_1: dict[str, int] = {}
-        with_any: dict[str, int] = {}
-        for s, label in zip(sets, y[:, h], strict=True):
-            if not np.isnan(label):
-                for w in s:
-                    if w in count:
-                        with_any[w] = with_any.get(w, 0) + 1
-                        with_1[w] = with_1.get(w, 0) + int(label)
-        n, n1 = int((~np.isnan(y[:, h])).sum()), int(np.nansum(y[:, h]))
+        use = share * ~np.isnan(y[:, h])
+        target = np.nan_to_num(y[:, h])
+        n, n1 = use.sum(), (use * target).sum()
         if not 0 < n1 < n:
             continue
-        words = list(with_any)
-        a, c = np.array([with_1[w] for w in words], float), np.array([with_any[w] for w in words], float)
-        g = np.zeros(len(words))
+        a, c = np.bincount(col, (use * target)[row], len(words)), np.bincount(col, use[row], len(words))
+        number = np.flatnonzero(often & (c > 0))
+        a, c = a[number], c[number]
+        g = np.zeros(len(number))
         for seen, expected in ((a, c * n1 / n), (c - a, c * (n - n1) / n), (n1 - a, (n - c) * n1 / n), (n - n1 - c + a, (n - c) * (n - n1) / n)):
             g += 2 * np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
-        for w, x in zip(words, g.tolist(), strict=True):
+        for w, x in zip(number.tolist(), g.tolist(), strict=True):
             if x >= least:
                 best[w] = max(x, best.get(w, 0.0))
-    return sorted(best, key=lambda w: (-best[w], w))
+    return sorted(best, key=lambda w: (-best[w], words[w]))
 
 
 def with_labels(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sample: int = 8000) -> DataFrame:
@@ -122,47 +152,46 @@ def with_labels(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", t
 def fit(labelled: DataFrame, *, sample: int = 8000, max_words: int = 20_000, min_docs: int = 4, rounds: int = 250) -> Classifier:
     """A classifier from rows (text, quality, toxic), of which at most ``sample``, those with the smallest hashes, are used.
 
-    Of texts that share the word with the smallest hash, near copies mostly, one is used.  A null label says nothing about its head.  A head without rows of both kinds predicts the (smoothed) share that it has seen.
+    All of them are used; near copies (texts whose sets of words have a Jaccard of at least 0.8) share the weight of one row.  A null label says nothing about its head.  A head without rows of both kinds predicts the (smoothed) share that it has seen.
     """
     key = F.xxhash64("text", "quality", "toxic")
     rows = labelled.select("text", "quality", "toxic").where("text is not null").withColumn("k", key).orderBy("k").limit(sample)
-    dense, sets, label = [], [], []
-    families = set()
+    dense, found, hashes, label = [], [], [], []
+    number: dict[str, int] = {}
     for r in rows.toLocalIterator():
         words = r["text"].split()
-        family = min((zlib.crc32(w.encode()) for w in set(words)), default=0)
-        if family in families:  # a near copy would count its words twice
-            continue
-        families.add(family)
+        hashes.append(np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) for w in set(words)], np.uint64))
         dense.append(surface(r["text"], words))
-        sets.append(terms(words))
+        found.append(np.array([number.setdefault(w, len(number)) for w in terms(words)], np.int32))
         label.append([np.nan if r[h] is None else float(r[h]) for h in HEADS])
     model = Classifier()
     if not dense:
         return model
     x, y = np.array(dense), np.array(label)
-    count: dict[str, int] = {}
-    for s in sets:
-        for w in s:
-            count[w] = count.get(w, 0) + 1
-    known = _telling(sets, y, {w: c for w, c in count.items() if c >= min_docs})[:max_words]
-    model.words = {w: k for k, w in enumerate(known)}
-    model.mean, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+    group = near_copies(hashes)
+    share = 1 / np.bincount(group)[group]
+    spelt = list(number)
+    known = _telling(spelt, found, y, share, min_docs)[:max_words]
+    model.words = {spelt[w]: k for k, w in enumerate(known)}
+    model.mean = np.average(x, axis=0, weights=share)
+    model.scale = np.sqrt(np.average((x - model.mean) ** 2, axis=0, weights=share)) + 1e-6
     x = (x - model.mean) / model.scale
-    at = [np.array(sorted(model.words[w] for w in s if w in model.words), np.int64) for s in sets]
+    place = np.full(len(spelt), -1, np.int64)
+    place[known] = np.arange(len(known))
+    at = [np.sort(p[p >= 0]) for p in (place[f] for f in found)]
     size = np.array([len(a) for a in at])
     col, row = np.concatenate(at), np.repeat(np.arange(len(at)), size)
     model.word_weights = np.zeros((2, len(known)))
     for h in range(2):
         use = ~np.isnan(y[:, h])
-        good, n = np.nansum(y[:, h]), int(use.sum())
+        good, n = np.nansum(y[:, h] * share), (share * use).sum()
         model.bias[h] = np.log((good + 1) / (n - good + 1))
         if not 0 < good < n:
             continue
         w, v, b = np.zeros(N_SURFACE), np.zeros(len(known)), model.bias[h]
         slope = [np.zeros(N_SURFACE), np.zeros(len(known)), 0.0]
         square = [np.zeros(N_SURFACE), np.zeros(len(known)), 0.0]
-        weight = use.astype(float)
+        weight = share * use
         target = np.nan_to_num(y[:, h])
         for t in range(1, rounds + 1):
             z = x @ w + np.bincount(row, v[col], len(at)) + b
