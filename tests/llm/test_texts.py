@@ -166,3 +166,15 @@ def test_near_copies_share_the_weight_of_one_row(spark):
     copies = [(f"{rows[0][0]} mark copy{k}", 0, 1) for k in range(200)]
     fit = lambda rows: quality.fit(spark.createDataFrame(rows, "text string, quality int, toxic int"))
     assert abs(fit(rows + copies).mean - fit(rows + copies[:1]).mean).max() < 0.1
+
+
+def test_leaks_that_the_space_does_not_show(frame):
+    """400 passages in a space of 4 dimensions, each whole or with a fifth of its words replaced inside other words of the benchmark."""
+    r = random.Random(6)
+    stock = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(900)]
+    item = lambda n: [r.choice(stock) for _ in range(n)]
+    items = [(i, item(r.choice([5, 12, 30, 60]))) for i in range(400)]
+    changed = lambda i, w: ["other" if i % 2 and len(w) >= 8 and k % 5 == 2 else x for k, x in enumerate(w)]
+    docs = [(i, " ".join(item(r.randint(0, 90)) + changed(i, w) + item(r.randint(0, 90)))) for i, w in items]
+    out = decontaminate.find_leaks(frame(docs), frame([(i, " ".join(w)) for i, w in items], "item_id long, text string"), rank=4, cosine=0.9)
+    assert {(i, i) for i, _ in items} == {(x["doc_id"], x["item_id"]) for x in out.collect()}

@@ -4,11 +4,14 @@ Weights are TF-IDF over the benchmark's words, with document frequencies of the
 leading right singular vectors of the matrix of benchmark passages, by a randomised SVD whose products are sums over
 Spark's partitions: it has to tell benchmark passages apart, which the corpus's own leading directions (its common
 words) do not.  Every window of every document is projected and compared by cosine with every passage, a block of windows at a
-time; pairs above a threshold are checked by the longest common subsequence of their words and by the passage's answer.
+time; pairs above a threshold are checked by the longest common subsequence of their words and by the passage's answer.  A space of
+bounded rank keeps less of each passage the more passages there are, so pairs that share enough of a passage's rarest words are
+checked too: no window that passes the check has fewer of them (``Rare``), whatever its cosine.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,6 +56,41 @@ def holds(window: list[bytes], run: list[bytes]) -> bool:
     return any(window[k] == run[0] and window[k : k + n] == run for k in range(len(window) - n + 1)) if n else False
 
 
+@dataclass
+class Rare:
+    """Each passage's rarest words, listed by word.
+
+    A window that holds a passage has at least ``need`` of its n words, so it lacks at most n - need of them, and of the n - need + 3
+    rarest it has at least 3 (all of ``need``, if that is less).
+    """
+
+    start: np.ndarray  # of each term's list, and the end of the last
+    passage: np.ndarray
+    count: np.ndarray  # places of the term among the passage's rarest
+    least: np.ndarray  # of each passage
+
+    @classmethod
+    def of(cls, texts: list[list[bytes]], terms: dict[bytes, int], df: np.ndarray, loose: float, least_words: int) -> Rare:
+        lists, least = [], []
+        for p, text in enumerate(texts):
+            n = len(text)
+            need = n if n < least_words else max(1, math.ceil(loose * n - 1e-9))
+            least.append(min(3, need))
+            k, count = np.unique(sorted((terms[w] for w in text), key=lambda t: (df[t], t))[: n - need + least[-1]], return_counts=True)
+            lists.append((k, np.full(len(k), p), count))
+        term, passage, count = (np.concatenate(x) for x in zip(*lists, strict=True))
+        order = np.argsort(term, kind="stable")
+        return cls(np.searchsorted(term[order], np.arange(len(terms) + 1)), passage[order], count[order].astype(np.float32), np.array(least))
+
+    def shared(self, half: np.ndarray, term: np.ndarray, n_half: int) -> np.ndarray:
+        """half x passage: how many places of a passage's rarest words the words (half, term) fill; a word counts once."""
+        n_terms, n = len(self.start) - 1, len(self.least)
+        half, term = np.divmod(np.unique(half * n_terms + term), n_terms)
+        size = self.start[term + 1] - self.start[term]
+        at = np.arange(size.sum()) + np.repeat(self.start[term] - np.cumsum(size) + size, size)
+        return np.bincount(np.repeat(half, size) * n + self.passage[at], self.count[at], n_half * n).astype(np.float32).reshape(n_half, n)
+
+
 @dataclass
 class Space:
     """What tasks need to search: its size is set by the benchmark alone."""
@@ -63,6 +101,8 @@ class Space:
     items: list[int]
     texts: list[list[bytes]]
     answers: list[list[bytes]]
+    df: np.ndarray  # of terms, in windows of the corpus
+    rare: Rare | None = None
 
 
 def _document_frequency(docs: DataFrame, terms: dict[bytes, int]) -> np.ndarray:
@@ -148,7 +188,7 @@ def latent_space(docs: DataFrame, benchmark: DataFrame, *, rank: int = 128, answ
     basis = _svd(matrix, len(terms), min(rank, len(rows), len(terms)))
     points = np.stack([np.array(w) @ basis[np.array(t)] for t, w in rows])
     points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-12)
-    return Space(terms, (basis * idf[:, None]).astype(np.float32), points.astype(np.float32), items, texts, answers)
+    return Space(terms, (basis * idf[:, None]).astype(np.float32), points.astype(np.float32), items, texts, answers, df[:-1])
 
 
 def find_leaks(
@@ -159,7 +199,8 @@ def find_leaks(
 
     A passage of an item is held if the longest common subsequence of a window and the passage has at least ``near`` of the passage's
     words, or ``loose`` of them and the item's answer stands in the window.  A passage of fewer than ``least_words`` words
-    must stand there word for word.  Null and empty texts hold nothing; rows with a null doc_id are left out; repeated
+    must stand there word for word.  ``cosine`` and ``rank`` decide which pairs are checked besides those with enough shared words, which
+    are all that can be held.  Null and empty texts hold nothing; rows with a null doc_id are left out; repeated
     rows give one result; an empty corpus or benchmark gives no rows; other columns are ignored.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
@@ -167,6 +208,7 @@ def find_leaks(
     schema = "doc_id long, item_id long, cosine double, share double, answer boolean"
     if space is None:
         return docs.sparkSession.createDataFrame([], schema)
+    space.rare = Rare.of(space.texts, space.terms, space.df, loose, least_words)
     sent = docs.sparkSession.sparkContext.broadcast(space)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,9 +246,15 @@ def find_leaks(
         window[:-1] += np.where(last[:-1, None], 0, sums[1:])
         window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-9)
         best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-        for a in range(0, len(window), 2048):
-            near_to = window[a : a + 2048] @ s.points.T
-            at_window, at_passage = np.nonzero(near_to >= cosine)
+        known, known_half = ids[at], half[at]
+        step = max(1, min(2048, 8_000_000 // len(s.items)))
+        for a in range(0, len(window), step):
+            near_to = window[a : a + step] @ s.points.T
+            # of these halves and the one after them
+            lo, hi = np.searchsorted(known_half, [a, a + len(near_to) + 1])
+            shared = s.rare.shared(known_half[lo:hi] - a, known[lo:hi], len(near_to) + 1)
+            shared = shared[:-1] + np.where(last[a : a + len(near_to), None], 0, shared[1:])
+            at_window, at_passage = np.nonzero((near_to >= cosine) | (shared >= s.rare.least))
             at_doc = np.searchsorted(first, a + at_window, side="right") - 1
             last_k = -1
             for k, p, doc in zip(at_window.tolist(), at_passage.tolist(), at_doc.tolist(), strict=True):
