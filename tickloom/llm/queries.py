@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm import cascade, chat, decontaminate, forest, idcoder, linetree, overlap, packing, quality, repeats
+from tickloom.llm import audit, cascade, chat, decontaminate, forest, idcoder, linetree, overlap, packing, pivots, private, quality, repeats
 from tickloom.llm.common import new_path, table
 
 
@@ -119,8 +119,78 @@ m AS (SELECT n.*, rhost || rpath AS rule, verdict, row_number() OVER (PARTITION
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1
 """
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: what the patterns find, and with it what the skip-chain model adds."""
+    return private.find(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(private.told("base"), 256).alias("base_sha256"), private.told("spans").alias("spans")
+    )
+
+
+def op12_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in eight clusters after ten rounds in integers."""
+    return pivots.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql(k: int = 8, rounds: int = 10) -> str:
+    distance = "list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = [
+        """v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+  list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""m0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS c, v AS m FROM v
+  QUALIFY c < {k})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"a{i} AS MATERIALIZED (SELECT r, vec_id, v, c, {distance} AS d FROM v, m{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"
+        )
+        if i < rounds:
+            steps.append(
+                f"""s{i} AS (SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{i}, range(1, 65) AS t(i) GROUP BY c, i),
+n{i} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM s{i} GROUP BY c),
+m{i + 1} AS MATERIALIZED (SELECT c, coalesce(n{i}.m, m{i}.m) AS m FROM m{i} LEFT JOIN n{i} USING (c))"""
+            )
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN m{rounds} USING (c)"""
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents, in all 120 orders, for each language."""
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part,
+  (CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END)
+  + (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END)
+  + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+  + (CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END) AS mask, good, toxic
+  FROM w LEFT JOIN l USING (doc_id)),
+n AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, mask),
+o AS (SELECT '' AS o UNION ALL SELECT o || x FROM o, unnest(['A', 'B', 'C', 'D', 'E']) AS t(x) WHERE length(o) < 5 AND instr(o, x) = 0),
+s AS (SELECT o AS filter_order, k AS step, CAST(1 << (ascii(o[k]) - 65) AS BIGINT) AS bit,
+  coalesce(list_sum(list_transform(string_split(o[1:k - 1], ''), lambda x: CASE WHEN x = '' THEN 0 ELSE 1 << (ascii(x) - 65) END)), 0)::BIGINT AS gone
+  FROM o, range(1, 6) AS t(k) WHERE length(o) = 5),
+r AS (SELECT part, filter_order, step, bit,
+  sum(n) FILTER (mask & (gone | bit) = 0) AS kept, sum(n) FILTER (mask & gone = 0 AND mask & bit > 0) AS removed,
+  sum(n) FILTER (mask & gone > 0 AND mask & bit > 0) AS redundant, sum(n) FILTER (mask = bit) AS unique_fails,
+  sum(good) FILTER (mask & gone = 0 AND mask & bit > 0) AS good_lost, sum(toxic) FILTER (mask & gone = 0 AND mask & bit > 0) AS toxic_lost
+  FROM n, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
 _ALL = (
     op1_chat_formatting, op2_token_ids, op3_quality_classifier, op4_ngram_jaccard, op5_nearest_neighbours, op6_decontamination, op7_packing, op8_line_dedup, op9_substring_dedup, op10_url_filters,
+    op11_personal_data, op12_pivot_clusters, op13_filter_audit,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLE = {"op1_chat_formatting": OP1_SQL, "op10_url_filters": OP10_SQL}
+ORACLE = {"op1_chat_formatting": OP1_SQL, "op10_url_filters": OP10_SQL, "op12_pivot_clusters": _op12_sql(), "op13_filter_audit": OP13_SQL}
