@@ -2,14 +2,15 @@
 
 An aggregate is described once, by associative parts (:class:`Fold`) and a formula over
 them.  Bucket mode uses Spark's own grouped aggregate; cumulative mode folds the parts
-along the order; sliding mode adds, for each row, an exit row one window later that takes
-the row's parts away again, so a window of any length costs two rows per tick.
+along the order; sliding mode folds them forwards inside blocks of one window's width and
+backwards inside the block before, so a window of any length, in time or in ticks, costs two
+rows per tick, and nothing that left a window can spoil a later one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from tickloom.core import TMP, Series, col, from_micros
 from tickloom.operators import buckets as bk
 from tickloom.operators.buckets import BUCKET, Buckets
-from tickloom.ordering import Fold, running
+from tickloom.ordering import Comoments, Fold, Moments, row_number, running, window_folds
 
 Parts = Mapping[str, Column]
 
@@ -31,13 +32,10 @@ class Agg:
     """
 
     grouped: Callable[[Series], Column]
-    parts: Callable[[Series], Mapping[str, Fold]]
+    parts: Callable[[Series], Mapping[str, Fold | Moments]]
     finish: Callable[[Parts], Column]
     empty: Column | None = None
 
-    def invertible(self, s: Series) -> bool:
-        return all(f.kind == "sum" for f in self.parts(s).values())
-
 
 def _valid(c: str | Column) -> Callable[[Series], Column]:
     """The column with NaN read as missing; other types pass unchanged."""
@@ -150,28 +148,12 @@ def low_time(c: str | Column, selection: str = "first") -> Agg:
     return _extreme_time("min", c, selection)
 
 
-def _moments(v: Column, k: int) -> dict[str, Fold]:
-    d = v.cast("double")
-    parts = {"n": Fold("sum", F.when(v.isNotNull(), 1).otherwise(0).cast("long"))}
-    for i in range(1, k + 1):
-        power = d
-        for _ in range(i - 1):
-            power = power * d
-        parts[f"x{i}"] = Fold("sum", power)
-    return parts
-
-
-def _central2(p: Parts) -> Column:
-    # Cancellation can leave a tiny negative number for a constant window.
-    return F.greatest(p["x2"] - F.try_divide(p["x1"] * p["x1"], p["n"]), F.lit(0.0))
-
-
 def variance(c: str | Column, biased: bool = True) -> Agg:
     v = _valid(c)
     return Agg(
         lambda s: F.var_pop(v(s)) if biased else F.var_samp(v(s)),
-        lambda s: _moments(v(s), 2),
-        lambda p: F.when(p["n"] > 0, F.try_divide(_central2(p), p["n"] if biased else p["n"] - 1)),
+        lambda s: {"m": Moments(v(s))},
+        lambda p: F.try_divide(p["m"]["m2"], p["m"]["n"] if biased else p["m"]["n"] - 1),
     )
 
 
@@ -186,74 +168,69 @@ def stddev(c: str | Column, biased: bool = True) -> Agg:
 def standardized_moment(c: str | Column, degree: int = 3) -> Agg:
     """E[((x - mean) / sd)^degree] with the population deviation.
 
-    Degrees 3 and 4 use Spark's numerically stable aggregates; others the binomial
-    expansion of raw moments.
+    Degrees up to 4 use numerically stable aggregates and merges; others the binomial
+    expansion of raw moments, which loses digits where the mean is large against the deviation.
     """
     v = _valid(c)
 
+    def from_central(p: Parts) -> Column:
+        m, deviation = p["m"], F.sqrt(p["m"]["m2"] / p["m"]["n"])
+        if degree <= 2:
+            return F.when(m["m2"] > 0, F.lit(float(degree != 1)))
+        return F.try_divide(m[f"m{degree}"] / m["n"], F.pow(deviation, F.lit(degree)))
+
+    def raw(s: Series) -> dict[str, Fold]:
+        x = v(s).cast("double")
+        powers = {f"x{i}": Fold("sum", F.pow(x, F.lit(i))) for i in range(1, degree + 1)}
+        return {"m": Moments(x), "n": Fold("sum", F.when(x.isNotNull(), 1).otherwise(0).cast("long")), **powers}
+
     def from_raw(p: Parts) -> Column:
         n = p["n"].cast("double")
-        m = p["x1"] / n
-        total, binomial = F.lit(0.0), 1
+        mean, total, binomial = p["x1"] / n, F.lit(0.0), 1
         for i in range(degree + 1):
-            raw = n if i == 0 else p[f"x{i}"]
-            total = total + F.lit(float(binomial)) * raw / n * F.pow(-m, F.lit(degree - i))
+            power = n if i == 0 else p[f"x{i}"]
+            total = total + F.lit(float(binomial)) * power / n * F.pow(-mean, F.lit(degree - i))
             binomial = binomial * (degree - i) // (i + 1)
-        return F.when(p["n"] > 0, F.try_divide(total, F.pow(F.sqrt(_central2(p) / n), F.lit(degree))))
+        return F.when(p["n"] > 0, F.try_divide(total, F.pow(F.sqrt(p["m"]["m2"] / n), F.lit(degree))))
 
     def grouped(s: Series) -> Column:
         if degree == 3:
             return F.skewness(v(s))
         if degree == 4:
             return F.kurtosis(v(s)) + 3
-        return from_raw({n: F.sum(f.value) for n, f in _moments(v(s), max(degree, 2)).items()})
+        if degree <= 2:
+            return from_central({"m": Moments(v(s)).partial(s.us)})
+        return from_raw({n: f.partial(s.us) for n, f in raw(s).items()})
 
-    return Agg(grouped, lambda s: _moments(v(s), max(degree, 2)), from_raw)
+    if degree <= 4:
+        return Agg(grouped, lambda s: {"m": Moments(v(s), 4 if degree > 2 else 2)}, from_central)
+    return Agg(grouped, raw, from_raw)
 
 
-def _pair(x: Column, y: Column) -> dict[str, Fold]:
-    both = x.isNotNull() & y.isNotNull()
-    dx, dy = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
-    return {
-        "n": Fold("sum", F.when(both, 1).otherwise(0).cast("long")),
-        "x": Fold("sum", dx),
-        "y": Fold("sum", dy),
-        "xx": Fold("sum", dx * dx),
-        "yy": Fold("sum", dy * dy),
-        "xy": Fold("sum", dx * dy),
-    }
+def _pair(x: Callable[[Series], Column], y: Callable[[Series], Column]) -> Callable[[Series], dict[str, Moments]]:
+    def parts(s: Series) -> dict[str, Moments]:
+        known = x(s).isNotNull() & y(s).isNotNull()
+        return {"p": Comoments(F.when(known, F.struct(x(s).alias("x"), y(s).alias("y"))))}
+
+    return parts
 
 
 def correlation(a: str | Column, b: str | Column) -> Agg:
     x, y = _valid(a), _valid(b)
     return Agg(
-        lambda s: F.corr(x(s), y(s)),
-        lambda s: _pair(x(s), y(s)),
-        lambda p: F.try_divide(
-            p["n"] * p["xy"] - p["x"] * p["y"],
-            F.sqrt(F.greatest(p["n"] * p["xx"] - p["x"] * p["x"], F.lit(0.0)))
-            * F.sqrt(F.greatest(p["n"] * p["yy"] - p["y"] * p["y"], F.lit(0.0))),
-        ),
+        lambda s: F.corr(x(s), y(s)), _pair(x, y), lambda p: F.try_divide(p["p"]["xy"], F.sqrt(p["p"]["xx"]) * F.sqrt(p["p"]["yy"]))
     )
 
 
 def slope(y: str | Column, x: str | Column) -> Agg:
     cx, cy = _valid(x), _valid(y)
-    return Agg(
-        lambda s: F.regr_slope(cy(s), cx(s)),
-        lambda s: _pair(cx(s), cy(s)),
-        lambda p: F.try_divide(p["n"] * p["xy"] - p["x"] * p["y"], p["n"] * p["xx"] - p["x"] * p["x"]),
-    )
+    return Agg(lambda s: F.regr_slope(cy(s), cx(s)), _pair(cx, cy), lambda p: F.try_divide(p["p"]["xy"], p["p"]["xx"]))
 
 
 def intercept(y: str | Column, x: str | Column) -> Agg:
     cx, cy = _valid(x), _valid(y)
     m = slope(y, x)
-    return Agg(
-        lambda s: F.regr_intercept(cy(s), cx(s)),
-        lambda s: _pair(cx(s), cy(s)),
-        lambda p: F.try_divide(p["y"] - m.finish(p) * p["x"], p["n"]),
-    )
+    return Agg(lambda s: F.regr_intercept(cy(s), cx(s)), _pair(cx, cy), lambda p: p["p"]["y"] - m.finish(p) * p["p"]["x"])
 
 
 def vwap(price: str | Column, size: str | Column) -> Agg:
@@ -394,28 +371,39 @@ def running_agg(
     aggs: Mapping[str, Agg],
     window_us: int = 0,
     *,
+    ticks: int = 0,
     group_by: Sequence[str | Column] = (),
     emit: str = "both",
 ) -> Series:
-    """Cumulative (``window_us=0``) or sliding aggregates.
+    """Cumulative (no window) or sliding aggregates.
 
     Cumulative: every input row gains the aggregate of all rows up to it.
 
+    Over the last ``ticks`` rows of the key and group: every input row gains the aggregate of itself and the rows before it.
+
     Sliding over ``(t - W, t]``; ``emit`` chooses the rows:
       ``both``     one row per arrival or exit time (exits at or after the end are dropped)
       ``arrival``  input rows with all their fields
       ``exit``     one row per input row at ``t + W`` over ``[t, t + W)``, with its fields
     """
+    if window_us and ticks:
+        raise ValueError("a window is a time or a number of ticks")
+    if emit not in ("both", "arrival", "exit"):
+        raise ValueError("emit is 'both', 'arrival' or 'exit'")
     series, groups = _name_groups(series, group_by)
     keys = [*series.keys, *[g for g in groups if g not in series.keys]]
-    if not window_us:
-        return _finish(series, aggs, series.df, lambda s, folds: running(s, folds, by=groups))
-    if all(a.invertible(series) for a in aggs.values()):
-        return _sliding_by_exits(series, aggs, window_us, keys, groups, emit)
-    return _sliding_by_frames(series, aggs, window_us, keys, emit)
+    if window_us:
+        return _sliding(series, aggs, window_us, keys, emit)
+    if ticks:
+        axis = f"{TMP}row"
+        numbered = series.using(row_number(series, axis, by=groups))
+        out = _sliding(numbered, aggs, ticks, keys, "arrival", axis)
+        return series.using(out.df.drop(axis))
+    folds, finished = _numbered_folds(series, aggs)
+    return _finished(series, running(series, folds, by=groups), aggs, finished)
 
 
-def _numbered_folds(series: Series, aggs: Mapping[str, Agg]) -> tuple[dict[str, Fold], dict[str, Column]]:
+def _numbered_folds(series: Series, aggs: Mapping[str, Agg]) -> tuple[dict[str, Fold | Moments], dict[str, Column]]:
     folds, finished = {}, {}
     for i, (name, a) in enumerate(aggs.items()):
         parts = a.parts(series)
@@ -425,93 +413,31 @@ def _numbered_folds(series: Series, aggs: Mapping[str, Agg]) -> tuple[dict[str,
     return folds, finished
 
 
-def _finish(series: Series, aggs: Mapping[str, Agg], df: DataFrame, run: Callable) -> Series:
-    folds, finished = _numbered_folds(series, aggs)
-    out = run(series, folds)
+def _finished(series: Series, df: DataFrame, aggs: Mapping[str, Agg], finished: Mapping[str, Column]) -> Series:
     kept = [c for c in series.df.columns if c not in aggs]
-    return series.using(out.select(*[col(c) for c in kept], *[c.alias(n) for n, c in finished.items()]))
+    return series.using(df.select(*[col(c) for c in kept], *[c.alias(n) for n, c in finished.items()]))
 
 
-def _sliding_by_exits(
-    series: Series, aggs: Mapping[str, Agg], w: int, keys: Sequence[str], groups: Sequence[str], emit: str
-) -> Series:
-    folds, finished = _numbered_folds(series, aggs)
-    us, kind = f"{TMP}us", f"{TMP}kind"
-    base = series.df.select("*", series.us.alias(us), *[f.value.alias(p) for p, f in folds.items()])
-    # Each tick arrives at t and, negated, leaves at t + W; (t - W, t] no longer holds the tick at t - W.
-    twice = base.withColumn(kind, F.explode(F.array(F.lit(1), F.lit(0))))
-    arriving = F.col(kind) == 1
-    both = twice.withColumns(
-        {us: F.when(arriving, F.col(us)).otherwise(F.col(us) + w)}
-        | {p: F.when(arriving, F.col(p)).otherwise(-F.col(p)) for p in folds}
-    ).withColumn(series.ts, from_micros(us))
-    tagged = series.using(both, us_column=us, hot=series.hot)
-    if emit == "exit":
-        # Everything that arrived or left strictly before t + W.
-        at = running(
-            series.using(both.groupBy(*keys, series.ts).agg(*[F.sum(p).alias(p) for p in folds]), seq=()),
-            {f"{p}_all": Fold("sum", F.col(p)) for p in folds},
-            by=groups,
-        )
-        before = at.select(*keys, series.ts, *[(F.col(f"{p}_all") - F.coalesce(F.col(p), F.lit(0))).alias(f"{p}_b") for p in folds])
-        leaving = both.where((F.col(kind) == 0) & (F.col(us) < series.end_us))
-        out = leaving.drop(*folds).join(before, [*keys, series.ts], "left")
-        out = out.select("*", *[F.col(f"{p}_b").alias(p) for p in folds])
-        fields = [c for c in series.df.columns if c not in aggs]
-        return series.using(out.select(*[col(c) for c in fields], *[c.alias(n) for n, c in finished.items()]))
-    out = running(tagged, {p: Fold("sum", F.col(p)) for p in folds}, by=groups, peers=True)
-    if emit == "arrival":
-        out = out.where(F.col(kind) == 1)
-        fields = [c for c in series.df.columns if c not in aggs]
-        return series.using(out.select(*[col(c) for c in fields], *[c.alias(n) for n, c in finished.items()]))
-    if emit != "both":
-        raise ValueError("emit is 'both', 'arrival' or 'exit'")
-    out = out.where((F.col(kind) == 1) | (F.col(us) < series.end_us)).dropDuplicates([*keys, us])
-    return series.using(
-        out.select(*keys, series.ts, *[c.alias(n) for n, c in finished.items()]), seq=()
-    )
+#: Rows in a slice of an axis that counts rows.
+ROWS_PER_SLICE = 1_000_000
 
 
-def _sliding_by_frames(series: Series, aggs: Mapping[str, Agg], w: int, keys: Sequence[str], emit: str) -> Series:
-    """Sliding windows of aggregates that cannot forget a value (min, max, first, last).
-
-    Slices are at least one window long; rows within one window of the next slice are
-    copied into it as context, so every frame is complete inside its slice.
-    """
-    us, kind, sl = f"{TMP}us", f"{TMP}kind", f"{TMP}slice"
-    width = max(series.slice_width, w)
-    base = series.df.select("*", series.us.alias(us))
-    if emit in ("both", "exit"):
-        rows = base.withColumn(kind, F.explode(F.array(F.lit(1), F.lit(0))))
-        rows = rows.withColumn(us, F.when(F.col(kind) == 1, F.col(us)).otherwise(F.col(us) + w))
-        rows = rows.where((F.col(kind) == 1) | (F.col(us) < series.end_us))
-    else:
-        rows = base.withColumn(kind, F.lit(1))
-    home = F.floor(F.col(us) / F.lit(width))
-    reach = F.floor((F.col(us) + F.lit(w)) / F.lit(width))
-    copies = F.when((F.col(kind) == 1) & (reach > home), F.array(home, reach)).otherwise(F.array(home))
-    spread = rows.withColumn(sl, F.explode(copies)).withColumn(f"{TMP}home", home == F.col(sl))
-    live = F.col(kind) == 1
-    frame = Window.partitionBy(*keys, sl).orderBy(us)
-    frame = frame.rangeBetween(-w, -1) if emit == "exit" else frame.rangeBetween(-(w - 1), 0)
-    ordered = F.struct(F.col(us).alias("us"), *[col(s).alias(f"s{i}") for i, s in enumerate(series.seq)])
+def _sliding(series: Series, aggs: Mapping[str, Agg], width: int, keys: Sequence[str], emit: str, axis: str | None = None) -> Series:
+    """Every row twice: at its place on the axis (its time, or ``axis``), and one window later, marked old."""
+    at, old = f"{TMP}us", f"{TMP}old"
     folds, finished = _numbered_folds(series, aggs)
-
-    def framed(f: Fold) -> Column:
-        v = F.when(live, f.value)
-        if f.kind in ("first", "last"):
-            pick = F.min if f.kind == "first" else F.max
-            return pick(F.when(v.isNotNull(), F.struct(ordered.alias("o"), v.alias("v")))).over(frame)["v"]
-        return getattr(F, f.kind)(v).over(frame)
-
-    out = spread.withColumns({p: framed(f) for p, f in folds.items()}).where(f"{TMP}home")
-    fields = [c for c in series.df.columns if c not in aggs]
-    values = [c.alias(n) for n, c in finished.items()]
+    placed = {n: f.positioned(series.order_struct) for n, f in folds.items()}
+    base = series.df.select("*", (series.us if axis is None else col(axis)).alias(at), *[f.value.alias(n) for n, (f, _) in placed.items()])
+    twice = base.withColumn(old, F.explode(F.array(F.lit(False), F.lit(True))))
+    twice = twice.withColumn(at, F.col(at) + F.when(F.col(old), F.lit(width)).otherwise(F.lit(0)))
+    on_rows = {} if axis is None else {"hot": None, "slice_us": ROWS_PER_SLICE}
+    view = replace(series, df=twice, us_column=at, keys=tuple(keys), seq_slice=None, **on_rows)
+    read = window_folds(view, width, {n: f.of(F.col(n)) for n, (f, _) in placed.items()}, F.col(old), left_closed=emit == "exit")
+    out = read.withColumns({n: F.col(n)[field] for n, (_, field) in placed.items() if field}) if any(f for _, f in placed.values()) else read
     if emit == "arrival":
-        return series.using(out.where(live).select(*[col(c) for c in fields], *values))
-    out = out.withColumn(series.ts, from_micros(us))
+        return _finished(series, out.where(~F.col(old)), aggs, finished)
+    out = out.withColumn(series.ts, from_micros(at)).where(~F.col(old) | (F.col(at) < series.end_us))
     if emit == "exit":
-        return series.using(out.where(~live).select(*[col(c) for c in fields], *values))
-    if emit != "both":
-        raise ValueError("emit is 'both', 'arrival' or 'exit'")
-    return series.using(out.dropDuplicates([*keys, us]).select(*keys, series.ts, *values), seq=())
+        return _finished(series, out.where(F.col(old)), aggs, finished)
+    values = [c.alias(n) for n, c in finished.items()]
+    return series.using(out.dropDuplicates([*keys, at]).select(*keys, series.ts, *values), seq=())

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.core import HOUR, TMP, Series, all_of, col, fill_typed, from_micros
-from tickloom.operators.aggregate import Agg
-from tickloom.ordering import Fold, row_number, running, shift
+from tickloom.operators.aggregate import Agg, running_agg
+from tickloom.ordering import Fold, Moments, row_number, running, window_folds
 
 US, RANK, ROW, SRC = f"{TMP}us", f"{TMP}rank", f"{TMP}row", f"{TMP}src"
 
@@ -104,15 +104,13 @@ def _against_right(
     right: Series,
     folds: Mapping[str, Fold],
     enter: Column,
-    leave: Column | None = None,
     inclusive: bool = True,
     left_us: Column | None = None,
     reverse: bool = False,
 ) -> DataFrame:
     """Left rows with running folds of right rows.
 
-    A right row counts from time ``enter`` on, until ``leave`` (sums only).  ``inclusive``:
-    right rows count at equal times.
+    A right row counts from time ``enter`` on.  ``inclusive``: right rows count at equal times.
     """
     depth = max(len(left.seq), len(right.seq), 1)
     keys = list(left.keys)
@@ -129,19 +127,9 @@ def _against_right(
         F.lit(0 if inclusive != reverse else 1).alias(RANK),
         *[c.alias(n) for n, c in _order_columns(right, depth).items()],
         *[f.value.alias(n) for n, f in folds.items()],
-        *([leave.alias(f"{TMP}leave")] if leave is not None else []),
     )
-    parts = [rows, base]
-    if leave is not None:
-        # Entering and leaving rows come from one pass over the right side.
-        enters = F.col(f"{TMP}enters")
-        both = base.withColumn(f"{TMP}enters", F.explode(F.array(F.lit(True), F.lit(False)))).withColumns(
-            {US: F.when(enters, F.col(US)).otherwise(F.col(f"{TMP}leave"))}
-            | {n: F.when(enters, F.col(n)).otherwise(-F.col(n)) for n in folds}
-        )
-        parts = [rows, both.drop(f"{TMP}leave", f"{TMP}enters")]
-    merged, order = _merged(parts, [left, right], keys, depth)
-    read = running(merged, {f"{n}_": Fold(f.kind, F.col(n)) for n, f in folds.items()}, order=order, reverse=reverse)
+    merged, order = _merged([rows, base], [left, right], keys, depth)
+    read = running(merged, {f"{n}_": f.of(F.col(n)) for n, f in folds.items()}, order=order, reverse=reverse)
     kept = read.where(F.col(ROW).isNotNull())
     return kept.select(f"{ROW}.*", *[F.col(f"{n}_").alias(n) for n in folds])
 
@@ -295,7 +283,7 @@ def point_in_time(
 # ---------------------------------------------------------------------------
 
 
-def _agg_folds(right: Series, aggs: Mapping[str, Agg]) -> tuple[dict[str, Fold], dict[str, Column]]:
+def _agg_folds(right: Series, aggs: Mapping[str, Agg]) -> tuple[dict[str, Fold | Moments], dict[str, Column]]:
     folds, finished = {}, {}
     for i, (name, a) in enumerate(aggs.items()):
         parts = a.parts(right)
@@ -311,54 +299,27 @@ def _finished(left: Series, df: DataFrame, finished: Mapping[str, Column]) -> Se
 def window_join(
     left: Series, right: Series, aggs: Mapping[str, Agg], start_us: int, end_us: int
 ) -> Series:
-    """Per left tick, aggregates of the right ticks in ``[t + start_us, t + end_us)``.
-
-    Sums enter and leave a running total; values that cannot be taken back (min, max, first,
-    last) use a range frame over slices at least one window long.
-    """
+    """Per left tick, aggregates of the right ticks in ``[t + start_us, t + end_us)``."""
     folds, finished = _agg_folds(right, aggs)
-    if all(f.kind == "sum" for f in folds.values()):
-        # r is in the window of t exactly when r - end < t <= r - start.
-        df = _against_right(left, right, folds, right.us - end_us, right.us - start_us, inclusive=False)
-    else:
-        df = _framed(left, right, folds, start_us, end_us - 1)
-    return _finished(left, df, finished)
+    return _finished(left, _in_window(left, right, folds, start_us, end_us - 1), finished)
 
 
-def _framed(left: Series, right: Series, folds: Mapping[str, Fold], low: int, high: int) -> DataFrame:
-    """Right rows with ``t + low <= r <= t + high``, read by a range frame around each left row."""
-    sl, keys = f"{TMP}slice", list(left.keys)
-    width = max(min(left.slice_width, right.slice_width), high - low + 1)
+def _in_window(left: Series, right: Series, folds: Mapping[str, Fold | Moments], low: int, high: int) -> DataFrame:
+    """Left rows with folds of the right rows at ``t + low <= r <= t + high``."""
+    width, keys, old = high - low + 1, list(left.keys), f"{TMP}old"
     depth = max(len(right.seq), 1)
-    rows = left.df.select(
-        *keys,
-        left.us.alias(US),
-        F.floor(left.us / F.lit(width)).alias(sl),
-        F.struct(*[col(c) for c in left.df.columns]).alias(ROW),
-    )
     position = F.struct(right.us.alias("us"), *[c.alias(n) for n, c in _order_columns(right, depth).items()])
-    first, last = F.floor((right.us - high) / F.lit(width)), F.floor((right.us - low) / F.lit(width))
-    context = right.df.select(
-        *[col(k).alias(n) for n, k in zip(keys, right.keys)],
-        right.us.alias(US),
-        F.explode(F.sequence(first, last)).alias(sl),
-        *[
-            (F.struct(position.alias("o"), f.value.alias("v")) if f.kind in ("first", "last") else f.value).alias(n)
-            for n, f in folds.items()
-        ],
-        *[F.when(f.value.isNotNull(), True).alias(f"{n}_known") for n, f in folds.items()],
-    )
-    both = rows.unionByName(context, allowMissingColumns=True)
-    frame = Window.partitionBy(*keys, sl).orderBy(US).rangeBetween(low, high)
-
-    def read(n: str, f: Fold) -> Column:
-        v = F.when(F.col(f"{n}_known"), F.col(n))
-        if f.kind in ("first", "last"):
-            return (F.min if f.kind == "first" else F.max)(v).over(frame)["v"]
-        return getattr(F, f.kind)(v).over(frame)
-
-    got = both.withColumns({f"{n}_": read(n, f) for n, f in folds.items()}).where(F.col(ROW).isNotNull())
-    return got.select(f"{ROW}.*", *[F.col(f"{n}_").alias(n) for n in folds])
+    placed = {n: f.positioned(position) for n, f in folds.items()}
+    asks = left.df.select(*keys, (left.us + high).alias(US), F.lit(False).alias(old), F.struct(*[col(c) for c in left.df.columns]).alias(ROW))
+    base = right.df.select(*[col(k).alias(n) for n, k in zip(keys, right.keys)], right.us.alias(US), *[f.value.alias(n) for n, (f, _) in placed.items()])
+    if width < 1:  # an empty window
+        base, width = base.where(F.lit(False)), 1
+    twice = base.withColumn(old, F.explode(F.array(F.lit(False), F.lit(True))))
+    twice = twice.withColumn(US, F.col(US) + F.when(F.col(old), F.lit(width)).otherwise(F.lit(0)))
+    merged, _ = _merged([asks, twice], [left, right], keys, 0)
+    read = window_folds(merged, width, {n: f.of(F.col(n)) for n, (f, _) in placed.items()}, F.col(old))
+    out = {n: F.col(n)[field] if field else F.col(n) for n, (_, field) in placed.items()}
+    return read.where(F.col(ROW).isNotNull()).select(f"{ROW}.*", *[c.alias(n) for n, c in out.items()])
 
 
 def join_with_aggregated_window(
@@ -386,35 +347,20 @@ def join_with_aggregated_window(
     elif unit == "ticks":
         df = _last_ticks(pass_source, agg_source, folds, int(window), inclusive, at)
     elif unit == "seconds":
-        w = round(window * 1_000_000)
-        if all(f.kind == "sum" for f in folds.values()):
-            enter = agg_source.us
-            df = _against_right(pass_source, agg_source, folds, enter, enter + w, inclusive=inclusive, left_us=at)
-        else:
-            d = delay_ms * 1000
-            low, high = (-w + 1 - d, -d) if inclusive else (-w - d, -1 - d)
-            df = _framed(pass_source, agg_source, folds, low, high)
+        w, d = round(window * 1_000_000), delay_ms * 1000
+        low, high = (-w + 1 - d, -d) if inclusive else (-w - d, -1 - d)
+        df = _in_window(pass_source, agg_source, folds, low, high)
     else:
         raise ValueError("unit is 'seconds' or 'ticks'")
     return _finished(pass_source, df, finished)
 
 
 def _last_ticks(
-    left: Series, right: Series, folds: Mapping[str, Fold], n: int, inclusive: bool, at: Column
+    left: Series, right: Series, folds: Mapping[str, Fold | Moments], n: int, inclusive: bool, at: Column
 ) -> DataFrame:
-    """Folds over the last ``n`` right ticks: combined on the right first, then read as-of."""
-    lags = {f"{name}_{k}": (f.value, k) for name, f in folds.items() for k in range(1, n)}
-    rows = right.df.withColumns({name: f.value for name, f in folds.items()})
-    combined = right.using(rows)
-    if lags:
-        combined = right.using(shift(combined, {m: (F.col(m.rsplit("_", 1)[0]), k) for m, (_, k) in lags.items()}))
-    exprs = {}
-    for name, f in folds.items():
-        out = F.col(name)
-        for k in range(1, n):
-            out = f.combine(F.col(f"{name}_{k}"), out)
-        exprs[name] = out
-    ready = right.using(combined.df.withColumns(exprs))
+    """Folds over the last ``n`` right ticks: windows of n rows on the right first, then read as-of."""
+    parts = {name: Agg(lambda s: f.partial(s.us), lambda s, f=f: {"x": f}, lambda p: p["x"]) for name, f in folds.items()}  # noqa: B023
+    ready = running_agg(right, parts, ticks=n)
     read = {name: Fold("last", F.struct(F.col(name).alias("x"))) for name in folds}
     df = _against_right(left, ready, read, right.us, inclusive=inclusive, left_us=at)
     return df.withColumns({name: F.col(f"`{name}`.x") for name in folds})

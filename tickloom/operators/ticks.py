@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tickloom.core import TMP, Series, col, from_micros
 from tickloom.operators import buckets as bk
+from tickloom.operators.aggregate import ROWS_PER_SLICE
 from tickloom.operators.buckets import BUCKET, Buckets
-from tickloom.ordering import Fold, running
+from tickloom.ordering import Fold, row_number, running, shift
 
 
 def _top(series: Series, b: Buckets | None, groups: Sequence[str], n: int, order: Sequence[Column]) -> Series:
@@ -124,3 +125,27 @@ def running_num_distinct(series: Series, columns: Sequence[str], name: str = "nu
     firsts = firsts.withColumn(f"{TMP}new", F.when(F.col(f"{TMP}earlier").isNull(), 1).otherwise(0).cast("long"))
     out = running(series.using(firsts), {name: Fold("sum", F.col(f"{TMP}new"))})
     return series.using(out.drop(f"{TMP}new", f"{TMP}earlier"))
+
+
+def sliding_num_distinct(
+    series: Series, columns: Sequence[str], window_us: int = 0, *, ticks: int = 0, name: str = "num_distinct"
+) -> Series:
+    """Number of distinct tuples in ``(t - W, t]``, or in the last ``ticks`` rows of the key, on every row.
+
+    A tuple counts from each of its rows on until its next row, or until the window has passed it, whichever comes first.  So
+    every row is linked to the next equal tuple, adds one, and takes it away again at that place: two integers per row,
+    whatever the window.  NULL is a value.
+    """
+    if bool(window_us) == bool(ticks):
+        raise ValueError("a window is a time or a number of ticks")
+    axis, until, step = f"{TMP}axis", f"{TMP}until", f"{TMP}step"
+    at = series.using(row_number(series, axis)) if ticks else series.using(series.df.withColumn(axis, series.us))
+    tuples = at.using(at.df, keys=(*series.keys, *[c for c in columns if c not in series.keys]))
+    linked = shift(tuples, {until: (F.col(axis), 1)}, lead=True)
+    linked = linked.withColumn(until, F.least(F.col(until), F.col(axis) + (window_us or ticks)))
+    twice = linked.withColumn(step, F.explode(F.array(F.lit(1).cast("long"), F.lit(-1).cast("long"))))
+    twice = twice.withColumn(axis, F.when(F.col(step) > 0, F.col(axis)).otherwise(F.col(until)))
+    changes = {"hot": None, "slice_us": ROWS_PER_SLICE} if ticks else {"hot": series.hot}
+    events = series.using(twice, us_column=axis, seq_slice=None, **changes)
+    out = running(events, {name: Fold("sum", F.col(step))}, order=[F.col(axis)], peers=True)
+    return series.using(out.where(F.col(step) > 0).drop(axis, until, step))

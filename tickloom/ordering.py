@@ -16,7 +16,7 @@ way the join needs neither a shuffle nor a sort of the rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -34,6 +34,10 @@ class Fold:
     kind: str
     value: Column
 
+    def of(self, value: Column) -> "Fold":
+        """The same aggregate of another expression."""
+        return replace(self, value=value)
+
     def over(self, w: WindowSpec) -> Column:
         if self.kind in ("first", "last"):
             return getattr(F, self.kind)(self.value, ignorenulls=True).over(w)
@@ -57,6 +61,139 @@ class Fold:
             return F.coalesce(here, earlier)
         return F.coalesce(earlier, here)
 
+    def reversed(self) -> "Fold":
+        return replace(self, kind={"first": "last", "last": "first"}.get(self.kind, self.kind))
+
+    def positioned(self, order: Column) -> tuple["Fold", str | None]:
+        """A fold that needs no order among its rows, and the field that holds its value."""
+        if self.kind not in ("first", "last"):
+            return self, None
+        at = F.when(self.value.isNotNull(), F.struct(order.alias("o"), self.value.alias("v")))
+        return Fold("min" if self.kind == "first" else "max", at), "v"
+
+
+@dataclass(frozen=True)
+class Moments:
+    """Count, mean and central sums (of squares up to fourth powers) of a number, as one state.
+
+    States are merged pairwise around their own means, so that a large common offset costs no digits, and
+    nothing is ever taken back.
+    """
+
+    value: Column
+    degree: int = 2
+
+    def of(self, value: Column) -> "Moments":
+        return replace(self, value=value)
+
+    @property
+    def fields(self) -> list[str]:
+        return ["n", "mean", "m2", "m3", "m4"][: self.degree + 1]
+
+    @property
+    def type(self) -> str:
+        return "struct<" + ",".join(f"{f}:double" for f in self.fields) + ">"
+
+    def _state(self, w: WindowSpec | None) -> Column:
+        at = (lambda c: c) if w is None else (lambda c: c.over(w))
+        x = self.value.cast("double")
+        n = at(F.count(x)).cast("double")
+        m2 = at(F.var_pop(x)) * n
+        parts = [n, at(F.avg(x)), m2]
+        if self.degree > 2:  # without spread the shape is undefined, the sums are zero
+            parts.append(F.coalesce(at(F.skewness(x)) * F.sqrt(m2 * m2 * m2 / n), m2 * 0))
+            parts.append(F.coalesce((at(F.kurtosis(x)) + 3) * m2 * m2 / n, m2 * 0))
+        return F.when(n > 0, F.struct(*[p.alias(f) for p, f in zip(parts, self.fields)]))
+
+    def over(self, w: WindowSpec) -> Column:
+        return self._state(w)
+
+    def partial(self, order: Column) -> Column:
+        return self._state(None)
+
+    def combine(self, a: Column, b: Column) -> Column:
+        n, d = a["n"] + b["n"], b["mean"] - a["mean"]
+        parts = [n, a["mean"] + d * b["n"] / n, a["m2"] + b["m2"] + d * d * a["n"] * b["n"] / n]
+        if self.degree > 2:
+            parts.append(
+                a["m3"] + b["m3"] + d * d * d * a["n"] * b["n"] * (a["n"] - b["n"]) / (n * n) + 3 * d * (a["n"] * b["m2"] - b["n"] * a["m2"]) / n
+            )
+            parts.append(
+                a["m4"] + b["m4"]
+                + d * d * d * d * a["n"] * b["n"] * (a["n"] * a["n"] - a["n"] * b["n"] + b["n"] * b["n"]) / (n * n * n)
+                + 6 * d * d * (a["n"] * a["n"] * b["m2"] + b["n"] * b["n"] * a["m2"]) / (n * n)
+                + 4 * d * (a["n"] * b["m3"] - b["n"] * a["m3"]) / n
+            )
+        both = F.struct(*[p.alias(f) for p, f in zip(parts, self.fields)])
+        return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(both)
+
+    def reversed(self) -> "Moments":
+        return self
+
+    def positioned(self, order: Column) -> tuple["Moments", str | None]:
+        return self, None
+
+
+@dataclass(frozen=True)
+class Comoments(Moments):
+    """Count, means, squares and products of two numbers; ``value`` is a struct of x and y, NULL where one is missing."""
+
+    @property
+    def fields(self) -> list[str]:
+        return ["n", "x", "y", "xx", "yy", "xy"]
+
+    def _state(self, w: WindowSpec | None) -> Column:
+        at = (lambda c: c) if w is None else (lambda c: c.over(w))
+        x, y = self.value["x"].cast("double"), self.value["y"].cast("double")
+        n = at(F.count(x)).cast("double")
+        parts = [n, at(F.avg(x)), at(F.avg(y)), at(F.var_pop(x)) * n, at(F.var_pop(y)) * n, at(F.covar_pop(x, y)) * n]
+        return F.when(n > 0, F.struct(*[p.alias(f) for p, f in zip(parts, self.fields)]))
+
+    def combine(self, a: Column, b: Column) -> Column:
+        n, dx, dy = a["n"] + b["n"], b["x"] - a["x"], b["y"] - a["y"]
+        share = a["n"] * b["n"] / n
+        parts = [
+            n, a["x"] + dx * b["n"] / n, a["y"] + dy * b["n"] / n, a["xx"] + b["xx"] + dx * dx * share, a["yy"] + b["yy"] + dy * dy * share,
+            a["xy"] + b["xy"] + dx * dy * share,
+        ]
+        both = F.struct(*[p.alias(f) for p, f in zip(parts, self.fields)])
+        return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(both)
+
+
+def _merged_before(df: DataFrame, keys: Sequence[Column], order: Sequence[Column], total: str, name: str, f: Moments) -> DataFrame:
+    """Add, per slice, the merged states of the slices before it.
+
+    No built-in aggregate merges such states, so they are collected: over runs of 64 slices, the merged runs over 64 runs, and those
+    over the key.  No row collects more than 126 states beside one for every 4,096 slices.
+    """
+    place = f"{name}_place"
+    df = df.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+
+    def before(c: str, *within: Column) -> Column:
+        w = Window.partitionBy(*keys, *within).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+        return F.aggregate(F.collect_list(c).over(w), F.lit(None).cast(f.type), f.combine)
+
+    near, mid, far, run = (f"{name}_{x}" for x in ("near", "mid", "far", "run"))
+    df = df.withColumn(near, before(total, F.shiftright(place, 6)))
+    df = df.withColumn(run, F.when(F.col(place) % 64 == 63, f.combine(F.col(near), F.col(total))))
+    df = df.withColumn(mid, before(run, F.shiftright(place, 12)))
+    df = df.withColumn(run, F.when(F.col(place) % 4096 == 4095, f.combine(F.col(mid), F.col(run))))
+    df = df.withColumn(far, before(run))
+    return df.withColumn(near, f.combine(F.col(mid), F.col(near))).withColumn(name, f.combine(F.col(far), F.col(near))).drop(near, mid, far, run, place)
+
+
+def _carried(
+    totals: DataFrame, keys: Sequence[Column], order: Sequence[Column], folds: Sequence[Fold | Moments], kept: Sequence[str], prefix: str
+) -> DataFrame:
+    """``kept`` columns of ``totals`` and, per slice, each fold of the slices before it, from its columns total0, total1, ..."""
+    earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"{prefix}{i}" for i in range(len(folds))]
+    out = totals.withColumns({n: f.of(F.col(f"{TMP}total{i}")).over(earlier) for i, (n, f) in enumerate(zip(names, folds)) if isinstance(f, Fold)})
+    for i, (n, f) in enumerate(zip(names, folds)):
+        if not isinstance(f, Fold):
+            out = _merged_before(out, keys, order, f"{TMP}total{i}", n, f)
+    return out.select(*kept, *names)
+
 
 AT = f"{TMP}at"
 
@@ -106,7 +243,7 @@ def _rejoin(df: DataFrame, local: DataFrame, carries: DataFrame, shared: bool) -
 
 def running(
     series: Series,
-    folds: Mapping[str, Fold],
+    folds: Mapping[str, Fold | Moments],
     *,
     by: Sequence[str] = (),
     order: Sequence[Column] | None = None,
@@ -139,23 +276,12 @@ def running(
     if not series.sliced:
         return df.withColumns({n: f.over(w) for n, f in folds.items()}).select(*[col(c) for c in [*kept, *folds]])
 
-    swap = {"first": "last", "last": "first"}
     totals = df.groupBy(AT).agg(
-        *high,
-        *[
-            Fold(swap.get(f.kind, f.kind) if reverse else f.kind, f.value).partial(position).alias(f"{TMP}total{i}")
-            for i, f in enumerate(folds.values())
-        ],
+        *high, *[(f.reversed() if reverse else f).partial(position).alias(f"{TMP}total{i}") for i, f in enumerate(folds.values())]
     )
-    before = (
-        Window.partitionBy(*[F.col(AT)[k] for k in keys])
-        .orderBy(*[F.col(AT)[n].desc() if reverse else F.col(AT)[n].asc() for n in names])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carries = totals.select(
-        AT,
-        *([f"{TMP}high"] if shared else []),
-        *[Fold(f.kind, F.col(f"{TMP}total{i}")).over(before).alias(f"{TMP}carry{i}") for i, f in enumerate(folds.values())],
+    carries = _carried(
+        totals, [F.col(AT)[k] for k in keys], [F.col(AT)[n].desc() if reverse else F.col(AT)[n].asc() for n in names],
+        list(folds.values()), [AT, *([f"{TMP}high"] if shared else [])], f"{TMP}carry",
     )
     local = df.withColumns({f"{TMP}here{i}": f.over(w) for i, f in enumerate(folds.values())})
     joined = _rejoin(df, local, carries, shared)
@@ -165,6 +291,59 @@ def running(
     )
 
 
+def window_folds(
+    series: Series, width: int, folds: Mapping[str, Fold | Moments], old: Column, *, by: Sequence[str] = (), left_closed: bool = False
+) -> DataFrame:
+    """Add folds over ``(x - width, x]`` to each row at ``x`` (over ``[x - width, x)`` with ``left_closed``).
+
+    The axis is the series' time in microseconds, or whatever integer ``us_column`` holds.  Rows whose values count are there twice:
+    at ``r``, and, marked ``old``, at ``r + width``; rows with NULL values only ask.  The axis is cut into blocks of one width.  A
+    window reaches over its own block, from the start to ``x``, and over the end of the block before, which in shifted form lies
+    in the same block, from ``x`` on.  So it is a running fold forwards, one backwards, and one merge: linear in the rows, for any
+    associative fold, and a value that has left is forgotten.  First and last need :meth:`Fold.positioned`.
+
+    A block wider than the series' slices is cut like any other run of the order.
+    """
+    x, df = series.us, series.df
+    keys = [*series.keys, *[k for k in by if k not in series.keys]]
+    cut = series.sliced and width > series.slice_width
+    block, piece = f"{TMP}block", f"{TMP}slice"
+    parts = [F.floor(x / F.lit(width)).alias(block)]
+    if cut:
+        at = F.floor(x / F.lit(series.slice_width))
+        parts.append((at if series.hot is None else F.when(series.hot.test(), at).otherwise(F.lit(0).cast("long"))).alias(piece))
+    df = df.withColumn(AT, F.struct(*[col(k).alias(f"k{i}") for i, k in enumerate(keys)], *parts))
+    shared = cut and not _is_scan(series.df)
+    df = df.repartition(AT) if shared else df
+    near, far = (-1, 0) if left_closed else (0, -1)
+    up = Window.partitionBy(AT).orderBy(x.asc()).rangeBetween(Window.unboundedPreceding, near)
+    down = Window.partitionBy(AT).orderBy(x.desc()).rangeBetween(Window.unboundedPreceding, far)
+    live = [f.of(F.when(~old, f.value)) for f in folds.values()]
+    gone = [f.of(F.when(old, f.value)) for f in folds.values()]
+    local = df.withColumns(
+        {f"{TMP}up{i}": f.over(up) for i, f in enumerate(live)} | {f"{TMP}down{i}": f.over(down) for i, f in enumerate(gone)}
+    )
+    kept = [col(c) for c in series.df.columns if c not in folds]
+    if not cut:
+        return local.select(*kept, *[f.combine(F.col(f"{TMP}down{i}"), F.col(f"{TMP}up{i}")).alias(n) for i, (n, f) in enumerate(folds.items())])
+    high = [F.max(_every_column(df)).alias(f"{TMP}high")] if shared else []
+    k = len(folds)
+    totals = df.groupBy(AT).agg(*high, *[f.partial(x).alias(f"{TMP}total{i}") for i, f in enumerate([*live, *gone])])
+    group = [F.col(AT)[f"k{i}"] for i in range(len(keys))] + [F.col(AT)[block]]
+    names = [AT, *([f"{TMP}high"] if shared else [])]
+    back = totals.withColumns({f"{TMP}total{i}": F.col(f"{TMP}total{k + i}") for i in range(k)})
+    ahead = _carried(totals, group, [F.col(AT)[piece].asc()], live, names, f"{TMP}before")
+    behind = _carried(back, group, [F.col(AT)[piece].desc()], gone, [AT], f"{TMP}after").withColumnRenamed(AT, f"{TMP}at2")
+    carries = ahead.join(behind, F.col(AT) == F.col(f"{TMP}at2")).drop(f"{TMP}at2")
+    joined = _rejoin(df, local, carries, shared)
+
+    # one merge per projection: nested in one another their expressions would multiply
+    older = {f"{TMP}down{i}": f.combine(F.col(f"{TMP}down{i}"), F.col(f"{TMP}after{i}")) for i, f in enumerate(folds.values())}
+    newer = {f"{TMP}up{i}": f.combine(F.col(f"{TMP}before{i}"), F.col(f"{TMP}up{i}")) for i, f in enumerate(folds.values())}
+    whole = [f.combine(F.col(f"{TMP}down{i}"), F.col(f"{TMP}up{i}")).alias(n) for i, (n, f) in enumerate(folds.items())]
+    return joined.withColumns({**older, **newer}).select(*kept, *whole)
+
+
 def row_number(series: Series, name: str, *, by: Sequence[str] = (), reverse: bool = False) -> DataFrame:
     """1-based position of each row in its key's order."""
     return running(series, {name: Fold("sum", F.lit(1).cast("long"))}, by=by, reverse=reverse)

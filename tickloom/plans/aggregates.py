@@ -286,6 +286,91 @@ def _(spark, sf):
     return out.df.select("user_id", "event_type", "event_id", r("v").alias("v"))
 
 
+#: Values with infinities, sixteen digits beside units, and a common offset of 1e8.
+ROUGH = "CASE WHEN event_id % 101 = 0 THEN 'Infinity'::DOUBLE WHEN event_id % 7 = 0 THEN 1e16 ELSE event_id % 10 END"
+OFFSET = "100000000 + event_id % 11"
+
+
+def _rough(s: Series) -> Series:
+    n = F.col("event_id")
+    rough = F.when(n % 101 == 0, F.lit(float("inf"))).when(n % 7 == 0, F.lit(1e16)).otherwise((n % 10).cast("double"))
+    return s.using(s.df.withColumns({"x": rough, "y": (n % 11 + 100_000_000).cast("double"), "z": (n % 13).cast("double")}))
+
+
+@query("sliding_recovers", f"""
+WITH x AS (SELECT user_id, event_id, epoch_us(ts) AS us, {ROUGH} AS x FROM events)
+SELECT a.user_id, a.event_id, CASE WHEN max(b.x) >= 1e16 THEN -1 ELSE {R('sum(b.x)')} END AS s, count(*) AS n FROM x a JOIN x b
+ON a.user_id = b.user_id AND b.us <= a.us AND b.us > a.us - {W} GROUP BY ALL""")
+def _(spark, sf):
+    """Sums after an infinity or a very large value has left the window."""
+    out = ag.running_agg(_rough(events(spark, sf)), {"s": ag.sum_("x"), "n": ag.count()}, W, emit="arrival")
+    return out.df.select("user_id", "event_id", F.when(F.col("s") >= 1e16, -1.0).otherwise(r("s")).alias("s"), "n")
+
+
+MOMENTS_SQL = f"""CASE WHEN count(*) OVER w > 0 THEN {R('stddev_pop(event_id % 11) OVER w', 3)} END AS sd, {R('coalesce(var_samp(event_id % 11) OVER w, 0)', 2)} AS v,
+  {R('CASE WHEN isfinite(corr(event_id % 11, event_id % 13) OVER w) THEN corr(event_id % 11, event_id % 13) OVER w ELSE 0 END', 3)} AS c,
+  {R('CASE WHEN isfinite(regr_slope(event_id % 13, event_id % 11) OVER w) THEN regr_slope(event_id % 13, event_id % 11) OVER w ELSE 0 END', 3)} AS b"""
+
+
+def _moments(out):
+    return out.df.select(
+        "user_id", "event_id", r("sd", 3).alias("sd"), r(F.coalesce("v", F.lit(0.0)), 2).alias("v"),
+        r(F.coalesce(F.when(~F.isnan("c"), F.col("c")), F.lit(0.0)), 3).alias("c"), r(F.coalesce("b", F.lit(0.0)), 3).alias("b"))
+
+
+def _moment_aggs():
+    return {"sd": ag.stddev("y"), "v": ag.variance("y", biased=False), "c": ag.correlation("y", "z"), "b": ag.slope("z", "y")}
+
+
+@query("running_moments", f"SELECT user_id, event_id, {MOMENTS_SQL} FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)")
+def _(spark, sf):
+    """Spread, correlation and slope of values with a common offset of 1e8, to the digits they have without it."""
+    return _moments(ag.running_agg(_rough(events(spark, sf)), _moment_aggs()))
+
+
+@query("sliding_moments", f"WITH x AS (SELECT *, epoch_us(ts) AS us FROM events) SELECT user_id, event_id, {MOMENTS_SQL} FROM x WINDOW w AS {FRAME}")
+def _(spark, sf):
+    return _moments(ag.running_agg(_rough(events(spark, sf)), _moment_aggs(), W, emit="arrival"))
+
+
+@query("sliding_ticks", f"""
+SELECT user_id, event_id, count(*) OVER w AS n, {R('sum(value) OVER w')} AS s, {R('avg(value) OVER w')} AS m, min(value) OVER w AS lo, max(value) OVER w AS hi,
+  first_value(event_type) OVER w AS f, {R('stddev_pop(value) OVER w', 3)} AS sd
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS 19 PRECEDING)""")
+def _(spark, sf):
+    out = ag.running_agg(events(spark, sf), {
+        "n": ag.count(), "s": ag.sum_("value"), "m": ag.average("value"), "lo": ag.min_("value"), "hi": ag.max_("value"), "f": ag.first("event_type"),
+        "sd": ag.stddev("value")}, ticks=20)
+    return out.df.select("user_id", "event_id", "n", r("s").alias("s"), r("m").alias("m"), "lo", "hi", "f", r("sd", 3).alias("sd"))
+
+
+@query("sliding_ticks_by_group", f"""
+SELECT user_id, event_type, event_id, {R('sum(value * (event_id % 5 + 1)) OVER w / sum(event_id % 5 + 1) OVER w')} AS v
+FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id ROWS 4 PRECEDING)""")
+def _(spark, sf):
+    s = events(spark, sf)
+    s = s.using(s.df.withColumn("q", F.col("event_id") % 5 + 1))
+    out = ag.running_agg(s, {"v": ag.vwap("value", "q")}, ticks=5, group_by=["event_type"])
+    return out.df.select("user_id", "event_type", "event_id", r("v").alias("v"))
+
+
+@query("sliding_num_distinct", f"""
+WITH x AS (SELECT user_id, event_id, epoch_us(ts) AS us, event_type, event_id % 9 AS q FROM events)
+SELECT a.user_id, a.event_id, count(DISTINCT (b.event_type, b.q)) AS n FROM x a JOIN x b
+ON a.user_id = b.user_id AND b.us <= a.us AND b.us > a.us - {W} GROUP BY ALL""")
+def _(spark, sf):
+    s = events(spark, sf)
+    s = s.using(s.df.withColumn("q", F.col("event_id") % 9))
+    return tk.sliding_num_distinct(s, ["event_type", "q"], W, name="n").df.select("user_id", "event_id", "n")
+
+
+@query("sliding_num_distinct_ticks", """
+WITH x AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events)
+SELECT a.user_id, a.event_id, count(DISTINCT b.event_type) AS n FROM x a JOIN x b ON a.user_id = b.user_id AND b.i BETWEEN a.i - 5 AND a.i GROUP BY ALL""")
+def _(spark, sf):
+    return tk.sliding_num_distinct(events(spark, sf), ["event_type"], ticks=6, name="n").df.select("user_id", "event_id", "n")
+
+
 # ---------------------------------------------------------------------------
 # Order statistics and weights
 # ---------------------------------------------------------------------------
