@@ -131,9 +131,11 @@ def plain_verdict(url, rules):
 def test_url_rules(spark):
     r = random.Random(3)
     urls = URLS + [f"http://{r.choice(['', 'a.', 'www.'])}{r.choice(['example', 'x'])}.{r.choice(['com', 'net'])}/{r.choice(['en/', 'es/', 'fr/', ''])}{r.randint(0, 99)}" for _ in range(300)]
-    df = spark.createDataFrame([(i, u, "old", "x") for i, u in enumerate(urls)], "page_id long, url string, rule string, key string")
+    clash = ("keys", "found", "_keys", "_found")
+    df = spark.createDataFrame([(i, u, "old", "x") for i, u in enumerate(urls)], "page_id long, url string, rule string, key string").selectExpr("*", *[f"'{c}' AS {c}" for c in clash])
     rules = [*queries.URL_RULES, ("block", "x.com", ""), ("block", "a.x.net", "/e")]
     for r in cascade.judge(df, rules).collect():
+        assert all(r[c] == c for c in clash)
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == plain_verdict(r["url"], rules), r["url"]
     assert cascade.judge(df, []).where("rule is null and verdict = 'allow'").count() == len(urls)
     assert cascade.judge(df.limit(0), rules).count() == 0

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import plain
 import pytest
+from pyspark.sql import functions as F
 from plain import frame  # noqa: F401
 
 from tickloom.llm import chat, decontaminate, linetree, quality
@@ -77,6 +78,14 @@ def test_quality_of_odd_rows(spark):
     assert quality.judge(df.limit(0), quality.fit(df.limit(0))).count() == 0
 
 
+def test_quality_keeps_columns_with_clashing_names(spark):
+    names = ("_s", "_site", "scores", "site", "n", "keep", "p_quality", "quality_site")
+    df = spark.createDataFrame([(1, "a b c", 1, 0, "h", "p")] * 3, "doc_id long, text string, quality int, toxic int, host string, path string")
+    df = df.withColumns({n: F.lit(n) for n in names})
+    out = quality.judge(df, quality.fit(df)).collect()
+    assert len(out) == 3 and all(r[n] == n for r in out for n in names)
+
+
 def test_sparse_sites_shrink(spark):
     """A site with one bad document is trusted more than one with a hundred of them."""
     rows = [("big", "a", 0.05)] * 100 + [("small", "a", 0.05)] + [(f"h{i}", "a", 0.5 + i % 40 / 100) for i in range(400)]

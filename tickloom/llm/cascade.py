@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import mixed, stored
+from tickloom.llm.common import free_name, mixed, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -185,6 +185,7 @@ def judge(
             rule[r], verdict[r] = keys.iloc[r][i - start[r]], ("allow", "block")[kind[i] - 1]
         return pd.DataFrame({"rule": pd.Series(rule, dtype=object), "verdict": pd.Series(verdict, dtype=object)})
 
-    hashes = [F.transform("_keys", lambda k: F.xxhash64(k)), F.transform("_keys", lambda k: F.xxhash64(k, F.lit(1)))]
-    found = parsed.withColumn("_keys", keys).withColumn("_found", first_listed("_keys", *hashes))
-    return found.withColumns({"rule": F.col("_found.rule"), "verdict": F.col("_found.verdict")}).drop("_keys", "_found")
+    own, hit = free_name(parsed, "keys"), free_name(parsed, "found")
+    hashes = [F.transform(own, lambda k: F.xxhash64(k)), F.transform(own, lambda k: F.xxhash64(k, F.lit(1)))]
+    found = parsed.withColumn(own, keys).withColumn(hit, first_listed(own, *hashes))
+    return found.withColumns({"rule": F.col(f"{hit}.rule"), "verdict": F.col(f"{hit}.verdict")}).drop(own, hit)

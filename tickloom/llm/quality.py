@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import mixed, stored
+from tickloom.llm.common import free_name, mixed, stored
 
 _UPPER, _LOWER, _DIGIT, _SPACE = bytes(range(65, 91)), bytes(range(97, 123)), bytes(range(48, 58)), b" \t\n\v\f\r"
 _ASCII_LEFT = bytes(set(range(33, 127)) - {*_UPPER, *_LOWER, *_DIGIT})
@@ -87,7 +87,7 @@ class Classifier:
 
 
 def near_copies(sets: list[np.ndarray], least: float = 0.8, bands: int = 16, rows: int = 4, seed: int = 5) -> np.ndarray:
-    """A group number for each set of hashes: sets that agree in all min-hashes of a band and have a Jaccard of at least ``least`` share one."""
+    """A group number for each sorted array of distinct hashes: those that agree in all min-hashes of a band and have a Jaccard of at least ``least`` share one."""
     factor = np.random.default_rng(seed).integers(0, 2**63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
     group = list(range(len(sets)))
 
@@ -97,7 +97,6 @@ def near_copies(sets: list[np.ndarray], least: float = 0.8, bands: int = 16, row
         return k
 
     buckets: dict[tuple[int, bytes], list[int]] = {}
-    members = [frozenset(x.tolist()) for x in sets]
     for k, x in enumerate(sets):
         low = mixed(factor[:, None] * x).min(axis=1) if len(x) else np.zeros(bands * rows, np.uint64)
         for b in range(bands):
@@ -105,8 +104,8 @@ def near_copies(sets: list[np.ndarray], least: float = 0.8, bands: int = 16, row
             for other in first:  # texts of this band that are no near copies of each other
                 same = root(other) == root(k)
                 if not same:
-                    both = len(members[other] & members[k])
-                    same = both >= least * (len(members[other]) + len(members[k]) - both)
+                    both = len(np.intersect1d(sets[other], x, assume_unique=True))
+                    same = both >= least * (len(sets[other]) + len(x) - both)
                     if same:
                         group[root(k)] = root(other)
                 if same:
@@ -116,21 +115,20 @@ def near_copies(sets: list[np.ndarray], least: float = 0.8, bands: int = 16, row
     return np.array([root(k) for k in range(len(sets))], np.int64)
 
 
-def _telling(words: list[str], at: list[np.ndarray], y: np.ndarray, share: np.ndarray, least_docs: float, least: float = 25.0) -> list[int]:
-    """Words (numbers) whose presence goes with a label beyond chance (likelihood ratio G2 of at least ``least`` for some head), strongest first.
+def _telling(row: np.ndarray, col: np.ndarray, n_terms: int, y: np.ndarray, share: np.ndarray, least_docs: float, least: float = 25.0) -> dict[int, float]:
+    """Terms (numbers ``col`` of row ``row``) whose presence goes with a label beyond chance, with their likelihood ratio G2 of at least ``least`` for some head.
 
-    A row counts as its ``share``; only words of at least ``least_docs`` rows count.
+    A row counts as its ``share``; only terms of at least ``least_docs`` rows count.
     """
     best: dict[int, float] = {}
-    row, col = np.repeat(np.arange(len(at)), [len(a) for a in at]), np.concatenate(at)
-    often = np.bincount(col, share[row], len(words)) >= least_docs - 1e-9
+    often = np.bincount(col, share[row], n_terms) >= least_docs - 1e-9
     for h in range(y.shape[1]):
         use = share * ~np.isnan(y[:, h])
         target = np.nan_to_num(y[:, h])
         n, n1 = use.sum(), (use * target).sum()
         if not 0 < n1 < n:
             continue
-        a, c = np.bincount(col, (use * target)[row], len(words)), np.bincount(col, use[row], len(words))
+        a, c = np.bincount(col, (use * target)[row], n_terms), np.bincount(col, use[row], n_terms)
         number = np.flatnonzero(often & (c > 0))
         a, c = a[number], c[number]
         g = np.zeros(len(number))
@@ -139,7 +137,11 @@ def _telling(words: list[str], at: list[np.ndarray], y: np.ndarray, share: np.nd
         for w, x in zip(number.tolist(), g.tolist(), strict=True):
             if x >= least:
                 best[w] = max(x, best.get(w, 0.0))
-    return sorted(best, key=lambda w: (-best[w], words[w]))
+    return best
+
+
+def _hashed(words: set[str]) -> np.ndarray:
+    return np.sort(np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) for w in words), np.uint64, len(words)))
 
 
 def with_labels(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sample: int = 8000) -> DataFrame:
@@ -156,47 +158,60 @@ def fit(labelled: DataFrame, *, sample: int = 8000, max_words: int = 20_000, min
     """
     key = F.xxhash64("text", "quality", "toxic")
     rows = labelled.select("text", "quality", "toxic").where("text is not null").withColumn("k", key).orderBy("k").limit(sample)
+    rows = stored(rows.select("text", "quality", "toxic", "k"), "labelled").orderBy("k", "text")
     dense, found, hashes, label = [], [], [], []
-    number: dict[str, int] = {}
     for r in rows.toLocalIterator():
         words = r["text"].split()
-        hashes.append(np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) for w in set(words)], np.uint64))
+        hashes.append(_hashed(set(words)))
         dense.append(surface(r["text"], words))
-        found.append(np.array([number.setdefault(w, len(number)) for w in terms(words)], np.int32))
+        found.append(_hashed(terms(words)))  # only hashes stay on the driver, 8 bytes a term
         label.append([np.nan if r[h] is None else float(r[h]) for h in HEADS])
     model = Classifier()
     if not dense:
         return model
     x, y = np.array(dense), np.array(label)
     group = near_copies(hashes)
+    del hashes
     share = 1 / np.bincount(group)[group]
-    spelt = list(number)
-    known = _telling(spelt, found, y, share, min_docs)[:max_words]
-    model.words = {spelt[w]: k for k, w in enumerate(known)}
+    size = np.array([len(f) for f in found])
+    row, every = np.repeat(np.arange(len(found), dtype=np.int32), size), np.concatenate(found)
+    del found
+    known, col = np.unique(every, return_inverse=True)
+    del every
+    best = _telling(row, col, len(known), y, share, min_docs)
+    strength = {int(known[c]): v for c, v in best.items()}
+    spelt: dict[str, int] = {}  # the words behind the chosen hashes, from a second look at the same rows
+    for r in rows.select("text").toLocalIterator() if strength else ():
+        for w in terms(r["text"].split()):
+            if w not in spelt and (h := xxhash.xxh64_intdigest(w.encode("utf-8", "replace"))) in strength:
+                spelt[w] = h
+    chosen = sorted(spelt, key=lambda w: (-strength[spelt[w]], w))[:max_words]
+    model.words = {w: k for k, w in enumerate(chosen)}
+    place = np.full(len(known), -1, np.int64)
+    place[np.searchsorted(known, np.array([spelt[w] for w in chosen], np.uint64))] = np.arange(len(chosen))
+    at = place[col]
+    kept = at >= 0
+    row, col = row[kept], at[kept]
+    del known, at, kept
     model.mean = np.average(x, axis=0, weights=share)
     model.scale = np.sqrt(np.average((x - model.mean) ** 2, axis=0, weights=share)) + 1e-6
     x = (x - model.mean) / model.scale
-    place = np.full(len(spelt), -1, np.int64)
-    place[known] = np.arange(len(known))
-    at = [np.sort(p[p >= 0]) for p in (place[f] for f in found)]
-    size = np.array([len(a) for a in at])
-    col, row = np.concatenate(at), np.repeat(np.arange(len(at)), size)
-    model.word_weights = np.zeros((2, len(known)))
+    model.word_weights = np.zeros((2, len(chosen)))
     for h in range(2):
         use = ~np.isnan(y[:, h])
         good, n = np.nansum(y[:, h] * share), (share * use).sum()
         model.bias[h] = np.log((good + 1) / (n - good + 1))
         if not 0 < good < n:
             continue
-        w, v, b = np.zeros(N_SURFACE), np.zeros(len(known)), model.bias[h]
-        slope = [np.zeros(N_SURFACE), np.zeros(len(known)), 0.0]
-        square = [np.zeros(N_SURFACE), np.zeros(len(known)), 0.0]
+        w, v, b = np.zeros(N_SURFACE), np.zeros(len(chosen)), model.bias[h]
+        slope = [np.zeros(N_SURFACE), np.zeros(len(chosen)), 0.0]
+        square = [np.zeros(N_SURFACE), np.zeros(len(chosen)), 0.0]
         weight = share * use
         target = np.nan_to_num(y[:, h])
         for t in range(1, rounds + 1):
-            z = x @ w + np.bincount(row, v[col], len(at)) + b
+            z = x @ w + np.bincount(row, v[col], len(x)) + b
             gap = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) / n
-            grads = [x.T @ gap + 1e-4 * w, np.bincount(col, gap[row], len(known)) + 2e-5 * v, gap.sum()]
+            grads = [x.T @ gap + 1e-4 * w, np.bincount(col, gap[row], len(chosen)) + 2e-5 * v, gap.sum()]
             steps = []
             for k, g in enumerate(grads):
                 slope[k] = 0.9 * slope[k] + 0.1 * g
@@ -266,15 +281,16 @@ def judge(
     def scores(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(sent.value.scores(texts), columns=["p_quality", "p_toxic"])
 
-    scored = docs.drop("verdict").withColumn("_s", scores(F.col(text)))
+    own, about = free_name(docs, "scores"), free_name(docs, "site")
+    scored = docs.drop("verdict").withColumn(own, scores(F.col(text)))
     scored = stored(scored if carry_text else scored.drop(text), "scored")
-    sites = site_posteriors(scored.select(F.col(host).alias("host"), F.col(path).alias("path"), "_s.*"))
-    sites = sites.select(F.struct("*").alias("_site"))
-    joined = scored.join(sites, F.col(host).eqNullSafe(F.col("_site.host")) & F.col(path).eqNullSafe(F.col("_site.path")))
+    sites = site_posteriors(scored.select(F.col(host).alias("host"), F.col(path).alias("path"), f"{own}.*"))
+    sites = sites.select(F.struct("*").alias(about))
+    joined = scored.join(sites, F.col(host).eqNullSafe(F.col(f"{about}.host")) & F.col(path).eqNullSafe(F.col(f"{about}.path")))
     post = {
-        h: 1 / (1 + F.exp(-(_logit(F.col(f"_s.p_{h}")) + _logit(F.col(f"_site.{h}_site")) - _logit(F.col(f"_site.{h}_all")))))
+        h: 1 / (1 + F.exp(-(_logit(F.col(f"{own}.p_{h}")) + _logit(F.col(f"{about}.{h}_site")) - _logit(F.col(f"{about}.{h}_all")))))
         for h in HEADS
     }
     keep = (post["quality"] >= min_quality) & (post["toxic"] < max_toxic)
-    verdict = F.struct("_s.p_quality", "_s.p_toxic", *(post[h].alias(h) for h in HEADS), F.col("_site.n").alias("site_n"), keep.alias("keep"))
-    return joined.withColumn("verdict", verdict).drop("_s", "_site")
+    verdict = F.struct(f"{own}.p_quality", f"{own}.p_toxic", *(post[h].alias(h) for h in HEADS), F.col(f"{about}.n").alias("site_n"), keep.alias("keep"))
+    return joined.withColumn("verdict", verdict).drop(own, about)
