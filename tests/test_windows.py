@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tickloom.core import Series
 from tickloom.operators import aggregate as ag
 from tickloom.operators import joins as jn
+from tickloom.operators import statistics as stats
+from tickloom.operators import ticks as tk
 
 INF = math.inf
 
@@ -167,3 +169,28 @@ def test_what_has_left_is_forgotten(spark):
     for window in ({"ticks": 4}, {"window_us": 4, "emit": "arrival"}):
         out = ag.running_agg(series(spark, offset, 2), {"sd": ag.stddev("x")}, **window).df.orderBy("us").collect()
         assert [round(r["sd"], 7) for r in out][3:] == [0.5] * 7
+
+
+@pytest.mark.parametrize("window", [{"window_us": 1}, {"window_us": 90}, {"ticks": 1}, {"ticks": 9}, {"ticks": 1000}])
+def test_order_statistics_and_distinct_counts(spark, window):
+    rows = [(k, t, i, math.nan if i % 31 == 0 else x, y) for k, t, i, x, y in rows_of(12)]
+    s = series(spark, rows, 40)
+    order = sorted(rows, key=lambda r: (r[1], r[2]))
+
+    def windows(k, t, seq):
+        own = [r for r in order if r[0] == k]
+        if "ticks" in window:
+            at = [r[2] for r in own].index(seq)
+            return own[max(0, at - window["ticks"] + 1) : at + 1]
+        return [r for r in own if t - window["window_us"] < r[1] <= t]
+
+    middle = stats.sliding_median(s, "x", **window).df.collect()
+    nearest = {r["seq"]: r for r in stats.sliding_quantiles(s, "x", {"lo": 0.0, "third": 1 / 3, "hi": 1.0}, interpolate=False, **window).df.collect()}
+    assert len(middle) == len(nearest) == len(rows)
+    for r in middle:
+        xs = sorted(x for *_, x, _ in windows(r["k"], r["us"], r["seq"]) if x is not None and not math.isnan(x))
+        assert math.isclose(r["median"], statistics.median(xs)) if xs else r["median"] is None
+        n = nearest[r["seq"]]
+        assert (n["lo"], n["third"], n["hi"]) == ((xs[0], xs[math.ceil(len(xs) / 3) - 1], xs[-1]) if xs else (None, None, None))
+    for r in tk.sliding_num_distinct(s, ["y"], **window).df.collect():
+        assert r["num_distinct"] == len({x[4] for x in windows(r["k"], r["us"], r["seq"])})

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.core import SECOND, TMP, Series, col, from_micros
 from tickloom.operators import buckets as bk
 from tickloom.operators.buckets import BUCKET, Buckets
-from tickloom.ordering import Fold, distribution, running, shift
+from tickloom.ordering import Fold, distribution, row_number, running, shift
 
 
 def _bucketed(series: Series, buckets: Buckets | None, group_by: Sequence[str]) -> tuple[Series, list[str]]:
@@ -33,6 +36,94 @@ def median(series: Series, c: str, buckets: Buckets | None = None, group_by: Seq
     return d.groupBy(*ids).agg(((at(low) + at(high)) / 2.0).alias("median"))
 
 
+class RankTree:
+    """The k-th smallest value of any range of rows: a wavelet matrix over the ranks of the values.
+
+    One bit of the rank per level; a range is narrowed level by level to the rows whose rank has the bits found so far, for all
+    questions at once.  8 bytes per row and level.
+    """
+
+    def __init__(self, values: np.ndarray) -> None:
+        self.values, code = np.unique(values, return_inverse=True)
+        self.levels = []
+        for bit in reversed(range(max(len(self.values) - 1, 0).bit_length())):
+            ones = (code >> bit) & 1 == 1
+            before = np.concatenate([[0], np.cumsum(~ones)])  # rows without the bit, up to each place
+            self.levels.append((bit, before))
+            code = np.concatenate([code[~ones], code[ones]])
+
+    def smallest(self, begin: np.ndarray, end: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Values of 0-based rank k in [begin, end), where 0 <= k < end - begin."""
+        begin, end, k, code = begin.copy(), end.copy(), k.copy(), np.zeros(len(k), np.int64)
+        for bit, before in self.levels:
+            low, high, without = before[begin], before[end], before[-1]
+            up = k >= high - low
+            k -= np.where(up, high - low, 0)
+            code |= up.astype(np.int64) << bit
+            begin, end = np.where(up, without + begin - low, low), np.where(up, without + end - high, high)
+        return self.values[code]
+
+
+def sliding_quantiles(
+    series: Series, c: str | Column, quantiles: Mapping[str, float], window_us: int = 0, *, ticks: int = 0, interpolate: bool = True
+) -> Series:
+    """Quantiles of a number over ``(t - W, t]``, or over the last ``ticks`` rows of the key, on every row.
+
+    ``quantiles`` maps result columns to shares in [0, 1].  Between two values the result is interpolated, or else is the smallest value
+    with at least that share of the values at or below it.  NULL and NaN are passed over; a window without values gives NULL.
+
+    The axis is cut into blocks of one window; a block gets a rank tree over its own rows and those of the block before, from which every window
+    inside is read, so no frame is gathered.  One task holds the numbers of two windows of a key at a time; the rows themselves are sent once.
+    """
+    if bool(window_us) == bool(ticks):
+        raise ValueError("a window is a time or a number of ticks")
+    axis, old, block, value, row = (f"{TMP}{n}" for n in ("axis", "old", "block", "value", "row"))
+    width, wanted = window_us or ticks, dict(quantiles)
+    df = row_number(series, axis) if ticks else series.df.withColumn(axis, series.us)
+    kept = [n for n in series.df.columns if n not in wanted]
+    twice = df.withColumn(old, F.explode(F.array(F.lit(False), F.lit(True))))
+    v = col(c).cast("double")
+    slim = twice.select(
+        *[col(k).alias(f"{TMP}k{i}") for i, k in enumerate(series.keys)],
+        (F.floor(F.col(axis) / F.lit(width)) + F.col(old).cast("int")).alias(block), F.col(axis), F.col(old), F.when(~F.isnan(v), v).alias(value),
+        F.when(~F.col(old), F.struct(*[col(n) for n in kept])).alias(row),
+    ).where(~F.col(old) | F.col(value).isNotNull())
+    schema = T.StructType([T.StructField(row, slim.schema[row].dataType), *[T.StructField(n, T.DoubleType()) for n in wanted]])
+
+    def read(table: pa.Table) -> pa.Table:
+        x, v = table.column(axis).to_numpy(), table.column(value)
+        known = v.is_valid().to_numpy(zero_copy_only=False)
+        order = np.flatnonzero(known)[np.argsort(x[known], kind="stable")]
+        places, tree = x[order], RankTree(v.to_numpy()[order])
+        live = np.flatnonzero(~table.column(old).to_numpy(zero_copy_only=False))
+        begin, end = np.searchsorted(places, x[live] - width, "right"), np.searchsorted(places, x[live], "right")
+        some = np.flatnonzero(end > begin)
+        b, e = begin[some], end[some]
+        out = [table.column(row).take(pa.array(live))]
+        for q in wanted.values():
+            got = np.full(len(live), np.nan)
+            if interpolate:
+                at = q * (e - b - 1)
+                low = np.floor(at).astype(np.int64)
+                below, above = tree.smallest(b, e, low), tree.smallest(b, e, np.minimum(low + 1, e - b - 1))
+                between = (at > low) & (above != below)  # also spares equal infinities a subtraction
+                below[between] += (above[between] - below[between]) * (at - low)[between]
+                got[some] = below
+            else:
+                got[some] = tree.smallest(b, e, np.maximum(np.ceil(q * (e - b) - 1e-9).astype(np.int64) - 1, 0))
+            out.append(pa.array(got, mask=end <= begin))
+        return pa.table(out, names=[row, *wanted])
+
+    groups = [f"{TMP}k{i}" for i in range(len(series.keys))] + [block]
+    out = slim.groupBy(*groups).applyInArrow(read, schema)
+    return series.using(out.select(f"`{row}`.*", *[col(n) for n in wanted]))
+
+
+def sliding_median(series: Series, c: str | Column, window_us: int = 0, *, ticks: int = 0, name: str = "median") -> Series:
+    """Median of the window of every row; the mean of the two middle values when their number is even."""
+    return sliding_quantiles(series, c, {name: 0.5}, window_us, ticks=ticks)
+
+
 def percentile(
     series: Series,
     fields: Sequence[str | tuple[str, str]],

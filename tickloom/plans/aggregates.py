@@ -371,6 +371,29 @@ def _(spark, sf):
     return tk.sliding_num_distinct(events(spark, sf), ["event_type"], ticks=6, name="n").df.select("user_id", "event_id", "n")
 
 
+@query("sliding_median", f"""
+WITH x AS (SELECT *, epoch_us(ts) AS us FROM events)
+SELECT user_id, event_id, {R('median(value) OVER w')} AS median FROM x WINDOW w AS {FRAME}""")
+def _(spark, sf):
+    return st.sliding_median(events(spark, sf), "value", W).df.select("user_id", "event_id", r("median").alias("median"))
+
+
+@query("sliding_quantiles_ticks", f"""
+SELECT user_id, event_id, {R('quantile_cont(value, 0.1) OVER w')} AS p10, {R('quantile_cont(value, 0.75) OVER w')} AS p75
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS 14 PRECEDING)""")
+def _(spark, sf):
+    out = st.sliding_quantiles(events(spark, sf), "value", {"p10": 0.1, "p75": 0.75}, ticks=15)
+    return out.df.select("user_id", "event_id", r("p10").alias("p10"), r("p75").alias("p75"))
+
+
+@query("sliding_quantiles_nearest", f"""
+WITH x AS (SELECT *, epoch_us(ts) AS us FROM events)
+SELECT user_id, event_id, quantile_disc(value, 0.3) OVER w AS p30, quantile_disc(value, 0.9) OVER w AS p90 FROM x WINDOW w AS {FRAME}""")
+def _(spark, sf):
+    out = st.sliding_quantiles(events(spark, sf), "value", {"p30": 0.3, "p90": 0.9}, W, interpolate=False)
+    return out.df.select("user_id", "event_id", "p30", "p90")
+
+
 # ---------------------------------------------------------------------------
 # Order statistics and weights
 # ---------------------------------------------------------------------------
