@@ -176,3 +176,27 @@ def test_row_operators(make):
 def test_throw(make):
     with pytest.raises(Exception, match="too large"):
         pj.throw(make(A=[1, 9]).df, F.col("A") > 5, "too large").collect()
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("bin_us", [1, 10, 10**9])
+def test_intervals_of_every_length(spark, how, bin_us):
+    """Against all pairs; a long interval has few copies."""
+    import random
+
+    from tickloom.core import Series
+    from tickloom.operators.joins import interval_join
+
+    r = random.Random(4)
+    ticks = [(r.choice("ab"), r.randrange(-500, 5000), i) for i in range(150)]
+    spans = [(r.choice("abc"), b, b + r.choice([-3, 0, 1, 7, 40, 300, 4000, 10**9]), i) for i, b in enumerate(r.randrange(-700, 5000) for _ in range(40))]
+    left = Series(spark.createDataFrame(ticks, "k string, us long, seq long"), ts="us", us_column="us", keys=("k",))
+    right = spark.createDataFrame(spans, "k string, b long, e long, id long")
+    got = interval_join(left, right, F.col("b"), F.col("e"), how, bin_us=bin_us)
+    pairs = {(k, t, i, s) for k, t, i in ticks for q, b, e, s in spans if k == q and b <= t < e}
+    if how == "left":
+        pairs |= {(k, t, i, None) for k, t, i in ticks if not any(k == q and b <= t < e for q, b, e, _ in spans)}
+    rows = [tuple(x) for x in got.select("k", "us", "seq", "id").collect()]
+    assert set(rows) == pairs and len(rows) == len(pairs)
+    assert got.columns == ["k", "us", "seq", "b", "e", "id"]
+    assert interval_join(left, right.limit(0), F.col("b"), F.col("e"), how).count() == (150 if how == "left" else 0)

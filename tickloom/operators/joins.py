@@ -371,32 +371,57 @@ def _last_ticks(
 # ---------------------------------------------------------------------------
 
 
+#: A level of bins is this many times as wide as the one below it.
+FAN_OUT = 16
+
+
 def interval_join(
     left: Series, right: DataFrame, begin: Column, end: Column, how: str = "inner", bin_us: int = HOUR,
-    on: Sequence[str] | None = None,
+    on: Sequence[str] | None = None, longest_us: int | None = None,
 ) -> DataFrame:
     """Pairs of left ticks and right rows with ``begin <= t < end`` (microsecond columns of ``right``).
 
-    Both sides meet on (key, time bin) in an equi join, so Spark hashes or sorts and splits
-    skewed bins at run time.  A right row is copied once per bin it spans: choose ``bin_us``
-    near the usual interval length.  For long, non-overlapping intervals use :func:`valid_at`.
+    Both sides meet on (key, level, time bin) in an equi join, so Spark hashes or sorts and splits skewed bins at run time.  Bins of
+    level 0 are ``bin_us`` wide, those of each further level 16 times as wide.  A right row lies in the bins of the lowest level of which it spans 16
+    at most, so it has up to 17 copies, however long it is; a tick asks once per level.  How many levels there are follows from the longest
+    interval: ``longest_us``, or what one pass over ``right`` finds.  For long, non-overlapping intervals use :func:`valid_at`.
+
+    ``how`` is 'inner' or 'left'; a left tick without a match is then kept once, told by its key, time and arrival numbers.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("how is 'inner' or 'left'")
     on = list(left.keys if on is None else on)
-    b = f"{TMP}bin"
-    spans = right.withColumns({f"{TMP}b": begin, f"{TMP}e": end}).where(F.col(f"{TMP}e") > F.col(f"{TMP}b"))
-    spans = spans.withColumn(
-        b,
-        F.explode(F.sequence(F.floor(F.col(f"{TMP}b") / F.lit(bin_us)), F.floor((F.col(f"{TMP}e") - 1) / F.lit(bin_us)))),
-    )
+    lo, hi, b, level = f"{TMP}b", f"{TMP}e", f"{TMP}bin", f"{TMP}level"
+    spans = right.withColumns({lo: begin, hi: end}).where(F.col(hi) > F.col(lo))
+    if longest_us is None:
+        longest_us = spans.agg(F.max(F.col(hi) - F.col(lo))).first()[0] or 0
+    widths = [bin_us]
+    while widths[-1] * FAN_OUT < longest_us:
+        widths.append(widths[-1] * FAN_OUT)
+    own = sum((F.when(F.col(hi) - F.col(lo) > w * FAN_OUT, 1).otherwise(0) for w in widths[:-1]), F.lit(0))
+    width = F.element_at(F.array(*[F.lit(w).cast("long") for w in widths]), own + 1)
+    bins = F.sequence(F.floor(F.col(lo) / width), F.floor((F.col(hi) - 1) / width))
+    spans = spans.withColumn(level, own).withColumn(b, F.explode(bins))
     clash = [c for c in right.columns if c in left.df.columns and c not in on]
     spans = spans.withColumnsRenamed({c: f"RIGHT_{c}" for c in clash})
-    rows = left.df.withColumns({US: left.us, b: F.floor(left.us / F.lit(bin_us))})
-    inside = (F.col(US) >= F.col(f"{TMP}b")) & (F.col(US) < F.col(f"{TMP}e"))
-    condition = all_of([rows[k] == spans[k] for k in [*on, b]]) & inside
-    out = rows.join(spans, condition, how)
-    for k in [*on, b]:
+    rows = left.df.withColumn(US, left.us)
+    if len(widths) == 1:
+        asks = rows.withColumns({level: F.lit(0), b: F.floor(F.col(US) / F.lit(bin_us))})
+    else:
+        each = F.array(*[F.struct(F.lit(i).alias("l"), F.floor(left.us / F.lit(w)).alias("b")) for i, w in enumerate(widths)])
+        asks = rows.withColumn(b, F.explode(each)).withColumns({level: F.col(b)["l"], b: F.col(b)["b"]})
+    inside = (F.col(US) >= F.col(lo)) & (F.col(US) < F.col(hi))
+    condition = all_of([asks[k] == spans[k] for k in [*on, level, b]]) & inside
+    out = asks.join(spans, condition, how if len(widths) == 1 else "inner")
+    for k in [*on, level, b]:
         out = out.drop(spans[k])
-    return out.drop(US, b, f"{TMP}b", f"{TMP}e")
+    out = out.drop(level, b, lo, hi)
+    if how == "left" and len(widths) > 1:
+        told = [*left.keys, *[c for c in left.seq if c not in left.keys], US]
+        met = out.select(*[col(c).alias(f"{TMP}m{i}") for i, c in enumerate(told)]).distinct()
+        alone = rows.join(met, all_of([col(c).eqNullSafe(F.col(f"{TMP}m{i}")) for i, c in enumerate(told)]), "left_anti")
+        out = out.unionByName(alone, allowMissingColumns=True)
+    return out.drop(US)
 
 
 def valid_at(left: Series, reference: Series, fields: Sequence[str], until: str | None = None) -> Series:

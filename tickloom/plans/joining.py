@@ -234,7 +234,21 @@ def _(spark, sf):
     s = events(spark, sf)
     sign = s.df.where("event_type = 'signup'").select("user_id", F.col("event_id").alias("iid"), s.us.alias("b"))
     rest = s.using(s.df.where("event_type <> 'signup'"))
-    return jn.interval_join(rest, sign, F.col("b"), F.col("b") + 8 * HOUR, bin_us=8 * HOUR).select("user_id", "event_id", "iid")
+    return jn.interval_join(rest, sign, F.col("b"), F.col("b") + 8 * HOUR, bin_us=8 * HOUR, longest_us=8 * HOUR).select("user_id", "event_id", "iid")
+
+
+@query("interval_join_long", """
+WITH i AS (SELECT user_id, event_id AS iid, ts AS b, ts + to_microseconds(CASE event_id % 4 WHEN 0 THEN 60000000 WHEN 1 THEN 36000000000 WHEN 2 THEN 864000000000 ELSE 31536000000000 END) AS e
+           FROM events WHERE event_type = 'signup')
+SELECT x.user_id, x.event_id, i.iid FROM events x LEFT JOIN i ON x.user_id = i.user_id AND x.ts >= i.b AND x.ts < i.e WHERE x.event_type = 'click'""")
+def _(spark, sf):
+    """Intervals of a minute, hours, days and a year side by side, on bins of one hour."""
+    s = events(spark, sf)
+    n = F.col("event_id") % 4
+    length = F.when(n == 0, 60_000_000).when(n == 1, 10 * HOUR).when(n == 2, 10 * DAY).otherwise(365 * DAY)
+    sign = s.df.where("event_type = 'signup'").select("user_id", F.col("event_id").alias("iid"), s.us.alias("b"), (s.us + length).alias("e"))
+    clicks = s.using(s.df.where("event_type = 'click'"))
+    return jn.interval_join(clicks, sign, F.col("b"), F.col("e"), "left", bin_us=HOUR, longest_us=365 * DAY).select("user_id", "event_id", "iid")
 
 
 @query("reference_lookup", """
