@@ -200,3 +200,23 @@ def test_intervals_of_every_length(spark, how, bin_us):
     assert set(rows) == pairs and len(rows) == len(pairs)
     assert got.columns == ["k", "us", "seq", "b", "e", "id"]
     assert interval_join(left, right.limit(0), F.col("b"), F.col("e"), how).count() == (150 if how == "left" else 0)
+
+
+def test_join_with_query_on_a_computed_symbol(spark, make):
+    """An expression picks the symbol, parameters shape the fields, empty results take defaults."""
+    from tickloom.operators.joins import join_with_query
+
+    data = make(A=[1, 2, 9], B=[2, 4, 9], PREF=["_", "^", "x"])
+    other = make(N=["3", "6", "6"], TYPE=["three", "six", None], offset=[0, 1, 500])
+    other = other.using(other.df, keys=("N",))
+    symbol = {"N": (F.col("A") + F.col("B")).cast("string")}
+    fields = {"TYPE": lambda p, t: F.concat(p["pref"], t["TYPE"])}
+    take = lambda **more: join_with_query(data, other, -100_000, 100_000, symbol=symbol, params={"pref": F.col("PREF")}, fields=fields, **more)
+    assert values(take(how="inner"), "A", "TYPE", order="A") == [(1, "_three"), (2, "^six")]
+    assert values(take(), "A", "TYPE", order="A") == [(1, "_three"), (2, "^six"), (9, "")]
+    out = take(where=F.col("A") != 2, prefix="P_", keep_time="AT", defaults={"TYPE": F.lit("none")})
+    assert values(out, "A", "P_TYPE", order="A") == [(1, "_three"), (2, "none"), (9, "none")]
+    assert values(out, "AT", order="A")[0] == at(0)
+    assert values(take(how="inner", condition=lambda p, t: t["TYPE"] != "six"), "A", order="A") == [1]
+    whole = join_with_query(data, other, 0, 600_000, how="inner", symbol=symbol)
+    assert values(whole, "A", "TYPE", order=["A", "TYPE"]) == [(1, "three"), (2, None), (2, "six")]

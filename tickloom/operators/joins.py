@@ -7,12 +7,12 @@ spreads a hot key over time slices.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.core import HOUR, TMP, Series, all_of, col, fill_typed, from_micros
+from tickloom.core import HOUR, TMP, Series, all_of, col, fill_typed, from_micros, typed_default
 from tickloom.operators.aggregate import Agg, running_agg
 from tickloom.ordering import Fold, Moments, row_number, running, window_folds
 
@@ -424,6 +424,69 @@ def interval_join(
     return out.drop(US)
 
 
+def join_with_query(
+    left: Series,
+    right: Series,
+    start_us: int,
+    end_us: int,
+    *,
+    how: str = "outer",
+    symbol: Mapping[str, str | Column] | None = None,
+    params: Mapping[str, Column] | None = None,
+    condition: Callable[[Column, Column], Column] | None = None,
+    fields: Mapping[str, Callable[[Column, Column], Column]] | None = None,
+    where: Column | None = None,
+    prefix: str = "",
+    keep_time: str | None = None,
+    defaults: Mapping[str, Column] | None = None,
+) -> Series:
+    """For each left tick, the right ticks in ``[t + start_us, t + end_us)`` of its symbol, one row per pair.
+
+    ``symbol``     right column -> left column or expression; by default the keys of both
+    ``params``     named left expressions for ``condition`` and ``fields``, which are called with (params, right tick)
+    ``condition``  which of the right ticks belong to the result
+    ``fields``     what is taken from a right tick; by default its fields as they are
+    ``where``      left ticks for which the right side is looked at; for the others the result is empty
+    ``how``        'inner' drops left ticks with an empty result; 'outer' keeps them once, with the ``defaults`` of the
+                   fields, else with the default of the type (0, NaN, '', the epoch)
+    ``keep_time``  name for the time of the right tick
+
+    Left ticks are told by their key, time and arrival numbers.  For aggregates of the window use :func:`window_join`, which forms no pairs.
+    """
+    if how not in ("inner", "outer"):
+        raise ValueError("how is 'inner' or 'outer'")
+    hit, mine, given, lo = f"{TMP}hit", ROW, f"{TMP}params", f"{TMP}lo"
+    pairs_by = dict(zip(right.keys, left.keys)) if symbol is None else dict(symbol)
+    on = [f"{TMP}s{i}" for i in range(len(pairs_by))]
+    names = [c for c in right.df.columns if c not in right.keys and c != right.ts and c not in right.seq]
+    asks = left.df.select(
+        F.struct(*[col(c) for c in left.df.columns]).alias(mine), F.struct(*[v.alias(k) for k, v in (params or {"none": F.lit(None)}).items()]).alias(given),
+        left.us.alias(lo), *[col(v).alias(n) for n, v in zip(on, pairs_by.values())], F.coalesce(F.lit(True) if where is None else where, F.lit(False)).alias(f"{TMP}look"),
+    )
+    ticks = right.using(
+        right.df.select(*[col(k).alias(n) for n, k in zip(on, pairs_by)], right.us.alias(f"{TMP}at"), F.struct(col(right.ts).alias(f"{TMP}time"), *[col(c) for c in right.df.columns if c != right.ts]).alias(hit)),
+        ts=f"{TMP}at", us_column=f"{TMP}at", keys=tuple(on), seq=(),
+    )
+    looking = asks.where(F.col(f"{TMP}look")).drop(f"{TMP}look")
+    width = max(end_us - start_us, 1)
+    found = interval_join(ticks, looking, F.col(lo) + start_us, F.col(lo) + end_us, "inner", bin_us=width, on=on, longest_us=width)
+    if condition is not None:
+        found = found.where(condition(F.col(given), F.col(hit)))
+    taken = {n: (lambda p, r, n=n: r[n]) for n in names} if fields is None else dict(fields)
+    values = {f"{prefix}{n}": f(F.col(given), F.col(hit)) for n, f in taken.items()}
+    if keep_time:
+        values[keep_time] = F.col(hit)[f"{TMP}time"]
+    out = found.select(mine, *[v.alias(n) for n, v in values.items()])
+    if how == "outer":
+        told = [*left.keys, left.ts, *[c for c in left.seq if c not in left.keys]]
+        met = out.select(*[F.col(mine)[c].alias(f"{TMP}m{i}") for i, c in enumerate(told)]).distinct()
+        alone = asks.select(mine).join(met, all_of([F.col(mine)[c].eqNullSafe(F.col(f"{TMP}m{i}")) for i, c in enumerate(told)]), "left_anti")
+        types = {f.name: f.dataType for f in out.schema.fields}
+        instead = {n: (defaults or {}).get(n.removeprefix(prefix) if n != keep_time else n, typed_default(types[n])) for n in values}
+        out = out.unionByName(alone.select(mine, *[v.cast(types[n]).alias(n) for n, v in instead.items()]))
+    return left.using(out.select(f"{mine}.*", *[col(n) for n in values]))
+
+
 def valid_at(left: Series, reference: Series, fields: Sequence[str], until: str | None = None) -> Series:
     """Look up dated reference rows: the latest one effective at ``t``, if still valid (``until``)."""
     names = {f: f for f in fields}

@@ -227,6 +227,33 @@ def _(spark, sf):
     return out.df.select("user_id", "event_id", F.coalesce("lo", F.lit(-1.0)).alias("lo"), F.coalesce("l", F.lit(-1.0)).alias("l"))
 
 
+@query("join_with_query_outer", f"""
+WITH {BUYS}, {VIEWS}, h AS (SELECT b.event_id, v.vid, v.vval, v.ts AS vts FROM b JOIN v ON b.user_id = v.user_id AND v.ts >= b.ts - INTERVAL 1 DAY AND v.ts < b.ts
+  AND v.vval > b.value * 0.5 WHERE b.event_id % 3 > 0)
+SELECT b.user_id, b.event_id, coalesce(h.vid, -1) AS view_vid, coalesce(h.vval, 0.5) AS view_vval, coalesce(h.vts, TIMESTAMP '1970-01-01') AS seen
+FROM b LEFT JOIN h USING (event_id)""")
+def _(spark, sf):
+    """Views of the day before each purchase, of more than half its value, for two purchases of three."""
+    b, v = _buys(spark, sf), _views(spark, sf)
+    out = jn.join_with_query(
+        b, v, -DAY, 0, params={"least": F.col("value") * 0.5}, condition=lambda p, t: t["vval"] > p["least"], where=F.col("event_id") % 3 > 0,
+        fields={"vid": lambda p, t: t["vid"], "vval": lambda p, t: t["vval"]}, prefix="view_", keep_time="seen",
+        defaults={"vid": F.lit(-1), "vval": F.lit(0.5)})
+    return out.df.select("user_id", "event_id", "view_vid", "view_vval", "seen")
+
+
+@query("join_with_query_inner", f"""
+WITH {BUYS}, {VIEWS}
+SELECT b.user_id, b.event_id, v.vid, {R('v.vval + b.value')} AS total FROM b JOIN v ON v.user_id = b.user_id + 1 AND v.ts >= b.ts AND v.ts < b.ts + INTERVAL 6 HOUR""")
+def _(spark, sf):
+    """Views of the next user in the six hours after a purchase."""
+    b, v = _buys(spark, sf), _views(spark, sf)
+    out = jn.join_with_query(
+        b, v, 0, 6 * HOUR, how="inner", symbol={"user_id": F.col("user_id") + 1}, params={"value": F.col("value")},
+        fields={"vid": lambda p, t: t["vid"], "total": lambda p, t: t["vval"] + p["value"]})
+    return out.df.select("user_id", "event_id", "vid", r("total").alias("total"))
+
+
 @query("interval_join", """
 WITH i AS (SELECT user_id, event_id AS iid, ts AS b, ts + INTERVAL 8 HOUR AS e FROM events WHERE event_type = 'signup')
 SELECT x.user_id, x.event_id, i.iid FROM events x JOIN i ON x.user_id = i.user_id AND x.ts >= i.b AND x.ts < i.e WHERE x.event_type <> 'signup'""")
