@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from plain import corpus, frame, sha  # noqa: F401
+from plain import frame, sha  # noqa: F401
 
 from tickloom.llm import private
 from tickloom.llm.queries import op11_personal_data
