@@ -13,7 +13,7 @@ from tickloom.llm.queries import vocabulary
 from tickloom.llm.tokens import ChunkEncoder
 
 ODD = [
-    "", " ", "  ", "a  b", " a", "a \n b", "a\n b  ", "x\x1c y", "<|endoftext|> a<|startoftext|>", "don't 's", "\uff11\uff12 \uff13", "a\t b \r\n",
+    "", " ", "  ", "a  b", " a", "a \n b", "a\n b  ", "x\x1c y", "<|endoftext|> a<|startoftext|>", "<|ENDOFTEXT|> b. c<|EndOfText|>", "a b<|endoftext|>\u00e9 c,<|endoftext|>\n", "don't 's", "\uff11\uff12 \uff13", "a\t b \r\n",
     "\U0001f642 \U0001f642  \U0001f642", "_ _", "a\u200b b", "e\u0301 \u0301b", "a.b,c ..,, d", "3.14,15 .5", "A.B C, D", "\0 a.\0b", "\u03a3\u03a3. \u0130x", "a_.b_, c",
 ]
 VOCABULARIES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
@@ -23,7 +23,6 @@ def reference(name, texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(vocabulary(name))
-    t.encode_special_tokens = True
     return [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
 
 

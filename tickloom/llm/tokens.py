@@ -29,9 +29,9 @@ class _Numbers(dict):
 
 
 class ChunkEncoder:
-    """Ids as tokenizers.Tokenizer.encode(text, add_special_tokens=False) gives them; strings of special tokens are ordinary text.
+    """Ids as tokenizers.Tokenizer.encode(text, add_special_tokens=False) gives them.
 
-    Remembers the ids of up to ``limit`` pieces.
+    A text that holds a special token as a string gets that token's id there, as from the library; it is encoded whole.  Remembers the ids of up to ``limit`` pieces.
     """
 
     def __init__(self, path: str, limit: int = 1_100_000):
@@ -39,8 +39,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.limit = limit
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         same = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in (ascii_uppercase, ascii_lowercase)]
         self.fold = same[0] == same[1]  # the tokenizer lower-cases, so both cases of a piece can share one entry
         self._forget()
@@ -67,9 +67,12 @@ class ChunkEncoder:
         pieces = np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             had = len(numbers)
+            whole = text
             if self.fold and text.isascii():
                 text = text.lower()
-            if _ODD.search(text):
+            if any(t in text for t in self.special):
+                cut = [whole]
+            elif _ODD.search(text):
                 cut = _CUT.split(text)
             else:
                 cut = text.replace(" ", "\0 ").replace("\n", "\0\n").replace(",", "\0,").replace(".", "\0.").split("\0")
