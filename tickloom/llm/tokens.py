@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
@@ -12,7 +13,8 @@ import numpy as np
 #: visible ASCII character (white space joins only what follows it), and at a full stop or comma after a letter or digit.
 #: So pieces cut there are encoded as they would be in place.
 _CUT = re.compile(r"(?<=[!-~\w])(?=[ \n])")
-_ODD = re.compile(r"(?:^|[^!-~\w])[ \n]|(?:^|[\W_])[.,]|\0")
+#: A cutting character that is not preceded by what the rule above asks for; one look back at each such character.
+_ODD = re.compile(r"[ \n.,\0](?<!(?:[!-~\w][ \n]|[^\W_][.,]))")
 
 
 class _Numbers(dict):
@@ -54,7 +56,7 @@ class ChunkEncoder:
         if self.waiting:
             new = [e.ids for e in self.tokenizer.encode_batch_fast(self.waiting, add_special_tokens=False)]
             size = np.fromiter(map(len, new), np.int64, len(new))
-            flat = np.fromiter((i for x in new for i in x), np.uint32, int(size.sum()))
+            flat = np.fromiter(chain.from_iterable(new), np.uint32, int(size.sum()))
             self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
             self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, flat])
             self.waiting.clear()
