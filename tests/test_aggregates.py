@@ -1,7 +1,9 @@
 """Golden tables of bucketed, running and sliding aggregation."""
 
+import collections
 from datetime import timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +107,32 @@ def test_balanced_groups(make):
     assert got == {"A": 0, "B": 1, "C": 2, "D": 2}
 
 
+@pytest.mark.parametrize("heaviest, largest", [(1, 900), (3, 900), (2, 50_000)])
+def test_light_values_level_the_groups(make, heaviest, largest):
+    rng = np.random.default_rng(heaviest)
+    size = [int(x) for x in rng.integers(1, 40, 300)] + [largest, 200, 0]
+    s = make(X=[*range(301), -1, 500], SIZE=size)
+    s = s.using(s.df.withColumn("X", F.nullif("X", F.lit(-1))))
+    rows = st.partition_evenly_into_groups(s, "X", "SIZE", 5, heaviest=heaviest).collect()
+    weight = dict(zip([*range(301), None, 500], size))
+    assert len(rows) == len(weight) and {r["X"] for r in rows} == set(weight)
+    loads = collections.Counter()
+    for r in rows:
+        loads[r["GROUP_ID"]] += weight[r["X"]]
+    alone = largest > sum(size) / 5  # nothing joins a value that weighs more than a fair share
+    level = (sum(size) - largest) / 4 if alone else sum(size) / 5
+    assert set(loads) == set(range(5)) and (not alone or largest in loads.values())
+    assert all(abs(x - level) <= sorted(size)[-5 * heaviest - 1] for x in loads.values() if not alone or x != largest)
+
+
+def test_light_values_of_equal_weight_and_none(make):
+    s = make(X=list(range(100)), SIZE=[1] * 100)
+    count = collections.Counter(r["GROUP_ID"] for r in st.partition_evenly_into_groups(s, "X", "SIZE", 4, heaviest=2).collect())
+    assert sorted(count) == [0, 1, 2, 3] and max(count.values()) - min(count.values()) <= 1
+    empty = s.using(s.df.limit(0))
+    assert st.partition_evenly_into_groups(empty, "X", "SIZE", 4).count() == 0
+
+
 def test_bins(make):
     s = make(X=[9, 8, 5, 6, 7, 0])
     assert values(s.df.withColumn("b", st.cut(s.df, "X", 3, list("abc"))), "b") == list("ccbbca")

@@ -147,6 +147,9 @@ def test_realised_profit(make):
 
 def test_outliers_follow_the_last_kept_tick(make):
     assert values(outliers.skip_bad_tick(make(X=[10, 11, 15, 11, 9, 10]), "X", 1.2), "X") == [10, 11, 11, 10]
+    assert values(outliers.skip_bad_tick(make(X=[10, 11, 15, 11, 9, 10]), "X", 1.2, discard_on_match=True), "X") == [15, 9]
+    signed = outliers.skip_bad_tick(make(X=[10, -11, -15, 11, 9, -10]), "X", 1.2, use_absolute_values=True)
+    assert values(signed, "X") == [10, -11, 11, -10] and signed.df.columns == make(X=[1]).df.columns
 
 
 def test_outliers_against_brute_force(make):

@@ -43,7 +43,7 @@ def test_only_large_keys_sliced(spark, con, name, monkeypatch):
     assert compare(spark, con, SF, QUERIES[name], ORACLE[name]) is None
 
 
-@pytest.mark.parametrize("name", ["skip_bad_tick", "partition_evenly", "option_price", "option_price_tree", "math_random"])
+@pytest.mark.parametrize("name", ["skip_bad_tick", "option_price", "option_price_tree", "math_random"])
 def test_rows_only(spark, name):
     df = QUERIES[name](spark, SF)
     assert df.count() > 0

@@ -13,9 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.core import TMP, Series
+from tickloom.core import TMP, Series, col
+
 
 def _next_close(values: np.ndarray, i: int, factor: float) -> int:
     """Position of the first later value close to ``values[i]``, or -1; looks ahead in growing blocks."""
@@ -71,13 +73,19 @@ def _runs(pdf: pd.DataFrame, ids: list[str]) -> Iterator[tuple[tuple, int, int]]
     yield from zip(keys, starts, [*starts[1:], len(pdf)])
 
 
-def skip_bad_tick(series: Series, field: str, jump_threshold: float) -> Series:
+def skip_bad_tick(
+    series: Series, field: str, jump_threshold: float, *, use_absolute_values: bool = False, discard_on_match: bool = False
+) -> Series:
     """Keep ticks within the factor ``jump_threshold`` of the last kept tick of their key.
 
-    The first tick of a key is kept.  Values are positive.
+    The first tick of a key is kept.  Values are positive, or their magnitudes count (``use_absolute_values``).  ``discard_on_match`` gives the
+    other ticks.
     """
-    keys, sl = list(series.keys), f"{TMP}slice"
+    keys, sl, looked = list(series.keys), f"{TMP}slice", field
     df = series.df.withColumns({sl: series.slices()[0], f"{TMP}us": series.us})
+    if use_absolute_values:
+        field = f"{TMP}magnitude"
+        df = df.withColumn(field, F.abs(col(looked)))
     order = [f"{TMP}us", *series.seq]
     ids = [*keys, sl]
     factor = float(jump_threshold)
@@ -122,10 +130,10 @@ def skip_bad_tick(series: Series, field: str, jump_threshold: float) -> Series:
             yield pd.DataFrame(rows, columns=[*ids, "entry"])
 
     entries_schema = T.StructType([*id_fields, T.StructField("entry", T.DoubleType())])
-    per_key = ranges.repartition(*keys) if keys else ranges.coalesce(1)
+    per_key = ranges.repartition(*keys) if keys else ranges.repartition(1)  # a few rows per slice
     entries = per_key.sortWithinPartitions(*ids).mapInPandas(chain, entries_schema)
 
-    dropped = ["entry", sl, f"{TMP}us"]
+    dropped = ["entry", sl, f"{TMP}us", *([field] if use_absolute_values else [])]
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, current = None, np.nan
@@ -136,7 +144,7 @@ def skip_bad_tick(series: Series, field: str, jump_threshold: float) -> Series:
                     key, current = here, entry[a]
                 for v in values[a:b]:
                     near = current != current or max(v, current) <= factor * min(v, current)
-                    keep.append(near)
+                    keep.append(near != discard_on_match)
                     current = v if near else current
             yield pdf.loc[np.array(keep, dtype=bool)].drop(columns=dropped)
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -407,32 +406,82 @@ def multi_portfolio_price(
 
 
 def partition_evenly_into_groups(
-    series: Series, field: str, weight: str, number_of_groups: int, buckets: Buckets | None = None
+    series: Series, field: str, weight: str, number_of_groups: int, buckets: Buckets | None = None, *, heaviest: int = 64
 ) -> DataFrame:
-    """Assign each distinct value to one of ``k`` groups of nearly equal weight, largest first.
+    """Assign each distinct value of a bucket to one of ``k`` groups of nearly equal weight.
 
-    Ticks are summed per value first.  The greedy step then streams a bucket's values in
-    order and remembers only the ``k`` group weights.
+    Ticks are summed per value first.  The ``heaviest * k`` values of most weight (ties by value) go, largest first, each to the lightest
+    group.  The others fill the groups up to one level: laid end to end on the axis of summed weight, in the order of a hash, a value
+    belongs to the group that lacks the weight at its middle.  So only ``heaviest * k`` values of a bucket meet in one task, and a group
+    misses the level by at most the weight of one light value, unless its heavy ones alone exceed the level.  A NULL weight counts as
+    0; a sum below 0 is an error.
     """
+    k, n = number_of_groups, number_of_groups * heaviest
+    if k < 1 or heaviest < 1:
+        raise ValueError("number_of_groups and heaviest are positive numbers")
     assigned, ids = _bucketed(series, buckets, ())
-    sums = assigned.df.groupBy(*ids, field).agg(F.sum(weight).cast("double").alias(f"{TMP}w"))
-    ordered = sums.repartition(*ids).sortWithinPartitions(*ids, F.col(f"{TMP}w").desc(), field)
-    k = number_of_groups
-
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, heap = None, []
-        for pdf in batches:
-            out = []
-            for key, w in zip(pdf[ids].itertuples(index=False, name=None), pdf[f"{TMP}w"]):
-                if key != current:
-                    current, heap = key, [(0.0, g) for g in range(k)]
-                load, g = heapq.heappop(heap)
-                heapq.heappush(heap, (load + w, g))
-                out.append(g)
-            yield pdf.drop(columns=f"{TMP}w").assign(GROUP_ID=out)
-
-    schema = ordered.drop(f"{TMP}w").withColumn("GROUP_ID", F.lit(0).cast("long")).schema
-    return ordered.mapInPandas(fill, schema)
+    w, cell, name, heavy = (f"{TMP}{x}" for x in ("w", "cell", "name", "heavy"))
+    total = F.coalesce(F.sum(weight).cast("double"), F.lit(0.0))
+    sums = assigned.df.groupBy(*ids, field).agg(F.when(total >= 0, total).otherwise(F.raise_error(F.lit("a weight is negative")).cast("double")).alias(w))
+    sums = sums.withColumn(name, F.md5(F.coalesce(col(field).cast("string"), F.lit(""))))
+    sums = sums.withColumns({cell: F.substring(name, 1, 3), heavy: F.struct(-F.col(w), col(field).alias("value"))})
+
+    def same(right: dict[str, str]) -> Column:
+        out = F.lit(True)
+        for c, r in right.items():  # a key may be NULL
+            out = out & F.col(c).eqNullSafe(F.col(r))
+        return out
+
+    def renamed(df: DataFrame, mark: str, also: Sequence[str] = ()) -> tuple[DataFrame, Column, list[str]]:
+        names = {c: f"{TMP}{mark}{i}" for i, c in enumerate([*ids, *also])}
+        return df.withColumnsRenamed(names), same(names), list(names.values())
+
+    # the heaviest of each part of a bucket, then of the bucket
+    top = sums
+    for part in ([*ids, cell], ids):
+        place = F.row_number().over(Window.partitionBy(*part).orderBy(heavy))
+        top = top.withColumn(f"{TMP}place", place).where(F.col(f"{TMP}place") <= n).drop(f"{TMP}place")
+
+    def fill(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(f"{TMP}place")
+        loads, groups = [(0.0, g) for g in range(k)], []
+        for x in rows[w].to_pylist():
+            load, g = loads[0]
+            heapq.heapreplace(loads, (load + x, g))
+            groups.append(g)
+        held = [load for load, _ in sorted(loads, key=lambda x: x[1])]
+        out = rows.select([*ids, field]).append_column("GROUP_ID", pa.array(groups, pa.int64()))
+        return out.append_column("loads", pa.array([held, *[None] * (len(groups) - 1)], pa.list_(pa.float64())))
+
+    greedy = top.select(*ids, field, w, F.row_number().over(Window.partitionBy(*ids).orderBy(heavy)).alias(f"{TMP}place"))
+    fields = [T.StructField(f.name, f.dataType) for f in greedy.select(*ids, field).schema]
+    schema = T.StructType([*fields, T.StructField("GROUP_ID", T.LongType()), T.StructField("loads", T.ArrayType(T.DoubleType()))])
+    greedy = greedy.groupBy(*ids).applyInArrow(fill, schema)
+
+    # the others: more weight of their part before them, of the parts before it, and what each group lacks
+    last, at, gone = renamed(top.groupBy(*ids).agg(F.max(heavy).alias(f"{TMP}last")), "l")
+    light = sums.join(last, at).where(F.col(heavy) > F.col(f"{TMP}last")).drop(*gone, f"{TMP}last")
+    parts = light.groupBy(*ids, cell).agg(F.sum(w).alias(f"{TMP}part"))
+    earlier = Window.partitionBy(*ids).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        *ids, cell, F.coalesce(F.sum(f"{TMP}part").over(earlier), F.lit(0.0)).alias(f"{TMP}carry"), F.sum(f"{TMP}part").over(Window.partitionBy(*ids)).alias(f"{TMP}all")
+    )
+    held, at, gone = renamed(greedy.where("loads IS NOT NULL").select(*ids, "loads"), "h")
+    level = F.array_min(
+        F.transform(
+            F.sequence(F.lit(1), F.lit(k)),
+            lambda m: (F.col(f"{TMP}all") + F.aggregate(F.slice(F.array_sort("loads"), 1, m), F.lit(0.0), lambda a, x: a + x)) / m,
+        )
+    )
+    lacking = F.transform("loads", lambda x: F.greatest(F.col(f"{TMP}level") - x, F.lit(0.0)))
+    ends = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda m: F.aggregate(F.slice(lacking, 1, m), F.lit(0.0), lambda a, x: a + x))
+    parts = parts.join(held, at).withColumn(f"{TMP}level", level).select(*ids, cell, f"{TMP}carry", ends.alias(f"{TMP}ends"))
+    parts, at, gone = renamed(parts, "p", [cell])
+    before = Window.partitionBy(*ids, cell).orderBy(name, field).rowsBetween(Window.unboundedPreceding, -1)
+    light = light.withColumn(f"{TMP}before", F.coalesce(F.sum(w).over(before), F.lit(0.0))).join(parts, at)
+    middle = F.col(f"{TMP}carry") + F.col(f"{TMP}before") + F.col(w) / 2
+    group = F.least(F.size(F.filter(f"{TMP}ends", lambda e: e <= middle)), F.lit(k - 1)).cast("long")
+    return greedy.drop("loads").unionByName(light.select(*ids, field, group.alias("GROUP_ID")))
 
 
 def cut(df: DataFrame, c: str, bins: int | Sequence[float], labels: Sequence[str] | None = None) -> Column:

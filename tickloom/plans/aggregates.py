@@ -518,10 +518,35 @@ def _(spark, sf):
     return out.select(F.col(BUCKET).alias("bucket"), "PORTFOLIO_NAME", r(value).alias("VALUE"), "NUM_SYMBOLS")
 
 
-@query("partition_evenly")
+@query("partition_evenly", """
+WITH RECURSIVE sums AS (
+  SELECT l_returnflag, l_suppkey, CAST(sum(l_quantity) AS DOUBLE) AS w, md5(CAST(l_suppkey AS VARCHAR)) AS name FROM lineitem GROUP BY l_returnflag, l_suppkey),
+placed AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY w DESC, l_suppkey) AS i FROM sums),
+greedy AS (
+  SELECT DISTINCT l_returnflag, CAST(0 AS BIGINT) AS i, l_suppkey * 0 AS l_suppkey, CAST([0, 0, 0, 0] AS DOUBLE[]) AS loads, CAST(-1 AS BIGINT) AS g FROM sums
+  UNION ALL
+  SELECT l_returnflag, i, l_suppkey, list_transform(loads, lambda x, j: CASE WHEN j = pick THEN x + w ELSE x END), pick - 1
+  FROM (SELECT p.l_returnflag, p.i, p.l_suppkey, p.w, q.loads, CAST(list_position(q.loads, list_min(q.loads)) AS BIGINT) AS pick
+        FROM greedy q JOIN placed p ON p.l_returnflag = q.l_returnflag AND p.i = q.i + 1 WHERE p.i <= 32)),
+held AS (
+  SELECT l_returnflag, unnest(loads) AS load, generate_subscripts(loads, 1) AS j
+  FROM (SELECT l_returnflag, arg_max(loads, i) AS loads FROM greedy GROUP BY l_returnflag)),
+rest AS (SELECT l_returnflag, sum(w) AS rest FROM placed WHERE i > 32 GROUP BY l_returnflag),
+levels AS (
+  SELECT l_returnflag, min((rest + below) / m) AS level
+  FROM (SELECT l_returnflag, sum(load) OVER (PARTITION BY l_returnflag ORDER BY load, j) AS below, row_number() OVER (PARTITION BY l_returnflag ORDER BY load, j) AS m FROM held)
+  JOIN rest USING (l_returnflag) GROUP BY l_returnflag),
+ends AS (
+  SELECT l_returnflag, sum(greatest(level - load, 0)) OVER (PARTITION BY l_returnflag ORDER BY j) AS upto FROM held JOIN levels USING (l_returnflag)),
+middles AS (
+  SELECT l_returnflag, l_suppkey, sum(w) OVER (PARTITION BY l_returnflag ORDER BY name, l_suppkey) - w / 2 AS middle FROM placed WHERE i > 32)
+SELECT l_returnflag, l_suppkey, g AS GROUP_ID FROM greedy WHERE i > 0
+UNION ALL
+SELECT l_returnflag, l_suppkey, least(count_if(upto <= middle), 3) AS GROUP_ID FROM middles JOIN ends USING (l_returnflag) GROUP BY l_returnflag, l_suppkey
+""")
 def _(spark, sf):
     s = lineitems(spark, sf)
-    out = st.partition_evenly_into_groups(s.using(s.df, keys=("l_returnflag",)), "l_suppkey", "l_quantity", 4)
+    out = st.partition_evenly_into_groups(s.using(s.df, keys=("l_returnflag",)), "l_suppkey", "l_quantity", 4, heaviest=8)
     return out.select("l_returnflag", "l_suppkey", "GROUP_ID")
 
 
