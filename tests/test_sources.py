@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,3 +135,77 @@ def test_streamed_snapshot_keeps_the_latest(spark, feed):
     sink = ss.snapshot_sink(f"{base}/snap", ["k"], ["ts", "seq"])
     ss.run(live.select("k", "ts", "seq"), sink, f"{base}/state2").awaitTermination()
     assert sorted((r["k"], r["seq"]) for r in ss.read_snapshot(spark, f"{base}/snap").collect()) == [(0, 99), (1, 37), (2, 38)]
+
+
+def test_snapshot_batches_rewrite_only_their_buckets(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    sink = ss.snapshot_sink(path, ["k"], ["seq"], buckets=16)
+    first = spark.range(200).select(F.col("id").alias("k"), F.lit(1).alias("seq"))
+    sink(first, 0)
+    one = spark.createDataFrame([(7, 2)], "k long, seq int")
+    for batch in (1, 1, 2, 3):  # a repeated batch changes nothing
+        sink(one, batch)
+    sink(first.limit(0), 4)
+    folders = {v: len(list((tmp_path / "snap" / v).glob("snapshot_bucket=*"))) for v in ("v=0", "v=1", "v=2", "v=3", "v=4")}
+    assert folders == {"v=0": 15, "v=1": 0, "v=2": 0, "v=3": 1, "v=4": 0}
+    got = {r["k"]: r["seq"] for r in ss.read_snapshot(spark, path).collect()}
+    assert got == {k: 2 if k == 7 else 1 for k in range(200)}
+    with pytest.raises(ValueError, match="no snapshot"):
+        ss.read_snapshot(spark, str(tmp_path / "none"))
+
+
+@pytest.mark.parametrize("policy", ["complain", "use_previous", "use_original", "discard"])
+def test_late_ticks_of_a_stream(feed, policy):
+    rows, live, base = feed
+    step = F.when(F.col("seq") % 6 >= 3, -4).otherwise(0)
+    moved = live.withColumn("other", F.timestamp_add("SECOND", step, F.col("ts")))
+    out = ss.update_timestamp(moved, ["k"], "ts", "seq", "other", 500_000, policy)
+    if policy == "complain":
+        with pytest.raises(Exception, match="out of order"):
+            drain(out, base)
+        return
+    got = {r["seq"]: r["other"] for r in drain(out, base).collect() if r["seq"] != 99}
+    want, latest = {}, {}
+    for ts, n, k, *_ in rows:
+        new = ts - timedelta(seconds=4 if n % 6 >= 3 else 0)
+        latest[k] = max(new, latest.get(k, new))
+        late = latest[k] - new > timedelta(milliseconds=500)
+        if not late or policy != "discard":
+            want[n] = {"use_previous": latest[k], "use_original": ts}.get(policy, new) if late else new
+    assert got == want
+
+
+def test_collections_in_state_start_anew_after_a_pause(spark, tmp_path):
+    times = [0, 1, 2, 10, 11, 40, 41]
+    path = str(tmp_path / "feed")
+    for part in ([0, 1, 3], [2, 4], [5], [6]):
+        spark.createDataFrame([(at(1000 * times[i]), i, 1, float(i), "a") for i in part], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([(at(10**6), 99, 2, 0.0, "b")], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    live = ss.live(spark, path, T._parse_datatype_string(SCHEMA), "ts", "10 seconds", files_per_trigger=1)
+
+    def step(us, value, held, counts):
+        held = [*held, value]
+        counts = {**counts, "odd" if value % 2 else "even": counts.get("odd" if value % 2 else "even", 0) + 1}
+        return (len(held), counts.get("odd", 0)), (held, counts)
+
+    out = ss.keyed_state(
+        live, ["k"], "ts", "seq", "v", step, ([], {}), "held array<double>, counts map<string, bigint>", "n bigint, odd bigint", 7_000_000)
+    got = {r["seq"]: (r["n"], r["odd"]) for r in drain(out, str(tmp_path)).collect() if r["k"] == 1}
+    assert got == {0: (1, 0), 1: (2, 1), 2: (3, 1), 3: (1, 1), 4: (2, 1), 5: (1, 1), 6: (2, 1)}
+
+
+def test_a_queue_takes_nothing_back():
+    rng = np.random.default_rng(3)
+    queue, held = ss._Queue([], []), []
+    for t in range(400):
+        if t == 200:
+            queue = ss._Queue(*queue.state())
+        v = [1.0, 1e16, float("inf"), 2.0][int(rng.integers(0, 4))] if t < 300 else float(t)
+        queue.push(t, v)
+        held.append((t, v))
+        limit = t - int(rng.integers(1, 30))
+        queue.leave(limit)
+        held = [x for x in held if x[0] > limit]
+        n, total, low, high = queue.read()
+        values_ = [v for _, v in held]
+        assert (n, low, high) == (len(held), min(values_), max(values_)) and total == pytest.approx(sum(values_))

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.core import DAY
+from tickloom.core import DAY, HOUR
 from tickloom.plans.registry import R, query, r
 from tickloom.streaming import stream as ss
 
@@ -17,8 +17,10 @@ SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, valu
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder; a temporary one where none is named."""
+    """A new folder below the cluster's shared checkpoint folder; a temporary one where none is named, on local masters only."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("a cluster needs a shared folder in spark.checkpoint.dir")
     return f"{root or tempfile.mkdtemp(prefix='tickloom-')}/{uuid.uuid4().hex}"
 
 
@@ -145,3 +147,66 @@ SELECT user_id, event_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, eve
 def _(spark, sf):
     out = ss.running_state(source(spark, sf), ["user_id"], "ts", "event_id", "value", max, 0.0)
     return drain(spark, out).select("user_id", "event_id", "state")
+
+
+@query("stream_sliding", f"""
+WITH x AS (SELECT *, epoch_us(ts) AS us FROM events)
+SELECT user_id, event_id, {R('sum(value) OVER w')} AS s, count(*) OVER w AS n, min(value) OVER w AS low, max(value) OVER w AS high
+FROM x WINDOW w AS (PARTITION BY user_id ORDER BY us RANGE BETWEEN {3 * DAY - 1} PRECEDING AND CURRENT ROW)""")
+def _(spark, sf):
+    out = ss.sliding(source(spark, sf), ["user_id"], "ts", "event_id", "value", 3 * DAY)
+    return drain(spark, out).select("user_id", "event_id", r("total").alias("s"), "n", "low", "high")
+
+
+@query("stream_window_folds", f"""
+WITH x AS (SELECT user_id, event_id, event_type, epoch_us(ts) AS us, CASE WHEN event_type = 'view' THEN value END AS v FROM events),
+     f AS (SELECT *, sum(v) OVER w AS s, count(v) OVER w AS n, max(v) OVER w AS high
+           FROM x WINDOW w AS (PARTITION BY user_id ORDER BY us RANGE BETWEEN {DAY - 1} PRECEDING AND CURRENT ROW))
+SELECT user_id, event_id, n, {R('coalesce(s, 0)')} AS s, coalesce(high, -1) AS high FROM f WHERE event_type = 'purchase'""")
+def _(spark, sf):
+    of = lambda kind: F.col("event_type") == kind
+    out = ss.window_folds_marked(source(spark, sf), ["user_id"], "ts", "event_id", "value", DAY, of("purchase"), of("view"))
+    return drain(spark, out).select(
+        "user_id", "event_id", "n", r(F.coalesce("total", F.lit(0.0))).alias("s"), F.coalesce("high", F.lit(-1.0)).alias("high"))
+
+
+def _late_ticks(instead: str, keep: str = "") -> str:
+    return f"""
+WITH x AS (SELECT user_id, event_id, epoch_us(ts) AS us, epoch_us(ts) + (floor(value)::BIGINT % 3) * 7200000000 AS nu FROM events),
+     m AS (SELECT *, max(nu) OVER (PARTITION BY user_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) mx FROM x)
+SELECT user_id, event_id, make_timestamp(CASE WHEN mx - nu > 3600000000 THEN {instead} ELSE nu END) AS other FROM m {keep}"""
+
+
+def _moved(spark, sf, policy):
+    late = F.timestamp_add("HOUR", F.floor("value").cast("long") % 3 * 2, F.col("ts"))
+    out = ss.update_timestamp(source(spark, sf).withColumn("other", late), ["user_id"], "ts", "event_id", "other", 3_600_000_000, policy)
+    return drain(spark, out).select("user_id", "event_id", "other")
+
+
+@query("stream_late_use_previous", _late_ticks("mx"))
+def _(spark, sf):
+    return _moved(spark, sf, "use_previous")
+
+
+@query("stream_late_discard", _late_ticks("NULL", "WHERE mx - nu <= 3600000000"))
+def _(spark, sf):
+    return _moved(spark, sf, "discard")
+
+
+@query("stream_collections", """
+WITH x AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) p FROM events),
+     y AS (SELECT *, sum(CASE WHEN ts > p + INTERVAL 12 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) b FROM x),
+     z AS (SELECT *, row_number() OVER (PARTITION BY user_id, b, floor(value)::BIGINT % 5 ORDER BY ts, event_id) AS nth FROM y)
+SELECT user_id, event_id, max(value) OVER (PARTITION BY user_id, b ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS recent,
+       count(CASE WHEN nth = 1 THEN 1 END) OVER (PARTITION BY user_id, b ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS kinds, nth AS seen FROM z""")
+def _(spark, sf):
+    def step(us, value, recent, counts):
+        recent = [*recent, value][-3:]
+        kind = int(value // 1) % 5
+        counts = {**counts, kind: counts.get(kind, 0) + 1}
+        return (max(recent), len(counts), counts[kind]), (recent, counts)
+
+    out = ss.keyed_state(
+        source(spark, sf), ["user_id"], "ts", "event_id", "value", step, ([], {}), "recent array<double>, counts map<int, bigint>",
+        "recent double, kinds bigint, seen bigint", 12 * HOUR)
+    return drain(spark, out).select("user_id", "event_id", "recent", "kinds", "seen")

@@ -89,51 +89,73 @@ def enrich(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(table, list(keys), "left")
 
 
-def snapshot_sink(path: str, keys: Sequence[str], order: Sequence[str], num_ticks: int = 1) -> Callable[[DataFrame, int], None]:
+def snapshot_sink(
+    path: str, keys: Sequence[str], order: Sequence[str], num_ticks: int = 1, buckets: int = 64
+) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that keeps the last ``num_ticks`` ticks per key in a table.
 
-    Each batch writes a new version beside the old one, so a repeated batch gives the same
-    result and a reader never sees half a table.
+    Keys are hashed into ``buckets``; a batch rewrites only the buckets of its keys, as a new version beside the old ones, so a
+    repeated batch gives the same result and a reader never sees half a table.  A version of a bucket is removed once a later batch
+    has replaced it and a further batch begins; the number of buckets must stay the same for a table.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         base = path.rstrip("/")
-        rows = batch
-        previous = _version_before(spark, base, batch_id)
-        if previous is not None:
-            rows = spark.read.parquet(f"{base}/v={previous}").unionByName(rows)
-        w = Window.partitionBy(*keys).orderBy(*[col(o).desc() for o in order])
+        rows = batch.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        touched = {r[0] for r in rows.select(_BUCKET).distinct().collect()}  # at most ``buckets`` numbers
+        newest, replaced = _newest(spark, base, batch_id)
+        before = [newest[b] for b in sorted(touched & newest.keys())]
+        if before:
+            rows = spark.read.option("basePath", base).schema(_partitioned(rows)).parquet(*before).drop("v").unionByName(rows)
+        w = Window.partitionBy(_BUCKET, *keys).orderBy(*[col(o).desc() for o in order])
         kept = rows.withColumn(f"{TMP}r", F.row_number().over(w)).where(F.col(f"{TMP}r") <= num_ticks).drop(f"{TMP}r")
-        kept.write.mode("overwrite").parquet(f"{base}/v={batch_id}")
+        kept.repartition(_BUCKET).write.partitionBy(_BUCKET).mode("overwrite").parquet(f"{base}/v={batch_id}")
+        for old in replaced:
+            where = spark._jvm.org.apache.hadoop.fs.Path(old)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
     return upsert
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
+_BUCKET = "snapshot_bucket"
+
+
+def _partitioned(df: DataFrame) -> T.StructType:
+    return T.StructType([*df.schema.fields, T.StructField("v", T.LongType())])
+
+
+def _newest(spark: SparkSession, base: str, before: float = float("inf")) -> tuple[dict[int, str], list[str]]:
+    """The folder of the newest complete version of each bucket written by batches ``before`` a number, and the older folders."""
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(base)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    newest: dict[int, str] = {}
+    replaced: list[str] = []
     if not fs.exists(root):
-        return []
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("v=") and fs.exists(done):
-            found.append(int(name[2:]))
-    return sorted(found)
-
-
-def _version_before(spark: SparkSession, base: str, batch_id: int) -> int | None:
-    earlier = [v for v in _versions(spark, base) if v < batch_id]
-    return earlier[-1] if earlier else None
+        return newest, replaced
+    versions = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("v=")]
+    for version in sorted(versions, key=lambda v: -int(v.getName()[2:])):
+        if int(version.getName()[2:]) >= before or not fs.exists(jvm.org.apache.hadoop.fs.Path(version, "_SUCCESS")):
+            continue
+        for status in fs.listStatus(version):
+            name = status.getPath().getName()
+            if name.startswith(f"{_BUCKET}="):
+                bucket = int(name.split("=")[1])
+                if bucket in newest:
+                    replaced.append(status.getPath().toString())
+                else:
+                    newest[bucket] = status.getPath().toString()
+    return newest, replaced
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete version that :func:`snapshot_sink` wrote."""
+    """The newest complete versions that :func:`snapshot_sink` wrote."""
     base = path.rstrip("/")
-    return spark.read.parquet(f"{base}/v={_versions(spark, base)[-1]}")
+    newest, _ = _newest(spark, base)
+    if not newest:
+        raise ValueError(f"no snapshot in {path}")
+    return spark.read.option("basePath", base).parquet(*newest.values()).drop("v", _BUCKET)
 
 
 # ---------------------------------------------------------------------------
@@ -145,12 +167,13 @@ _PENDING = "us array<bigint>, side array<int>, seq array<bigint>, value array<do
 
 def _ordered_state(
     df: DataFrame, keys: Sequence[str], ts: str, seq: str, side: Column, value: Column, extra: str,
-    step: Callable[[list, tuple], tuple[list, tuple]], initial: tuple, schema: str,
+    step: Callable[[list, tuple], tuple[list, tuple]], initial: tuple, schema: str, expire_us: int | None = None,
 ) -> DataFrame:
     """Feed each key's ticks to ``step`` in event-time order, holding back what may still be preceded.
 
     Ticks wait in state until the watermark passes them; ``step`` gets the released ticks as
     (us, side, seq, value) rows with the carried state and returns output rows and new state.
+    With ``expire_us`` a key starts anew after a longer pause, and its state goes when the watermark has passed the pause.
     """
     keys = list(keys)
     rows = df.select(
@@ -161,7 +184,7 @@ def _ordered_state(
     names = out_schema.names
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        us, sides, seqs, values, *carried = state.get if state.exists else ([], [], [], [], *initial)
+        us, sides, seqs, values, last, *carried = state.get if state.exists else ([], [], [], [], None, *initial)
         pending = list(zip(us, sides, seqs, values))
         for pdf in batches:
             pending += zip(pdf[f"{TMP}us"], pdf[f"{TMP}side"], pdf[f"{TMP}seq"], pdf[f"{TMP}v"])
@@ -169,16 +192,29 @@ def _ordered_state(
         limit = state.getCurrentWatermarkMs() * 1000
         ready = [r for r in pending if r[0] <= limit]
         waiting = [r for r in pending if r[0] > limit]
-        out, carried = step(ready, tuple(carried))
-        columns = [[int(r[0]) for r in waiting], [int(r[1]) for r in waiting], [int(r[2]) for r in waiting], [float(r[3]) for r in waiting]]
-        state.update((*columns, *carried))
-        if waiting:
-            state.setTimeoutTimestamp(max(waiting[0][0] // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        out, run = [], []
+        for r in ready:
+            if expire_us is not None and last is not None and r[0] - last > expire_us:
+                more, _ = step(run, tuple(carried))
+                out, run, carried = out + more, [], initial
+            run.append(r)
+            last = int(r[0])
+        more, carried = step(run, tuple(carried))
+        out += more
+        over = expire_us is not None and last is not None and last + expire_us < limit
+        if over and not waiting:
+            state.remove()
+        else:
+            columns = [[int(r[0]) for r in waiting], [int(r[1]) for r in waiting], [int(r[2]) for r in waiting], [float(r[3]) for r in waiting]]
+            state.update((*columns, last, *carried))
+            due = waiting[0][0] if waiting else last + expire_us if expire_us is not None and last is not None else None
+            if due is not None:
+                state.setTimeoutTimestamp(max(due // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if out:
             yield pd.DataFrame([(*key, *r) for r in out], columns=names)
 
     released = rows.groupBy(*keys).applyInPandasWithState(
-        update, out_schema, f"{_PENDING}{extra}", "append", GroupStateTimeout.EventTimeTimeout
+        update, out_schema, f"{_PENDING}, last_us bigint{extra}", "append", GroupStateTimeout.EventTimeTimeout
     )
     return released.withColumn("us", F.timestamp_micros("us").cast("timestamp_ntz")).withColumnRenamed("us", ts)
 
@@ -213,23 +249,165 @@ def asof_join_marked(
     )
 
 
+class _Queue:
+    """Count, sum, least and greatest of a queue of ticks in constant time a tick on average.
+
+    The older block is a stack of the folds of each tick with all after it in the block, the newer one a single fold; so a tick that leaves
+    is popped, and nothing is taken back from a sum.
+    """
+
+    def __init__(self, times: Sequence[int], values: Sequence[float]):
+        self.older: list[tuple] = []
+        self.newer: list[tuple] = list(zip(times, values))
+        self.fold: tuple | None = None
+        self._turn()
+
+    @staticmethod
+    def _merge(a: tuple | None, b: tuple | None) -> tuple | None:
+        return b if a is None else a if b is None else (a[0] + b[0], a[1] + b[1], min(a[2], b[2]), max(a[3], b[3]))
+
+    def _turn(self) -> None:
+        fold = None
+        for t, v in reversed(self.newer):
+            fold = self._merge((1, v, v, v), fold)
+            self.older.append((t, v, fold))
+        self.newer, self.fold = [], None
+
+    def push(self, t: int, v: float) -> None:
+        self.newer.append((t, v))
+        self.fold = self._merge(self.fold, (1, v, v, v))
+
+    def leave(self, limit: int) -> None:
+        """Ticks up to ``limit`` leave."""
+        while self.older or self.newer:
+            if not self.older:
+                if self.newer[0][0] > limit:
+                    return
+                self._turn()
+            if self.older[-1][0] > limit:
+                return
+            self.older.pop()
+
+    def read(self) -> tuple:
+        return self._merge(self.older[-1][2] if self.older else None, self.fold) or (0, None, None, None)
+
+    def state(self) -> tuple[list[int], list[float]]:
+        ticks = [x[:2] for x in reversed(self.older)] + self.newer
+        return [t for t, _ in ticks], [v for _, v in ticks]
+
+
+_FOLDS = ["n", "total", "low", "high"]
+
+
+def window_folds_marked(
+    df: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str, window_us: int, is_left: Column, is_right: Column
+) -> DataFrame:
+    """Each left tick with n, total, low and high of ``value`` over the right ticks in ``(t - W, t]``; one row a left tick, no pairs.
+
+    A tick can be both.  Values are not NULL.
+    """
+
+    def step(ready: list, carried: tuple) -> tuple[list, tuple]:
+        queue, out = _Queue(*carried), []
+        asking: list[tuple] = []
+
+        def answer() -> None:
+            for us, n in asking:
+                queue.leave(us - window_us)
+                out.append((us, n, *queue.read()))
+            asking.clear()
+
+        for us, side, n, v in ready:
+            if side == 0:
+                if asking and asking[-1][0] < us:
+                    answer()
+                queue.push(int(us), float(v))
+                queue.leave(us - window_us)
+            else:
+                asking.append((int(us), n))
+        answer()
+        return out, queue.state()
+
+    sides = df.where(is_right).withColumn(f"{TMP}asks", F.lit(0)).unionByName(df.where(is_left).withColumn(f"{TMP}asks", F.lit(1)))
+    return _ordered_state(
+        sides, keys, ts, seq, F.col(f"{TMP}asks"), F.when(F.col(f"{TMP}asks") == 0, col(value)).otherwise(0.0),
+        ", times array<bigint>, values array<double>", step, ([], []), f"us bigint, {seq} bigint, n bigint, total double, low double, high double",
+    )
+
+
+def sliding(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str, window_us: int) -> DataFrame:
+    """Per tick, n, total, low and high over the trailing window ``(t - W, t]``, from the ticks still in it, in order of arrival."""
+
+    def step(ready: list, carried: tuple) -> tuple[list, tuple]:
+        queue, out = _Queue(*carried), []
+        for us, _, n, v in ready:
+            queue.push(int(us), float(v))
+            queue.leave(us - window_us)
+            out.append((us, n, *queue.read()))
+        return out, queue.state()
+
+    return _ordered_state(
+        df, keys, ts, seq, F.lit(0), col(value), ", times array<bigint>, values array<double>", step, ([], []),
+        f"us bigint, {seq} bigint, n bigint, total double, low double, high double",
+    )
+
+
 def sliding_sum(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str, window_us: int) -> DataFrame:
-    """Per tick, the sum and count over the trailing window ``(t - W, t]``, from the ticks still in it."""
+    """The total and n of :func:`sliding`."""
+    return sliding(df, keys, ts, seq, value, window_us).drop("low", "high")
+
+
+def update_timestamp(
+    df: DataFrame, keys: Sequence[str], ts: str, seq: str, new_ts: str, max_out_of_order_us: int, out_of_order: str = "complain"
+) -> DataFrame:
+    """Each tick's alternative time, by the rules of the batch operator, in order of the original times.
+
+    A new time more than ``max_out_of_order_us`` before the latest one of the key so far: ``complain`` stops the stream, ``use_previous``
+    gives that latest time, ``use_original`` the tick's old time (and stops if that is as late), ``discard`` leaves the tick out.
+    """
+    if out_of_order not in ("complain", "use_previous", "use_original", "discard"):
+        raise ValueError("out_of_order is 'complain', 'use_previous', 'use_original' or 'discard'")
 
     def step(ready: list, carried: tuple) -> tuple[list, tuple]:
-        times, values = list(carried[0]), list(carried[1])
+        (latest,), out = carried, []
+        for us, _, n, v in ready:
+            new = int(v)
+            latest = new if latest is None else max(latest, new)
+            if latest - new > max_out_of_order_us:
+                if out_of_order == "discard":
+                    continue
+                new = {"use_previous": latest, "use_original": int(us)}.get(out_of_order)
+                if new is None or latest - new > max_out_of_order_us:
+                    raise ValueError("tick is too far out of order")
+            out.append((us, n, new))
+        return out, (latest,)
+
+    moved = _ordered_state(
+        df, keys, ts, seq, F.lit(0), F.unix_micros(col(new_ts).cast("timestamp")), ", latest bigint", step, (None,),
+        f"us bigint, {seq} bigint, {TMP}new bigint",
+    )
+    return moved.withColumn(new_ts, F.timestamp_micros(f"{TMP}new").cast("timestamp_ntz")).drop(f"{TMP}new")
+
+
+def keyed_state(
+    df: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str, step: Callable[..., tuple[tuple, tuple]], initial: tuple,
+    state: str, output: str, expire_us: int | None = None,
+) -> DataFrame:
+    """State of any columns (lists and maps too) carried from tick to tick: ``outputs, state = step(us, value, *state)``.
+
+    ``state`` and ``output`` are DDL schemas of what ``step`` takes and gives.  ``expire_us``: a key starts anew after a longer pause and its
+    state is removed, so the state does not grow with keys that are gone.
+    """
+
+    def steps(ready: list, carried: tuple) -> tuple[list, tuple]:
         out = []
         for us, _, n, v in ready:
-            times.append(int(us))
-            values.append(float(v))
-            start = next(i for i, t in enumerate(times) if t > us - window_us)
-            times, values = times[start:], values[start:]
-            out.append((us, n, sum(values), len(values)))
-        return out, (times, values)
+            row, carried = step(int(us), float(v), *carried)
+            out.append((us, n, *row))
+        return out, carried
 
     return _ordered_state(
-        df, keys, ts, seq, F.lit(0), col(value), ", times array<bigint>, values array<double>", step, ([], []),
-        f"us bigint, {seq} bigint, total double, n bigint",
+        df, keys, ts, seq, F.lit(0), col(value), f", {state}", steps, initial, f"us bigint, {seq} bigint, {output}", expire_us
     )
 
 
