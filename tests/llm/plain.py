@@ -96,8 +96,13 @@ def without_repeats(docs, window):
 
 def without_templates(docs, depth, min_docs, similarity):
     """{doc_id: kept text}."""
-    variable = re.compile(rb"\S*\d\S*")
-    key = lambda line: tuple(variable.sub(b"<*>", line).split())
+    field = b"<*>"
+
+    def key(line):
+        masked = [field if re.search(rb"\d", w) else w for w in line.split()]
+        worded = any(w != field and re.search(rb"[A-Za-z\x80-\xff]", w) for w in masked)
+        return tuple(masked if worded else line.split())
+
     origin, lines = {}, collections.defaultdict(lambda: [0, None])
     for d, t in sorted(docs, key=lambda x: x[0]):
         if t in origin:
@@ -106,16 +111,18 @@ def without_templates(docs, depth, min_docs, similarity):
         for k in {key(x) for x in (t or "").encode().split(b"\n")} - {()}:
             lines[k][0] += 1
             lines[k][1] = d if lines[k][1] is None else lines[k][1]
+    leaf = lambda k: (len(k), k[:depth])
     count = collections.Counter()
     for k, (n, _) in lines.items():
         for i, w in enumerate(k):
-            if w != b"<*>":
-                count[len(k), k[:depth], i, w] += n
+            count[leaf(k), i, w] += n
     template, found = {}, collections.defaultdict(lambda: [0, None])
     for k, (n, d) in lines.items():
-        t = tuple(w if w != b"<*>" and count[len(k), k[:depth], i, w] >= min_docs else None for i, w in enumerate(k))
-        if sum(w is not None for w in t) / len(t) >= similarity:
-            template[k] = (k[:depth], t)
+        worded = [(count[leaf(k), i, w], i, w) for i, w in enumerate(k) if w != field]
+        often = sorted((x for x in worded if x[0] >= min_docs), reverse=True)
+        need = max(1, -(-len(worded) * round(similarity * 100) // 100))
+        if len(often) >= need:
+            template[k] = leaf(k), frozenset((i, w) for c, i, w in often if c >= often[need - 1][0])
             e = found[template[k]]
             e[0] += n
             e[1] = d if e[1] is None else min(e[1], d)

@@ -147,13 +147,31 @@ def test_fields_of_many_values_stay_fields(frame, n):
     line = lambda i: f"this page was last edited by {value(i % 100)} on behalf of {value(i * 7 // 100 % 100)} under the terms of the site"
     docs = [(i, f"{line(i)}\nown {'x' * i}") for i in range(n)]
     docs += [(n + i, f"this page was {' '.join('other' for _ in range(15))}\nmore {'x' * i}") for i in range(12)]
-    out = {r["doc_id"]: r["dropped"] for r in linetree.drop_templates(frame(docs), ranked=True).collect()}
+    out = {r["doc_id"]: r["dropped"] for r in linetree.drop_templates(frame(docs)).collect()}
     assert [d for d in sorted(out) if out[d] != [0]] == [0, n]
 
 
+@pytest.mark.parametrize("n", [40, 400, 3000])
+def test_templates_of_a_log_of_any_size(frame, n):
+    """Several templates in one leaf, fields of few, many and numeric values, lines of numbers and marks, copies, against the plain rule."""
+    r = random.Random(n)
+    word = lambda few: "w" + "".join(r.choice("abcdefghij") for _ in range(1 if few else 3))
+    kinds = [
+        lambda: f"user {word(True)} opened the file {word(False)} on host {r.randint(1, 9)} at {r.randint(0, 23)}:{r.randint(0, 59)}",
+        lambda: f"user {word(False)} closed the file {word(False)} on host {word(True)} at night",
+        lambda: f"total {r.randint(0, 3)} of {r.randint(0, 3)}", lambda: f"{r.randint(0, 9)} {r.randint(0, 9)}", lambda: "---- <*> ----", lambda: "<*> <*>",
+        lambda: " ".join(word(True) for _ in range(r.randint(1, 4))), lambda: "", lambda: "caf\u00e9 \u00e9t\u00e9 au lait chaque matin",
+    ]
+    docs = [(i, "\n".join(r.choice(kinds)() for _ in range(r.randint(0, 8)))) for i in range(n)]
+    docs += [(n + i, docs[i % 7][1]) for i in range(20)]
+    for min_docs, similarity in ((10, 0.8), (3, 0.6)):
+        out = linetree.drop_templates(frame(docs), min_docs=min_docs, similarity=similarity).collect()
+        assert {x["doc_id"]: x["kept"] for x in out} == plain.without_templates(docs, 3, min_docs, similarity)
+
+
 def test_lines_of_many_numbers_are_templates(frame):
     docs = [(i, f"Version 2.0, January 2004\nPage {i} of 30\n2004 11\n{i} {i + 1}\nown {'x' * i}") for i in range(30)]
-    out = linetree.drop_templates(frame(docs), ranked=True).collect()
+    out = linetree.drop_templates(frame(docs)).collect()
     # numbers alone are dropped where they are the same
     assert {r["doc_id"]: r["dropped"] for r in out} == {i: [0, 1, 2] if i else [] for i in range(30)}
 

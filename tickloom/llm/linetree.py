@@ -54,7 +54,7 @@ def tokens(line: bytes, ranked: bool = False) -> np.ndarray:
 
 def drop_templates(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", depth: int = 3, min_docs: int = 10, similarity: float = 0.8,
-    carry: tuple[str, ...] = (), ranked: bool = False,
+    carry: tuple[str, ...] = (), ranked: bool = True,
 ) -> DataFrame:
     """doc_id, n_lines, dropped (line numbers from 0, in order), kept (the other lines) and the columns ``carry`` of every document.
 
