@@ -14,10 +14,12 @@ _OWN_FOLDER: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all machines see: spark.checkpoint.dir.  Where it is unset (a test on one machine), one of our own."""
+    """The folder that all machines see: spark.checkpoint.dir.  Where it is unset, one of our own on a local master, an error elsewhere."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("a cluster needs a shared folder in spark.checkpoint.dir")
     if not _OWN_FOLDER:
         _OWN_FOLDER.append("file://" + tempfile.mkdtemp(prefix="tickloom-"))
     return _OWN_FOLDER[0]

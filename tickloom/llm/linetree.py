@@ -1,7 +1,7 @@
 """Operator 8: lines made from recurring templates, found with a log-template tree of fixed depth.
 
 The tree leads from a line's number of tokens over its first tokens (those with a digit count as variable) to a leaf.  In a leaf, the
-tokens of a line that the most documents have at their places are its template; the others are variable fields (see ``ranked``).
+tokens of a line that the most documents have at their places are its template; the others are variable fields.
 So each line has one template, whatever the order in which lines are seen, and everything is counted with
 grouped sums: no leaf is ever gathered in one task.
 """
@@ -27,26 +27,26 @@ _LETTER = re.compile(rb"[A-Za-z\x80-\xff]")
 FIELD = b"<*>"
 
 
-def _masked(line: bytes, ranked: bool) -> list[bytes]:
-    """A line's tokens, those with a digit as FIELD; if ranked, a line without any other word keeps its numbers, as they are all it says."""
+def _masked(line: bytes) -> list[bytes]:
+    """A line's tokens, those with a digit as FIELD; a line without any other word keeps its numbers, as they are all it says."""
     if not _DIGIT.search(line):
         return line.split()
     masked = _VARIABLE.sub(FIELD, line).split()
-    return masked if not ranked or any(w != FIELD and _LETTER.search(w) for w in masked) else line.split()
+    return masked if any(w != FIELD and _LETTER.search(w) for w in masked) else line.split()
 
 
-def place(line: bytes, depth: int, ranked: bool = False) -> tuple[int, int] | None:
+def place(line: bytes, depth: int) -> tuple[int, int] | None:
     """Leaf and identity of a line as signed 64-bit numbers; None for a blank line."""
-    masked = _masked(line, ranked)
+    masked = _masked(line)
     if not masked:
         return None
     leaf = xxhash.xxh64_intdigest(b" ".join((str(len(masked)).encode(), *masked[:depth])))
     return leaf - (1 << 63), xxhash.xxh64_intdigest(b" ".join(masked)) - (1 << 63)
 
 
-def tokens(line: bytes, ranked: bool = False) -> np.ndarray:
+def tokens(line: bytes) -> np.ndarray:
     """Hashes of a line's tokens; 0 for variable ones."""
-    words = _masked(line, ranked)
+    words = _masked(line)
     h = _HASHES.of(words).view(np.int64).copy()
     h[[k for k, w in enumerate(words) if w == FIELD]] = 0
     return h
@@ -54,15 +54,15 @@ def tokens(line: bytes, ranked: bool = False) -> np.ndarray:
 
 def drop_templates(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", depth: int = 3, min_docs: int = 10, similarity: float = 0.8,
-    carry: tuple[str, ...] = (), ranked: bool = True,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, n_lines, dropped (line numbers from 0, in order), kept (the other lines) and the columns ``carry`` of every document.
 
     A template recurs when documents of at least ``min_docs`` different texts hold it and at least ``similarity`` of its tokens are
-    fixed.  ``ranked``: of the tokens that ``min_docs`` texts have at their place in the leaf, a line's fixed ones are the most frequent,
+    fixed.  Of the tokens that ``min_docs`` texts have at their place in the leaf, a line's fixed ones are the most frequent,
     as many as ``similarity`` asks for and those as frequent as the last of them, so a field of many values stays a field however
     many texts have each value; tokens with a digit match any other and are left out of the share, but a line that has nothing else
-    matches its copies only.  Otherwise all of them are fixed, such a field splits its template, and tokens with a digit count as not fixed.  Its lines are dropped from all documents but the one with the smallest doc_id that has it, so no content is lost
+    matches its copies only.  The template's lines are dropped from all documents but the one with the smallest doc_id that has it, so no content is lost
     altogether.  Exact copies of a text count once.  Lines end at \\n; tokens are runs without ASCII white space; blank
     lines are kept and belong to no template.  Null texts count as empty (kept is null).  Rows with a null doc_id are kept whole and not
     counted; rows that repeat a doc_id are treated by their own texts.  Other columns are ignored; an empty table gives no rows.
@@ -75,7 +75,7 @@ def drop_templates(
         for batch in batches:
             where, leaf, line = [], [], []
             for k, body in enumerate(batch.column(2).to_pylist()):
-                found = {p for x in (body or b"").split(b"\n") if (p := place(x, depth, ranked))}
+                found = {p for x in (body or b"").split(b"\n") if (p := place(x, depth))}
                 where.extend([k] * len(found))
                 leaf.extend(p[0] for p in found)
                 line.extend(p[1] for p in found)
@@ -101,13 +101,13 @@ def drop_templates(
             for doc, body, want in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 open_ = {w["line"]: w["n"] for w in want}
                 for x in (body or b"").split(b"\n"):
-                    p = place(x, depth, ranked)
+                    p = place(x, depth)
                     if p and p[1] in open_:
                         leaf.append(p[0])
                         line.append(p[1])
                         count.append(open_.pop(p[1]))
                         first.append(doc)
-                        toks.append(tokens(x, ranked))
+                        toks.append(tokens(x))
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.int64()) for c in (leaf, line, count, first)), pa.array(toks, pa.list_(pa.int64()))], names=["leaf", "line", "n", "first", "tokens"]
             )
@@ -117,13 +117,12 @@ def drop_templates(
     token = spelt.select("leaf", "line", "n", "first", F.posexplode("tokens").alias("at", "token"))
     fixed = token.where("token <> 0").groupBy("leaf", "at", "token").agg(F.sum("n").alias("docs")).where(F.col("docs") >= min_docs)
     shape = token.join(fixed, ["leaf", "at", "token"], "left").groupBy("leaf", "line", "n", "first").agg(
-        F.collect_list(F.when(F.col("docs").isNotNull(), F.struct("docs", "at", "token"))).alias("fixed"), F.count_if((F.col("token") != 0) | F.lit(not ranked)).alias("size"),
+        F.collect_list(F.when(F.col("docs").isNotNull(), F.struct("docs", "at", "token"))).alias("fixed"), F.count_if(F.col("token") != 0).alias("size"),
     )
     asked_for = F.greatest(F.lit(1), F.ceil(F.col("size") * similarity - 1e-9)).cast("int")
     shape = shape.where(F.size("fixed") >= asked_for)
-    if ranked:
-        shape = shape.withColumn("rarest", F.element_at(F.sort_array("fixed", asc=False), asked_for)["docs"])
-        shape = shape.withColumn("fixed", F.filter("fixed", lambda x: x["docs"] >= F.col("rarest")))
+    shape = shape.withColumn("rarest", F.element_at(F.sort_array("fixed", asc=False), asked_for)["docs"])
+    shape = shape.withColumn("fixed", F.filter("fixed", lambda x: x["docs"] >= F.col("rarest")))
     template = F.xxhash64(F.array_sort(F.transform("fixed", lambda x: F.struct(x["at"], x["token"])))).alias("template")
     shape = stored(shape.select("leaf", "line", "n", "first", template), "templates")
     recurring = shape.groupBy("leaf", "template").agg(F.sum("n").alias("docs"), F.min("first").alias("keeper")).where(F.col("docs") >= min_docs)
@@ -136,7 +135,7 @@ def drop_templates(
             for doc, body, gone_ in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 rows = (body or b"").split(b"\n")
                 away = set(gone_ or ())
-                dropped = [k for k, x in enumerate(rows) if (p := place(x, depth, ranked)) and p[1] in away] if away else []
+                dropped = [k for k, x in enumerate(rows) if (p := place(x, depth)) and p[1] in away] if away else []
                 leave = set(dropped)
                 out.append((doc, len(rows), dropped, b"\n".join(x for k, x in enumerate(rows) if k not in leave) if body is not None else None))
             cols = list(zip(*out, strict=True)) or [[]] * 4
