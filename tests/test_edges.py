@@ -4,9 +4,14 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from conftest import at
 from tickloom.functions import numeric as nu
 from tickloom.functions import text as tx
 from tickloom.operators import joins as jn
+from tickloom.operators import project as pj
+from tickloom.operators import timing as tm
+from tickloom.sources import readers as rd
+from tickloom.sources import writers as wr
 
 
 def test_whole_numbers_keep_infinities(spark):
@@ -58,3 +63,57 @@ def test_copies_far_apart_in_a_stream(spark, tmp_path):
     live = st.live(spark, str(tmp_path / "in"), schema, "ts", files_per_trigger=1)
     st.run(st.deduplicate(live, ["k"]), lambda df, _: got.extend(r["k"] for r in df.collect()), str(tmp_path / "c")).awaitTermination()
     assert sorted(got) == [1, 2]
+
+
+@pytest.mark.parametrize("handling", ["complain", "discard", "use_original", "use_new"])
+def test_delay_limits_of_new_times(make, handling):
+    end = 40
+    shift_by = [0, 3, -3, 9, -9, 2, 0, -9, 30, 0, 1]
+    s = make(X=list(range(11)), D=shift_by, offset=[2 * i for i in range(11)], end=at(end), slice_us=5000)
+    s = s.using(s.df.withColumn("other", F.timestamp_add("MILLISECOND", F.col("D"), F.col("ts"))))
+    update = lambda **more: tm.update_timestamp(s, "other", delay_handling=handling, max_delay_of_original_us=5000, max_delay_of_new_us=4000, **more)
+    if handling == "complain":
+        with pytest.raises(Exception, match="delayed too much"):
+            update().df.collect()
+        return
+    want, latest = {}, None
+    for i, d in enumerate(shift_by):
+        old, new = 2 * i, 2 * i + d
+        apart = d > 5 or -d > 4
+        if apart and handling == "discard":
+            continue
+        if apart:
+            new = old if handling == "use_original" else min(max(new, 0), end)
+        latest = new if latest is None else max(latest, new)
+        want[i] = at(latest if apart and handling == "use_new" else new)
+    assert {r["X"]: r["ts"] for r in update().df.collect()} == want
+    assert update().df.columns == s.df.columns
+
+
+def test_an_original_time_may_be_as_late(make):
+    s = make(X=[0, 1, 2], offset=[0, 1, 2])
+    moved = lambda d: s.using(s.df.withColumn("other", F.timestamp_add("MILLISECOND", F.element_at(F.array(*map(F.lit, d)), F.col("X").cast("int") + 1), F.col("ts"))))
+    out = tm.update_timestamp(moved([0, 2, -2]), "other", 1000, "use_original")
+    assert [r["ts"] for r in out.df.orderBy("X").collect()] == [at(0), at(3), at(2)]
+    with pytest.raises(Exception, match="out of order"):
+        tm.update_timestamp(moved([0, 9, -2]), "other", 1000, "use_original").df.collect()
+
+
+def test_parquet_and_discovery(spark, make, tmp_path):
+    s = make(X=[1, 2, 3], S=["a", "b", "ab"])
+    path = str(tmp_path / "out")
+    wr.write_parquet(s.df, path, ["S"], "gzip", row_group_bytes=1 << 20)
+    assert sorted((r["X"], r["S"]) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b"), (3, "ab")]
+    assert all(p.name.endswith(".gz.parquet") for p in (tmp_path / "out").rglob("*.parquet"))
+    with pytest.raises(Exception, match="already exists"):
+        wr.write_parquet(s.df, path)
+    assert sorted(r["S"] for r in wr.find_snapshot_symbols(spark, path, "S", "a%").collect()) == ["a", "ab"]
+    assert "default" in [r[0] for r in rd.databases(spark).collect()]
+    s.df.createOrReplaceTempView("tick_view_of_a_test")
+    try:
+        assert "tick_view_of_a_test" in [r[0] for r in rd.tick_types(spark, "default").collect()]
+        assert [r[0] for r in wr.show_snapshots(spark, "default", "tick_view_of*").collect()] == ["tick_view_of_a_test"]
+    finally:
+        spark.catalog.dropTempView("tick_view_of_a_test")
+    assert rd.last_date(s).collect()[0][0] == at(0).date()
+    assert [r["Y"] for r in pj.apply_column(s.df, "Y", lambda c: c * 2, "X").orderBy("X").collect()] == [2, 4, 6]

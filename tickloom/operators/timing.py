@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.core import DAY, TMP, Series, col, from_micros, interval, micros
+from tickloom.core import DAY, TMP, Series, col, from_micros, interval, literal_micros, micros
 from tickloom.operators.filters import _hhmmssmmm
 from tickloom.operators.joins import interval_join
 from tickloom.ordering import Fold, running
@@ -42,14 +42,25 @@ def update_timestamp(
     max_delay_us: int | None = None,
     out_of_order: str = "complain",
     zero: str = "complain",
+    *,
+    max_delay_of_original_us: int | None = None,
+    max_delay_of_new_us: int | None = None,
+    delay_handling: str = "complain",
 ) -> Series:
     """Take the time from another timestamp field.
 
     ``zero`` says what an empty field does (``complain``, ``preserve`` keeps the old time);
     ``out_of_order`` what happens when the new time lies more than ``max_delay_us`` before the
     latest new time seen so far: ``complain``, ``use_previous`` (that latest time) or
-    ``use_original`` (the tick's old time).
+    ``use_original`` (the tick's old time, an error if that is as late).
+
+    Before that, ``delay_handling`` says what happens to a tick whose old time lies more than ``max_delay_of_original_us`` before the new
+    one, or whose new time more than ``max_delay_of_new_us`` before the old one: ``complain``, ``discard``, ``use_original`` (the old time), or
+    ``use_new`` (the new time, but not before the latest one so far, nor outside the interval of the series).  Read the ticks of an interval
+    longer by these limits first (:func:`modify_query_times`).
     """
+    if delay_handling not in ("complain", "discard", "use_original", "use_new"):
+        raise ValueError("delay_handling is 'complain', 'discard', 'use_original' or 'use_new'")
     original, new = series.us, micros(field)
     missing = col(field).isNull() | (new == 0)
     if zero == "complain":
@@ -59,15 +70,39 @@ def update_timestamp(
     else:
         raise ValueError("zero is 'complain' or 'preserve'")
     df = series.df.withColumn(f"{TMP}new", new)
-    if max_delay_us is not None:
-        seen = running(series.using(df), {f"{TMP}max": Fold("max", F.col(f"{TMP}new"))})
-        late = F.col(f"{TMP}max") - F.col(f"{TMP}new") > max_delay_us
-        instead = {
-            "complain": F.raise_error(F.lit("tick is too far out of order")).cast("long"),
-            "use_previous": F.col(f"{TMP}max"),
-            "use_original": original,
-        }[out_of_order]
-        df = seen.withColumn(f"{TMP}new", F.when(late, instead).otherwise(F.col(f"{TMP}new"))).drop(f"{TMP}max")
+    new, latest = F.col(f"{TMP}new"), F.col(f"{TMP}max")
+    apart = F.lit(False)
+    if max_delay_of_original_us is not None:
+        apart = apart | (new - original > max_delay_of_original_us)
+    if max_delay_of_new_us is not None:
+        apart = apart | (original - new > max_delay_of_new_us)
+    limited = max_delay_of_original_us is not None or max_delay_of_new_us is not None
+    push = limited and delay_handling == "use_new"
+    if limited and delay_handling == "discard":
+        df = df.where(F.coalesce(~apart, F.lit(True)))
+    elif limited and not push:
+        instead = original if delay_handling == "use_original" else F.raise_error(F.lit("tick is delayed too much")).cast("long")
+        df = df.withColumn(f"{TMP}new", F.when(apart, instead).otherwise(new))
+    if push:
+        inside = new
+        if series.start is not None:
+            inside = F.greatest(inside, F.lit(literal_micros(series.start)))
+        if series.end is not None:
+            inside = F.least(inside, F.lit(literal_micros(series.end)))
+        df = df.withColumn(f"{TMP}apart", F.coalesce(apart, F.lit(False))).withColumn(f"{TMP}new", F.when(F.col(f"{TMP}apart"), inside).otherwise(new))
+    if push or max_delay_us is not None:
+        df = running(series.using(df), {f"{TMP}max": Fold("max", new)})
+        if push:
+            df = df.withColumn(f"{TMP}new", F.when(F.col(f"{TMP}apart"), latest).otherwise(new)).drop(f"{TMP}apart")
+        if max_delay_us is not None:
+            stop = F.raise_error(F.lit("tick is too far out of order")).cast("long")
+            instead = {
+                "complain": stop,
+                "use_previous": latest,
+                "use_original": F.when(latest - original > max_delay_us, stop).otherwise(original),
+            }[out_of_order]
+            df = df.withColumn(f"{TMP}new", F.when(latest - new > max_delay_us, instead).otherwise(new))
+        df = df.drop(f"{TMP}max")
     dtype = series.df.schema[series.ts].dataType
     return series.using(df.withColumn(series.ts, from_micros(f"{TMP}new").cast(dtype)).drop(f"{TMP}new"))
 

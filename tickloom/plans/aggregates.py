@@ -436,6 +436,12 @@ def _(spark, sf):
     return a.join(z, "event_type")
 
 
+@query("find_value_nearest_percentile", f"{PR} SELECT event_type, first(value ORDER BY abs(pr - 37), value) AS value FROM p GROUP BY event_type")
+def _(spark, sf):
+    s = events(spark, sf)
+    return st.find_value_for_percentile(s.using(s.df, keys=("event_type",)), "value", 37, "nearest").select("event_type", "value")
+
+
 @query("ranking_order", """
 SELECT user_id, event_id, rank() OVER (PARTITION BY user_id ORDER BY value DESC)::BIGINT AS RANKING FROM events""")
 def _(spark, sf):

@@ -223,6 +223,17 @@ def _(spark, sf):
     return df.select("user_id", "event_id", r(F.coalesce("MIN_ASK", F.lit(-1.0))).alias("lo"), r(F.coalesce("MAX_BID", F.lit(-1.0))).alias("hi"))
 
 
+@query("recipe_window_touch", f"""
+WITH {TRADES_SQL}, {QUOTES_SQL},
+w AS (SELECT t.user_id, t.event_id, max(q.ASK_PRICE) AS ask, min(q.BID_PRICE) AS bid FROM trades t
+      LEFT JOIN quotes q ON t.user_id = q.user_id AND q.ts >= t.ts - INTERVAL 6 HOUR AND q.ts < t.ts + INTERVAL 18 HOUR GROUP BY 1, 2)
+SELECT user_id, event_id, {R('coalesce(CASE WHEN event_id % 2 = 0 THEN bid ELSE ask END, -1)')} AS near, {R('coalesce(CASE WHEN event_id % 2 = 0 THEN ask ELSE bid END, -1)')} AS far
+FROM w""")
+def _(spark, sf):
+    df = rc.window_touch(trades(spark, sf), quotes(spark, sf), _buy(), 6 * HOUR, 18 * HOUR).df
+    return df.select("user_id", "event_id", _known("WINDOW_NT").alias("near"), _known("WINDOW_FT").alias("far"))
+
+
 @query("recipe_price_improvement", f"""
 WITH {TQ}, g AS (SELECT *, sg * (CASE WHEN sg > 0 THEN ask ELSE bid END - PRICE) AS gain FROM j)
 SELECT user_id, event_id, {R('coalesce(CASE WHEN gain IS NULL THEN -1 ELSE greatest(gain, 0) * SIZE END, -1)')} AS better, {R('coalesce(CASE WHEN gain IS NULL THEN -1 ELSE greatest(-gain, 0) * SIZE END, -1)')} AS offside FROM g""")

@@ -91,6 +91,13 @@ def window_quote(trades: Series, quotes: Series, before_us: int, after_us: int)
     )
 
 
+def window_touch(orders: Series, quotes: Series, buy: Column, before_us: int, after_us: int) -> Series:
+    """Near and far touch over a window around each order: from the highest ask and the lowest bid in it."""
+    q = jn.window_join(orders, quotes, {"WINDOW_ASK": ag.max_("ASK_PRICE"), "WINDOW_BID": ag.min_("BID_PRICE")}, -before_us, after_us)
+    ask, bid = col("WINDOW_ASK"), col("WINDOW_BID")
+    return q.using(q.df.withColumns({"WINDOW_NT": F.when(buy, bid).otherwise(ask), "WINDOW_FT": F.when(buy, ask).otherwise(bid)}))
+
+
 def implementation_shortfall(
     parents: DataFrame, fills: DataFrame, on: Sequence[str], buy: Column, arrival: str = "ARRIVAL_MID",
     last: str = "EXIT_MID",

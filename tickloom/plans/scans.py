@@ -464,6 +464,29 @@ def _(spark, sf):
     return out.df.select("user_id", "event_id", "ts")
 
 
+_DELAYED = """
+WITH x AS (SELECT user_id, event_id, epoch_us(ts) AS us, epoch_us(ts) + (floor(value)::BIGINT % 5 - 2) * 7200000000 AS nu FROM events),
+     y AS (SELECT *, nu - us > 7200000000 OR us - nu > 7200000000 AS apart FROM x)
+"""
+
+
+def _delayed(spark, sf, handling):
+    s = events(spark, sf)
+    moved = F.timestamp_add("HOUR", (F.floor("value").cast("long") % 5 - 2) * 2, F.col("ts"))
+    limits = {"max_delay_of_original_us": 2 * HOUR, "max_delay_of_new_us": 2 * HOUR, "delay_handling": handling}
+    return tm.update_timestamp(s.using(s.df.withColumn("other", moved)), "other", **limits).df.select("user_id", "event_id", "ts")
+
+
+@query("update_timestamp_discard", f"{_DELAYED} SELECT user_id, event_id, make_timestamp(nu) AS ts FROM y WHERE NOT apart")
+def _(spark, sf):
+    return _delayed(spark, sf, "discard")
+
+
+@query("update_timestamp_original", f"{_DELAYED} SELECT user_id, event_id, make_timestamp(CASE WHEN apart THEN us ELSE nu END) AS ts FROM y")
+def _(spark, sf):
+    return _delayed(spark, sf, "use_original")
+
+
 @query("modify_query_times", "SELECT event_id, TIMESTAMP '2024-02-01' AS ts FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'")
 def _(spark, sf):
     s = tm.modify_query_times(events(spark, sf), "2024-01-10", "2024-01-11", F.expr("TIMESTAMP_NTZ'2024-02-01'"))
