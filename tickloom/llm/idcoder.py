@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import stored
 from tickloom.llm.tokens import encoder, slices
 
 MAGIC, VERSION, BLOCK = 0x315344494B4F54, 1, 4096
@@ -254,7 +255,7 @@ def write_ids(
 ) -> None:
     """Write all documents' ids in ascending order of doc_id, each document followed by ``end``, to a folder of files.
 
-    Rows of the files: part and segment, which give the order, and the segment.  Null texts are empty (one id); null document ids
+    Rows of the files: part and segment, which give the order, the number of ids, and the segment.  Null texts are empty (one id); null document ids
     come first; repeated ones stay, in any order among themselves; an empty table gives an empty folder; other columns are
     ignored.  Documents are never split over segments, so a segment can exceed ``segment_ids`` by one document.
     """
@@ -271,7 +272,8 @@ def write_ids(
             if names:
                 data = write_segment(names, np.concatenate([s for _, s in held]), np.concatenate([i for i, _ in held]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([data], pa.binary())], names=["part", "segment", "data"]
+                    [pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([total], pa.int64()), pa.array([data], pa.binary())],
+                    names=["part", "segment", "n_ids", "data"],
                 )
                 segment, total = segment + 1, 0
                 names.clear()
@@ -290,7 +292,7 @@ def write_ids(
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(run, "part int, segment int, data binary").write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(run, "part int, segment int, n_ids long, data binary").write.option("compression", "none").parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -298,27 +300,22 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, segment, data in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            for base, n_ids, data in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 names, sizes, ids = read_segment(data)
+                if len(ids) != n_ids:
+                    raise ValueError("a segment is not the one that was written")
                 raw, at = ids.astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
                 for a in range(0, len(names), 2000):
                     b = min(a + 2000, len(names))
+                    parts = [raw[4 * x : 4 * y] for x, y in zip(at[a:b].tolist(), at[a + 1 : b + 1].tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(names[a:b], pa.int64()), pa.array([part] * (b - a), pa.int32()), pa.array([segment] * (b - a), pa.int32()),
-                         pa.array(at[a:b]), pa.array(sizes[a:b].astype(np.int64)),
-                         pa.array([raw[4 * x : 4 * y] for x, y in zip(at[a:b].tolist(), at[a + 1 : b + 1].tolist(), strict=True)], pa.binary())],
-                        names=["doc_id", "part", "segment", "local", "n_tokens", "ids"],
-                    )
-
-    files = spark.read.schema("part int, segment int, data binary").parquet(path)
-    heads = files.select("part", "segment", _long_at("data", 5).alias("n"))
-    before = F.sum("n").over(Window.orderBy("part", "segment").rowsBetween(Window.unboundedPreceding, -1))
-    base = heads.select("part", "segment", F.coalesce(before, F.lit(0)).alias("base"))  # one row for each segment of millions of ids
-    docs = files.mapInArrow(run, "doc_id long, part int, segment int, local long, n_tokens long, ids binary")
-    return docs.join(base, ["part", "segment"]).select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids")
-
-
-def _long_at(column: str, k: int):
-    """The k-th (from 1) little-endian 64-bit number of a binary column; below 2**63."""
-    part = F.reverse(F.expr(f"transform(sequence(1, 8), i -> hex(substring({column}, {8 * (k - 1)} + i, 1)))"))
-    return F.conv(F.array_join(part, ""), 16, 10).cast("long")
+                        [pa.array(names[a:b], pa.int64()), pa.array(base + at[a:b]), pa.array(sizes[a:b].astype(np.int64)), pa.array(parts, pa.binary())],
+                        names=["doc_id", "start", "n_tokens", "ids"],
+                    )
+
+    files = spark.read.schema("part int, segment int, n_ids long, data binary").parquet(path)
+    before = F.sum("n_ids").over(Window.orderBy("part", "segment").rowsBetween(Window.unboundedPreceding, -1))
+    # one row for each segment of millions of ids; as a table, its size is known and it goes to the segments, not they to it
+    base = stored(files.select("part", "segment", F.coalesce(before, F.lit(0)).cast("long").alias("base")), "segment-starts")
+    placed = files.join(base, ["part", "segment"]).select("base", "n_ids", "data")
+    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
