@@ -1,12 +1,14 @@
 """Golden values of scalar functions, options and books."""
 
 import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import T0, values
+from tickloom.core import TMP
 from tickloom.functions import dates as dt
 from tickloom.functions import numeric as nu
 from tickloom.functions import text as tx
@@ -92,6 +94,49 @@ def test_book(make):
     assert sorted(values(changes, "BUY_SELL_FLAG", "PRICE", "SIZE")) == [(0, 9.0, 7), (0, 10.0, 0), (1, 11.0, 9)]
 
 
+def replayed(rows, ends):
+    """The books at ``ends`` by replaying updates (ms, side, price, size), older crossed levels removed."""
+    out = []
+    for end in ends:
+        book = {}
+        for ms, side, price, size in rows:
+            if ms >= end:
+                break
+            if size > 0:
+                book = {(s, p): n for (s, p), n in book.items() if s == side or (p > price if side == 0 else p < price)}
+                book[side, price] = size
+            else:
+                book.pop((side, price), None)
+        out += [(end, s, p, n) for (s, p), n in sorted(book.items())]
+    return out
+
+
+@pytest.mark.parametrize("slice_us", [7000, 50_000, 10**9])
+def test_uncrossed_book(make, slice_us):
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        side, middle = rng.randrange(2), 100 + 8 * math.sin(i / 40)
+        rows.append((i // 2, side, float(round(middle + (1 if side else -1) * rng.randrange(-2, 12))), rng.choice([0, 1, 2, 3])))
+    s = make(offset=[x[0] for x in rows], BUY_SELL_FLAG=[x[1] for x in rows], PRICE=[x[2] for x in rows], SIZE=[x[3] for x in rows],
+             end=T0 + timedelta(milliseconds=220), slice_us=slice_us)
+    book = values(ob.ob_snapshot(s, Buckets(0.02), uncross=True), "ts", "BUY_SELL_FLAG", "PRICE", "SIZE", order=["ts", "BUY_SELL_FLAG", "PRICE"])
+    want = replayed(rows, range(20, 221, 20))
+    assert book == [(T0 + timedelta(milliseconds=ms), side, price, size) for ms, side, price, size in want]
+    plain = ob.ob_snapshot(s, Buckets(0.02)).df.count()
+    assert len(want) < plain
+
+
+def test_uncrossed_book_of_odd_ticks(make):
+    """Neither a tick without a price or size nor NaN crosses anything; an empty book stays empty; a level comes back with its next update."""
+    s = make(PRICE=[10.0, 1.0, float("nan"), 10.0, 9.0, 10.0], SIZE=[5, 7, 3, 0, 2, 4], BUY_SELL_FLAG=[0, 1, 1, 1, 1, 0], end=T0 + timedelta(seconds=1))
+    s = s.using(s.df.withColumn("PRICE", F.expr("if(SIZE = 7, null, PRICE)")))
+    assert values(ob.crossed(s), f"{TMP}crossed", order="seq") == [1_070_236_800_004_000, None, None, 1_070_236_800_005_000, 1_070_236_800_005_000, None]
+    book = ob.ob_snapshot(s.using(s.df.where("PRICE = PRICE and not isnan(PRICE)")), uncross=True)
+    assert values(book, "BUY_SELL_FLAG", "PRICE", "SIZE", order="BUY_SELL_FLAG") == [(0, 10.0, 4)]
+    assert ob.ob_snapshot(s.using(s.df.limit(0)), uncross=True).df.count() == 0
+
+
 def test_virtual_book_times_out(make):
     q = make(offset=[0, 1000, 5000], ASK_PRICE=[22.28, 21.8, 21.8], ASK_SIZE=[500, 500, 300], BID_PRICE=[21.66] * 3, BID_SIZE=[100] * 3,
              end=T0 + timedelta(seconds=9))

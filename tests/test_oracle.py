@@ -13,7 +13,7 @@ SLICED = [
     "sliding_num_distinct", "sliding_num_distinct_ticks", "join_with_query_window", "join_with_query_window_extremes", "lag_lead", "fill_forward", "transpose_rows", "row_slice", "tw_average",
     "return_ep", "join_same_size", "join_by_time_default", "join_by_time_latest_ticks", "join_by_time_each_for_leader",
     "aggregated_window_time", "aggregated_window_ticks", "point_in_time_ticks", "coalesce_feeds", "diff_series",
-    "lee_and_ready", "corp_actions", "ob_snapshot_clear", "pnl_realized", "recipe_participation_price", "update_timestamp",
+    "lee_and_ready", "corp_actions", "ob_snapshot_clear", "ob_snapshot_uncrossed", "pnl_realized", "recipe_participation_price", "update_timestamp",
 ]
 
 

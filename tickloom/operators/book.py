@@ -4,14 +4,21 @@ Input ticks carry PRICE, SIZE and BUY_SELL_FLAG (0 bid, 1 ask); an update replac
 of its level and size 0 removes it.  Every update is valid until the next update of the
 same level, so a book at many times is a set of validity intervals cut at bucket ends: no
 sequential replay, and the largest group is one level's history, which is time-sliced.
+
+Uncrossing ends an update at the first later tick of the other side at or through its price.  That
+tick is found on a monotone stack: read backwards, only ticks that are nearer or reach further than
+all those behind them can be first.  Each time slice passes such ticks on to the slices before it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.core import SECOND, TMP, Series, col, from_micros
 from tickloom.operators import buckets as bk
@@ -21,7 +28,96 @@ from tickloom.ordering import Fold, running, shift
 SIDE = "BUY_SELL_FLAG"
 
 
-def _levels(series: Series, b: Buckets, clear: Column | None, update_time: str | None) -> DataFrame:
+class _Reach:
+    """The later ticks of one side that may be the first to reach a price, the nearest and least far-reaching last.
+
+    ``reach`` is a price that falls the further a tick reaches into the other side: asks by price, bids by minus price.
+    """
+
+    def __init__(self) -> None:
+        self.reach: list[float] = []
+        self.us: list[int] = []
+
+    def add(self, reach: float, us: int) -> None:
+        while self.reach and self.reach[-1] >= reach:
+            self.reach.pop()
+            self.us.pop()
+        self.reach.append(reach)
+        self.us.append(us)
+
+    def first(self, limit: float) -> int | None:
+        """The time of the first of them that reaches ``limit``."""
+        k = bisect_right(self.reach, limit) - 1
+        return self.us[k] if k >= 0 else None
+
+
+def crossed(series: Series) -> DataFrame:
+    """Add the time at which each update's level is crossed: by the first later tick of the other side with a size, at or through its price.
+
+    Ticks without a price cross nothing and are not crossed; withdrawals (size 0) cross nothing.
+    """
+    name, keys = f"{TMP}crossed", list(series.keys)
+    cuts = series.slices()
+    cut_names = [f"{TMP}slice", f"{TMP}slice_seq"][: len(cuts)]
+    df = series.df.withColumns(dict(zip(cut_names, cuts, strict=True)) | {
+        f"{TMP}us": series.us,
+        f"{TMP}reach": F.when(col("SIZE") > 0, F.when(col(SIDE) == 1, col("PRICE")).otherwise(-col("PRICE")).cast("double")),
+        f"{TMP}price": col("PRICE").cast("double"),
+        f"{TMP}bid": col(SIDE) == 0,
+    })
+    ids, order = [*keys, *cut_names], [f"{TMP}us", *series.seq]
+    us, reach, bid = F.col(f"{TMP}us"), F.col(f"{TMP}reach"), F.col(f"{TMP}bid")
+    # what a slice passes on: ticks that reach further than all before them in the slice
+    before = Window.partitionBy(*ids, bid).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    furthest = F.min(reach).over(before)
+    new = reach.isNotNull() & ~F.isnan(reach) & (furthest.isNull() | (reach < furthest))
+    marked = df.select(*ids, *order, bid, reach).withColumn(f"{TMP}new", new)
+    tick = F.struct(us.alias("us"), reach.alias("reach"))
+    sides = {side: F.sort_array(F.collect_list(F.when(F.col(f"{TMP}new") & flag, tick))) for side, flag in (("bids", bid), ("asks", ~bid))}
+    passed = marked.groupBy(*ids).agg(*[ticks.alias(side) for side, ticks in sides.items()])
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per slice, the ticks of later slices that may be first; slices come last first, and only the stacks are remembered."""
+        owner, stacks = None, {}
+        for batch in batches:
+            rows = batch.to_pylist()
+            for row in rows:
+                key = [row[k] for k in keys]
+                if key != owner:
+                    owner, stacks = key, {"bids": _Reach(), "asks": _Reach()}
+                for side, stack in stacks.items():
+                    own = row[side]
+                    row[side] = [{"us": t, "reach": x} for t, x in zip(stack.us, stack.reach, strict=True)]
+                    for tick in reversed(own):
+                        stack.add(tick["reach"], tick["us"])
+            yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
+
+    last_first = [F.col(c).desc() for c in cut_names]
+    dealt = passed.repartition(*keys) if keys else passed.repartition(1)
+    later = dealt.sortWithinPartitions(*keys, *last_first).mapInArrow(chain, passed.schema)
+
+    def cross(rows: pa.Table, later: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "descending") for c in order])
+        stacks = {"bids": _Reach(), "asks": _Reach()}
+        for ticks in later.select(list(stacks)).to_pylist():
+            for side, stack in stacks.items():
+                for tick in ticks[side]:
+                    stack.add(tick["reach"], tick["us"])
+        out = []
+        columns = [rows[c].to_pylist() for c in (f"{TMP}us", f"{TMP}bid", f"{TMP}price", f"{TMP}reach")]
+        for at, is_bid, price, tick_reach in zip(*columns, strict=True):
+            own, other, limit = ("bids", "asks", price) if is_bid else ("asks", "bids", None if price is None else -price)
+            out.append(stacks[other].first(limit) if limit is not None and limit == limit else None)
+            if tick_reach is not None and tick_reach == tick_reach:
+                stacks[own].add(tick_reach, at)
+        return rows.select(kept).append_column(name, pa.array(out, pa.int64()))
+
+    kept = series.df.columns
+    schema = T.StructType([*series.df.schema.fields, T.StructField(name, T.LongType())])
+    return df.groupBy(*ids).cogroup(later.groupBy(*ids)).applyInArrow(cross, schema)
+
+
+def _levels(series: Series, b: Buckets, clear: Column | None, update_time: str | None, uncross: bool = False) -> DataFrame:
     """One row per (bucket, live level): what the book looks like at each bucket end."""
     if b.unit != "seconds":
         raise ValueError("book snapshots take buckets in seconds")
@@ -32,10 +128,14 @@ def _levels(series: Series, b: Buckets, clear: Column | None, update_time: str |
         # The next clearing event ends a level as well.
         ahead = running(source, {f"{TMP}cleared": Fold("min", F.col(f"{TMP}mark"))}, reverse=True)
         source = series.using(ahead.where(F.col(f"{TMP}mark").isNull()))
+    if uncross:
+        source = series.using(crossed(source))
     timed = source.using(shift(source, {f"{TMP}next": (source.us, 1)}, by=[SIDE, "PRICE"], lead=True))
     until = F.col(f"{TMP}next")
     if clear is not None:
         until = F.least(until, F.col(f"{TMP}cleared"))
+    if uncross:
+        until = F.least(until, F.col(f"{TMP}crossed"))
     n = bk.count(series, b)
 
     def number(us: Column) -> Column:
@@ -68,16 +168,18 @@ def ob_snapshot(
     min_levels: int = 0,
     clear: Column | None = None,
     update_time: str | None = None,
+    uncross: bool = False,
 ) -> Series:
     """The book at each bucket end: PRICE, SIZE, LEVEL, UPDATE_TIME and side, best level first.
 
     ``max_depth_shares`` stops once that much size is covered (the last level's excess is cut
     off), ``max_depth_for_price`` keeps levels within a fraction of the best price,
     ``max_spread`` those within half the spread of the middle.  ``min_levels`` are kept
-    whatever the depth limits say.  ``clear`` marks ticks that empty the book.
+    whatever the depth limits say.  ``clear`` marks ticks that empty the book.  ``uncross`` removes
+    a level when a later tick of the other side arrives at or through its price.
     """
     b = buckets or Buckets()
-    levels = _levels(series, b, clear, update_time)
+    levels = _levels(series, b, clear, update_time, uncross)
     if side is not None:
         if max_spread is not None:
             raise ValueError("max_spread looks at both sides")

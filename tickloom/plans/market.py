@@ -40,6 +40,28 @@ def _(spark, sf):
     return out.df.select("user_id", "ts", "BUY_SELL_FLAG", "LEVEL", "PRICE", "SIZE", "UPDATE_TIME")
 
 
+def _crossing(spark, sf):
+    """Level updates whose sides overlap: bids and asks on one price grid around 50."""
+    s = events(spark, sf)
+    side = F.when(F.col("event_type").isin("view", "click"), 0).otherwise(1)
+    price = F.when(side == 0, 52.0 - F.floor("value") % 12).otherwise(48.0 + F.floor("value") % 12)
+    return s.using(s.df.select("user_id", "ts", "event_id", price.alias("PRICE"), (F.col("event_id") % 5 * 100).alias("SIZE"), side.alias("BUY_SELL_FLAG")))
+
+
+@query("ob_snapshot_uncrossed", f"""
+WITH u AS (SELECT user_id, ts, event_id, CASE WHEN event_type IN ('view', 'click') THEN 52.0 - floor(value) % 12 ELSE 48.0 + floor(value) % 12 END::DOUBLE AS PRICE,
+  event_id % 5 * 100 AS SIZE, CASE WHEN event_type IN ('view', 'click') THEN 0 ELSE 1 END AS BUY_SELL_FLAG FROM events),
+iv AS (SELECT *, epoch_us(ts) AS us, lead(epoch_us(ts), 1, {S1} + 1) OVER (PARTITION BY user_id, BUY_SELL_FLAG, PRICE ORDER BY ts, event_id) AS nx FROM u),
+x AS (SELECT a.event_id, min(b.us) AS at FROM iv a JOIN iv b ON a.user_id = b.user_id AND a.BUY_SELL_FLAG <> b.BUY_SELL_FLAG AND b.SIZE > 0
+  AND (b.us > a.us OR (b.us = a.us AND b.event_id > a.event_id)) AND CASE WHEN a.BUY_SELL_FLAG = 0 THEN b.PRICE <= a.PRICE ELSE b.PRICE >= a.PRICE END GROUP BY a.event_id),
+e AS (SELECT {S0} + (unnest(range(0, 10)) + 1) * {3 * DAY} AS en)
+SELECT user_id, make_timestamp(en) AS ts, BUY_SELL_FLAG, PRICE, SIZE, ts AS UPDATE_TIME
+FROM iv LEFT JOIN x USING (event_id) JOIN e ON iv.us < e.en AND least(nx, coalesce(x.at, nx)) >= e.en WHERE SIZE > 0""")
+def _(spark, sf):
+    out = ob.ob_snapshot(_crossing(spark, sf), B3, uncross=True)
+    return out.df.select("user_id", "ts", "BUY_SELL_FLAG", "PRICE", "SIZE", "UPDATE_TIME")
+
+
 @query("ob_snapshot_depth_shares", f"""
 WITH {BOOK}, c AS (SELECT *, coalesce(sum(SIZE) OVER (PARTITION BY user_id, en, BUY_SELL_FLAG ORDER BY LEVEL ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bf FROM bk)
 SELECT user_id, make_timestamp(en) AS ts, BUY_SELL_FLAG, LEVEL, PRICE, least(SIZE, 500 - bf)::BIGINT AS SIZE FROM c WHERE bf < 500""")
