@@ -84,6 +84,34 @@ def test_vwap_and_weighted_averages(make):
     assert [round(x, 6) for x in values(e, "exp_w_average", order="_tl_bucket")] == [1.880797, 2.984124, 3.880797]
 
 
+def test_time_weights_in_buckets_of_ticks(make):
+    """A bucket of ticks lasts from the last tick of the bucket before to its own last tick, the open one to the end."""
+    s = make(A=[1.0, 2.0, 3.0, 3.0, 4.0])
+    for decay, kind, want in ((2, "half_life_index", [1.0, 2.500087, 4.0]), (2, "lambda", [1.0, 2.5005, 4.0])):
+        out = st.exp_tw_average(s, "A", decay, Buckets(2, "ticks"), kind)
+        assert [round(x, 6) for x in values(out, "exp_tw_average", order="_tl_bucket")] == want
+    t = make(A=[1.0, 2.0, 4.0, 8.0], offset=[0, 1000, 3000, 4000], end=T0 + timedelta(seconds=6))
+    assert values(st.tw_average(t, "A", Buckets(2, "ticks")), "tw_average", order="_tl_bucket") == [1.0, 8 / 3]
+    assert values(st.tw_average(t, "A", Buckets(2, "ticks"), "event_ts"), "tw_average", order="_tl_bucket") == [1.0, 4.0]
+    assert values(st.tw_average(t, "A", Buckets(1, "ticks")), "tw_average", order="_tl_bucket") == [None, 1.0, 2.0, 4.0]
+    assert values(st.tw_average(t, "A", Buckets(3, "ticks")), "tw_average", order="_tl_bucket") == [5 / 3, 20 / 3]
+    closing = F.col("A") == 4.0
+    assert values(st.tw_average(t, "A", Buckets(unit="flexible", condition=closing)), "tw_average", order="_tl_bucket") == [5 / 3, 20 / 3]
+    before = Buckets(unit="flexible", condition=closing, boundary="previous")
+    assert values(st.tw_average(t, "A", before), "tw_average", order="_tl_bucket") == [5 / 3, 20 / 3]
+
+
+@pytest.mark.parametrize("per_group", [False, True])
+def test_time_weights_in_groups(make, per_group):
+    t = make(A=[1.0, 2.0, 4.0, 8.0], G=["a", "b", "a", "a"], offset=[0, 1000, 3000, 4000], end=T0 + timedelta(seconds=6))
+    out = st.tw_average(t, "A", Buckets(2, "ticks", per_group=per_group), group_by=["G"])
+    got = {(r["G"], r["_tl_bucket"]): r["tw_average"] for r in out.collect()}
+    if per_group:
+        assert got == {("a", 0): 1.0, ("a", 1): 20 / 3, ("b", 0): 2.0}
+    else:
+        assert got == {("a", 0): 1.0, ("a", 1): 2.0, ("b", 0): None, ("b", 1): 2.0}
+
+
 def test_percentiles(make):
     s = make(A=[1, 2, 3, 4])
     assert [r["A"] for r in st.percentile(s, ["A"]).collect()] == [2]

@@ -10,7 +10,8 @@ from tickloom.plans import ORACLE, QUERIES
 SLICED = [
     "agg_tick_buckets", "agg_flexible_buckets", "agg_state_series", "running_cumulative", "running_num_distinct",
     "sliding_arrival_and_exit", "sliding_exit", "sliding_min_max", "sliding_recovers", "running_moments", "sliding_moments", "sliding_ticks",
-    "sliding_num_distinct", "sliding_num_distinct_ticks", "join_with_query_window", "join_with_query_window_extremes", "lag_lead", "fill_forward", "transpose_rows", "row_slice", "tw_average",
+    "sliding_num_distinct", "sliding_num_distinct_ticks", "join_with_query_window", "join_with_query_window_extremes", "lag_lead", "fill_forward", "transpose_rows", "row_slice", "tw_average", "tw_average_ticks",
+    "tw_average_ticks_groups", "exp_tw_average_flexible",
     "return_ep", "join_same_size", "join_by_time_default", "join_by_time_latest_ticks", "join_by_time_each_for_leader",
     "aggregated_window_time", "aggregated_window_ticks", "point_in_time_ticks", "coalesce_feeds", "diff_series",
     "lee_and_ready", "corp_actions", "ob_snapshot_clear", "ob_snapshot_uncrossed", "pnl_realized", "recipe_participation_price", "update_timestamp",

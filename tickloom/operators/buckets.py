@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.core import DAY, SECOND, TMP, HotKeys, Series, col, from_micros, micros
-from tickloom.ordering import Fold, row_number, running
+from tickloom.ordering import Fold, row_number, running, shift
 
 BUCKET = f"{TMP}bucket"
 
@@ -93,6 +93,47 @@ def assign(series: Series, b: Buckets, groups: Sequence[str] = ()) -> Series:
     return series.using(counted)
 
 
+def number_at(series: Series, b: Buckets, us: Column) -> Column:
+    """The number of the time bucket that holds a time in microseconds."""
+    if b.whole:
+        return F.lit(0).cast("long")
+    if b.unit == "seconds":
+        since = us - F.lit(series.start_us)
+        return ((since - F.pmod(since, F.lit(b.width_us))) / b.width_us).cast("long")
+    here, origin = _local(series, from_micros(us), b.zone), _local(series, F.expr(f"TIMESTAMP_NTZ'{series.start}'"), b.zone)
+    if b.unit == "days":
+        whole = F.floor((micros(here) - micros(origin)) / F.lit(DAY * int(b.size)))
+    else:
+        whole = F.floor(F.floor(F.months_between(here, origin, False)) / F.lit(int(b.size)))
+    return whole.cast("long")
+
+
+def edges(assigned: Series, b: Buckets, groups: Sequence[str] = ()) -> DataFrame:
+    """Begin and end in microseconds of each bucket of ticks or conditions: columns begin_us, end_us.
+
+    A bucket ends with its last tick, or with the first of the next bucket where the closing tick belongs to that one; the last bucket, unless it is
+    closed, ends with the interval.  It begins where the one before ends.  ``groups`` are told apart only where they have buckets of their own.
+    """
+    ids = [*assigned.keys, *[g for g in groups if b.per_group and g not in assigned.keys]]
+    first, last, begin, end = f"{TMP}first", f"{TMP}last", f"{TMP}begin", f"{TMP}end"
+    if b.unit == "ticks":
+        closed = F.count(F.lit(1)) == int(b.size)
+    elif b.boundary == "previous":
+        flag = F.coalesce(b.condition, F.lit(False))
+        closed = F.max(F.struct(assigned.order_struct.alias("o"), flag.alias("closes")))["closes"]
+    else:
+        closed = F.lit(False)
+    ends = assigned.df.groupBy(*ids, BUCKET).agg(F.min(assigned.us).alias(first), F.max(assigned.us).alias(last), closed.alias(f"{TMP}closed"))
+    until = F.lit(assigned.end_us)
+    numbered = assigned.using(ends, us_column=BUCKET, ts=BUCKET, seq=(), keys=tuple(ids), slice_us=100_000, hot=_none_hot(assigned))
+    if b.unit == "flexible" and b.boundary == "new":
+        out = shift(numbered, {end: (F.col(first), 1)}, lead=True).withColumn(begin, F.col(first))
+    else:
+        numbered = numbered.using(ends.withColumn(end, F.when(F.col(f"{TMP}closed"), F.col(last)).otherwise(until)))
+        out = shift(numbered, {begin: (F.col(end), 1)})
+    return out.select(*ids, BUCKET, F.coalesce(begin, F.lit(assigned.start_us)).alias("begin_us"), F.coalesce(end, until).alias("end_us"))
+
+
 def bounds_us(series: Series, b: Buckets, bucket: Column) -> tuple[Column, Column]:
     """Start and end of a numbered time bucket in microseconds; the last one is cut at the end."""
     if b.whole:

@@ -212,48 +212,61 @@ def ranking(
 # ---------------------------------------------------------------------------
 
 
-def _holding_intervals(series: Series, c: str, b: Buckets, state: bool) -> DataFrame:
-    """The time each value is in force, cut at bucket edges: columns from_us, to_us, value."""
-    nxt = shift(series, {f"{TMP}next": (series.us, 1)}, lead=True)
+def _holding_intervals(series: Series, c: str, b: Buckets, state: bool, group_by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The time each value is in force in its group, cut at bucket edges: columns from_us, to_us, value and the bucket's bucket_end.
+
+    A bucket with ticks has a piece, if only one without length.
+    """
+    groups = [g for g in group_by if g not in series.keys]
+    ids = [*series.keys, *groups]
+    source = series if b.by_time else bk.assign(series, b, groups)
+    wanted = {f"{TMP}next": (series.us, 1)}
+    if not b.by_time:
+        wanted[f"{TMP}next_bucket"] = (F.col(BUCKET), 1)
+    nxt = shift(source, wanted, by=groups, lead=True)
     held = nxt.select(
-        *series.keys,
+        *ids,
+        *([] if b.by_time else [BUCKET, f"{TMP}next_bucket"]),
         series.us.alias(f"{TMP}from"),
         F.least(F.coalesce(F.col(f"{TMP}next"), F.lit(series.end_us)), F.lit(series.end_us)).alias(f"{TMP}to"),
         col(c).alias("value"),
-    ).where(F.col(f"{TMP}to") > F.col(f"{TMP}from"))
-
-    def number(us: Column) -> Column:
-        if b.whole:
-            return F.lit(0).cast("long")
-        since = us - F.lit(series.start_us)
-        return ((since - F.pmod(since, F.lit(b.width_us))) / b.width_us).cast("long")
-
-    if b.unit != "seconds":
-        raise ValueError("time-weighted averages take buckets in seconds")
-    first = number(F.col(f"{TMP}from"))
-    last = number(F.col(f"{TMP}to") - 1) if state else first
-    # A value held over many buckets touches each once, so this adds at most one row per bucket.
-    cut = held.withColumn(BUCKET, F.explode(F.sequence(first, last)))
-    begin, end = bk.bounds_us(series, b, F.col(BUCKET))
-    return cut.select(
-        *series.keys,
-        BUCKET,
-        "value",
-        F.greatest(F.col(f"{TMP}from"), begin).alias("from_us"),
-        F.least(F.col(f"{TMP}to"), end).alias("to_us"),
     )
+    if b.by_time:
+        held = held.where(F.col(f"{TMP}to") > F.col(f"{TMP}from"))
+        first = bk.number_at(series, b, F.col(f"{TMP}from"))
+        last = bk.number_at(series, b, F.col(f"{TMP}to") - 1) if state else first
+        cut = held.withColumn(BUCKET, F.explode(F.sequence(first, last)))
+        begin, end = bk.bounds_us(series, b, F.col(BUCKET))
+    else:
+        shared = [k for k in ids if b.per_group or k in series.keys]
+        # A group without a next tick is in force to the last bucket of its key.
+        edges = bk.edges(source, b, groups)
+        if state:
+            final = edges.groupBy(*shared).agg(F.max(BUCKET).alias(f"{TMP}final"))
+            held = held.join(final, shared) if shared else held.crossJoin(final)
+            last = F.coalesce(f"{TMP}next_bucket", f"{TMP}final")
+        else:
+            last = F.col(BUCKET)
+        cut = held.withColumn(BUCKET, F.explode(F.sequence(F.col(BUCKET), last))).join(edges, [*shared, BUCKET])
+        begin, end = F.col("begin_us"), F.col("end_us")
+    # A value held over many buckets touches each once, so this adds at most one row per bucket.
+    start = F.greatest(F.col(f"{TMP}from"), begin)
+    return cut.select(*ids, BUCKET, "value", start.alias("from_us"), F.greatest(F.least(F.col(f"{TMP}to"), end), start).alias("to_us"), end.alias("bucket_end")), ids
 
 
-def tw_average(series: Series, c: str, buckets: Buckets | None = None, time_series_type: str = "state_ts") -> DataFrame:
-    """Average weighted by how long each value stays in force.
+def tw_average(
+    series: Series, c: str, buckets: Buckets | None = None, time_series_type: str = "state_ts", group_by: Sequence[str] = ()
+) -> DataFrame:
+    """Average weighted by how long each value stays in force, per bucket of any unit and per group.
 
-    ``state_ts`` lets the last value before a bucket hold until its first tick;
-    ``event_ts`` looks only at ticks inside the bucket.
+    ``state_ts`` lets the last value before a bucket hold until its first tick; ``event_ts`` looks only at ticks inside the bucket.  A bucket of ticks
+    lasts from the last tick of the bucket before to its own last tick (see :func:`~tickloom.operators.buckets.edges`); one without
+    length gives NULL.
     """
     b = buckets or Buckets()
-    held = _holding_intervals(series, c, b, time_series_type == "state_ts")
+    held, ids = _holding_intervals(series, c, b, time_series_type == "state_ts", group_by)
     weight = (F.col("to_us") - F.col("from_us")).cast("double")
-    return held.groupBy(*series.keys, BUCKET).agg(
+    return held.groupBy(*ids, BUCKET).agg(
         F.try_divide(F.sum(F.col("value") * weight), F.sum(weight)).alias("tw_average")
     )
 
@@ -267,19 +280,18 @@ def _rate(decay: float, decay_value_type: str) -> float:
 
 
 def exp_tw_average(
-    series: Series, c: str, decay: float, buckets: Buckets | None = None, decay_value_type: str = "half_life_index"
+    series: Series, c: str, decay: float, buckets: Buckets | None = None, decay_value_type: str = "half_life_index", group_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Time-weighted average whose weights fall off as ``exp(-rate * seconds before the bucket end)``."""
+    """Time-weighted average whose weights fall off as ``exp(-rate * seconds before the bucket end)``; buckets as in :func:`tw_average`."""
     b = buckets or Buckets()
     rate = _rate(decay, decay_value_type)
-    held = _holding_intervals(series, c, b, True)
-    _, end = bk.bounds_us(series, b, F.col(BUCKET))
+    held, ids = _holding_intervals(series, c, b, True, group_by)
 
     def weight_at(us: str) -> Column:
-        return F.exp((F.col(us) - end) / float(SECOND) * rate)
+        return F.exp((F.col(us) - F.col("bucket_end")) / float(SECOND) * rate)
 
     weight = (weight_at("to_us") - weight_at("from_us")) / rate
-    return held.groupBy(*series.keys, BUCKET).agg(
+    return held.groupBy(*ids, BUCKET).agg(
         F.try_divide(F.sum(F.col("value") * weight), F.sum(weight)).alias("exp_tw_average")
     )
 
@@ -291,16 +303,18 @@ def exp_w_average(
     buckets: Buckets | None = None,
     decay_value_type: str = "half_life_index",
     time_series_type: str = "state_ts",
+    group_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Average with weights ``exp(-rate * N)``, N ticks before the newest tick of the bucket.
+    """Average with weights ``exp(-rate * N)``, N ticks before the newest tick of the bucket and group.
 
     ``state_ts`` lets the last tick before the bucket take part as its oldest.
     """
     rate = _rate(decay, decay_value_type)
-    assigned, ids = _bucketed(series, buckets, ())
+    assigned, ids = _bucketed(series, buckets, group_by)
+    groups = [g for g in group_by if g not in series.keys]
     if time_series_type == "state_ts":
-        assigned = bk.carry_in(assigned, buckets or Buckets())
-    aged = running(assigned, {f"{TMP}age": Fold("sum", F.lit(1).cast("long"))}, by=[BUCKET], reverse=True)
+        assigned = bk.carry_in(assigned, buckets or Buckets(), groups)
+    aged = running(assigned, {f"{TMP}age": Fold("sum", F.lit(1).cast("long"))}, by=[*groups, BUCKET], reverse=True)
     weight = F.exp((F.col(f"{TMP}age") - 1) * -rate)
     return aged.groupBy(*ids).agg(
         F.try_divide(F.sum(col(c) * weight), F.sum(weight)).alias("exp_w_average")

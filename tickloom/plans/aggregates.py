@@ -469,9 +469,50 @@ def _(spark, sf):
     return out.select("user_id", F.col(BUCKET).alias("bucket"), r("tw_average").alias("v"))
 
 
+@query("tw_average_groups", f"""
+WITH x AS (SELECT user_id, event_type, epoch_us(ts) us, value, lead(epoch_us(ts), 1, {S1}) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) nx FROM events),
+     d AS (SELECT b, {S0} + b * 7 * {DAY} AS f, least({S0} + (b + 1) * 7 * {DAY}, {S1}) AS t FROM (SELECT unnest(range(0, 5)) AS b)),
+     c AS (SELECT user_id, event_type, b, value, least(nx, t) - greatest(us, f) AS w FROM x JOIN d ON us < t AND nx > f)
+SELECT user_id, event_type, b AS bucket, {R('sum(value * w) / sum(w)')} AS v FROM c WHERE w > 0 GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    out = st.tw_average(events(spark, sf), "value", Buckets(7, "days"), group_by=["event_type"])
+    return out.select("user_id", "event_type", F.col(BUCKET).alias("bucket"), r("tw_average").alias("v"))
+
+
+@query("tw_average_ticks", f"""
+WITH n AS (SELECT user_id, epoch_us(ts) us, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+     x AS (SELECT user_id, us, value, (lead(rn, 1, rn) OVER w - 1) // 10 AS b, lead(us, 1, CASE WHEN rn % 10 = 0 THEN us ELSE {S1} END) OVER w - us AS h FROM n WINDOW w AS (PARTITION BY user_id ORDER BY rn))
+SELECT user_id, b AS bucket, {R('sum(value * h) / nullif(sum(h), 0)')} AS v FROM x GROUP BY 1, 2""")
+def _(spark, sf):
+    out = st.tw_average(events(spark, sf), "value", Buckets(10, "ticks"))
+    return out.select("user_id", F.col(BUCKET).alias("bucket"), r("tw_average").alias("v"))
+
+
+@query("tw_average_ticks_groups", f"""
+WITH x AS (SELECT user_id, event_type, event_id, ts, epoch_us(ts) us, value, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 20 AS b FROM events),
+     g AS (SELECT user_id, b, CASE WHEN count(*) = 20 THEN max(us) ELSE {S1} END AS en FROM x GROUP BY 1, 2),
+     e AS (SELECT *, lag(en, 1, {S0}) OVER (PARTITION BY user_id ORDER BY b) AS bg, max(b) OVER (PARTITION BY user_id) AS top FROM g),
+     h AS (SELECT *, lead(us, 1, {S1}) OVER w AS nx, lead(b) OVER w AS nb FROM x WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)),
+     c AS (SELECT h.user_id, event_type, e.b, value, greatest(least(nx, en), greatest(us, bg)) - greatest(us, bg) AS w FROM h JOIN e ON h.user_id = e.user_id AND e.b BETWEEN h.b AND coalesce(nb, top))
+SELECT user_id, event_type, b AS bucket, {R('sum(value * w) / nullif(sum(w), 0)')} AS v FROM c GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    out = st.tw_average(events(spark, sf), "value", Buckets(20, "ticks"), group_by=["event_type"])
+    return out.select("user_id", "event_type", F.col(BUCKET).alias("bucket"), r("tw_average").alias("v"))
+
+
 RATE = "(ln(2) / 43200.0)"
 
 
+@query("exp_tw_average_flexible", f"""
+WITH x AS (SELECT user_id, epoch_us(ts) us, value, lead(epoch_us(ts), 1, {S1}) OVER w nx, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (w ROWS UNBOUNDED PRECEDING) AS b
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+     c AS (SELECT user_id, b, value, (us - max(nx) OVER (PARTITION BY user_id, b)) / 1e6 AS f, (nx - max(nx) OVER (PARTITION BY user_id, b)) / 1e6 AS t FROM x)
+SELECT user_id, b::BIGINT AS bucket, {R(f'sum(value * (exp(t * {RATE}) - exp(f * {RATE}))) / nullif(sum(exp(t * {RATE}) - exp(f * {RATE})), 0)')} AS v FROM c GROUP BY 1, 2""")
+def _(spark, sf):
+    out = st.exp_tw_average(events(spark, sf), "value", 43200, Buckets(unit="flexible", condition=F.col("event_type") == "signup"))
+    return out.select("user_id", F.col(BUCKET).alias("bucket"), r("exp_tw_average").alias("v"))
+
+
 @query("exp_tw_average", f"""
 WITH x AS (SELECT user_id, epoch_us(ts) us, value, lead(epoch_us(ts), 1, {S1}) OVER (PARTITION BY user_id ORDER BY ts, event_id) nx FROM events), d AS (SELECT unnest(range(0, 30)) AS b),
      c AS (SELECT user_id, b, value, (greatest(us, {S0} + b * {DAY}) - ({S0} + (b + 1) * {DAY})) / 1e6 AS f, (least(nx, {S0} + (b + 1) * {DAY}) - ({S0} + (b + 1) * {DAY})) / 1e6 AS t
@@ -490,6 +531,14 @@ def _(spark, sf):
     return out.select("user_id", F.col(BUCKET).alias("bucket"), r("exp_w_average").alias("v"))
 
 
+@query("exp_w_average_groups", f"""
+WITH x AS (SELECT user_id, event_type, value, (epoch_us(ts) - {S0}) // (7 * {DAY}) AS b, row_number() OVER (PARTITION BY user_id, event_type, (epoch_us(ts) - {S0}) // (7 * {DAY}) ORDER BY ts DESC, event_id DESC) - 1 AS a FROM events)
+SELECT user_id, event_type, b AS bucket, {R('sum(value * exp(-0.5 * a)) / sum(exp(-0.5 * a))')} AS v FROM x GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    out = st.exp_w_average(events(spark, sf), "value", 0.5, Buckets(7, "days"), "lambda", "event_ts", ["event_type"])
+    return out.select("user_id", "event_type", F.col(BUCKET).alias("bucket"), r("exp_w_average").alias("v"))
+
+
 @query("return_ep", f"""
 WITH k AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'), d AS (SELECT unnest(range(0, 30)) AS b), {TRADES_SQL},
      a AS (SELECT user_id, (epoch_us(ts) - {S0}) // {DAY} AS b, arg_min(PRICE, event_id) f, arg_max(PRICE, event_id) l FROM trades GROUP BY 1, 2),
