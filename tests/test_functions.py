@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import T0, values
+from conftest import T0, at, values
 from tickloom.core import TMP
 from tickloom.functions import dates as dt
 from tickloom.functions import numeric as nu
@@ -137,6 +137,42 @@ def test_uncrossed_book_of_odd_ticks(make):
     assert ob.ob_snapshot(s.using(s.df.limit(0)), uncross=True).df.count() == 0
 
 
+def test_book_in_buckets_of_ticks(make):
+    """The book after every second tick, the open bucket at the end; buckets closed by a condition with their own stamps."""
+    s = make(offset=[0, 1, 2, 3, 4], PRICE=[10.0, 9.0, 10.0, 12.0, 12.0], SIZE=[5, 7, 0, 4, 6], BUY_SELL_FLAG=[0, 0, 0, 1, 1], end=T0 + timedelta(seconds=2))
+    book = values(ob.ob_snapshot(s, Buckets(2, "ticks")), "ts", "PRICE", "SIZE", order=["ts", "BUY_SELL_FLAG", "LEVEL"])
+    assert book == [(at(1), 10.0, 5), (at(1), 9.0, 7), (at(3), 9.0, 7), (at(3), 12.0, 4), (at(2000), 9.0, 7), (at(2000), 12.0, 6)]
+    closing = Buckets(unit="flexible", condition=F.col("SIZE") == 0)
+    book = values(ob.ob_snapshot(s, closing), "ts", "PRICE", "SIZE", order=["ts", "BUY_SELL_FLAG", "LEVEL"])
+    assert book == [(at(2), 10.0, 5), (at(2), 9.0, 7), (at(2000), 9.0, 7), (at(2000), 12.0, 6)]
+    cleared = ob.ob_snapshot(s, Buckets(2, "ticks"), clear=F.col("SIZE") == 0)
+    assert values(cleared, "ts", "PRICE", "SIZE", order=["ts", "BUY_SELL_FLAG", "LEVEL"]) == [(at(1), 10.0, 5), (at(1), 9.0, 7), (at(3), 12.0, 4), (at(2000), 12.0, 6)]
+    days = ob.ob_snapshot(s.using(s.df, end=datetime(2003, 12, 3)), Buckets(1, "days"))
+    assert values(days, "ts", "PRICE", order=["ts", "LEVEL", "PRICE"]) == [(datetime(2003, 12, d), p) for d in (2, 3) for p in (9.0, 12.0)]
+
+
+def test_changes_of_a_book(make):
+    s = make(offset=[0, 1, 2, 3, 4], PRICE=[10.0, 9.0, 10.0, 9.0, 9.0], SIZE=[5, 7, 0, 8, 0], BUY_SELL_FLAG=[0] * 5, end=T0 + timedelta(milliseconds=6))
+    for buckets, ends in ((Buckets(1, "ticks"), [0, 1, 2, 3, 4]), (Buckets(0.001), [1, 2, 3, 4, 5])):
+        out = ob.ob_snapshot(s, buckets, show_only_changes=True)
+        want = [(10.0, 5, 1), (9.0, 7, 2), (10.0, 0, 0), (9.0, 8, 1), (9.0, 0, 0)]
+        assert values(out, "ts", "PRICE", "SIZE", "LEVEL") == [(at(ms), *row) for ms, row in zip(ends, want, strict=True)]
+    with pytest.raises(ValueError):
+        ob.ob_snapshot(s, show_only_changes=True, show_full_detail=True)
+
+
+def test_entries_and_delimiters_of_a_book(make):
+    s = make(offset=[0, 1, 2, 3], PRICE=[10.0, 10.0, 10.0, 9.0], SIZE=[5, 7, 6, 1], BUY_SELL_FLAG=[0] * 4, ORDER=["a", "b", "a", "c"], end=T0 + timedelta(seconds=3))
+    summed = ob.ob_snapshot(s, state_key=["ORDER"])
+    assert values(summed, "PRICE", "SIZE", "LEVEL", "UPDATE_TIME", order="LEVEL") == [(10.0, 13, 1, at(2)), (9.0, 1, 2, at(3))]
+    full = ob.ob_snapshot(s, state_key=["ORDER"], show_full_detail=True, max_levels=1)
+    assert values(full, "PRICE", "SIZE", "LEVEL", "ORDER", order="ORDER") == [(10.0, 6, 1, "a"), (10.0, 7, 1, "b")]
+    gone = ob.ob_snapshot(s, Buckets(1), state_key=["ORDER"], max_inactivity_sec=0.9985)
+    assert values(gone, "ts", "PRICE", "SIZE", order=["ts", "LEVEL"]) == [(at(1000), 10.0, 6), (at(1000), 9.0, 1)]
+    marked = ob.ob_snapshot(s, book_delimiters=True)
+    assert [r[:3] for r in values(marked, "DELIMITER", "LEVEL", "SIZE", "PRICE", order=list(marked.seq))] == [("0", 1, 6), ("0", 2, 1), ("D", 0, 0)]
+
+
 def test_virtual_book_times_out(make):
     q = make(offset=[0, 1000, 5000], ASK_PRICE=[22.28, 21.8, 21.8], ASK_SIZE=[500, 500, 300], BID_PRICE=[21.66] * 3, BID_SIZE=[100] * 3,
              end=T0 + timedelta(seconds=9))

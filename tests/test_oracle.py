@@ -14,7 +14,7 @@ SLICED = [
     "tw_average_ticks_groups", "exp_tw_average_flexible",
     "return_ep", "join_same_size", "join_by_time_default", "join_by_time_latest_ticks", "join_by_time_each_for_leader",
     "aggregated_window_time", "aggregated_window_ticks", "point_in_time_ticks", "coalesce_feeds", "diff_series",
-    "lee_and_ready", "corp_actions", "ob_snapshot_clear", "ob_snapshot_uncrossed", "pnl_realized", "recipe_participation_price", "update_timestamp",
+    "lee_and_ready", "corp_actions", "ob_snapshot_clear", "ob_snapshot_uncrossed", "ob_snapshot_ticks", "ob_snapshot_entries", "pnl_realized", "recipe_participation_price", "update_timestamp",
 ]
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.core import SECOND, TMP, Series, col, from_micros
+from tickloom.core import SECOND, TMP, Series, col, fill_typed, from_micros
 from tickloom.operators import buckets as bk
 from tickloom.operators.buckets import BUCKET, Buckets
 from tickloom.ordering import Fold, running, shift
@@ -36,43 +36,44 @@ class _Reach:
 
     def __init__(self) -> None:
         self.reach: list[float] = []
-        self.us: list[int] = []
+        self.at: list[int] = []
 
-    def add(self, reach: float, us: int) -> None:
+    def add(self, reach: float, at: int) -> None:
         while self.reach and self.reach[-1] >= reach:
             self.reach.pop()
-            self.us.pop()
+            self.at.pop()
         self.reach.append(reach)
-        self.us.append(us)
+        self.at.append(at)
 
     def first(self, limit: float) -> int | None:
         """The time of the first of them that reaches ``limit``."""
         k = bisect_right(self.reach, limit) - 1
-        return self.us[k] if k >= 0 else None
+        return self.at[k] if k >= 0 else None
 
 
-def crossed(series: Series) -> DataFrame:
+def crossed(series: Series, place: Column | None = None) -> DataFrame:
     """Add the time at which each update's level is crossed: by the first later tick of the other side with a size, at or through its price.
 
-    Ticks without a price cross nothing and are not crossed; withdrawals (size 0) cross nothing.
+    ``place`` stands in for the time; it grows with the order.  Ticks without a price cross nothing and are not crossed; withdrawals (size 0) cross nothing.
     """
     name, keys = f"{TMP}crossed", list(series.keys)
     cuts = series.slices()
     cut_names = [f"{TMP}slice", f"{TMP}slice_seq"][: len(cuts)]
     df = series.df.withColumns(dict(zip(cut_names, cuts, strict=True)) | {
         f"{TMP}us": series.us,
+        f"{TMP}at": series.us if place is None else place,
         f"{TMP}reach": F.when(col("SIZE") > 0, F.when(col(SIDE) == 1, col("PRICE")).otherwise(-col("PRICE")).cast("double")),
         f"{TMP}price": col("PRICE").cast("double"),
         f"{TMP}bid": col(SIDE) == 0,
     })
     ids, order = [*keys, *cut_names], [f"{TMP}us", *series.seq]
-    us, reach, bid = F.col(f"{TMP}us"), F.col(f"{TMP}reach"), F.col(f"{TMP}bid")
+    at, reach, bid = F.col(f"{TMP}at"), F.col(f"{TMP}reach"), F.col(f"{TMP}bid")
     # what a slice passes on: ticks that reach further than all before them in the slice
     before = Window.partitionBy(*ids, bid).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     furthest = F.min(reach).over(before)
     new = reach.isNotNull() & ~F.isnan(reach) & (furthest.isNull() | (reach < furthest))
-    marked = df.select(*ids, *order, bid, reach).withColumn(f"{TMP}new", new)
-    tick = F.struct(us.alias("us"), reach.alias("reach"))
+    marked = df.select(*ids, *order, at, bid, reach).withColumn(f"{TMP}new", new)
+    tick = F.struct(at.alias("at"), reach.alias("reach"))
     sides = {side: F.sort_array(F.collect_list(F.when(F.col(f"{TMP}new") & flag, tick))) for side, flag in (("bids", bid), ("asks", ~bid))}
     passed = marked.groupBy(*ids).agg(*[ticks.alias(side) for side, ticks in sides.items()])
 
@@ -87,9 +88,9 @@ def crossed(series: Series) -> DataFrame:
                     owner, stacks = key, {"bids": _Reach(), "asks": _Reach()}
                 for side, stack in stacks.items():
                     own = row[side]
-                    row[side] = [{"us": t, "reach": x} for t, x in zip(stack.us, stack.reach, strict=True)]
+                    row[side] = [{"at": t, "reach": x} for t, x in zip(stack.at, stack.reach, strict=True)]
                     for tick in reversed(own):
-                        stack.add(tick["reach"], tick["us"])
+                        stack.add(tick["reach"], tick["at"])
             yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
 
     last_first = [F.col(c).desc() for c in cut_names]
@@ -102,14 +103,14 @@ def crossed(series: Series) -> DataFrame:
         for ticks in later.select(list(stacks)).to_pylist():
             for side, stack in stacks.items():
                 for tick in ticks[side]:
-                    stack.add(tick["reach"], tick["us"])
+                    stack.add(tick["reach"], tick["at"])
         out = []
-        columns = [rows[c].to_pylist() for c in (f"{TMP}us", f"{TMP}bid", f"{TMP}price", f"{TMP}reach")]
-        for at, is_bid, price, tick_reach in zip(*columns, strict=True):
+        columns = [rows[c].to_pylist() for c in (f"{TMP}at", f"{TMP}bid", f"{TMP}price", f"{TMP}reach")]
+        for here, is_bid, price, tick_reach in zip(*columns, strict=True):
             own, other, limit = ("bids", "asks", price) if is_bid else ("asks", "bids", None if price is None else -price)
             out.append(stacks[other].first(limit) if limit is not None and limit == limit else None)
             if tick_reach is not None and tick_reach == tick_reach:
-                stacks[own].add(tick_reach, at)
+                stacks[own].add(tick_reach, here)
         return rows.select(kept).append_column(name, pa.array(out, pa.int64()))
 
     kept = series.df.columns
@@ -117,44 +118,87 @@ def crossed(series: Series) -> DataFrame:
     return df.groupBy(*ids).cogroup(later.groupBy(*ids)).applyInArrow(cross, schema)
 
 
-def _levels(series: Series, b: Buckets, clear: Column | None, update_time: str | None, uncross: bool = False) -> DataFrame:
-    """One row per (bucket, live level): what the book looks like at each bucket end."""
-    if b.unit != "seconds":
-        raise ValueError("book snapshots take buckets in seconds")
-    source = series
+def _levels(
+    series: Series, b: Buckets, clear: Column | None, update_time: str | None, uncross: bool = False,
+    state_key: Sequence[str] = (), detail: Sequence[str] = (), inactive_us: int | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """One row per (bucket, live update): what the book looks like at each bucket end, with the bucket's stamp in microseconds.
+
+    Buckets of time are told by the time axis, others by their numbers, which grow with the order too; for these the second frame holds all
+    buckets with their stamps.
+    """
+    source, edges = series, None
+    if b.by_time:
+        place, top = series.us, F.lit(bk.count(series, b) - 1)
+    else:
+        if inactive_us is not None:
+            raise ValueError("updates expire in buckets of time only")
+        source = bk.assign(series, b)
+        place, top = F.col(BUCKET), F.col(f"{TMP}final")
+        stamp = F.col("begin_us" if b.stamp == "start" else "end_us").alias(f"{TMP}at")
+        edges = bk.edges(source, b).select(*series.keys, BUCKET, stamp)
+    source = source.using(source.df.withColumn(f"{TMP}place", place))
+    place = F.col(f"{TMP}place")
+    until = [F.col(f"{TMP}next")]
     if clear is not None:
-        mark = F.when(F.coalesce(clear, F.lit(False)), series.us)
-        source = series.using(series.df.withColumn(f"{TMP}mark", mark))
+        mark = F.when(F.coalesce(clear, F.lit(False)), place)
+        source = source.using(source.df.withColumn(f"{TMP}mark", mark))
         # The next clearing event ends a level as well.
         ahead = running(source, {f"{TMP}cleared": Fold("min", F.col(f"{TMP}mark"))}, reverse=True)
-        source = series.using(ahead.where(F.col(f"{TMP}mark").isNull()))
+        source = source.using(ahead.where(F.col(f"{TMP}mark").isNull()))
+        until.append(F.col(f"{TMP}cleared"))
     if uncross:
-        source = series.using(crossed(source))
-    timed = source.using(shift(source, {f"{TMP}next": (source.us, 1)}, by=[SIDE, "PRICE"], lead=True))
-    until = F.col(f"{TMP}next")
-    if clear is not None:
-        until = F.least(until, F.col(f"{TMP}cleared"))
-    if uncross:
-        until = F.least(until, F.col(f"{TMP}crossed"))
-    n = bk.count(series, b)
-
-    def number(us: Column) -> Column:
-        if b.whole:
-            return F.lit(0).cast("long")
-        since = us - F.lit(series.start_us)
-        return ((since - F.pmod(since, F.lit(b.width_us))) / b.width_us).cast("long")
-
-    if b.whole:
-        first, last = F.lit(0).cast("long"), F.when(until.isNull(), F.lit(0)).otherwise(F.lit(-1)).cast("long")
+        source = source.using(crossed(source, place))
+        until.append(F.col(f"{TMP}crossed"))
+    if inactive_us is not None:
+        until.append(place + F.lit(inactive_us))
+    df = shift(source, {f"{TMP}next": (place, 1)}, by=[SIDE, "PRICE", *state_key], lead=True)
+    until = F.least(*until) if len(until) > 1 else until[0]
+    if edges is not None:
+        df = bk.with_last(df, edges, series.keys, f"{TMP}final")
+    if b.by_time:
+        until = F.when(until < F.lit(series.end_us), until)
+        first, ends = F.greatest(bk.number_at(series, b, place), F.lit(0)), bk.number_at(series, b, until)
     else:
-        first = F.greatest(number(series.us), F.lit(0))
-        last = F.when(until.isNull(), F.lit(n - 1)).otherwise(F.least(number(until) - 1, F.lit(n - 1))).cast("long")
+        first, ends = place, until
+    last = F.when(until.isNull(), top).otherwise(F.least(ends - 1, top)).cast("long")
     stamp = col(update_time) if update_time else col(series.ts)
-    live = timed.df.where(col("SIZE") > 0).select(
-        *series.keys, "PRICE", "SIZE", SIDE, stamp.alias("UPDATE_TIME"), first.alias(f"{TMP}a"), last.alias(f"{TMP}b")
+    live = df.where(col("SIZE") > 0).select(
+        *series.keys, "PRICE", "SIZE", SIDE, *detail, stamp.alias("UPDATE_TIME"), first.alias(f"{TMP}a"), last.alias(f"{TMP}b")
     )
     live = live.where(F.col(f"{TMP}a") <= F.col(f"{TMP}b"))
-    return live.withColumn(BUCKET, F.explode(F.sequence(f"{TMP}a", f"{TMP}b"))).drop(f"{TMP}a", f"{TMP}b")
+    live = live.withColumn(BUCKET, F.explode(F.sequence(f"{TMP}a", f"{TMP}b"))).drop(f"{TMP}a", f"{TMP}b")
+    return _stamped(series, b, live, edges), edges
+
+
+def _stamped(series: Series, b: Buckets, rows: DataFrame, edges: DataFrame | None) -> DataFrame:
+    """The rows of existing buckets with their bucket's stamp."""
+    if edges is not None:
+        return rows.join(edges, [*series.keys, BUCKET])
+    begin, end = bk.bounds_us(series, b, F.col(BUCKET))
+    rows = rows.where(F.col(BUCKET) < F.lit(bk.count(series, b)))
+    if b.zone:
+        rows = rows.where(begin < F.lit(series.end_us))
+    return rows.withColumn(f"{TMP}at", begin if b.stamp == "start" else end)
+
+
+def _changes(series: Series, b: Buckets, levels: DataFrame, edges: DataFrame | None, name: str) -> DataFrame:
+    """Levels that are new or have another size than in the bucket before; vanished ones with size and level 0.
+
+    Each level meets itself in the next bucket by grouping on (bucket, side, price).
+    """
+    ids = [*series.keys, BUCKET, SIDE, "PRICE"]
+    rest = [c for c in levels.columns if c not in ids]
+    row = F.struct(*rest)
+    after = _stamped(series, b, levels.drop(f"{TMP}at").withColumn(BUCKET, F.col(BUCKET) + 1), edges)
+    none = F.lit(None).cast(levels.select(row.alias("r")).schema["r"].dataType)
+    both = levels.select(*ids, row.alias("now"), none.alias("was")).unionByName(after.select(*ids, none.alias("now"), row.alias("was")))
+    met = both.groupBy(*ids).agg(F.max("now").alias("now"), F.max("was").alias("was"))
+    met = met.where(F.col("now").isNull() | F.col("was").isNull() | (F.col("now")["SIZE"] != F.col("was")["SIZE"]))
+    gone = F.col("now").isNull()
+    zero = {"SIZE": levels.schema["SIZE"].dataType, name: levels.schema[name].dataType}
+    out = [F.when(gone, F.lit(0).cast(zero[c]) if c in zero else F.col("was")[c]).otherwise(F.col("now")[c]).alias(c) for c in rest]
+    return met.select(*ids, *out)
 
 
 def ob_snapshot(
@@ -169,21 +213,43 @@ def ob_snapshot(
     clear: Column | None = None,
     update_time: str | None = None,
     uncross: bool = False,
+    state_key: Sequence[str] = (),
+    show_full_detail: bool = False,
+    max_inactivity_sec: float | None = None,
+    show_only_changes: bool = False,
+    book_delimiters: bool = False,
 ) -> Series:
-    """The book at each bucket end: PRICE, SIZE, LEVEL, UPDATE_TIME and side, best level first.
+    """The book at each bucket end: PRICE, SIZE, LEVEL, UPDATE_TIME and side, best level first.  Buckets of any unit.
 
     ``max_depth_shares`` stops once that much size is covered (the last level's excess is cut
     off), ``max_depth_for_price`` keeps levels within a fraction of the best price,
     ``max_spread`` those within half the spread of the middle.  ``min_levels`` are kept
     whatever the depth limits say.  ``clear`` marks ticks that empty the book.  ``uncross`` removes
     a level when a later tick of the other side arrives at or through its price.
+
+    ``state_key`` names fields that, besides side and price, tell one entry of the book from another (an order number, a venue): an update
+    replaces the entry of its key, and a level adds up its entries, with their latest UPDATE_TIME.  ``max_inactivity_sec`` ends an entry that long after its
+    last update.  ``show_full_detail`` gives the entries of each level with all input fields instead of the sum; limits still look at levels.
+    ``show_only_changes`` gives only levels that are new or have another size than one bucket before, and vanished ones, as they last were, with
+    SIZE and LEVEL 0.  ``book_delimiters`` puts a row with defaults and DELIMITER 'D' after each book; other rows have '0'.
     """
     b = buckets or Buckets()
-    levels = _levels(series, b, clear, update_time, uncross)
+    if show_full_detail and show_only_changes:
+        raise ValueError("changes are changes of levels, not of their entries")
+    taken = [*series.keys, series.ts, "PRICE", "SIZE", SIDE, "UPDATE_TIME", "LEVEL"]
+    detail = [c for c in series.df.columns if c not in taken] if show_full_detail and state_key else []
+    inactive = None if max_inactivity_sec is None else round(max_inactivity_sec * SECOND)
+    levels, edges = _levels(series, b, clear, update_time, uncross, state_key, detail, inactive)
     if side is not None:
         if max_spread is not None:
             raise ValueError("max_spread looks at both sides")
         levels = levels.where(F.col(SIDE) == {"BID": 0, "ASK": 1}[side])
+    entries, level = levels, [*series.keys, BUCKET, SIDE, "PRICE"]
+    if state_key:
+        dtype = levels.schema["SIZE"].dataType
+        levels = entries.groupBy(*level).agg(
+            F.sum("SIZE").cast(dtype).alias("SIZE"), F.max("UPDATE_TIME").alias("UPDATE_TIME"), F.first(f"{TMP}at").alias(f"{TMP}at")
+        )
     better = F.when(F.col(SIDE) == 0, -F.col("PRICE")).otherwise(F.col("PRICE"))
     one_side = Window.partitionBy(*series.keys, BUCKET, SIDE)
     if max_spread is not None:
@@ -209,9 +275,22 @@ def ob_snapshot(
         kept = kept & (room > 0)
         within = F.when(F.col("LEVEL") > min_levels, F.least(F.col("SIZE"), room)).otherwise(F.col("SIZE"))
         out = out.withColumn("SIZE", within.cast(levels.schema["SIZE"].dataType))
-    out = out.where(kept | (F.col("LEVEL") <= min_levels)).withColumn("LEVEL", F.col("LEVEL").cast("long"))
-    out = out.withColumn(series.ts, bk.stamp(series, b, F.col(BUCKET)))
-    return series.using(out.drop(BUCKET, f"{TMP}near", f"{TMP}before"), seq=(SIDE, "LEVEL"))
+    out = out.where(kept | (F.col("LEVEL") <= min_levels)).withColumn("LEVEL", F.col("LEVEL").cast("long")).drop(f"{TMP}near", f"{TMP}before")
+    seq = [SIDE, "LEVEL"]
+    if show_only_changes:
+        out = _changes(series, b, out, edges, "LEVEL")
+        seq.append("PRICE")
+    elif show_full_detail and state_key:
+        out = entries.join(out.select(*level, "LEVEL"), level)
+        seq += [c for c in state_key if c not in seq]
+    out = out.withColumn(series.ts, from_micros(f"{TMP}at"))
+    if book_delimiters:
+        books = out.select(*series.keys, BUCKET, series.ts).distinct()
+        empty = books.select("*", *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in out.columns if c not in books.columns])
+        ends = fill_typed(empty, [c for c in out.columns if c not in books.columns]).withColumn("DELIMITER", F.lit("D"))
+        out = out.withColumn("DELIMITER", F.lit("0")).unionByName(ends)
+        seq = ["DELIMITER", *seq]
+    return series.using(out.drop(BUCKET, f"{TMP}at"), seq=tuple(seq))
 
 
 def ob_snapshot_wide(series: Series, buckets: Buckets | None = None, **limits: object) -> Series:

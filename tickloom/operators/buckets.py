@@ -134,6 +134,14 @@ def edges(assigned: Series, b: Buckets, groups: Sequence[str] = ()) -> DataFrame
     return out.select(*ids, BUCKET, F.coalesce(begin, F.lit(assigned.start_us)).alias("begin_us"), F.coalesce(end, until).alias("end_us"))
 
 
+def with_last(df: DataFrame, edges: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Add the number of the last bucket of each row's key."""
+    if keys:
+        return df.join(edges.groupBy(*keys).agg(F.max(BUCKET).alias(name)), list(keys))
+    one = f"{TMP}one"
+    return df.withColumn(one, F.lit(0)).join(edges.groupBy(F.lit(0).alias(one)).agg(F.max(BUCKET).alias(name)), one).drop(one)
+
+
 def bounds_us(series: Series, b: Buckets, bucket: Column) -> tuple[Column, Column]:
     """Start and end of a numbered time bucket in microseconds; the last one is cut at the end."""
     if b.whole:

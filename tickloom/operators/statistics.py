@@ -242,8 +242,7 @@ def _holding_intervals(series: Series, c: str, b: Buckets, state: bool, group_by
         # A group without a next tick is in force to the last bucket of its key.
         edges = bk.edges(source, b, groups)
         if state:
-            final = edges.groupBy(*shared).agg(F.max(BUCKET).alias(f"{TMP}final"))
-            held = held.join(final, shared) if shared else held.crossJoin(final)
+            held = bk.with_last(held, edges, shared, f"{TMP}final")
             last = F.coalesce(f"{TMP}next_bucket", f"{TMP}final")
         else:
             last = F.col(BUCKET)

@@ -40,6 +40,51 @@ def _(spark, sf):
     return out.df.select("user_id", "ts", "BUY_SELL_FLAG", "LEVEL", "PRICE", "SIZE", "UPDATE_TIME")
 
 
+@query("ob_snapshot_ticks", f"""
+WITH {UPDATES}, n AS (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 20 AS b FROM u),
+  e AS (SELECT user_id, b, CASE WHEN count(*) = 20 THEN max(ts) ELSE TIMESTAMP '2024-01-31' END AS en, max(b) OVER (PARTITION BY user_id) AS top FROM n GROUP BY 1, 2),
+  iv AS (SELECT *, lead(b) OVER (PARTITION BY user_id, BUY_SELL_FLAG, PRICE ORDER BY ts, event_id) AS nb FROM n),
+  lv AS (SELECT iv.*, e.b AS bn, e.en FROM iv JOIN e ON iv.user_id = e.user_id AND e.b BETWEEN iv.b AND coalesce(iv.nb - 1, e.top) WHERE SIZE > 0),
+  bk AS (SELECT *, row_number() OVER (PARTITION BY user_id, bn, BUY_SELL_FLAG ORDER BY CASE WHEN BUY_SELL_FLAG = 0 THEN -PRICE ELSE PRICE END) AS LEVEL FROM lv)
+SELECT user_id, en AS ts, BUY_SELL_FLAG, LEVEL, PRICE, SIZE, ts AS UPDATE_TIME FROM bk WHERE LEVEL <= 3""")
+def _(spark, sf):
+    out = ob.ob_snapshot(_updates(spark, sf), Buckets(20, "ticks"), max_levels=3)
+    return out.df.select("user_id", "ts", "BUY_SELL_FLAG", "LEVEL", "PRICE", "SIZE", "UPDATE_TIME")
+
+
+@query("ob_snapshot_changes", f"""
+WITH {BOOK}, o AS (SELECT * REPLACE (en + {3 * DAY} AS en) FROM bk WHERE en < {S1})
+SELECT user_id, make_timestamp(en) AS ts, BUY_SELL_FLAG, PRICE, coalesce(bk.LEVEL, 0) AS LEVEL, coalesce(bk.SIZE, 0)::BIGINT AS SIZE, coalesce(bk.ts, o.ts) AS UPDATE_TIME
+FROM bk FULL JOIN o USING (user_id, en, BUY_SELL_FLAG, PRICE) WHERE bk.SIZE IS DISTINCT FROM o.SIZE""")
+def _(spark, sf):
+    out = ob.ob_snapshot(_updates(spark, sf), B3, show_only_changes=True)
+    return out.df.select("user_id", "ts", "BUY_SELL_FLAG", "PRICE", "LEVEL", "SIZE", "UPDATE_TIME")
+
+
+def _entries(spark, sf):
+    s = _updates(spark, sf)
+    return s.using(s.df.withColumn("VENUE", F.col("event_id") % 3))
+
+
+ENTRIES = f"""{UPDATES}, iv AS (SELECT *, event_id % 3 AS VENUE, epoch_us(ts) AS us, lead(epoch_us(ts), 1, {S1} + 1) OVER (PARTITION BY user_id, BUY_SELL_FLAG, PRICE, event_id % 3 ORDER BY ts, event_id) AS nx FROM u),
+  e AS (SELECT {S0} + (unnest(range(0, 10)) + 1) * {3 * DAY} AS en),
+  lv AS (SELECT iv.*, e.en FROM iv JOIN e ON iv.us < e.en AND least(nx, us + {10 * DAY}) >= e.en WHERE SIZE > 0)"""
+
+
+@query("ob_snapshot_entries", f"WITH {ENTRIES} SELECT user_id, make_timestamp(en) AS ts, BUY_SELL_FLAG, PRICE, sum(SIZE)::BIGINT AS SIZE, max(ts) AS UPDATE_TIME FROM lv GROUP BY user_id, en, BUY_SELL_FLAG, PRICE")
+def _(spark, sf):
+    out = ob.ob_snapshot(_entries(spark, sf), B3, state_key=["VENUE"], max_inactivity_sec=10 * 86400)
+    return out.df.select("user_id", "ts", "BUY_SELL_FLAG", "PRICE", "SIZE", "UPDATE_TIME")
+
+
+@query("ob_snapshot_full_detail", f"""
+WITH {ENTRIES}, bk AS (SELECT *, dense_rank() OVER (PARTITION BY user_id, en, BUY_SELL_FLAG ORDER BY CASE WHEN BUY_SELL_FLAG = 0 THEN -PRICE ELSE PRICE END) AS LEVEL FROM lv)
+SELECT user_id, make_timestamp(en) AS ts, BUY_SELL_FLAG, LEVEL, PRICE, SIZE, VENUE, event_id FROM bk WHERE LEVEL <= 2""")
+def _(spark, sf):
+    out = ob.ob_snapshot(_entries(spark, sf), B3, state_key=["VENUE"], max_inactivity_sec=10 * 86400, max_levels=2, show_full_detail=True)
+    return out.df.select("user_id", "ts", "BUY_SELL_FLAG", "LEVEL", "PRICE", "SIZE", "VENUE", "event_id")
+
+
 def _crossing(spark, sf):
     """Level updates whose sides overlap: bids and asks on one price grid around 50."""
     s = events(spark, sf)
