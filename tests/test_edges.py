@@ -1,14 +1,19 @@
 """Values at the edge: infinities, large numbers, first matches, refused joins, bad factors."""
 
+import datetime
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import at
+from conftest import at, values
 from tickloom.functions import numeric as nu
 from tickloom.functions import text as tx
+from tickloom.operators import aggregate as ag
+from tickloom.operators import filters as fi
 from tickloom.operators import joins as jn
 from tickloom.operators import project as pj
+from tickloom.operators import scripting as sc
 from tickloom.operators import timing as tm
 from tickloom.sources import readers as rd
 from tickloom.sources import writers as wr
@@ -117,3 +122,61 @@ def test_parquet_and_discovery(spark, make, tmp_path):
         spark.catalog.dropTempView("tick_view_of_a_test")
     assert rd.last_date(s).collect()[0][0] == at(0).date()
     assert [r["Y"] for r in pj.apply_column(s.df, "Y", lambda c: c * 2, "X").orderBy("X").collect()] == [2, 4, 6]
+
+
+def test_state_from_query(make):
+    """Ticks set the variable from a query; an empty result counts or not; ``each`` is put in by every tick first."""
+    s = make(A=[1, 2, 3, 4, 5], offset=[0, 1, 2, 3, 4])
+    asked = make(X=[123, 50], offset=[0, 1])
+    odd = F.col("A") % 2 == 1
+
+    def state(**kw):
+        return values(sc.state_from_query(s, "V", asked, ag.max_("X"), -1000, 1, **kw), "V")
+
+    assert state() == [123, 123, 50, None, None]
+    assert state(where=F.col("A") == 2, initial=F.lit(0)) == [0, 123, 123, 123, 123]
+    assert state(where=odd, action="update") == [123, 123, 50, 50, 50]
+    assert state(where=odd, each=F.lit(7)) == [123, 7, 50, 7, None]
+    with pytest.raises(ValueError):
+        state(action="add")
+
+
+def test_symbol_errors(make):
+    s = make(A=[1, 2, 3], K=["a", "b", "a"])
+    s = s.using(s.df, keys=("K",))
+    thrown = fi.throw_for_symbol(s, message="WRONG")
+    assert values(fi.show_symbol_errors(thrown), "ts", "ERROR_CODE", "ERROR_MESSAGE", order="seq") == [(at(0), 1, "WRONG")] * 3
+    assert fi.intercept_symbol_errors(thrown).df.count() == 0
+    some = fi.throw_for_symbol(s, F.when(F.col("A") > 1, F.col("A") == 3), F.concat(F.lit("no "), F.col("A").cast("string")), 5)
+    assert values(fi.show_symbol_errors(some), "K", "ERROR_CODE", "ERROR_MESSAGE") == [("a", 5, "no 3")]
+    assert values(fi.intercept_symbol_errors(some), "A") == [1, 2]
+    assert values(fi.intercept_symbol_errors(some, whole_symbols=True), "A") == [2]
+    assert fi.show_symbol_errors(some).df.columns == ["K", "ts", "seq", "ERROR_CODE", "ERROR_MESSAGE"]
+
+
+def test_activity_of_overlapping_sessions(spark, make):
+    """Sessions that touch, hold each other, repeat, last for months, or are empty."""
+    s = make(A=list(range(8)), offset=[0, 10, 20, 30, 40, 50, 60, 70])
+    rows = [(at(10), at(30), "R"), (at(20), at(50), "A"), (at(30), at(40), "R"), (at(20), at(50), "A"), (at(60), at(60), "E"), (at(65), at(1e10), "L")]
+    calendar = spark.createDataFrame(rows, "b timestamp_ntz, e timestamp_ntz, f string")
+    out = tm.mkt_activity(s, calendar, "b", "e", "f", "ACT")
+    assert values(out, "ACT") == ["", "R", "AR", "AR", "A", "", "", "L"]
+    assert values(tm.mkt_activity(s, calendar.limit(0), "b", "e", "f", "ACT"), "ACT") == [""] * 8
+
+
+def test_last_day_with_ticks(make):
+    s = make(A=[1, 2], offset=[0, 2 * 86_400_000])
+
+    def last(day, back):
+        return rd.last_not_empty_date(s, datetime.date(2003, 12, day), back).collect()[0]["last_date"]
+
+    assert last(3, 0) == last(9, 6) == datetime.date(2003, 12, 3)
+    assert last(2, 5) == datetime.date(2003, 12, 1)
+    assert last(2, 0) is None and last(9, 5) is None
+
+
+def test_what_there_is_to_read(spark, make):
+    make(A=[1]).df.createOrReplaceTempView("inspected_ticks")
+    assert "default" in [r[0] for r in rd.databases(spark).collect()]
+    assert "inspected_ticks" in [r[0] for r in rd.tick_types(spark, "default").collect()]
+    spark.catalog.dropTempView("inspected_ticks")

@@ -61,13 +61,13 @@ def crossed(series: Series, place: Column | None = None) -> DataFrame:
     cut_names = [f"{TMP}slice", f"{TMP}slice_seq"][: len(cuts)]
     df = series.df.withColumns(dict(zip(cut_names, cuts, strict=True)) | {
         f"{TMP}us": series.us,
-        f"{TMP}at": series.us if place is None else place,
+        f"{TMP}stamp": series.us if place is None else place,
         f"{TMP}reach": F.when(col("SIZE") > 0, F.when(col(SIDE) == 1, col("PRICE")).otherwise(-col("PRICE")).cast("double")),
         f"{TMP}price": col("PRICE").cast("double"),
         f"{TMP}bid": col(SIDE) == 0,
     })
     ids, order = [*keys, *cut_names], [f"{TMP}us", *series.seq]
-    at, reach, bid = F.col(f"{TMP}at"), F.col(f"{TMP}reach"), F.col(f"{TMP}bid")
+    at, reach, bid = F.col(f"{TMP}stamp"), F.col(f"{TMP}reach"), F.col(f"{TMP}bid")
     # what a slice passes on: ticks that reach further than all before them in the slice
     before = Window.partitionBy(*ids, bid).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     furthest = F.min(reach).over(before)
@@ -105,7 +105,7 @@ def crossed(series: Series, place: Column | None = None) -> DataFrame:
                 for tick in ticks[side]:
                     stack.add(tick["reach"], tick["at"])
         out = []
-        columns = [rows[c].to_pylist() for c in (f"{TMP}at", f"{TMP}bid", f"{TMP}price", f"{TMP}reach")]
+        columns = [rows[c].to_pylist() for c in (f"{TMP}stamp", f"{TMP}bid", f"{TMP}price", f"{TMP}reach")]
         for here, is_bid, price, tick_reach in zip(*columns, strict=True):
             own, other, limit = ("bids", "asks", price) if is_bid else ("asks", "bids", None if price is None else -price)
             out.append(stacks[other].first(limit) if limit is not None and limit == limit else None)
@@ -135,7 +135,7 @@ def _levels(
             raise ValueError("updates expire in buckets of time only")
         source = bk.assign(series, b)
         place, top = F.col(BUCKET), F.col(f"{TMP}final")
-        stamp = F.col("begin_us" if b.stamp == "start" else "end_us").alias(f"{TMP}at")
+        stamp = F.col("begin_us" if b.stamp == "start" else "end_us").alias(f"{TMP}stamp")
         edges = bk.edges(source, b).select(*series.keys, BUCKET, stamp)
     source = source.using(source.df.withColumn(f"{TMP}place", place))
     place = F.col(f"{TMP}place")
@@ -179,7 +179,7 @@ def _stamped(series: Series, b: Buckets, rows: DataFrame, edges: DataFrame | Non
     rows = rows.where(F.col(BUCKET) < F.lit(bk.count(series, b)))
     if b.zone:
         rows = rows.where(begin < F.lit(series.end_us))
-    return rows.withColumn(f"{TMP}at", begin if b.stamp == "start" else end)
+    return rows.withColumn(f"{TMP}stamp", begin if b.stamp == "start" else end)
 
 
 def _changes(series: Series, b: Buckets, levels: DataFrame, edges: DataFrame | None, name: str) -> DataFrame:
@@ -190,7 +190,7 @@ def _changes(series: Series, b: Buckets, levels: DataFrame, edges: DataFrame | N
     ids = [*series.keys, BUCKET, SIDE, "PRICE"]
     rest = [c for c in levels.columns if c not in ids]
     row = F.struct(*rest)
-    after = _stamped(series, b, levels.drop(f"{TMP}at").withColumn(BUCKET, F.col(BUCKET) + 1), edges)
+    after = _stamped(series, b, levels.drop(f"{TMP}stamp").withColumn(BUCKET, F.col(BUCKET) + 1), edges)
     none = F.lit(None).cast(levels.select(row.alias("r")).schema["r"].dataType)
     both = levels.select(*ids, row.alias("now"), none.alias("was")).unionByName(after.select(*ids, none.alias("now"), row.alias("was")))
     met = both.groupBy(*ids).agg(F.max("now").alias("now"), F.max("was").alias("was"))
@@ -248,7 +248,7 @@ def ob_snapshot(
     if state_key:
         dtype = levels.schema["SIZE"].dataType
         levels = entries.groupBy(*level).agg(
-            F.sum("SIZE").cast(dtype).alias("SIZE"), F.max("UPDATE_TIME").alias("UPDATE_TIME"), F.first(f"{TMP}at").alias(f"{TMP}at")
+            F.sum("SIZE").cast(dtype).alias("SIZE"), F.max("UPDATE_TIME").alias("UPDATE_TIME"), F.first(f"{TMP}stamp").alias(f"{TMP}stamp")
         )
     better = F.when(F.col(SIDE) == 0, -F.col("PRICE")).otherwise(F.col("PRICE"))
     one_side = Window.partitionBy(*series.keys, BUCKET, SIDE)
@@ -283,14 +283,14 @@ def ob_snapshot(
     elif show_full_detail and state_key:
         out = entries.join(out.select(*level, "LEVEL"), level)
         seq += [c for c in state_key if c not in seq]
-    out = out.withColumn(series.ts, from_micros(f"{TMP}at"))
+    out = out.withColumn(series.ts, from_micros(f"{TMP}stamp"))
     if book_delimiters:
         books = out.select(*series.keys, BUCKET, series.ts).distinct()
         empty = books.select("*", *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in out.columns if c not in books.columns])
         ends = fill_typed(empty, [c for c in out.columns if c not in books.columns]).withColumn("DELIMITER", F.lit("D"))
         out = out.withColumn("DELIMITER", F.lit("0")).unionByName(ends)
         seq = ["DELIMITER", *seq]
-    return series.using(out.drop(BUCKET, f"{TMP}at"), seq=tuple(seq))
+    return series.using(out.drop(BUCKET, f"{TMP}stamp"), seq=tuple(seq))
 
 
 def ob_snapshot_wide(series: Series, buckets: Buckets | None = None, **limits: object) -> Series:

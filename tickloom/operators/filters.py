@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.core import DAY, HOUR, MINUTE, SECOND, TMP, Series, all_of, col, micros
+from tickloom.core import DAY, HOUR, MINUTE, SECOND, TMP, Series, all_of, col, from_micros, micros
 from tickloom.operators.joins import valid_at
 from tickloom.ordering import Fold, row_number, running, shift
 
@@ -237,3 +237,30 @@ def quality_events(series: Series, flag: Column, name: str = "DQ_EVENT") -> Seri
 def intercept_quality_events(df: DataFrame, name: str = "DQ_EVENT") -> DataFrame:
     """Remove the rows that only report data quality."""
     return df.where(col(name).isNull())
+
+
+def throw_for_symbol(series: Series, where: Column | None = None, message: str | Column = "", code: int = 1) -> Series:
+    """Ticks that satisfy the condition turn into errors of their symbol; the others stay ticks, with NULL in ERROR_CODE and ERROR_MESSAGE."""
+    hit = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    text = F.lit(message) if isinstance(message, str) else message
+    return series.using(series.df.withColumns({
+        "ERROR_CODE": F.when(hit, F.lit(code)).cast("long"), "ERROR_MESSAGE": F.when(hit, F.coalesce(text.cast("string"), F.lit(""))),
+    }))
+
+
+def show_symbol_errors(series: Series) -> Series:
+    """The errors as rows: symbol, ERROR_CODE and ERROR_MESSAGE, stamped with the start of the query interval."""
+    begin = from_micros(F.lit(series.start_us)).cast(series.df.schema[series.ts].dataType).alias(series.ts)
+    kept = [c for c in series.seq if c not in series.keys]
+    return series.using(series.df.where(F.col("ERROR_CODE").isNotNull()).select(*series.keys, begin, *kept, "ERROR_CODE", "ERROR_MESSAGE"))
+
+
+def intercept_symbol_errors(series: Series, whole_symbols: bool = False) -> Series:
+    """Remove the errors, and with ``whole_symbols`` all ticks of a symbol that has one."""
+    df = series.df
+    if whole_symbols:
+        if not series.keys:
+            raise ValueError("whole symbols need symbols: the series has no keys")
+        failed = df.where(F.col("ERROR_CODE").isNotNull()).select(*series.keys).distinct()
+        df = df.join(failed, list(series.keys), "left_anti")
+    return series.using(df.where(F.col("ERROR_CODE").isNull()).drop("ERROR_CODE", "ERROR_MESSAGE"))

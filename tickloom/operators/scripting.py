@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.core import Series, col
+from tickloom.core import TMP, Series, col
 from tickloom.operators import buckets as bk
+from tickloom.operators.aggregate import Agg
 from tickloom.operators.buckets import BUCKET, Buckets
-from tickloom.operators.joins import asof
+from tickloom.operators.joins import asof, window_join
 from tickloom.operators.ticks import distinct
 from tickloom.ordering import Fold, running, shift
 
@@ -85,6 +86,32 @@ def state_var(series: Series, name: str, kind: str, value: Column, exclusive: bo
     return series.using(running(series, {name: Fold(kind, value)}, exclusive=exclusive))
 
 
+def state_from_query(
+    series: Series, name: str, query: Series, value: Agg, start_us: int, end_us: int, *, where: Column | None = None,
+    initial: Column | None = None, each: Column | None = None, action: str = "replace",
+) -> Series:
+    """A running variable that ticks set from a query: an aggregate of the query's ticks of their symbol in ``[t + start_us, t + end_us)``.
+
+    Ticks that satisfy ``where`` (all, by default) set it; it keeps its value until the next one, and has ``initial`` before the first.  An
+    empty result counts: with ``action='replace'`` the variable becomes NULL, with 'update' it stays as it was.  ``each`` is what every tick puts into
+    the variable first, so that ticks which do not set it show that.
+    """
+    if action not in ("replace", "update"):
+        raise ValueError("action is 'replace' or 'update'")
+    found = f"{TMP}found"
+    asked = window_join(series, query, {found: value}, start_us, end_us)
+    sets = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    if action == "update":
+        sets = sets & F.col(found).isNotNull()
+    if each is not None:
+        return series.using(asked.df.withColumn(name, F.when(sets, F.col(found)).otherwise(each)).drop(found))
+    # in a struct, so that a NULL result is a value too
+    last = running(asked, {name: Fold("last", F.when(sets, F.struct(F.col(found).alias("x"))))})
+    before = F.lit(None) if initial is None else initial
+    held = F.when(F.col(name).isNull(), before).otherwise(F.col(name)["x"])
+    return series.using(last.withColumn(name, held).drop(found))
+
+
 def last_n(series: Series, name: str, value: str, n: int) -> Series:
     """A deque of the last ``n`` values, newest first, including the current tick."""
     lags = {f"_tl_n{k}": (col(value), k) for k in range(1, n)}

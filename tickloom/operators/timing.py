@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tickloom.core import DAY, TMP, Series, col, from_micros, interval, literal_micros, micros
 from tickloom.operators.filters import _hhmmssmmm
 from tickloom.operators.joins import interval_join
-from tickloom.ordering import Fold, running
+from tickloom.ordering import Fold, running, shift
 
 
 def sort_keys(df: DataFrame, by: Sequence[str], ascending: bool | Sequence[bool] = True) -> list[Column]:
@@ -153,15 +153,17 @@ def back_to_first_tick(
 def mkt_activity(series: Series, calendar: DataFrame, begin: str, end: str, flag: str, name: str = "MKT_ACTIVITY") -> Series:
     """Flag each tick with the calendar sessions it falls into, concatenated in order.
 
-    ``calendar`` holds one row per session: begin and end timestamps and a flag text.
+    ``calendar`` holds one row per session: begin and end timestamps and a flag text.  Overlapping sessions are first cut into disjoint spans,
+    work of the calendar's size; each tick then meets one span at most, in one join.
     """
-    sessions = calendar.select(micros(begin).alias(f"{TMP}sb"), micros(end).alias(f"{TMP}se"), col(flag).alias(f"{TMP}flag"))
-    times = series.df.select(series.ts).distinct()
-    hit = interval_join(
-        Series(times, ts=series.ts), sessions, F.col(f"{TMP}sb"), F.col(f"{TMP}se"), "inner", bin_us=DAY, on=()
-    )
-    flags = hit.groupBy(series.ts).agg(F.array_join(F.sort_array(F.collect_set(f"{TMP}flag")), "").alias(name))
-    out = series.df.join(flags, series.ts, "left")
+    sb, se, at, until = f"{TMP}sb", f"{TMP}se", f"{TMP}since", f"{TMP}until"
+    sessions = calendar.select(micros(begin).alias(sb), micros(end).alias(se), col(flag).alias(f"{TMP}flag")).where(F.col(se) > F.col(sb))
+    borders = sessions.select(F.explode(F.array(sb, se)).alias(at)).distinct()
+    axis = Series(borders, ts=at, us_column=at, seq=(), slice_us=30 * DAY)
+    spans = axis.using(shift(axis, {until: (F.col(at), 1)}, lead=True).where(F.col(until).isNotNull()))
+    hit = interval_join(spans, sessions, F.col(sb), F.col(se), bin_us=DAY, on=())
+    flags = hit.groupBy(at, until).agg(F.array_join(F.sort_array(F.collect_set(f"{TMP}flag")), "").alias(name))
+    out = interval_join(series, flags, F.col(at), F.col(until), "left", bin_us=DAY, on=()).drop(at, until)
     return series.using(out.withColumn(name, F.coalesce(F.col(name), F.lit(""))))
 
 

@@ -490,6 +490,16 @@ def _(spark, sf):
     return out.df.select("user_id", "event_id", F.coalesce("before", F.lit(0.0)).alias("before"))
 
 
+@query("state_from_query", """
+WITH a AS (SELECT e.event_id, (SELECT max(v.value) FROM events v WHERE v.event_type = 'view' AND v.user_id = e.user_id AND v.ts >= e.ts - INTERVAL 5 DAY AND v.ts < e.ts) AS f FROM events e WHERE event_type = 'purchase'),
+     x AS (SELECT e.user_id, e.event_id, a.f, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, e.event_id ROWS UNBOUNDED PRECEDING) AS g FROM events e LEFT JOIN a USING (event_id))
+SELECT event_id, CASE WHEN g = 0 THEN 0.0 ELSE max(f) OVER (PARTITION BY user_id, g) END AS best FROM x""")
+def _(spark, sf):
+    s, views = events(spark, sf), events(spark, sf, "view")
+    out = sc.state_from_query(s, "best", views, ag.max_("value"), -5 * DAY, 0, where=F.col("event_type") == "purchase", initial=F.lit(0.0))
+    return out.df.select("event_id", "best")
+
+
 @query("state_deque", f"""
 WITH x AS (SELECT user_id, event_id, sum(value) OVER w AS s, count(*) OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS 3 PRECEDING))
 SELECT user_id, event_id, {R('s')} AS s, n FROM x""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -508,6 +508,26 @@ def _(spark, sf):
     return tm.time_interval_change(s.using(s.df, start=datetime(2024, 1, 10), end=datetime(2024, 1, 20)), -DAY, DAY // 2).df.select("event_id", "ts")
 
 
+@query("show_symbol_errors", "SELECT user_id, event_id, TIMESTAMP '2024-01-01' AS ts, 7::BIGINT AS ERROR_CODE, 'bad ' || event_type AS ERROR_MESSAGE FROM events WHERE value > 40")
+def _(spark, sf):
+    s = fi.throw_for_symbol(events(spark, sf), F.col("value") > 40, F.concat(F.lit("bad "), "event_type"), 7)
+    return fi.show_symbol_errors(s).df
+
+
+@query("intercept_symbol_errors", """
+SELECT 'ticks' AS kind, event_id FROM events WHERE value <= 40 OR value IS NULL
+UNION ALL SELECT 'symbols', event_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE value > 40)""")
+def _(spark, sf):
+    s = fi.throw_for_symbol(events(spark, sf), F.col("value") > 40, "bad")
+    ticks, symbols = fi.intercept_symbol_errors(s).df, fi.intercept_symbol_errors(s, whole_symbols=True).df
+    return ticks.select(F.lit("ticks").alias("kind"), "event_id").unionByName(symbols.select(F.lit("symbols").alias("kind"), "event_id"))
+
+
+@query("inspect_last_not_empty_date", "SELECT strftime(max(ts), '%Y-%m-%d') AS last_day FROM events WHERE event_type = 'signup' AND ts >= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024-01-18'")
+def _(spark, sf):
+    return rd.last_not_empty_date(events(spark, sf, "signup"), date(2024, 1, 17), 5).select(F.col("last_date").cast("string").alias("last_day"))
+
+
 @query("mkt_activity", """
 WITH c AS (SELECT date_trunc('day', ts) d FROM events GROUP BY 1),
      s AS (SELECT d + INTERVAL 9 HOUR b, d + INTERVAL 16 HOUR e, 'R' f FROM c UNION ALL SELECT d + INTERVAL 15 HOUR, d + INTERVAL 20 HOUR, 'A' FROM c)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -318,5 +318,13 @@ def last_date(series: Series) -> DataFrame:
     return series.df.agg(F.to_date(F.max(col(series.ts))).alias("last_date"))
 
 
+def last_not_empty_date(series: Series, last: date, days_back: int) -> DataFrame:
+    """The last day with ticks among ``last`` and the ``days_back`` days before, NULL if there is none; only those days are read."""
+    begin = F.lit(last - timedelta(days=days_back)).cast("timestamp_ntz")
+    end = F.lit(last + timedelta(days=1)).cast("timestamp_ntz")
+    here = col(series.ts)
+    return series.df.where((here >= begin) & (here < end)).agg(F.to_date(F.max(here)).alias("last_date"))
+
+
 def schema_of(series: Series) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in series.df.schema.fields}
