@@ -16,6 +16,7 @@ from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,7 +67,7 @@ def crossed(series: Series, place: Column | None = None) -> DataFrame:
         f"{TMP}price": col("PRICE").cast("double"),
         f"{TMP}bid": col(SIDE) == 0,
     })
-    ids, order = [*keys, *cut_names], [f"{TMP}us", *series.seq]
+    ids, order = [*keys, *cut_names], [f"{TMP}us", *[c for c in series.seq if c not in keys]]
     at, reach, bid = F.col(f"{TMP}stamp"), F.col(f"{TMP}reach"), F.col(f"{TMP}bid")
     # what a slice passes on: ticks that reach further than all before them in the slice
     before = Window.partitionBy(*ids, bid).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -74,7 +75,8 @@ def crossed(series: Series, place: Column | None = None) -> DataFrame:
     new = reach.isNotNull() & ~F.isnan(reach) & (furthest.isNull() | (reach < furthest))
     marked = df.select(*ids, *order, at, bid, reach).withColumn(f"{TMP}new", new)
     tick = F.struct(at.alias("at"), reach.alias("reach"))
-    sides = {side: F.sort_array(F.collect_list(F.when(F.col(f"{TMP}new") & flag, tick))) for side, flag in (("bids", bid), ("asks", ~bid))}
+    bids, asks = f"{TMP}bids", f"{TMP}asks"
+    sides = {side: F.sort_array(F.collect_list(F.when(F.col(f"{TMP}new") & flag, tick))) for side, flag in ((bids, bid), (asks, ~bid))}
     passed = marked.groupBy(*ids).agg(*[ticks.alias(side) for side, ticks in sides.items()])
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +87,7 @@ def crossed(series: Series, place: Column | None = None) -> DataFrame:
             for row in rows:
                 key = [row[k] for k in keys]
                 if key != owner:
-                    owner, stacks = key, {"bids": _Reach(), "asks": _Reach()}
+                    owner, stacks = key, {bids: _Reach(), asks: _Reach()}
                 for side, stack in stacks.items():
                     own = row[side]
                     row[side] = [{"at": t, "reach": x} for t, x in zip(stack.at, stack.reach, strict=True)]
@@ -97,25 +99,34 @@ def crossed(series: Series, place: Column | None = None) -> DataFrame:
     dealt = passed.repartition(*keys) if keys else passed.repartition(1)
     later = dealt.sortWithinPartitions(*keys, *last_first).mapInArrow(chain, passed.schema)
 
-    def cross(rows: pa.Table, later: pa.Table) -> pa.Table:
-        rows = rows.sort_by([(c, "descending") for c in order])
-        stacks = {"bids": _Reach(), "asks": _Reach()}
-        for ticks in later.select(list(stacks)).to_pylist():
-            for side, stack in stacks.items():
-                for tick in ticks[side]:
-                    stack.add(tick["reach"], tick["at"])
-        out = []
-        columns = [rows[c].to_pylist() for c in (f"{TMP}stamp", f"{TMP}bid", f"{TMP}price", f"{TMP}reach")]
-        for here, is_bid, price, tick_reach in zip(*columns, strict=True):
-            own, other, limit = ("bids", "asks", price) if is_bid else ("asks", "bids", None if price is None else -price)
-            out.append(stacks[other].first(limit) if limit is not None and limit == limit else None)
-            if tick_reach is not None and tick_reach == tick_reach:
-                stacks[own].add(tick_reach, here)
-        return rows.select(kept).append_column(name, pa.array(out, pa.int64()))
+    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each slice's ticks, last first, after the row with what later slices pass on; only the two stacks are remembered."""
+        owner, stacks = None, {}
+        for batch in batches:
+            out = []
+            places = zip(*[batch[c].to_pylist() for c in ids], strict=True)
+            columns = [batch[c].to_pylist() for c in (bids, asks, f"{TMP}stamp", f"{TMP}bid", f"{TMP}price", f"{TMP}reach")]
+            for key, later_bids, later_asks, here, is_bid, price, tick_reach in zip(places, *columns, strict=True):
+                if key != owner:
+                    owner, stacks = key, {bids: _Reach(), asks: _Reach()}
+                if later_bids is not None:
+                    for side, ticks in ((bids, later_bids), (asks, later_asks)):
+                        for tick in ticks:
+                            stacks[side].add(tick["reach"], tick["at"])
+                    continue
+                own, other = (bids, asks) if is_bid else (asks, bids)
+                limit = price if price is None or is_bid else -price
+                out.append(stacks[other].first(limit) if limit is not None and limit == limit else None)
+                if tick_reach is not None and tick_reach == tick_reach:
+                    stacks[own].add(tick_reach, here)
+            rows = batch.filter(pc.is_null(batch[bids])).select(kept)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out, pa.int64())], names=[*kept, name])
 
     kept = series.df.columns
     schema = T.StructType([*series.df.schema.fields, T.StructField(name, T.LongType())])
-    return df.groupBy(*ids).cogroup(later.groupBy(*ids)).applyInArrow(cross, schema)
+    both = later.unionByName(df, allowMissingColumns=True).repartition(*ids)
+    last_first = [F.col(bids).isNull(), *[F.col(c).desc() for c in order]]
+    return both.sortWithinPartitions(*ids, *last_first).mapInArrow(cross, schema)
 
 
 def _levels(
