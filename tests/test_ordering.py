@@ -119,7 +119,7 @@ def test_a_chain_reads_its_input_once(spark, skewed, tmp_path):
 
 @pytest.mark.parametrize("name", [
     "bars_with_quotes", "join_by_time_default", "interval_join", "join_with_query_window", "coalesce_feeds", "cut_bins",
-    "pnl_realized", "eval_scalar", "mkt_activity", "diff_series", "cumsum_global",
+    "pnl_realized", "eval_scalar", "mkt_activity", "diff_series", "cumsum_global", "ob_snapshot_uncrossed", "ob_snapshot_ticks", "tw_average_ticks",
 ])
 def test_plans_hold_no_cross_join(spark, name):
     from conftest import SF
