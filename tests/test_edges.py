@@ -180,3 +180,12 @@ def test_what_there_is_to_read(spark, make):
     assert "default" in [r[0] for r in rd.databases(spark).collect()]
     assert "inspected_ticks" in [r[0] for r in rd.tick_types(spark, "default").collect()]
     spark.catalog.dropTempView("inspected_ticks")
+
+
+def test_rounding_of_queries_keeps_infinities(spark):
+    from tickloom.plans.registry import r
+
+    values = [float("inf"), float("-inf"), 1e18, 1.00005, -2.5, None]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(r("v").alias("r")).collect()
+    assert [x["r"] for x in got] == [float("inf"), float("-inf"), 1e18, 1.0001, -2.5, None]
+    assert spark.createDataFrame([(float("nan"),)], "v double").select(F.isnan(r("v"))).first()[0]

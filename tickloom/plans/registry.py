@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.core import DAY, Series, col
+from tickloom.functions import numeric as nu
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,9 +33,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def r(c: Column | str, digits: int = 4) -> Column:
-    """Round half up with a little slack, so that both engines agree on computed doubles."""
+    """Round half up with a little slack, so that both engines agree on computed doubles; infinities and NaN stay."""
     scale = float(10**digits)
-    return F.floor(col(c).cast("double") * scale + 0.5001).cast("double") / scale
+    return nu.floor(col(c).cast("double") * scale + 0.5001) / scale
 
 
 def R(sql: str, digits: int = 4) -> str:
