@@ -189,3 +189,9 @@ def test_rounding_of_queries_keeps_infinities(spark):
     got = spark.createDataFrame([(v,) for v in values], "v double").select(r("v").alias("r")).collect()
     assert [x["r"] for x in got] == [float("inf"), float("-inf"), 1e18, 1.0001, -2.5, None]
     assert spark.createDataFrame([(float("nan"),)], "v double").select(F.isnan(r("v"))).first()[0]
+
+
+def test_logarithms_at_zero(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (100.0,), (None,)], "v double").select(nu.ln("v").alias("e"), nu.log10("v").alias("t"))
+    assert [x["t"] for x in df.collect()] == [float("-inf"), 0.0, 2.0, None]
+    assert [x["e"] for x in df.collect()][:2] == [float("-inf"), 0.0]

@@ -19,12 +19,18 @@ def minimum(*values: str | Column) -> Column:
     return F.least(*[col(v) for v in values])
 
 
+def _log(f: Callable[[Column], Column], c: str | Column) -> Column:
+    """A logarithm whose value at 0 is minus infinity; NULL for negative numbers."""
+    c = col(c).cast("double")
+    return F.when(c == 0, F.lit(float("-inf"))).otherwise(f(c))
+
+
 def ln(c: str | Column) -> Column:
-    return F.ln(col(c))
+    return _log(F.ln, c)
 
 
 def log10(c: str | Column) -> Column:
-    return F.log10(col(c))
+    return _log(F.log10, c)
 
 
 def exp(c: str | Column) -> Column:
