@@ -195,3 +195,16 @@ def test_logarithms_at_zero(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (100.0,), (None,)], "v double").select(nu.ln("v").alias("e"), nu.log10("v").alias("t"))
     assert [x["t"] for x in df.collect()] == [float("-inf"), 0.0, 2.0, None]
     assert [x["e"] for x in df.collect()][:2] == [float("-inf"), 0.0]
+
+
+def test_spread_of_a_closed_quote(make):
+    from tickloom.plans import recipes as rc
+
+    q = make(BID_PRICE=[0.0, 10.0], ASK_PRICE=[0.0, 11.0], offset=[0, 10])
+    t = make(PRICE=[8.0, 0.0, 12.0], SIZE=[1, 1, 1], offset=[1, 2, 11])
+    df = rc.effective_spread(t, q, F.lit(True)).df.orderBy("ts")
+    rows = df.select("ETQ", "NUM_SPREADS", F.isnan("ETQ").alias("nan")).collect()
+    assert (rows[0]["ETQ"], rows[0]["NUM_SPREADS"]) == (float("inf"), float("inf"))
+    assert [x["nan"] for x in rows] == [False, True, False] and rows[2]["ETQ"] == 3.0
+    nothing = q.df.limit(1).select(nu.divide(F.lit(None), F.lit(0)).alias("n"), F.isnan(nu.divide(F.lit(float("nan")), F.lit(0))).alias("nan")).first()
+    assert tuple(nothing) == (None, True)

@@ -136,11 +136,10 @@ def round_(c: str | Column, precision: int = 0, method: str = "upward") -> Colum
 
 
 def divide(a: str | Column, b: str | Column) -> Column:
-    """Floating division in which x/0 is an infinity and 0/0 is NaN."""
+    """Floating division in which x/0 is an infinity and 0/0 is NaN; NULL stays NULL."""
     a, b = col(a).cast("double"), col(b).cast("double")
-    at_zero = (
-        F.when(a > 0, F.lit(float("inf"))).when(a < 0, F.lit(float("-inf"))).otherwise(F.lit(float("nan")))
-    )
+    nan = F.lit(float("nan"))
+    at_zero = F.when((a == 0) | F.isnan(a), nan).when(a > 0, F.lit(float("inf"))).when(a < 0, F.lit(float("-inf")))
     return F.when(b == 0, at_zero).otherwise(F.try_divide(a, b))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.core import SECOND, Series, col
+from tickloom.functions import numeric as nu
 from tickloom.operators import aggregate as ag
 from tickloom.operators import joins as jn
 from tickloom.operators import project as pj
@@ -53,7 +54,7 @@ def exit_prices(fills: Series, quotes: Series) -> Series:
 
 
 def effective_spread(trades: Series, quotes: Series, buy: Column) -> Series:
-    """Twice the signed distance from the middle, and its share of the quoted spread."""
+    """Twice the signed distance from the middle, and its share of the quoted spread (infinite where that is 0)."""
     q = with_quote(trades, quotes)
     effective = 2 * _signed(buy) * (col("PRICE") - col("MID"))
     quoted = col("ASK") - col("BID")
@@ -62,8 +63,8 @@ def effective_spread(trades: Series, quotes: Series, buy: Column) -> Series:
             {
                 "EFFECTIVE_SPREAD": effective,
                 "NOTIONAL_SPREAD": effective * col("SIZE"),
-                "ETQ": F.try_divide(effective, quoted),
-                "NUM_SPREADS": F.try_divide(_signed(buy) * (col("PRICE") - col("MID")), quoted),
+                "ETQ": nu.divide(effective, quoted),
+                "NUM_SPREADS": nu.divide(_signed(buy) * (col("PRICE") - col("MID")), quoted),
             }
         )
     )
