@@ -208,3 +208,13 @@ def test_spread_of_a_closed_quote(make):
     assert [x["nan"] for x in rows] == [False, True, False] and rows[2]["ETQ"] == 3.0
     nothing = q.df.limit(1).select(nu.divide(F.lit(None), F.lit(0)).alias("n"), F.isnan(nu.divide(F.lit(float("nan")), F.lit(0))).alias("nan")).first()
     assert tuple(nothing) == (None, True)
+
+
+def test_volatility_with_a_price_of_zero(make):
+    """Infinite returns make the deviation undefined, but are counted and no error."""
+    from tickloom.plans import recipes as rc
+
+    s = make(PRICE=[2.0, 0.0, 4.0, 2.0, 2.0, 4.0], offset=[0, 1, 2, 1000, 1001, 1002])
+    rows = rc.volatility(s, "PRICE", 1).df.orderBy("ts").select("VOLATILITY", "N").collect()
+    assert [x["N"] for x in rows] == [2, 3]
+    assert rows[0]["VOLATILITY"] != rows[0]["VOLATILITY"] and rows[1]["VOLATILITY"] == pytest.approx(0.6931471805599453)

@@ -172,20 +172,23 @@ def participation_price(
         {"F": Fold("last", F.struct("CV", "CN", "PRICE"))}, F.col("CV"), inclusive=True, reverse=True,
     )
     value_at_end = F.col("F.CN") - (F.col("F.CV") - F.col("V1")) * F.col("F.PRICE")
-    return done.withColumn("PWP", (value_at_end - F.col("N0")) / (F.col("V1") - F.col("V0"))).drop("F", "N0")
+    return done.withColumn("PWP", F.try_divide(value_at_end - F.col("N0"), F.col("V1") - F.col("V0"))).drop("F", "N0")
 
 
 def relative_performance(pwp: DataFrame, on: Sequence[str], fills: DataFrame, buy: Column) -> DataFrame:
     """The fills' VWAP against a benchmark price, signed so that positive is better."""
     own = fills.groupBy(*on).agg(F.try_divide(F.sum(F.col("PRICE") * F.col("SIZE")), F.sum("SIZE")).alias("OWN_VWAP"))
     both = pwp.join(own, list(on))
-    return both.withColumn("RPM", _signed(buy) * (F.col("PWP") - F.col("OWN_VWAP")) / F.col("PWP"))
+    return both.withColumn("RPM", nu.divide(_signed(buy) * (F.col("PWP") - F.col("OWN_VWAP")), "PWP"))
 
 
 def volatility(series: Series, price: str, bucket_seconds: float) -> Series:
-    """Standard deviation of log returns between consecutive ticks, per bucket."""
+    """Standard deviation of log returns between consecutive ticks, per bucket.
+
+    A return from or to a price of 0 is infinite, and the deviation of its bucket NaN.
+    """
     s = pj.lag(series, {"PREV": (price, 1)})
-    returns = s.using(s.df.withColumn("RET", F.ln(col(price) / col("PREV"))).where(F.col("RET").isNotNull()))
+    returns = s.using(s.df.withColumn("RET", nu.ln(nu.divide(price, "PREV"))).where(F.col("RET").isNotNull()))
     return ag.agg(returns, {"VOLATILITY": ag.stddev("RET", biased=False), "N": ag.count()}, Buckets(bucket_seconds), fill_empty=False)
 
 
