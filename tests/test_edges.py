@@ -218,3 +218,8 @@ def test_volatility_with_a_price_of_zero(make):
     rows = rc.volatility(s, "PRICE", 1).df.orderBy("ts").select("VOLATILITY", "N").collect()
     assert [x["N"] for x in rows] == [2, 3]
     assert rows[0]["VOLATILITY"] != rows[0]["VOLATILITY"] and rows[1]["VOLATILITY"] == pytest.approx(0.6931471805599453)
+
+
+def test_jumps_from_and_to_zero(make):
+    s = make(X=[5.0, 5.0, 0.0, 5.0, 5.0, 0.0, 0.0, 0.0, 4.0])
+    assert values(fi.skip_bad_tick_symmetric(s, "X", 3.0), "X") == [5.0, 5.0, 5.0, 5.0, 0.0, 0.0, 0.0]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.core import DAY, HOUR, MINUTE, SECOND, TMP, Series, all_of, col, from_micros, micros
+from tickloom.functions.numeric import divide
 from tickloom.operators.joins import valid_at
 from tickloom.ordering import Fold, row_number, running, shift
 
@@ -166,7 +167,7 @@ def skip_bad_tick_symmetric(series: Series, field: str, jump_threshold: float, n
     """Remove ticks that jump by more than a factor from more than half of their neighbours.
 
     Looks at the raw ticks on both sides; :func:`tickloom.operators.outliers.skip_bad_tick`
-    compares with kept ticks only.
+    compares with kept ticks only.  From or to 0 is a jump beyond any factor, from 0 to 0 is none.
     """
     n = num_neighbor_ticks
     earlier = {f"{TMP}b{k}": (col(field), k) for k in range(1, n + 1)}
@@ -175,8 +176,8 @@ def skip_bad_tick_symmetric(series: Series, field: str, jump_threshold: float, n
     df = shift(series.using(df), later, lead=True)
     far, known = F.lit(0), F.lit(0)
     for other in [*earlier, *later]:
-        ratio = F.greatest(F.try_divide(col(field), F.col(other)), F.try_divide(F.col(other), col(field)))
-        far = far + F.when(ratio > jump_threshold, 1).otherwise(0)
+        ratio = F.greatest(divide(field, other), divide(other, field))
+        far = far + F.when((col(field) != F.col(other)) & (ratio > jump_threshold), 1).otherwise(0)
         known = known + F.when(F.col(other).isNotNull(), 1).otherwise(0)
     return series.using(df.where(far * 2 <= known).drop(*earlier, *later))
 
