@@ -223,3 +223,12 @@ def test_volatility_with_a_price_of_zero(make):
 def test_jumps_from_and_to_zero(make):
     s = make(X=[5.0, 5.0, 0.0, 5.0, 5.0, 0.0, 0.0, 0.0, 4.0])
     assert values(fi.skip_bad_tick_symmetric(s, "X", 3.0), "X") == [5.0, 5.0, 5.0, 5.0, 0.0, 0.0, 0.0]
+
+
+def test_return_on_a_price_of_zero(make):
+    from tickloom.operators import statistics as st
+    from tickloom.operators.buckets import Buckets
+
+    s = make(PRICE=[0.0, 4.0, 8.0], offset=[100, 1100, 2100], end=datetime.datetime(2003, 12, 1, 0, 0, 3))
+    got = values(st.return_ep(s, "PRICE", Buckets(1)), "return")
+    assert got[0] != got[0] and got[1:] == [float("inf"), 2.0]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.core import SECOND, TMP, Series, col, from_micros
+from tickloom.functions.numeric import divide
 from tickloom.operators import buckets as bk
 from tickloom.operators.buckets import BUCKET, Buckets
 from tickloom.ordering import Fold, distribution, row_number, running, shift
@@ -345,7 +346,7 @@ def return_ep(series: Series, price: str = "PRICE", buckets: Buckets | None = No
     """End price of each bucket over its start price.
 
     The start price is the tick at the very start of the bucket, else the previous end
-    price; the first bucket with ticks starts at its first tick.  Needs ``start`` and ``end``.
+    price; the first bucket with ticks starts at its first tick.  A return on a price of 0 is infinite.  Needs ``start`` and ``end``.
     """
     b = buckets or Buckets()
     priced = _price_per_bucket(series, [price], b)
@@ -356,7 +357,7 @@ def return_ep(series: Series, price: str = "PRICE", buckets: Buckets | None = No
     start_price = F.when(at_start, F.col(f"{TMP}first")[price]).otherwise(
         F.coalesce(F.col(f"{TMP}prev.p"), F.col(f"{TMP}first")[price])
     )
-    out = carried.select(*series.keys, BUCKET, F.try_divide(end_price, start_price).alias("return"))
+    out = carried.select(*series.keys, BUCKET, divide(end_price, start_price).alias("return"))
     return series.using(
         out.withColumn(series.ts, bk.stamp(series, b, F.col(BUCKET))).drop(BUCKET), seq=()
     )
