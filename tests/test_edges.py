@@ -232,3 +232,16 @@ def test_return_on_a_price_of_zero(make):
     s = make(PRICE=[0.0, 4.0, 8.0], offset=[100, 1100, 2100], end=datetime.datetime(2003, 12, 1, 0, 0, 3))
     got = values(st.return_ep(s, "PRICE", Buckets(1)), "return")
     assert got[0] != got[0] and got[1:] == [float("inf"), 2.0]
+
+
+def test_euclid_takes_the_steps_its_numbers_need(spark):
+    import math
+
+    fib = [0, 1]
+    while fib[-1] < 2**62:
+        fib.append(fib[-1] + fib[-2])
+    pairs = [*zip(fib, fib[1:]), *zip(fib[1:], fib), (0, 0), (-12, 18), (2**63 - 1, 7), (6 * fib[80], 6 * fib[81])]
+    df = spark.createDataFrame(pairs, "a long, b long").select("a", "b", nu.gcd("a", "b").alias("g"))
+    assert [x["g"] for x in df.collect()] == [math.gcd(a, b) for a, b in pairs]
+    assert spark.range(1).select(nu.gcd("id", F.lit(None).cast("long"))).first()[0] is None
+    assert "91,92,93" not in df._jdf.queryExecution().optimizedPlan().toString()

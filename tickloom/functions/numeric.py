@@ -97,14 +97,16 @@ def div(a: str | Column, b: int | Column) -> Column:
 
 
 def gcd(a: str | Column, b: str | Column) -> Column:
-    """Greatest common divisor by a fixed number of Euclid steps (enough for any 64-bit pair)."""
-    start = F.struct(F.abs(col(a)).cast("long").alias("a"), F.abs(col(b)).cast("long").alias("b"))
+    """Greatest common divisor by Euclid's steps: at most five for each digit of the smaller number, and one that swaps the two."""
+    x, y = F.abs(col(a)).cast("long"), F.abs(col(b)).cast("long")
+    start = F.struct(x.alias("a"), y.alias("b"))
+    steps = F.length(F.least(x, y).cast("string")) * 5 + 1
 
     def step(s: Column, _: Column) -> Column:
         rest = F.when(s["b"] == 0, F.lit(0)).otherwise(F.try_mod(s["a"], s["b"]))
         return F.struct(F.when(s["b"] == 0, s["a"]).otherwise(s["b"]).alias("a"), rest.cast("long").alias("b"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(93)), start, step, lambda s: s["a"])
+    return F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda s: s["a"])
 
 
 def _whole(c: Column, f: Callable[[Column], Column]) -> Column:
