@@ -194,3 +194,34 @@ def test_order_statistics_and_distinct_counts(spark, window):
         assert (n["lo"], n["third"], n["hi"]) == ((xs[0], xs[math.ceil(len(xs) / 3) - 1], xs[-1]) if xs else (None, None, None))
     for r in tk.sliding_num_distinct(s, ["y"], **window).df.collect():
         assert r["num_distinct"] == len({x[4] for x in windows(r["k"], r["us"], r["seq"])})
+
+
+def test_small_groups_are_read_together(spark):
+    """One call reads many groups, each of them whole, wherever the batches are cut."""
+    import pyarrow as pa
+
+    keys, blocks = ["a", "a", "b", "b", "b", "b", "b", None, None, "c", "c", "c"], [1, 2, 1, 1, 1, 1, 1, 1, 1, 1, 2, 2]
+    for size in (1, 2, 3, 5, 12):
+        calls = []
+
+        def read(table, run, calls=calls):
+            calls.append(list(zip(table.column("k").to_pylist(), table.column("b").to_pylist(), run.tolist())))
+            return table
+
+        rows = pa.table({"k": keys, "b": blocks})
+        out = list(stats._whole_groups(iter(rows.to_batches(size)), ["k", "b"], read))
+        assert pa.Table.from_batches(out).to_pydict() == rows.to_pydict()
+        owners = [{(k, b) for k, b, _ in c} for c in calls]
+        assert sum(len(o) for o in owners) == len(set(zip(keys, blocks)))  # no group in two calls
+        assert all(len({n for _, _, n in c}) == len(o) for c, o in zip(calls, owners))
+        assert len(calls) <= -(-len(keys) // size) + 1
+    assert list(stats._whole_groups(iter([]), ["k"], lambda t, run: t)) == []
+
+    plan = stats.sliding_median(series(spark, rows_of(12), 40), "x", 90).df._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroupsInArrow" not in plan
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(batch, 3)
+    try:
+        test_order_statistics_and_distinct_counts(spark, {"window_us": 90})
+    finally:
+        spark.conf.unset(batch)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +64,43 @@ class RankTree:
         return self.values[code]
 
 
+def _whole_groups(
+    batches: Iterator[pa.RecordBatch], groups: Sequence[str], f: Callable[[pa.Table, np.ndarray], pa.Table]
+) -> Iterator[pa.RecordBatch]:
+    """``f`` of many whole groups at once, with the number of each row's group; rows come sorted by group, which may go on in the next batch."""
+    parts: list[pa.RecordBatch] = []
+
+    def starts(rows: pa.RecordBatch | pa.Table, before: pa.RecordBatch | None) -> np.ndarray:
+        new = np.zeros(rows.num_rows, dtype=bool)
+        for g in groups:
+            chunks = rows.column(g).chunks if isinstance(rows, pa.Table) else [rows.column(g)]
+            if before is not None:
+                chunks = [before.column(g).slice(before.num_rows - 1), *chunks]
+            code = pa.concat_arrays(chunks).dictionary_encode("encode").indices.to_numpy()
+            changed = code[1:] != code[:-1]
+            new[len(new) - len(changed) :] |= changed
+        return new
+
+    def close() -> Iterator[pa.RecordBatch]:
+        if parts:
+            table = pa.Table.from_batches(parts)
+            yield from f(table, np.cumsum(starts(table, None))).to_batches()
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cuts = np.flatnonzero(starts(batch, parts[-1] if parts else None))
+        if len(cuts):
+            cut = int(cuts[-1])
+            if cut:
+                parts.append(batch.slice(0, cut))
+            yield from close()
+            parts = [batch.slice(cut)]
+        else:
+            parts.append(batch)
+    yield from close()
+
+
 def sliding_quantiles(
     series: Series, c: str | Column, quantiles: Mapping[str, float], window_us: int = 0, *, ticks: int = 0, interpolate: bool = True
 ) -> Series:
@@ -73,7 +110,8 @@ def sliding_quantiles(
     with at least that share of the values at or below it.  NULL and NaN are passed over; a window without values gives NULL.
 
     The axis is cut into blocks of one window; a block gets a rank tree over its own rows and those of the block before, from which every window
-    inside is read, so no frame is gathered.  One task holds the numbers of two windows of a key at a time; the rows themselves are sent once.
+    inside is read, so no frame is gathered.  Small blocks share a tree: a task reads as many at once as an Arrow batch holds, so many short
+    keys cost no more than a few long ones.  One task holds the numbers of two windows of a key at a time; the rows themselves are sent once.
     """
     if bool(window_us) == bool(ticks):
         raise ValueError("a window is a time or a number of ticks")
@@ -90,13 +128,18 @@ def sliding_quantiles(
     ).where(~F.col(old) | F.col(value).isNotNull())
     schema = T.StructType([T.StructField(row, slim.schema[row].dataType), *[T.StructField(n, T.DoubleType()) for n in wanted]])
 
-    def read(table: pa.Table) -> pa.Table:
+    def read(table: pa.Table, run: np.ndarray) -> pa.Table:
         x, v = table.column(axis).to_numpy(), table.column(value)
-        known = v.is_valid().to_numpy(zero_copy_only=False)
-        order = np.flatnonzero(known)[np.argsort(x[known], kind="stable")]
-        places, tree = x[order], RankTree(v.to_numpy()[order])
-        live = np.flatnonzero(~table.column(old).to_numpy(zero_copy_only=False))
-        begin, end = np.searchsorted(places, x[live] - width, "right"), np.searchsorted(places, x[live], "right")
+        known = np.flatnonzero(v.is_valid().to_numpy())
+        live = np.flatnonzero(~table.column(old).to_numpy())
+        # places on the axis as small numbers, so that a block and a place make one
+        _, place = np.unique(np.concatenate([x[known], x[live] - width, x[live]]), return_inverse=True)
+        here = (place.max(initial=0) + 1) * run
+        at = here[known] + place[: len(known)]
+        order = np.argsort(at, kind="stable")
+        places, tree = at[order], RankTree(v.to_numpy()[known[order]])
+        begin = np.searchsorted(places, here[live] + place[len(known) : len(known) + len(live)], "right")
+        end = np.searchsorted(places, here[live] + place[len(known) + len(live) :], "right")
         some = np.flatnonzero(end > begin)
         b, e = begin[some], end[some]
         out = [table.column(row).take(pa.array(live))]
@@ -115,7 +158,7 @@ def sliding_quantiles(
         return pa.table(out, names=[row, *wanted])
 
     groups = [f"{TMP}k{i}" for i in range(len(series.keys))] + [block]
-    out = slim.groupBy(*groups).applyInArrow(read, schema)
+    out = slim.repartition(*groups).sortWithinPartitions(*groups).mapInArrow(lambda batches: _whole_groups(batches, groups, read), schema)
     return series.using(out.select(f"`{row}`.*", *[col(n) for n in wanted]))
 
 
