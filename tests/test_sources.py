@@ -209,3 +209,25 @@ def test_a_queue_takes_nothing_back():
         n, total, low, high = queue.read()
         values_ = [v for _, v in held]
         assert (n, low, high) == (len(held), min(values_), max(values_)) and total == pytest.approx(sum(values_))
+
+
+def test_keys_share_state_rows(spark, tmp_path, monkeypatch):
+    """Keys of any type, NULL and NaN among them, keep their own state and values although a few rows of state hold them all."""
+    monkeypatch.setattr(ss, "STATE_BUCKETS", 2)
+    big, day = 2**53 + 1, T0.date()
+    ids = [(big, 1.5, "x", day, at(1), b"\xff"), (None, None, None, None, None, None), (0, 0.0, "", day, at(0), b""), (big, float("nan"), "x", day, at(1), b"\xff"),
+           (-big, 1.5, "é", None, at(1), b"\x00")]
+    schema = "ts timestamp_ntz, seq long, v double, a long, b double, c string, d date, e timestamp_ntz, f binary"
+    rows = [(at(1000 * i), i, float(i), *ids[i % 5]) for i in range(30)]
+    path = str(tmp_path / "feed")
+    for part in (rows[:9], rows[9:20], rows[20:], [(at(10**6), 99, 0.0, *ids[0])]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    live = ss.live(spark, path, T._parse_datatype_string(schema), "ts", "3 seconds", files_per_trigger=1)
+    out = ss.running_state(live, list("abcdef"), "ts", "seq", "v", lambda state, v: state + v, 0.0)
+    base, q = f"{tmp_path}/out", None
+    q = ss.run(out, lambda b, i: b.write.mode("overwrite").parquet(f"{base}/batch={i}"), f"{tmp_path}/state")
+    q.awaitTermination()
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) <= 2
+    plain = lambda v: None if v != v else bytes(v) if isinstance(v, bytearray) else v
+    got = {r["seq"]: (r["state"], *[plain(r[k]) for k in "abcdef"]) for r in spark.read.schema(out.schema).parquet(base).collect() if r["seq"] != 99}
+    assert got == {i: (float(sum(range(i % 5, i + 1, 5))), *[plain(v) for v in ids[i % 5]]) for i in range(30)}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tickloom.core import TMP, col
+from tickloom.core import TMP, col, from_micros, micros, typed_default
 
 
 def live(
@@ -164,6 +164,15 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 _PENDING = "us array<bigint>, side array<int>, seq array<bigint>, value array<double>"
 
+#: Groups of keys that share one state row.  Fixed while a checkpoint is in use.
+STATE_BUCKETS = 1024
+
+#: How keys go to Python and back where a state would not give them back as they were.
+_CODED = {
+    T.TimestampType: (F.unix_micros, F.timestamp_micros), T.TimestampNTZType: (micros, from_micros),
+    T.DateType: (F.unix_date, F.date_from_unix_date), T.BinaryType: (F.hex, F.unhex),
+}
+
 
 def _ordered_state(
     df: DataFrame, keys: Sequence[str], ts: str, seq: str, side: Column, value: Column, extra: str,
@@ -174,48 +183,82 @@ def _ordered_state(
     Ticks wait in state until the watermark passes them; ``step`` gets the released ticks as
     (us, side, seq, value) rows with the carried state and returns output rows and new state.
     With ``expire_us`` a key starts anew after a longer pause, and its state goes when the watermark has passed the pause.
+
+    Handing a group over to Python costs milliseconds however few its ticks, so keys are hashed into ``STATE_BUCKETS`` groups.
     """
     keys = list(keys)
+    coded = {f.name: _CODED[type(f.dataType)] for f in df.select(*keys).schema.fields if type(f.dataType) in _CODED}
+    key_fields = df.select(*[coded[k][0](col(k)).alias(k) if k in coded else col(k) for k in keys]).schema.fields
+    # A NULL among integers would make them floats, and NaN differs from itself: both are sent as 0 or '' and a bit of the mask.
+    # Both come back as NULL, as pandas has no other NaN.
+    sent, mask, nan = [], F.lit(0), len(keys)
+    for i, f in enumerate(key_fields):
+        k = coded[f.name][0](col(f.name)) if f.name in coded else col(f.name)
+        mask = mask + F.when(k.isNull(), 1 << i).otherwise(0)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            mask = mask + F.when(F.isnan(k), 1 << (nan + i)).otherwise(0)
+            k, none = F.when(~F.isnan(k), k), F.lit(0).cast(f.dataType)
+        else:
+            none = typed_default(f.dataType)
+        sent.append(F.coalesce(k, none).alias(f"{TMP}k{i}"))
+    bucket = F.pmod(F.xxhash64(*[col(k) for k in keys]), F.lit(STATE_BUCKETS)) if keys else F.lit(0)
     rows = df.select(
-        *keys, col(ts), F.unix_micros(col(ts)).alias(f"{TMP}us"), side.cast("int").alias(f"{TMP}side"),
-        col(seq).cast("long").alias(f"{TMP}seq"), value.cast("double").alias(f"{TMP}v"),
+        bucket.cast("int").alias(f"{TMP}bucket"), *sent, mask.cast("int").alias(f"{TMP}mask"), col(ts), F.unix_micros(col(ts)).alias(f"{TMP}us"),
+        side.cast("int").alias(f"{TMP}side"), col(seq).cast("long").alias(f"{TMP}seq"), value.cast("double").alias(f"{TMP}v"),
     )
-    out_schema = T.StructType([*df.select(*keys).schema.fields, *T._parse_datatype_string(schema).fields])
-    names = out_schema.names
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        us, sides, seqs, values, last, *carried = state.get if state.exists else ([], [], [], [], None, *initial)
-        pending = list(zip(us, sides, seqs, values))
+    out_schema = T.StructType([*key_fields, *T._parse_datatype_string(schema).fields])
+    ids = [*[f"{TMP}k{i}" for i in range(len(keys))], f"{TMP}mask"]
+    kept = T.StructType([*[rows.schema[n] for n in ids], *T._parse_datatype_string(f"{_PENDING}, last_us bigint{extra}").fields])
+    names, width = out_schema.names, len(ids)
+
+    def update(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, list] = {}
+        for entry in state.get[0] if state.exists else ():
+            us, sides, seqs, values, last, *carried = entry[width:]
+            held[tuple(entry[:width])] = [list(zip(us, sides, seqs, values)), last, carried]
         for pdf in batches:
-            pending += zip(pdf[f"{TMP}us"], pdf[f"{TMP}side"], pdf[f"{TMP}seq"], pdf[f"{TMP}v"])
-        pending.sort(key=lambda r: r[:3])
+            ticks = zip(*[pdf[f"{TMP}{n}"].tolist() for n in ("us", "side", "seq", "v")])
+            for key, tick in zip(zip(*[pdf[n].tolist() for n in ids]), ticks):
+                held.setdefault(key, [[], None, initial])[0].append(tick)
         limit = state.getCurrentWatermarkMs() * 1000
-        ready = [r for r in pending if r[0] <= limit]
-        waiting = [r for r in pending if r[0] > limit]
-        out, run = [], []
-        for r in ready:
-            if expire_us is not None and last is not None and r[0] - last > expire_us:
-                more, _ = step(run, tuple(carried))
-                out, run, carried = out + more, [], initial
-            run.append(r)
-            last = int(r[0])
-        more, carried = step(run, tuple(carried))
-        out += more
-        over = expire_us is not None and last is not None and last + expire_us < limit
-        if over and not waiting:
+        out, entries, dues = [], [], []
+        for key, (pending, last, carried) in held.items():
+            pending.sort(key=lambda r: r[:3])
+            ready = [r for r in pending if r[0] <= limit]
+            waiting = [r for r in pending if r[0] > limit]
+            shown = tuple(None if key[-1] >> i & (1 << nan | 1) else v for i, v in enumerate(key[:-1]))
+            run: list[tuple] = []
+            for r in ready:
+                if expire_us is not None and last is not None and r[0] - last > expire_us:
+                    more, _ = step(run, tuple(carried))
+                    out += [(*shown, *o) for o in more]
+                    run, carried = [], initial
+                run.append(r)
+                last = int(r[0])
+            if run:
+                more, carried = step(run, tuple(carried))
+                out += [(*shown, *o) for o in more]
+            over = expire_us is not None and last is not None and last + expire_us < limit
+            if waiting or not over:
+                columns = [[int(r[0]) for r in waiting], [int(r[1]) for r in waiting], [int(r[2]) for r in waiting], [float(r[3]) for r in waiting]]
+                entries.append((*key, *columns, last, *carried))
+                if waiting:
+                    dues.append(waiting[0][0])
+                elif expire_us is not None and last is not None:
+                    dues.append(last + expire_us)
+        if entries:
+            state.update((entries,))
+            if dues:
+                state.setTimeoutTimestamp(max(min(dues) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
             state.remove()
-        else:
-            columns = [[int(r[0]) for r in waiting], [int(r[1]) for r in waiting], [int(r[2]) for r in waiting], [float(r[3]) for r in waiting]]
-            state.update((*columns, last, *carried))
-            due = waiting[0][0] if waiting else last + expire_us if expire_us is not None and last is not None else None
-            if due is not None:
-                state.setTimeoutTimestamp(max(due // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if out:
-            yield pd.DataFrame([(*key, *r) for r in out], columns=names)
+            yield pd.DataFrame({n: pd.Series(c, dtype=object) if None in c else list(c) for n, c in zip(names, zip(*out))})
 
-    released = rows.groupBy(*keys).applyInPandasWithState(
-        update, out_schema, f"{_PENDING}, last_us bigint{extra}", "append", GroupStateTimeout.EventTimeTimeout
+    released = rows.groupBy(f"{TMP}bucket").applyInPandasWithState(
+        update, out_schema, T.StructType([T.StructField("entries", T.ArrayType(kept))]), "append", GroupStateTimeout.EventTimeTimeout
     )
+    released = released.withColumns({k: back(col(k)) for k, (_, back) in coded.items()})
     return released.withColumn("us", F.timestamp_micros("us").cast("timestamp_ntz")).withColumnRenamed("us", ts)
 
 
