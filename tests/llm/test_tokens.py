@@ -38,6 +38,45 @@ def test_encoder_is_exact(name, limit):
         assert ids.tolist() == [i for x in want for i in x]
 
 
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_signs_after_odd_letters(name):
+    """A letter that ends in a mark when it is lower-cased or normalised joins a sign after it; other letters do not."""
+    texts = ["\u0130, a", "\u0958. b", "word\u0130.", "abc$$$ abc!? (abc)-d_e", "\u00e9t\u00e9; \u0416: \u4e2d| x@y", "it's, don't. o'"]
+    ids, sizes = ChunkEncoder(vocabulary(name)).encode(texts)
+    want = reference(name, texts)
+    assert sizes.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+
+
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_new_words_share_calls(name):
+    """The library gets new words many at a time, in one text."""
+    encoder = ChunkEncoder(vocabulary(name))
+    inner, given = encoder.tokenizer, []
+
+    class Spy:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return inner.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Spy()
+    rng = np.random.default_rng(3)
+    words = ["".join(w) for w in rng.choice(list("abcdefghij"), (5000, 9))]
+    texts = [" ".join(words[k : k + 50]) for k in range(0, len(words), 50)]
+    ids, sizes = encoder.encode(texts)
+    want = reference(name, texts)
+    assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    assert len(given) < 300
+
+
+def test_blocks_share_the_model():
+    """What repeats only beyond a block is predicted too, and each block still decodes from the head and its own words."""
+    ids = np.tile(np.random.default_rng(6).permutation(50_000)[:3000], 20)
+    data = idcoder.write_segment([1], np.array([len(ids)]), ids, block=1024)
+    assert idcoder.read_segment(data)[2].tolist() == ids.tolist()
+    assert len(data) < len(ids)
+
+
 @pytest.mark.parametrize("kind", ["none", "one", "same", "random", "periodic", "largest"])
 def test_blocks_round_trip(kind):
     rng = np.random.default_rng(5)

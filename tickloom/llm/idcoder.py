@@ -1,17 +1,21 @@
 """Operator 2: token ids in files of independently reset, checksummed blocks, arithmetic-coded under mixed predictions.
 
-Model of a block.  Order 2 and order 1 each predict one id, the last that followed the same two ids or the same id, with a
-confidence of 0 to 3; how often predictions of that confidence have come true in this block weighs them.  Order 0
-spreads the rest of the probability over classes of ids by their counts so far, and evenly inside a class.
-The mixture drives a carryless range coder of 64 bits that emits words of 32 bits.
-
-All blocks of a segment are coded side by side, one id of each at a time, so each step is one set of array operations.
+Model of a segment.  Order 2 and order 1 each predict one id, the most frequent that follows the same two ids (their hash) or the same id in
+this segment, with a confidence of 0 to 3; how often predictions of such confidences come true in this segment weighs them.  Order 0
+spreads the rest of the probability over all ids by their counts.  The head of the segment holds these tables.
+The mixture drives a range coder of 64 bits that emits words of 32 bits; a carry goes into the words already emitted.
+Coder and contexts start anew in each block.
+
+All blocks of a segment are coded side by side, one id of each at a time, so each step is one set of array operations; what does
+not depend on the coder is worked out for many steps at once.
 A segment holds whole documents and stands for itself:
 
-    magic, version, block size, documents, ids, blocks       6 little-endian unsigned 64-bit numbers
+    magic, version, block size, documents, ids, blocks,
+    bytes of the tables                                      7 little-endian unsigned 64-bit numbers
     document ids                                             int64 each, then one byte each: 1 if the id is null
     ids of each document                                     uint32 each
     ids, words and crc32 of each block                       uint32 each
+    tables of the model                                      deflated
     crc32 of all that                                        uint32
     words of each block, one block after another             uint32 each
 """
@@ -28,187 +32,198 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import stored
-from tickloom.llm.tokens import encoder, slices
-
-MAGIC, VERSION, BLOCK = 0x315344494B4F54, 1, 4096
-TOTAL = 28  # bits of the probability scale
-O1, O2, ONE = 10, 11, 1 << 16
+from tickloom.llm.tokens import encoder, flat, slices
+
+MAGIC, VERSION, BLOCK = 0x315344494B4F54, 2, 4096
+#: Bits of the probability scale: of the shares of the orders, of order 0, and both.
+MIX, FLAT = 12, 16
+TOTAL = MIX + FLAT
+#: Bits of the hash of two ids.
+O2 = 16
 LOW = np.uint64(0xFFFFFFFF)
-#: Width in bits of the classes of ids: (first id, bits).  Low ids of a BPE vocabulary are the frequent ones.
-CLASSES = ((0, 2), (1024, 6), (8192, 8))
 MOST = 1 << 16
-
-
-def _classes() -> tuple[np.ndarray, np.ndarray]:
-    """First id and bits of each class."""
-    edges = [*CLASSES, (MOST, 0)]
-    first = [np.arange(a, b, 1 << bits) for (a, bits), (b, _) in zip(edges, edges[1:], strict=False)]
-    bits = [np.full(len(x), b) for x, (_, b) in zip(first, CLASSES, strict=True)]
-    return np.concatenate(first).astype(np.int64), np.concatenate(bits).astype(np.int64)
-
-
-FIRST, BITS = _classes()
-CLASS_OF = np.repeat(np.arange(len(FIRST)), 1 << BITS).astype(np.int64)
-N_CLASSES = len(FIRST)
-LAST = (1 << BITS) - 1
-SLOTS = 1 << 12
-#: The confidence after a miss, then after a hit, by that before.
-TRUST = np.array([0, 0, 1, 2, 1, 2, 3, 3])
+#: A context predicts if its most frequent id came so often; the share of that id gives the confidence.
+OFTEN, SURE = 3, (0.12, 0.3, 0.6)
+#: Pairs of confidences, and whether both orders predict the same id.
+COMBINATIONS = 32
+#: Ids for which the encoder prepares the steps at once.
+AHEAD = 60_000
+#: Blocks lie so many ids apart in memory, as steps of a power of two share few lines of the processor's cache.
+APART = 80
+
+
+def _hash(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Of the id before (uint32) and that before it."""
+    return (one * np.uint32(0x9E3779B1) + two * np.uint32(0x85EBCA6B)) >> np.uint32(32 - O2)
+
+
+def _followers(context: np.ndarray, ids: np.ndarray, contexts: int) -> np.ndarray:
+    """For each context (below 65,536) the id that most often follows and, from bit 16 on, the confidence."""
+    table = np.zeros(contexts, np.int32)
+    pairs = np.sort(context << np.uint32(16) | ids)
+    new = np.ones(len(pairs), bool)
+    np.not_equal(pairs[1:], pairs[:-1], out=new[1:])
+    at = np.flatnonzero(new)
+    count, pair = np.diff(at, append=len(pairs)), pairs[at].astype(np.int64)
+    of = pair >> 16
+    first = np.flatnonzero(np.diff(of, prepend=-1))
+    best, total = np.maximum.reduceat(count << 16 | pair & 0xFFFF, first), np.add.reduceat(count, first)
+    often = best >> 16
+    table[of[first]] = np.where(often >= OFTEN, best & 0xFFFF | np.digitize(often / total, SURE) << 16, 0)
+    return table
 
 
 class _Model:
-    """The predictions of many blocks (lanes).  The longest blocks come first, so the lanes still running are the first n."""
-
-    def __init__(self, lanes: int, decodes: bool = False):
-        self.decodes = decodes
-        self.lane = np.arange(lanes)
-        self.prev1, self.prev2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        # for each context the predicted id and, in the last two bits, the confidence in it
-        self.guess = [np.zeros(lanes << b, np.int32) for b in (O1, O2)]
-        self.right = [np.tile(np.array([ONE // 32, ONE // 8, ONE // 4, ONE // 2], np.int64), lanes) for _ in range(2)]
-        self.counts = np.ones(lanes * N_CLASSES, np.int32)
-        self.learn()
-
-    def learn(self) -> None:
-        """Take the counts so far into the order-0 distribution: SLOTS shares, at least one for each class."""
-        counts = self.counts.reshape(-1, N_CLASSES)
-        cum = np.zeros((len(counts), N_CLASSES + 1), np.int64)
-        np.cumsum(counts, axis=1, out=cum[:, 1:])
-        cum = cum * (SLOTS - N_CLASSES) // cum[:, -1:] + np.arange(N_CLASSES + 1)
-        self.cum = cum.ravel()
-        if self.decodes:
-            self.owner = np.repeat(np.tile(np.arange(N_CLASSES, dtype=np.int16), len(cum)), np.diff(cum, axis=1).ravel())
-
-    def predict(self, n: int) -> None:
-        """Guesses of order 1 and 2 for the first n lanes and the shares m2, m1, m0 of the three orders."""
-        lane, p1, p2 = self.lane[:n], self.prev1[:n], self.prev2[:n]
-        h = p1 * 0x9E3779B1
-        h1 = (h & 0xFFFFFFFF) >> (32 - O1)
-        h2 = ((h + p2 * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - O2)
-        self.slot = [(lane << O1) + h1, (lane << O2) + h2]
-        found = [g[s] for g, s in zip(self.guess, self.slot, strict=True)]
-        self.id, self.conf = [f >> 2 for f in found], [f & 3 for f in found]
-        self.weight = [(lane << 2) + c for c in self.conf]
-        self.share = [r[w] for r, w in zip(self.right, self.weight, strict=True)]
-        self.m0 = ((ONE - self.share[0]) * (ONE - self.share[1])) >> 4
-        same = self.id[0] == self.id[1]  # both orders agree: one prediction with both shares
-        self.m12 = (1 << TOTAL) - self.m0
-        self.m2 = np.where(same, self.m12, self.share[1] << (TOTAL - 16))
-
-    def span(self, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of each id on the probability scale."""
-        c = CLASS_OF[ids]
-        start0, size0 = self._class_span(c, n)
-        size0 >>= BITS[c]
-        start0 += (ids - FIRST[c]) * size0
-        hit2, hit1 = ids == self.id[1], ids == self.id[0]
-        start = np.where(hit2, 0, np.where(hit1, self.m2, start0))
-        return start, np.where(hit2, self.m2, np.where(hit1, self.m12 - self.m2, size0))
-
-    def _class_span(self, c: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        at = self.lane[:n] * (N_CLASSES + 1) + c
-        a, b = self.cum[at] * self.m0 >> 12, self.cum[at + 1] * self.m0 >> 12
-        return self.m12 + a, b - a
-
-    def find(self, v: np.ndarray, n: int) -> np.ndarray:
-        """The id whose span holds v."""
-        u = np.maximum(v - self.m12, 0)
-        c = self.owner[(self.lane[:n] << 12) + (((u + 1) << 12) - 1) // self.m0].astype(np.int64)
-        start, size = self._class_span(c, n)
-        size >>= BITS[c]
-        ids = FIRST[c] + np.minimum(np.maximum(v - start, 0) // size, LAST[c])
-        return np.where(v < self.m2, self.id[1], np.where(v < self.m12, self.id[0], ids))
-
-    def update(self, ids: np.ndarray, n: int, t: int) -> None:
-        for k in (0, 1):
-            hit, conf = ids == self.id[k], self.conf[k]
-            w = self.share[k]
-            self.right[k][self.weight[k]] = w + ((np.where(hit, ONE - ONE // 8, 64) - w) >> 5)
-            kept = np.where(hit | (conf > 0), self.id[k], ids)
-            self.guess[k][self.slot[k]] = (kept << 2) + TRUST[conf + (hit << 2)]
-        self.counts[self.lane[:n] * N_CLASSES + CLASS_OF[ids]] += 1
-        self.prev2[:n] = self.prev1[:n]
-        self.prev1[:n] = ids
-        if t + 1 in (32, 128) or (t + 1) % 512 == 0:
-            self.learn()
-
-
-def _shift(low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which lanes emit a word now, and their state after it.  After an emission the range is at least 2**32 again."""
-    same = ((low ^ (low + size)) >> np.uint64(32)) == 0
-    small = size <= LOW
-    out = same | small
-    size = np.where(small & ~same, (np.uint64(0) - low) & LOW, size)
-    return out, np.where(out, low << np.uint64(32), low), np.where(out, size << np.uint64(32), size)
-
-
-def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
-    """The words of each block of ids (below 65,536)."""
-    if not blocks:
-        return []
-    order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
-    lengths = np.array([len(blocks[k]) for k in order])
-    steps, lanes = int(lengths[0]), len(blocks)
-    ids = np.zeros((steps, lanes), np.int32)
-    for lane, k in enumerate(order):
-        ids[: len(blocks[k]), lane] = blocks[k]
-    model, low, size = _Model(lanes), np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    """The predictions of all blocks (lanes) of a segment, and the spans of ids on the probability scale."""
+
+    def __init__(self, follow1: np.ndarray, follow2: np.ndarray, share: np.ndarray, flat: np.ndarray):
+        self.tables = follow1, follow2, share, flat
+        self.follow1, self.follow2 = follow1, follow2 + (follow2 >> 16) * (3 << 16)  # the confidence of order 2 from bit 18 on
+        m2, m12 = share[:, 0].astype(np.int64), share.sum(axis=1, dtype=np.int64)
+        zero, m0 = np.zeros_like(m2), (1 << MIX) - m12
+        self.m2, self.m12, self.m0 = (m2 << FLAT).astype(np.int32), (m12 << FLAT).astype(np.int32), m0.astype(np.int32)
+        # by combination and outcome (neither, order 1, and order 2 twice): span = start + flat * of each id, size + flat * of each id
+        self.start = (np.stack([m12, m2, zero, zero], axis=1) << FLAT).astype(np.int32).ravel()
+        self.size = (np.stack([zero, m12 - m2, m2, m2], axis=1) << FLAT).astype(np.int32).ravel()
+        self.flat = np.stack([m0, zero, zero, zero], axis=1).astype(np.int32).ravel()
+        self.place, self.room = (np.cumsum(flat, dtype=np.int64) - flat).astype(np.int32), flat.astype(np.int32)
+        self.owner = np.repeat(np.arange(MOST, dtype=np.int32), flat)
+
+    @classmethod
+    def fit(cls, ids: np.ndarray, block: int) -> tuple[_Model, np.ndarray]:
+        """The model of all ids (uint32), and the combination and outcome of each."""
+        one, two = np.roll(ids, 1), np.roll(ids, 2)
+        one[::block], two[::block], two[1::block] = 0, 0, 0
+        hashed = _hash(one, two)
+        follow1, follow2 = _followers(one, ids, MOST), _followers(hashed, ids, 1 << O2)
+        share, flat = np.zeros((COMBINATIONS, 2), np.uint16), np.zeros(MOST, np.uint16)
+        early = cls(follow1, follow2, share, flat)
+        key = np.empty(len(ids), np.uint8)
+        for a in range(0, len(ids), AHEAD):
+            b = slice(a, a + AHEAD)
+            id1, id2, combination = early.predict(one[b], hashed[b])
+            key[b] = (combination << 2) + ((id2 == ids[b]).view(np.uint8) << 1) + (id1 == ids[b])
+        came = np.bincount(key, minlength=4 * COMBINATIONS).reshape(-1, 4)
+        total = np.maximum(came.sum(axis=1), 1)
+        share[:, 0] = 4 + came[:, 2:].sum(axis=1) * ((1 << MIX) - 16) // total
+        share[: COMBINATIONS // 2, 1] = 4 + came[: COMBINATIONS // 2, 1] * ((1 << MIX) - 16) // total[: COMBINATIONS // 2]
+        count = np.bincount(ids[(key & 3) == 0], minlength=MOST)
+        there = np.flatnonzero(count)
+        if len(there):
+            ends = np.cumsum(count[there])
+            ends = ends * (MOST - 1 - len(there)) // ends[-1] + np.arange(1, len(there) + 1)
+            flat[there] = np.diff(ends, prepend=0)
+        return cls(follow1, follow2, share, flat), key
+
+    def dump(self) -> bytes:
+        return zlib.compress(b"".join(t.astype(t.dtype.newbyteorder("<")).tobytes() for t in self.tables), 1)
+
+    @classmethod
+    def load(cls, data: bytes) -> _Model:
+        raw, at, tables = zlib.decompress(data), 0, []
+        for kind, n in (("<i4", MOST), ("<i4", 1 << O2), ("<u2", 2 * COMBINATIONS), ("<u2", MOST)):
+            tables.append(np.frombuffer(raw, kind, n, at))
+            at += tables[-1].nbytes
+        return cls(tables[0], tables[1], tables[2].reshape(-1, 2), tables[3])
+
+    def predict(self, one: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids that order 1 and 2 predict, and the combination (uint8)."""
+        found1, found2 = self.follow1.take(one, mode="clip"), self.follow2.take(hashed, mode="clip")
+        id1, id2 = found1 & 0xFFFF, found2 & 0xFFFF
+        return id1, id2, ((found1 | found2) >> 16).astype(np.uint8) + ((id1 == id2).view(np.uint8) << 4)
+
+    def span(self, ids: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of ids on the probability scale, by their combination and outcome."""
+        flat = self.flat.take(key, mode="clip")
+        start = self.start.take(key, mode="clip") + flat * self.place.take(ids, mode="clip")
+        return start.astype(np.uint64), (self.size.take(key, mode="clip") + flat * self.room.take(ids, mode="clip")).astype(np.uint64)
+
+
+def _running(lengths: np.ndarray) -> list[int]:
+    """How many blocks still run at each step; the longest come first."""
+    return (len(lengths) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), side="right")).tolist()
+
+
+def encode_blocks(model: _Model, ids: np.ndarray, key: np.ndarray, block: int) -> list[np.ndarray]:
+    """The words of each block of ids."""
+    lengths = np.diff(np.append(np.arange(0, len(ids), block), len(ids)))
+    steps, lanes = int(lengths[0]), len(lengths)
+    by_lane = []
+    for x in (ids.astype(np.uint16), key):
+        filled = np.zeros((lanes, steps + APART), x.dtype)
+        full = len(x) // steps
+        filled[:full, :steps] = x[: full * steps].reshape(full, steps)
+        filled[full:, : len(x) - full * steps] = x[full * steps :]
+        by_lane.append(filled)
+    low, size = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     words, at = np.zeros((lanes, steps + 2), np.uint32), np.zeros(lanes, np.int64)
-    running = lanes - np.searchsorted(lengths[::-1], np.arange(steps), side="right")
+    ahead = max(1, AHEAD // lanes)
     with np.errstate(over="ignore"):
-        for t, n in enumerate(running.tolist()):
-            x = ids[t, :n].astype(np.int64)
-            model.predict(n)
-            start, share = model.span(x, n)
+        for t, n in enumerate(_running(lengths)):
+            if t % ahead == 0:
+                starts, shares = model.span(*(np.ascontiguousarray(x[:, t : t + ahead].T) for x in by_lane))
             r = size[:n] >> np.uint64(TOTAL)
-            lo = low[:n] + r * start.astype(np.uint64)
-            out, new_low, new_size = _shift(lo, r * share.astype(np.uint64))
-            lane = np.flatnonzero(out)
-            words[lane, at[lane]] = (lo[lane] >> np.uint64(32)).astype(np.uint32)
-            at[lane] += 1
+            new_low, new_size = low[:n] + r * starts[t % ahead, :n], r * shares[t % ahead, :n]
+            carry = np.flatnonzero(new_low < low[:n])
+            back = at[carry] - 1
+            while len(carry):
+                words[carry, back] += np.uint32(1)
+                on = words[carry, back] == 0
+                carry, back = carry[on], back[on] - 1
+            lane = np.flatnonzero(new_size <= LOW)
+            out, to = new_low[lane], at[lane]
+            words[lane, to] = out >> np.uint64(32)
+            at[lane] = to + 1
+            new_low[lane] = out << np.uint64(32)
+            new_size[lane] <<= np.uint64(32)
             low[:n], size[:n] = new_low, new_size
-            model.update(x, n, t)
     for word in (low >> np.uint64(32), low & LOW):
         words[np.arange(lanes), at] = word.astype(np.uint32)
         at += 1
-    coded: list[np.ndarray] = [np.zeros(0, np.uint32)] * lanes
-    for lane, k in enumerate(order):
-        coded[k] = words[lane, : at[lane]].copy()
-    return coded
+    return [words[lane, : at[lane]] for lane in range(lanes)]
 
 
-def decode_blocks(coded: list[np.ndarray], lengths: list[int]) -> list[np.ndarray]:
+def decode_blocks(model: _Model, coded: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarray]:
+    """The ids of each block; no block is longer than the one before."""
     if not coded:
         return []
-    order = sorted(range(len(coded)), key=lambda k: -lengths[k])
-    size_of = np.array([lengths[k] for k in order])
-    steps, lanes = int(size_of[0]), len(coded)
-    words = np.zeros((lanes, max(map(len, coded)) + 2), np.uint64)
-    for lane, k in enumerate(order):
-        words[lane, : len(coded[k])] = coded[k]
-    model, low, size = _Model(lanes, True), np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    code, at = (words[:, 0] << np.uint64(32)) | words[:, 1], np.full(lanes, 2, np.int64)
-    ids = np.zeros((steps, lanes), np.uint32)
-    running = lanes - np.searchsorted(size_of[::-1], np.arange(steps), side="right")
-    last = words.shape[1] - 1
+    steps, lanes = int(lengths[0]), len(coded)
+    wide = max(map(len, coded)) + 2
+    words = np.zeros((lanes, wide), np.uint32)
+    for lane, x in enumerate(coded):
+        words[lane, : len(x)] = x
+    # the code is kept as its distance from the start of the range
+    code, at = (words[:, 0].astype(np.uint64) << np.uint64(32)) | words[:, 1], np.arange(lanes) * wide + 2
+    words, last = words.ravel(), np.arange(1, lanes + 1) * wide - 1
+    ids, size = np.zeros((lanes, steps + APART), "<u4"), np.full(lanes, 2**64 - 1, np.uint64)
+    ahead = max(1, AHEAD // lanes)
+    found = np.zeros((ahead, lanes), np.uint32)
+    one = two = np.zeros(lanes, np.uint32)
+    most = np.uint64((1 << TOTAL) - 1)
     with np.errstate(over="ignore"):
-        for t, n in enumerate(running.tolist()):
-            model.predict(n)
-            r = size[:n] >> np.uint64(TOTAL)
-            v = np.minimum((code[:n] - low[:n]) // r, np.uint64((1 << TOTAL) - 1)).astype(np.int64)
-            x = model.find(v, n)
-            start, share = model.span(x, n)
-            out, new_low, new_size = _shift(low[:n] + r * start.astype(np.uint64), r * share.astype(np.uint64))
-            lane = np.flatnonzero(out)
-            code[lane] = (code[lane] << np.uint64(32)) | words[lane, np.minimum(at[lane], last)]
-            at[lane] += 1
-            low[:n], size[:n] = new_low, new_size
-            ids[t, :n] = x
-            model.update(x, n, t)
-    plain: list[np.ndarray] = [np.zeros(0, np.uint32)] * lanes
-    for lane, k in enumerate(order):
-        plain[k] = ids[: lengths[k], lane].copy()
-    return plain
+        for t, n in enumerate(_running(lengths)):
+            if n < len(one):
+                one, two, code, size, at = one[:n], two[:n], code[:n], size[:n], at[:n]
+            id1, id2, combination = model.predict(one, _hash(one, two))
+            r = size >> np.uint64(TOTAL)
+            v = np.minimum(code // r, most).astype(np.int32)
+            over = v - model.m12.take(combination, mode="clip")
+            x = model.owner.take(over // model.m0.take(combination, mode="clip"), mode="clip") if len(model.owner) else np.zeros(n, np.int32)
+            hit2, hit12 = v < model.m2.take(combination, mode="clip"), over < 0
+            np.putmask(x, hit12, id1)
+            np.putmask(x, hit2, id2)
+            start, share = model.span(x, (combination << 2) + (hit2.view(np.uint8) << 1) + hit12)
+            code, size = code - r * start, r * share
+            lane = np.flatnonzero(size <= LOW)
+            to = at[lane]
+            code[lane] = (code[lane] << np.uint64(32)) | words[np.minimum(to, last[lane])]
+            at[lane] = to + 1
+            size[lane] <<= np.uint64(32)
+            found[t % ahead, :n] = x
+            if t % ahead == ahead - 1 or t == steps - 1:
+                ids[:, t - t % ahead : t + 1] = found[: t % ahead + 1].T
+            one, two = x.view(np.uint32), one
+    return [ids[lane, :n] for lane, n in enumerate(lengths.tolist())]
 
 
 def write_segment(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -216,33 +231,38 @@ def write_segment(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray,
         raise ValueError(f"ids must be below {MOST}")
     ids = ids.astype("<u4")
     blocks = [ids[a : a + block] for a in range(0, len(ids), block)]
-    coded = encode_blocks(blocks)
+    tables, coded = b"", []
+    if blocks:
+        model, key = _Model.fit(ids, block)
+        tables, coded = model.dump(), encode_blocks(model, ids, key, block)
     head = b"".join((
-        np.array([MAGIC, VERSION, block, len(doc_ids), len(ids), len(blocks)], "<u8").tobytes(),
+        np.array([MAGIC, VERSION, block, len(doc_ids), len(ids), len(blocks), len(tables)], "<u8").tobytes(),
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(), bytes(d is None for d in doc_ids), sizes.astype("<u4").tobytes(),
-        *(np.array(x, "<u4").tobytes() for x in ([len(b) for b in blocks], [len(c) for c in coded], [zlib.crc32(b.tobytes()) for b in blocks])),
+        *(np.array(x, "<u4").tobytes() for x in ([len(b) for b in blocks], [len(c) for c in coded], [zlib.crc32(b) for b in blocks])), tables,
     ))
     return b"".join((head, np.array([zlib.crc32(head)], "<u4").tobytes(), *(c.astype("<u4").tobytes() for c in coded)))
 
 
 def read_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     """Document ids, their numbers of ids, and all ids.  Raises ValueError when a checksum does not fit."""
-    magic, version, _, docs, n_ids, blocks = np.frombuffer(data, "<u8", 6).tolist()
+    magic, version, _, docs, n_ids, blocks, n_tables = np.frombuffer(data, "<u8", 7).tolist()
     if (magic, version) != (MAGIC, VERSION):
         raise ValueError("not a segment of this version")
-    at = 48 + 13 * docs + 12 * blocks
-    if zlib.crc32(data[:at]) != np.frombuffer(data, "<u4", 1, at)[0]:
+    tables = 56 + 13 * docs + 12 * blocks
+    at = tables + n_tables
+    if at + 4 > len(data) or zlib.crc32(memoryview(data)[:at]) != np.frombuffer(data, "<u4", 1, at)[0]:
         raise ValueError("the head of a segment is damaged")
-    names, null = np.frombuffer(data, "<i8", docs, 48).tolist(), data[48 + 8 * docs : 48 + 9 * docs]
-    sizes = np.frombuffer(data, "<u4", docs, 48 + 9 * docs)
-    lengths, words, sums = np.frombuffer(data, "<u4", 3 * blocks, 48 + 13 * docs).reshape(3, -1).tolist()
-    coded, at = [], at + 4
-    for w in words:
+    names, null = np.frombuffer(data, "<i8", docs, 56).tolist(), data[56 + 8 * docs : 56 + 9 * docs]
+    sizes = np.frombuffer(data, "<u4", docs, 56 + 9 * docs)
+    lengths, words, sums = np.frombuffer(data, "<u4", 3 * blocks, 56 + 13 * docs).reshape(3, -1).astype(np.int64)
+    model, coded = _Model.load(data[tables:at]) if blocks else None, []
+    at += 4
+    for w in words.tolist():
         coded.append(np.frombuffer(data, "<u4", w, at))
         at += 4 * w
-    plain = decode_blocks(coded, lengths)
-    for k, (x, crc) in enumerate(zip(plain, sums, strict=True)):
-        if zlib.crc32(x.astype("<u4").tobytes()) != crc:
+    plain = decode_blocks(model, coded, lengths)
+    for k, (x, crc) in enumerate(zip(plain, sums.tolist(), strict=True)):
+        if zlib.crc32(x) != crc:
             raise ValueError(f"block {k} of a segment is damaged")
     ids = np.concatenate(plain) if plain else np.zeros(0, np.uint32)
     if len(ids) != n_ids:
@@ -280,9 +300,9 @@ def write_ids(
                 held.clear()
 
         for batch in batches:
-            ids_of, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            ids_of, texts = batch.column(0).to_pylist(), flat(batch.column(1))
             for a, b in slices(texts):
-                ids, sizes = encode(texts[a:b], end)
+                ids, sizes = encode(texts.slice(a, b - a), end)
                 names.extend(ids_of[a:b])
                 held.append((ids, sizes))
                 total += len(ids)
