@@ -163,3 +163,11 @@ def test_pack(frame):
     long = sorted((r for r in rows if r["doc_id"] == 100_000), key=lambda r: r["start"])
     assert b"".join(bytes(r["ids"]) for r in long) == np.array(want[-1] + [1], "<u4").tobytes()
     assert packing.pack(frame([]), vocabulary("word_bpe_49k.json")).count() == 0
+
+
+def test_pack_signs_after_odd_letters(frame):
+    """Whole texts come back, also where a letter ends in a mark once it is lower-cased."""
+    docs = [(1, "İ, a"), (2, None), (3, "aİ. b " * 400)]
+    rows = sorted(packing.pack(frame(docs), vocabulary("word_bpe_49k.json")).collect(), key=lambda r: (r["doc_id"], r["start"]))
+    for (doc, _), want in zip(docs, reference(VOCABULARIES[1], [t or "" for _, t in docs]), strict=True):
+        assert b"".join(bytes(r["ids"]) for r in rows if r["doc_id"] == doc) == np.array(want + [1], "<u4").tobytes()

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.tokens import encoder, slices
+from tickloom.llm.tokens import encoder, flat, slices
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -128,9 +128,9 @@ def pack(
 
         total = 0
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            names, texts = batch.column(0).to_pylist(), flat(batch.column(1))
             for a, b in slices(texts):
-                ids, sizes = encode(texts[a:b], end)
+                ids, sizes = encode(texts.slice(a, b - a), end)
                 held_docs.extend(names[a:b])
                 held_ids.append(ids)
                 held_sizes.append(sizes)
