@@ -122,6 +122,23 @@ def test_windows_of_ticks(spark, ticks, rows_per_slice, monkeypatch):
         check(got.asDict(), own[max(0, at - ticks + 1) : at + 1])
 
 
+@pytest.mark.parametrize("ticks", [1, 20, 33])
+def test_windows_of_ticks_without_large_keys(spark, ticks):
+    """A few ticks: one sort and no row twice; the same values from plain windows and from blocks."""
+    rows = rows_of(8)
+    s = series(spark, rows, 40).balanced()
+    out = ag.running_agg(s, aggs(True), ticks=ticks).df
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("Generate explode" not in plan and plan.count("Sort [") == 1) == (ticks < 33)
+    got = out.collect()
+    assert len(got) == len(rows)
+    order = sorted(rows, key=lambda r: (r[1], r[2]))
+    for g in got:
+        own = [r for r in order if r[0] == g["k"]]
+        at = [r[2] for r in own].index(g["seq"])
+        check(g.asDict(), own[max(0, at - ticks + 1) : at + 1])
+
+
 def test_grouped_ticks(spark):
     rows = rows_of(9, 200)
     out = ag.running_agg(series(spark, rows, 40), {"n": ag.count(), "lo": ag.min_("x"), "g": ag.first("seq")}, ticks=3, group_by=["y"]).df.collect()
