@@ -48,6 +48,8 @@ OFTEN, SURE = 3, (0.12, 0.3, 0.6)
 COMBINATIONS = 32
 #: Ids for which the encoder prepares the steps at once.
 AHEAD = 60_000
+#: Bytes of text that are encoded at once.
+SLICE = 24_000_000
 #: Blocks lie so many ids apart in memory, as steps of a power of two share few lines of the processor's cache.
 APART = 80
 
@@ -79,15 +81,18 @@ class _Model:
     def __init__(self, follow1: np.ndarray, follow2: np.ndarray, share: np.ndarray, flat: np.ndarray):
         self.tables = follow1, follow2, share, flat
         self.follow1, self.follow2 = follow1, follow2 + (follow2 >> 16) * (3 << 16)  # the confidence of order 2 from bit 18 on
-        m2, m12 = share[:, 0].astype(np.int64), share.sum(axis=1, dtype=np.int64)
-        zero, m0 = np.zeros_like(m2), (1 << MIX) - m12
-        self.m2, self.m12, self.m0 = (m2 << FLAT).astype(np.int32), (m12 << FLAT).astype(np.int32), m0.astype(np.int32)
+        m2, m12 = share[:, 0].astype(np.uint64), share.sum(axis=1, dtype=np.uint64)
+        zero, m0 = np.zeros_like(m2), np.uint64(1 << MIX) - m12
+        self.m2, self.m12, self.m0 = (m2 << np.uint64(FLAT)).astype(np.int64), (m12 << np.uint64(FLAT)).astype(np.int64), m0
+        self.part = 1 / m0
         # by combination and outcome (neither, order 1, and order 2 twice): span = start + flat * of each id, size + flat * of each id
-        self.start = (np.stack([m12, m2, zero, zero], axis=1) << FLAT).astype(np.int32).ravel()
-        self.size = (np.stack([zero, m12 - m2, m2, m2], axis=1) << FLAT).astype(np.int32).ravel()
-        self.flat = np.stack([m0, zero, zero, zero], axis=1).astype(np.int32).ravel()
-        self.place, self.room = (np.cumsum(flat, dtype=np.int64) - flat).astype(np.int32), flat.astype(np.int32)
-        self.owner = np.repeat(np.arange(MOST, dtype=np.int32), flat)
+        self.start = (np.stack([m12, m2, zero, zero], axis=1) << np.uint64(FLAT)).ravel()
+        self.size = (np.stack([zero, m12 - m2, m2, m2], axis=1) << np.uint64(FLAT)).ravel()
+        self.flat = np.stack([m0, zero, zero, zero], axis=1).ravel()
+        # place of an id in order 0 from bit 32 on, its room there from bit 48 on; in the same way, behind the id itself, for what is at each place
+        room = flat.astype(np.uint64)
+        self.spot = (np.cumsum(room) - room) << np.uint64(32) | room << np.uint64(48)
+        self.owner = np.repeat(self.spot | np.arange(MOST, dtype=np.uint64), flat)
 
     @classmethod
     def fit(cls, ids: np.ndarray, block: int) -> tuple[_Model, np.ndarray]:
@@ -134,9 +139,29 @@ class _Model:
 
     def span(self, ids: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of ids on the probability scale, by their combination and outcome."""
-        flat = self.flat.take(key, mode="clip")
-        start = self.start.take(key, mode="clip") + flat * self.place.take(ids, mode="clip")
-        return start.astype(np.uint64), (self.size.take(key, mode="clip") + flat * self.room.take(ids, mode="clip")).astype(np.uint64)
+        key = key.astype(np.intp)
+        return self._span(self.spot.take(ids, mode="clip"), key, self.flat.take(key, mode="clip"))
+
+    def _span(self, spot: np.ndarray, key: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = spot >> np.uint64(32) & np.uint64(0xFFFF)
+        return self.start.take(key, mode="clip") + flat * place, self.size.take(key, mode="clip") + flat * (spot >> np.uint64(48))
+
+    def find(self, v: np.ndarray, one: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids (uint32) at places v (int64) of the probability scale, and their spans."""
+        id1, id2, combination = self.predict(one, hashed)
+        which = combination.astype(np.intp)
+        over, flat = v - self.m12.take(which, mode="clip"), self.m0.take(which, mode="clip")
+        hit2, hit12 = v < self.m2.take(which, mode="clip"), over < 0
+        if len(self.owner):  # over // flat: half a place more keeps the rounded product off the whole numbers
+            at = ((over + 0.5) * self.part.take(which, mode="clip")).astype(np.intp)
+            spot = self.owner.take(at, mode="clip")
+            np.putmask(spot, hit12, np.uint64(0))
+        else:
+            spot = np.zeros(len(v), np.uint64)
+        ids = spot.astype(np.int32)
+        np.putmask(ids, hit12, id1)
+        np.putmask(ids, hit2, id2)
+        return ids.view(np.uint32), *self._span(spot, (which << 2) + (hit2.view(np.uint8) << 1) + hit12, flat)
 
 
 def _running(lengths: np.ndarray) -> list[int]:
@@ -204,15 +229,8 @@ def decode_blocks(model: _Model, coded: list[np.ndarray], lengths: np.ndarray) -
         for t, n in enumerate(_running(lengths)):
             if n < len(one):
                 one, two, code, size, at = one[:n], two[:n], code[:n], size[:n], at[:n]
-            id1, id2, combination = model.predict(one, _hash(one, two))
             r = size >> np.uint64(TOTAL)
-            v = np.minimum(code // r, most).astype(np.int32)
-            over = v - model.m12.take(combination, mode="clip")
-            x = model.owner.take(over // model.m0.take(combination, mode="clip"), mode="clip") if len(model.owner) else np.zeros(n, np.int32)
-            hit2, hit12 = v < model.m2.take(combination, mode="clip"), over < 0
-            np.putmask(x, hit12, id1)
-            np.putmask(x, hit2, id2)
-            start, share = model.span(x, (combination << 2) + (hit2.view(np.uint8) << 1) + hit12)
+            x, start, share = model.find(np.minimum(code // r, most).view(np.int64), one, _hash(one, two))
             code, size = code - r * start, r * share
             lane = np.flatnonzero(size <= LOW)
             to = at[lane]
@@ -222,7 +240,7 @@ def decode_blocks(model: _Model, coded: list[np.ndarray], lengths: np.ndarray) -
             found[t % ahead, :n] = x
             if t % ahead == ahead - 1 or t == steps - 1:
                 ids[:, t - t % ahead : t + 1] = found[: t % ahead + 1].T
-            one, two = x.view(np.uint32), one
+            one, two = x, one
     return [ids[lane, :n] for lane, n in enumerate(lengths.tolist())]
 
 
@@ -301,7 +319,7 @@ def write_ids(
 
         for batch in batches:
             ids_of, texts = batch.column(0).to_pylist(), flat(batch.column(1))
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 ids, sizes = encode(texts.slice(a, b - a), end)
                 names.extend(ids_of[a:b])
                 held.append((ids, sizes))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -17,9 +16,15 @@ import pyarrow.compute as pc
 
 #: Pieces that are encoded as one text, where the ids tell which piece they belong to.
 TOGETHER = 500
-#: Pieces that the patterns cut from one another: a blank first and something visible last, or one word of Latin letters.
-_BLANK_FIRST = re.compile(rb"[ \n](?:.*[!-~])", re.DOTALL)
-_ONE_WORD = re.compile(rb"[ \n]?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Pieces that the patterns cut from one another: a blank first and a visible sign or Latin letter last, or one word of Latin letters.
+_BLANK_FIRST = r"\A[ \n](?s:.*)(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\z"
+_BLANK_WORD = r"\A (?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\z"
+_ONE_WORD = r"\A[ \n]?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\z"
+#: The characters that stand for bytes in the vocabulary of a byte-level tokenizer.
+_SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SIGNS = {b: chr(b) for b in _SELF} | {b: chr(256 + k) for k, b in enumerate(sorted({*range(256)}.difference(_SELF)))}
+#: Words with a blank first, written in these characters, a space between them.
+_SPELLED = str.maketrans(_SIGNS | {32: " " + _SIGNS[32]})
 #: Of each byte: 1 for a space or line end, 2 for a sign that starts a piece.
 _KIND = bytes(1 if b in b" \n" else 2 if b in b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~' else 0 for b in range(256))
 
@@ -69,7 +74,7 @@ class ChunkEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         same = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in (ascii_uppercase, ascii_lowercase)]
         self.fold = same[0] == same[1]  # the tokenizer lower-cases, so both cases of a piece can share one entry
-        self.together, self.bytes_of, self.last = None, None, None
+        self.together, self.bytes_of, self.last, self.speller = None, None, None, None
         if not any(" " in t or "\n" in t for t in self.special):
             self._look(json.loads(self.tokenizer.to_str()))
         self._forget()
@@ -86,59 +91,65 @@ class ChunkEncoder:
             self.together, self.bytes_of = _BLANK_FIRST, np.zeros(size, np.int64)
             for token, n in vocabulary.items():
                 self.bytes_of[n] = len(token)  # a character of the vocabulary is a byte
+            if set(alphabet) == set(_SIGNS.values()):  # the same model, for words that need no pattern to be cut any more
+                from tokenizers import Tokenizer, pre_tokenizers
+
+                self.speller = Tokenizer(self.tokenizer.model)
+                self.speller.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
         elif suffix and all(t + suffix in vocabulary for t in alphabet) and [c["type"] for c in cutter.get("pretokenizers", [])] == ["Split", "ByteLevel"]:
             self.together, self.last = _ONE_WORD, np.zeros(size, bool)
             self.last[[n for token, n in vocabulary.items() if token.endswith(suffix)]] = True
 
     def _forget(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.known = pa.array([], pa.binary())
         self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encoded(self, texts: list[str], spelled: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and how many each has."""
-        new = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        new = [e.ids for e in (self.speller if spelled else self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
         size = np.fromiter(map(len, new), np.int64, len(new))
         return np.fromiter(chain.from_iterable(new), np.uint32, int(size.sum())), size
 
-    def _learn(self, pieces: list[bytes], together: bool) -> None:
-        """Encode new pieces, each alone or ``together``, side by side in longer texts."""
-        known = self.numbers
-        known.update(zip(pieces, range(len(known), len(known) + len(pieces)), strict=True))
-        size = None
-        if together:
-            between = b" " if self.bytes_of is None else b""
-            ids, _ = self._encoded([between.join(pieces[k : k + TOGETHER]).decode() for k in range(0, len(pieces), TOGETHER)])
-            if self.bytes_of is None:
-                last = np.flatnonzero(self.last[ids])
-                if len(last) == len(pieces):
-                    size = np.diff(last + 1, prepend=0)
-            else:
-                edges, reached = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))), np.cumsum(self.bytes_of[ids])
-                last = np.searchsorted(reached, edges)
-                if last[-1] < len(reached) and np.array_equal(reached[last], edges):
-                    size = np.diff(last + 1, prepend=0)
-        if size is None:
-            ids, size = self._encoded([p.decode() for p in pieces])
+    def _side_by_side(self, pieces: list[bytes], spelled: bool) -> tuple[np.ndarray, np.ndarray] | None:
+        """As _encoded, by longer texts of many pieces each; None where the ids do not tell the pieces apart."""
+        between = b" " if self.bytes_of is None else b""
+        texts = [between.join(pieces[k : k + TOGETHER]) for k in range(0, len(pieces), TOGETHER)]
+        ids, _ = self._encoded([t.decode("latin-1").translate(_SPELLED) if spelled else t.decode() for t in texts], spelled)
+        if self.bytes_of is None:
+            last = np.flatnonzero(self.last[ids])
+            told = len(last) == len(pieces)
+        else:
+            edges, reached = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))), np.cumsum(self.bytes_of[ids])
+            last = np.searchsorted(reached, edges)
+            told = last[-1] < len(reached) and np.array_equal(reached[last], edges)
+        return (ids, np.diff(last + 1, prepend=0)) if told else None
+
+    def _learn(self, new: pa.Array, whole: set[bytes]) -> None:
+        """Encode new pieces, those in ``whole`` alone; others side by side, where that gives the same."""
+        pieces = _listed(new)
+        how = np.zeros(len(pieces), np.uint8)  # 0: alone, 1: side by side, 2: spelled
+        for k, pattern in ((1, self.together), (2, self.speller and _BLANK_WORD)):
+            if pattern:
+                how[pc.match_substring_regex(new, pattern).to_numpy(zero_copy_only=False)] = k
+        if whole:
+            how[np.fromiter((p in whole for p in pieces), bool, len(pieces))] = 0
+        groups = []
+        for k in range(3):
+            at = np.flatnonzero(how == k)
+            if len(at):
+                some = [pieces[n] for n in at.tolist()]
+                groups.append((at, *((k and self._side_by_side(some, k == 2)) or self._encoded([p.decode() for p in some]))))
+        order, ids, size = (np.concatenate(x) for x in zip(*groups, strict=True))
+        if len(groups) > 1:
+            back = np.argsort(order)
+            ids = _parts(_runs(np.append(0, np.cumsum(size)), ids).take(pa.array(back)))[1].view(np.uint32)
+            size = size[back]
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
         self.ids = np.concatenate([self.ids, ids])
 
-    def _numbers(self, pieces: list[bytes], whole: set[bytes]) -> np.ndarray:
-        """The number of each piece; new ones are encoded, those in ``whole`` alone."""
-        got = list(map(self.numbers.get, pieces))
-        at = [k for k, n in enumerate(got) if n is None]
-        if at:
-            fits = [bool(self.together and self.together.fullmatch(pieces[k])) and pieces[k] not in whole for k in at]
-            for together in (True, False):
-                some = [k for k, fit in zip(at, fits, strict=True) if fit == together]
-                if some:
-                    self._learn([pieces[k] for k in some], together)
-                    for k in some:
-                        got[k] = self.numbers[pieces[k]]
-        return np.array(got, np.int32)
-
     def encode(self, texts: list[str] | pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has; ``end`` is appended to each text.  A null text is empty."""
-        if len(self.numbers) > self.limit:
+        if len(self.known) > self.limit:
             self._forget()
         column = flat(texts)
         at, raw = _parts(column)
@@ -159,12 +170,15 @@ class ChunkEncoder:
             if not plain.all():
                 upper &= np.repeat(plain, np.diff(edges))
             raw = raw + (upper.view(np.uint8) << 5)
-        kind, wide = (pa.binary(), np.int32) if len(raw) < 2**31 else (pa.large_binary(), np.int64)
-        coded = pa.Array.from_buffers(kind, len(cuts), [None, pa.py_buffer(edges.astype(wide)), pa.py_buffer(raw)]).dictionary_encode()
-        whole = {raw[at[k] : at[k + 1]].tobytes() for k in np.flatnonzero(marked)}
-        which = self._numbers(_listed(coded.dictionary, wide), whole)
-        # the ids of a piece as its bytes: twice taken, for the distinct pieces here and for all
-        runs = _runs(self.ends, self.ids).take(pa.array(which)).take(coded.indices)
+        kind, wide = (pa.binary(), np.int32) if len(raw) + self.known.nbytes < 2**31 else (pa.large_binary(), np.int64)
+        cut = pa.Array.from_buffers(kind, len(cuts), [None, pa.py_buffer(edges.astype(wide)), pa.py_buffer(raw)])
+        # known pieces first, so that they keep their numbers and new ones come behind
+        known = len(self.known)
+        coded = pa.concat_arrays([self.known.cast(kind), cut]).dictionary_encode()
+        if len(coded.dictionary) > known:
+            self._learn(coded.dictionary.slice(known), {raw[at[k] : at[k + 1]].tobytes() for k in np.flatnonzero(marked)})
+            self.known = coded.dictionary
+        runs = _runs(self.ends, self.ids).take(coded.indices.slice(known))
         before, out = _parts(runs)
         before, out = before // 4, out.view(np.uint32)
         lengths = np.diff(before[np.searchsorted(cuts, at)])
@@ -190,12 +204,10 @@ def flat(texts: list[str] | pa.Array) -> pa.Array:
     return column.fill_null("") if column.null_count else column
 
 
-def _listed(values: pa.Array, wide: type) -> list[bytes]:
+def _listed(values: pa.Array) -> list[bytes]:
     """As to_pylist, in a third of the time."""
-    _, offsets, data = values.buffers()
-    if not len(values):
-        return []
-    at, raw = np.frombuffer(offsets, wide)[values.offset : values.offset + len(values) + 1].tolist(), data.to_pybytes()
+    at, raw = _parts(values.cast(pa.large_binary()))
+    at, raw = at.tolist(), raw.tobytes()
     return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
